@@ -323,3 +323,373 @@ def q_strategy_compare(spark, sf):
 )
 def q_conversion_by_category(spark, sf):
     return pr.conversion_by_category(ds.leads(spark, sf), "month", "y")
+
+
+LEAD_NUMS = ["quantity", "price", "discount", "tax"]
+PROSPECT_CATS = ["priority", "month", "day_of_week", "status_code"]
+
+
+def _q_sql(col: str, p: float, src: str) -> str:
+    return f"(SELECT quantile_cont({col}, {sql_double(p)}) FROM {src} WHERE {col} IS NOT NULL AND NOT isnan({col}))"
+
+
+@register(
+    "null_report",
+    "WITH " + PROSPECTS + ", rep AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c == 'amount' else ''}) AS null_count, "
+        f"count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c == 'amount' else ''}) / count(*) * 100 AS null_pct FROM prospects"
+        for c in ["prospect_id", "cust_id", "y", "priority", "month", "day_of_week", "status_code", "amount", "pdays", "previous", "year"]
+    )
+    + ") SELECT * FROM rep WHERE null_count > 0",
+)
+def q_null_report(spark, sf):
+    return pr.null_report(ds.prospects(spark, sf))
+
+
+def _unknown_sql() -> str:
+    parts = []
+    for c in PROSPECT_CATS:
+        strat = "impute_mode" if c in ("priority", "month") else ("keep_as_category" if c == "status_code" else "none")
+        parts.append(
+            f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} = 'unknown') AS unknown_count, "
+            f"count(*) FILTER (WHERE {c} = 'unknown') / count(*) * 100 AS unknown_pct, "
+            f"count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS n_levels, '{strat}' AS strategy FROM prospects"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@register("unknown_report", f"WITH {PROSPECTS} {_unknown_sql()}")
+def q_unknown_report(spark, sf):
+    return pr.unknown_report(ds.prospects(spark, sf), PROSPECT_CATS, impute=["priority", "month"], keep=["status_code"])
+
+
+def _cooc_sql() -> str:
+    parts = []
+    cols = PROSPECT_CATS
+    for i in range(len(cols)):
+        for j in range(i + 1, len(cols)):
+            a, b = cols[i], cols[j]
+            parts.append(f"SELECT '{a}' AS column_a, '{b}' AS column_b, corr(CASE WHEN {a} = 'unknown' THEN 1.0 ELSE 0.0 END, "
+                         f"CASE WHEN {b} = 'unknown' THEN 1.0 ELSE 0.0 END) AS r FROM prospects")
+    return " UNION ALL ".join(parts)
+
+
+@register("unknown_cooccurrence", f"WITH {PROSPECTS}, x AS ({_cooc_sql()}) SELECT column_a, column_b, CASE WHEN isnan(r) THEN NULL ELSE r END AS r FROM x")
+def q_unknown_cooccurrence(spark, sf):
+    return pr.unknown_cooccurrence(ds.prospects(spark, sf), PROSPECT_CATS)
+
+
+def _card_sql() -> str:
+    parts = []
+    for c in PROSPECT_CATS:
+        parts.append(
+            f"SELECT '{c}' AS column, count(*) AS n_levels, min(n) AS min_count, "
+            f"arg_min(v, (n, v)) AS rarest_level, min(n) < 50 AS rare FROM "
+            f"(SELECT {c} AS v, count(*) AS n FROM prospects WHERE {c} IS NOT NULL GROUP BY {c})"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@register("cardinality_report", f"WITH {PROSPECTS} {_card_sql()}")
+def q_cardinality_report(spark, sf):
+    return pr.cardinality_report(ds.prospects(spark, sf), PROSPECT_CATS)
+
+
+def _describe_sql() -> str:
+    parts = []
+    for c in LEAD_NUMS:
+        parts.append(
+            f"SELECT '{c}' AS column, count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std, min({c}) AS min, "
+            f"quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS median, quantile_cont({c}, 0.75) AS q75, "
+            f"max({c}) AS max, skewness({c}) AS skewness, kurtosis({c}) AS kurtosis FROM leads"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@register("describe", f"WITH {LEADS} {_describe_sql()}")
+def q_describe(spark, sf):
+    return pr.describe(ds.leads(spark, sf), LEAD_NUMS)
+
+
+@register(
+    "skewness_report",
+    f"WITH {LEADS} "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column, skewness({c}) AS skewness, kurtosis({c}) AS kurtosis, "
+        f"CASE WHEN abs(skewness({c})) > 2 THEN 'HIGH' ELSE 'OK' END AS flag FROM leads"
+        for c in LEAD_NUMS + ["linenumber"]
+    ),
+)
+def q_skewness_report(spark, sf):
+    return pr.skewness_report(ds.leads(spark, sf), LEAD_NUMS + ["linenumber"])
+
+
+CORR_COLS = ["quantity", "price", "discount", "tax", "net_price", "y"]
+
+
+@register(
+    "correlation_matrix",
+    f"WITH {LEADS} "
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS column_a, '{b}' AS column_b, {'CAST(max(1.0) AS DOUBLE)' if a == b else f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))'} AS r FROM leads"
+        for a in CORR_COLS
+        for b in CORR_COLS
+    ),
+)
+def q_correlation_matrix(spark, sf):
+    return pr.correlation_matrix(ds.leads(spark, sf), CORR_COLS)
+
+
+@register(
+    "correlation_pairs",
+    f"WITH {LEADS}, x AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{CORR_COLS[i]}' AS column_a, '{CORR_COLS[j]}' AS column_b, abs(corr(CAST({CORR_COLS[i]} AS DOUBLE), CAST({CORR_COLS[j]} AS DOUBLE))) AS abs_r FROM leads"
+        for i in range(len(CORR_COLS))
+        for j in range(i + 1, len(CORR_COLS))
+    )
+    + ") SELECT * FROM x WHERE abs_r > 0.7",
+)
+def q_correlation_pairs(spark, sf):
+    return pr.correlation_pairs(ds.leads(spark, sf), CORR_COLS, threshold=0.7)
+
+
+PB_COLS = ["amount", "pdays", "previous"]
+
+
+@register(
+    "point_biserial",
+    f"WITH {PROSPECTS} "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column, abs(corr(CASE WHEN {c} IS NULL OR isnan({c}) THEN {_q_sql(c, 0.5, 'prospects')} ELSE CAST({c} AS DOUBLE) END, "
+        f"CAST(y AS DOUBLE))) AS abs_r FROM prospects"
+        for c in PB_COLS
+    ),
+)
+def q_point_biserial(spark, sf):
+    return pr.point_biserial(ds.prospects(spark, sf), PB_COLS, "y")
+
+
+OVERVIEW_COLS = ["y", "status", "month", "day_of_week", "linenumber", "quantity", "discount", "tax"]
+
+
+@register(
+    "dataset_overview",
+    f"""WITH {LEADS}, v AS (SELECT {', '.join(OVERVIEW_COLS)} FROM leads)
+    SELECT (SELECT count(*) FROM v) AS raw_rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM v)) AS dedup_rows,
+           (SELECT count(*) FROM v) - (SELECT count(*) FROM (SELECT DISTINCT * FROM v)) AS duplicates_removed,
+           {len(OVERVIEW_COLS)} AS n_columns, (SELECT avg(CAST(y AS DOUBLE)) FROM v) AS positive_rate""",
+)
+def q_dataset_overview(spark, sf):
+    return pr.dataset_overview(ds.leads(spark, sf).select(*OVERVIEW_COLS), "y")
+
+
+@register(
+    "class_balance",
+    f"WITH {LEADS} SELECT y, count(*) AS n, count(*) / sum(count(*)) OVER () * 100 AS pct FROM leads GROUP BY y",
+)
+def q_class_balance(spark, sf):
+    return pr.class_balance(ds.leads(spark, sf), "y")
+
+
+@register(
+    "value_counts_topn",
+    f"""WITH {LEADS} SELECT month AS value, count(*) AS n, count(*) / CAST((SELECT count(*) FROM leads) AS DOUBLE) AS share
+    FROM leads GROUP BY month ORDER BY n DESC, value ASC LIMIT 5""",
+)
+def q_value_counts_topn(spark, sf):
+    return pr.value_counts_topn(ds.leads(spark, sf), "month", 5)
+
+
+def _outlier_sql() -> str:
+    parts = []
+    for c in LEAD_NUMS:
+        lo, hi = _q_sql(c, 0.01, "leads"), _q_sql(c, 0.99, "leads")
+        parts.append(
+            f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} < {lo}) AS n_low, count(*) FILTER (WHERE {c} > {hi}) AS n_high, "
+            f"count(*) FILTER (WHERE {c} < {lo} OR {c} > {hi}) AS n_outliers, "
+            f"count(*) FILTER (WHERE {c} < {lo} OR {c} > {hi}) / count(*) * 100 AS pct, "
+            f"{lo} AS low_bound, {hi} AS high_bound FROM leads"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@register("outlier_report", f"WITH {LEADS}, x AS ({_outlier_sql()}) SELECT * FROM x WHERE n_outliers > 0")
+def q_outlier_report(spark, sf):
+    return pr.outlier_report(ds.leads(spark, sf), LEAD_NUMS)
+
+
+def _calendar_sql(levels) -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(f"({i + 1}, '{v}')" for i, v in enumerate(levels)) + ") c(ordinal, level)"
+
+
+@register(
+    "conversion_by_ordered",
+    f"""WITH {PROSPECTS}, cal AS ({_calendar_sql(['jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec'])}),
+    g AS (SELECT month AS level, avg(CAST(y AS DOUBLE)) * 100 AS conversion_pct, count(*) AS n FROM prospects GROUP BY month)
+    SELECT CAST(ordinal AS INTEGER) AS ordinal, level, conversion_pct, n FROM cal LEFT JOIN g USING (level)""",
+)
+def q_conversion_by_ordered(spark, sf):
+    return pr.conversion_by_ordered(ds.prospects(spark, sf), "month")
+
+
+@register(
+    "conversion_by_weekday",
+    f"""WITH {LEADS}, cal AS ({_calendar_sql(['mon', 'tue', 'wed', 'thu', 'fri', 'sat', 'sun'])}),
+    g AS (SELECT day_of_week AS level, avg(CAST(y AS DOUBLE)) * 100 AS conversion_pct, count(*) AS n FROM leads GROUP BY day_of_week)
+    SELECT CAST(ordinal AS INTEGER) AS ordinal, level, conversion_pct, n FROM cal LEFT JOIN g USING (level)""",
+)
+def q_conversion_by_weekday(spark, sf):
+    return pr.conversion_by_ordered(ds.leads(spark, sf), "day_of_week")
+
+
+PDAYS_EDGES = [0, 3, 7, 14, 30, 999]
+
+
+def _cut_sql(col: str, edges) -> str:
+    whens = " ".join(
+        f"WHEN {col} > {sql_double(float(edges[i]))} AND {col} <= {sql_double(float(edges[i + 1]))} THEN {i + 1}"
+        for i in range(len(edges) - 1)
+    )
+    return f"CASE {whens} END"
+
+
+@register(
+    "conversion_by_bin",
+    f"WITH {PROSPECTS} SELECT {_cut_sql('pdays', PDAYS_EDGES)} AS bin, avg(CAST(y AS DOUBLE)) * 100 AS conversion_pct, "
+    f"count(*) AS n FROM prospects GROUP BY 1",
+)
+def q_conversion_by_bin(spark, sf):
+    from leadlens.functions.columns import cut_bins
+
+    return pr.conversion_by_bin(ds.prospects(spark, sf), cut_bins("pdays", PDAYS_EDGES), "y", "bin")
+
+
+@register(
+    "conversion_by_sentinel",
+    f"WITH {PROSPECTS} SELECT pdays = 999 AS is_sentinel, avg(CAST(y AS DOUBLE)) * 100 AS conversion_pct, count(*) AS n "
+    f"FROM prospects GROUP BY 1",
+)
+def q_conversion_by_sentinel(spark, sf):
+    return pr.conversion_by_sentinel(ds.prospects(spark, sf), "pdays", 999, "y")
+
+
+def _ew_sql(col: str, n: int, src: str) -> str:
+    step = f"((mx - mn) / {n}.0)"
+    terms = " + ".join(f"CASE WHEN {col} > {i}.0 * {step} + mn THEN 1 ELSE 0 END" for i in range(1, n))
+    return f"(SELECT *, CASE WHEN {col} IS NOT NULL AND NOT isnan({col}) THEN 1 + {terms} END AS bin FROM {src}, " \
+           f"(SELECT min({col}) FILTER (WHERE NOT isnan({col})) AS mn, max({col}) FILTER (WHERE NOT isnan({col})) AS mx FROM {src}))"
+
+
+@register(
+    "equal_width_bins",
+    f"WITH {LEADS} SELECT CAST(bin AS INTEGER) AS bin, avg(CAST(y AS DOUBLE)) * 100 AS conversion_pct, count(*) AS n "
+    f"FROM {_ew_sql('price', 10, 'leads')} GROUP BY bin",
+)
+def q_equal_width_bins(spark, sf):
+    b = pr.equal_width_bins(ds.leads(spark, sf), "price", 10, "bin")
+    return pr.conversion_by_bin(b, "bin", "y", "bin")
+
+
+@register(
+    "histogram",
+    f"""WITH {LEADS}, e AS (SELECT CAST(i AS INTEGER) AS bin,
+        CAST(i AS DOUBLE) * ((CAST('1.0' AS DOUBLE) - CAST('0.0' AS DOUBLE)) / 50.0) + CAST('0.0' AS DOUBLE) AS lower,
+        CASE WHEN i = 49 THEN CAST('1.0' AS DOUBLE) ELSE CAST(i + 1 AS DOUBLE) * (1.0 / 50.0) END AS upper FROM range(50) r(i))
+    SELECT bin, lower, upper, count(score) AS n FROM e LEFT JOIN leads
+      ON score >= lower AND (score < upper OR (bin = 49 AND score <= upper)) GROUP BY bin, lower, upper""",
+)
+def q_histogram(spark, sf):
+    return pr.histogram(ds.leads(spark, sf), "score", 0.0, 1.0, 50)
+
+
+# ===========================================================================
+# 2.4 Cleaning
+# ===========================================================================
+DEDUP_COLS = OVERVIEW_COLS
+
+
+@register("dedup_rows", f"WITH {LEADS} SELECT DISTINCT {', '.join(DEDUP_COLS)} FROM leads")
+def q_dedup_rows(spark, sf):
+    from leadlens.operators.clean import dedup_rows
+
+    return dedup_rows(ds.leads(spark, sf).select(*DEDUP_COLS))
+
+
+def _clip_sql(c: str, src: str) -> str:
+    lo, hi = _q_sql(c, 0.01, src), _q_sql(c, 0.99, src)
+    x = f"CAST({c} AS DOUBLE)"
+    return f"CASE WHEN {x} IS NULL OR isnan({x}) THEN {x} ELSE least(greatest({x}, {lo}), {hi}) END"
+
+
+@register(
+    "clip_outliers",
+    f"WITH {LEADS} SELECT lead_id, " + ", ".join(f"{_clip_sql(c, 'leads')} AS {c}" for c in LEAD_NUMS) + " FROM leads",
+)
+def q_clip_outliers(spark, sf):
+    from leadlens.operators.clean import clip_outliers
+
+    return clip_outliers(ds.leads(spark, sf).select("lead_id", *LEAD_NUMS), LEAD_NUMS)
+
+
+def _mode_sql(c: str, src: str) -> str:
+    return (
+        f"(SELECT {c} FROM {src} WHERE {c} IS NOT NULL AND {c} <> 'unknown' GROUP BY {c} "
+        f"ORDER BY count(*) DESC, {c} ASC LIMIT 1)"
+    )
+
+
+@register(
+    "impute_mode",
+    f"WITH {PROSPECTS} SELECT prospect_id, "
+    + ", ".join(f"CASE WHEN {c} = 'unknown' THEN {_mode_sql(c, 'prospects')} ELSE {c} END AS {c}" for c in ("priority", "month"))
+    + ", status_code FROM prospects",
+)
+def q_impute_mode(spark, sf):
+    from leadlens.operators.clean import impute_mode
+
+    return impute_mode(ds.prospects(spark, sf).select("prospect_id", "priority", "month", "status_code"), ["priority", "month"])
+
+
+@register(
+    "drop_nulls",
+    f"WITH {PROSPECTS} SELECT prospect_id, amount, y FROM prospects WHERE amount IS NOT NULL AND NOT isnan(amount)",
+)
+def q_drop_nulls(spark, sf):
+    from leadlens.operators.clean import drop_nulls
+
+    return drop_nulls(ds.prospects(spark, sf).select("prospect_id", "amount", "y"), ["amount"])
+
+
+@register("keep_unknown", f"WITH {PROSPECTS} SELECT prospect_id, status_code FROM prospects")
+def q_keep_unknown(spark, sf):
+    from leadlens.operators.clean import keep_unknown
+
+    return keep_unknown(ds.prospects(spark, sf).select("prospect_id", "status_code"), ["status_code"])
+
+
+@register(
+    "drop_leakage",
+    f"WITH {PROSPECTS} SELECT * EXCLUDE (amount) FROM prospects",
+)
+def q_drop_leakage(spark, sf):
+    from leadlens.operators.clean import drop_leakage
+
+    return drop_leakage(ds.prospects(spark, sf), ["amount", "duration"])
+
+
+CLEAN_CLIP = ["amount", "pdays", "previous"]
+
+
+@register(
+    "clean_data",
+    f"""WITH {PROSPECTS}, d AS (SELECT DISTINCT * EXCLUDE (year) FROM prospects),
+    c AS (SELECT * REPLACE ({', '.join(f'{_clip_sql(x, "d")} AS {x}' for x in CLEAN_CLIP)}) FROM d)
+    SELECT * REPLACE ({', '.join(f"CASE WHEN {x} = 'unknown' THEN {_mode_sql(x, 'c')} ELSE {x} END AS {x}" for x in ('priority', 'month'))})
+    FROM c""",
+)
+def q_clean_data(spark, sf):
+    from leadlens.operators.clean import clean_data
+
+    return clean_data(ds.prospects(spark, sf), production=True, leakage=["year"], outlier_cols=CLEAN_CLIP, impute_cols=["priority", "month"])

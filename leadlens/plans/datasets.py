@@ -84,6 +84,7 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("price"),
         F.col("l_discount").alias("discount"),
         F.col("l_tax").alias("tax"),
+        (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("net_price"),
         _score("logistic_regression").alias("score"),
     )
 
@@ -99,6 +100,7 @@ SELECT l_orderkey * 10 + l_linenumber AS lead_id,
        l_extendedprice AS price,
        l_discount AS discount,
        l_tax AS tax,
+       l_extendedprice * (1.0 - l_discount) AS net_price,
        {_score_sql("logistic_regression")} AS score
 FROM lineitem
 """

@@ -27,12 +27,17 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def _norm(v):
     if v is None:
         return None
+    try:
+        if not isinstance(v, (list, tuple)) and not hasattr(v, "__len__") and pd.isna(v):
+            return None
+    except (TypeError, ValueError):
+        pass
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
         if math.isinf(v):
             return str(v)
-        return round(v, 6) + 0.0
+        return float(f"{v:.9g}") + 0.0
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
             return _norm(v.item())
