@@ -693,3 +693,175 @@ def q_clean_data(spark, sf):
     from leadlens.operators.clean import clean_data
 
     return clean_data(ds.prospects(spark, sf), production=True, leakage=["year"], outlier_cols=CLEAN_CLIP, impute_cols=["priority", "month"])
+
+
+# ===========================================================================
+# 2.9 Lead ranking and segmentation (stand-in probability = leads.score)
+# ===========================================================================
+CALL_T = 0.30
+SCORED = "scored AS (SELECT *, score AS probability FROM leads)"
+
+
+def _scored(spark, sf) -> DataFrame:
+    return ds.leads(spark, sf).withColumn("probability", F.col("score"))
+
+
+@register(
+    "batch_score",
+    f"WITH {LEADS} SELECT lead_id, round(score, 4) AS probability, CASE WHEN score >= {sql_double(CALL_T)} THEN 'YES' ELSE 'NO' END AS verdict FROM leads",
+)
+def q_batch_score(spark, sf):
+    from leadlens.operators.leads import batch_score
+
+    return batch_score(_scored(spark, sf).select("lead_id", "probability"), CALL_T)
+
+
+_SUMMARY_SQL = f"""SELECT count(*) AS total, count(*) FILTER (WHERE score >= {sql_double(CALL_T)}) AS n_yes,
+    count(*) FILTER (WHERE NOT (score >= {sql_double(CALL_T)})) AS n_no, avg(score) AS avg_prob FROM leads"""
+
+
+@register("batch_summary", f"WITH {LEADS} {_SUMMARY_SQL}")
+def q_batch_summary(spark, sf):
+    from leadlens.operators.leads import batch_summary
+
+    return batch_summary(_scored(spark, sf), CALL_T)
+
+
+@register(
+    "campaign_impact",
+    f"""WITH {LEADS}, s AS ({_SUMMARY_SQL}),
+    v AS (SELECT *, CAST(n_yes AS DOUBLE) * avg_prob AS tp, CAST(n_yes AS DOUBLE) * (1.0 - avg_prob) AS fp,
+                 CAST(n_no AS DOUBLE) * {sql_double(0.113)} AS fn FROM s),
+    m AS (SELECT *, tp * 195.0 - fp * 5.0 - fn * 200.0 AS ml_profit,
+                 CAST(total AS DOUBLE) * {sql_double(0.113)} * 195.0 - CAST(total AS DOUBLE) * {sql_double(1.0 - 0.113)} * 5.0 AS call_all_profit FROM v)
+    SELECT total, n_yes, n_no, avg_prob, ml_profit, call_all_profit, ml_profit - call_all_profit AS advantage,
+           CASE WHEN call_all_profit > 0 THEN (ml_profit / call_all_profit - 1) * 100 END AS advantage_pct FROM m""",
+)
+def q_campaign_impact(spark, sf):
+    from leadlens.operators.leads import batch_summary, campaign_impact
+
+    return campaign_impact(batch_summary(_scored(spark, sf), CALL_T))
+
+
+@register(
+    "top_leads",
+    f"WITH {LEADS} SELECT lead_id, score AS probability, month FROM leads ORDER BY score DESC, lead_id ASC LIMIT 20",
+)
+def q_top_leads(spark, sf):
+    from leadlens.operators.leads import top_leads
+
+    return top_leads(_scored(spark, sf).select("lead_id", "probability", "month"), "probability", "lead_id", 20)
+
+
+def _zone_sql(p: str, t: float) -> str:
+    return (
+        f"CASE WHEN {p} >= 0.0 AND {p} < {sql_double(0.05)} THEN 'DO NOT CALL' "
+        f"WHEN {p} >= {sql_double(0.05)} AND {p} < {sql_double(t)} THEN 'LOW PRIORITY' "
+        f"WHEN {p} >= {sql_double(t)} AND {p} < {sql_double(1.01)} THEN 'CALL NOW' END"
+    )
+
+
+@register(
+    "decision_zones",
+    f"""WITH {LEADS}, z AS (SELECT * FROM (VALUES (0, 'DO NOT CALL'), (1, 'LOW PRIORITY'), (2, 'CALL NOW')) v(zone_order, zone)),
+    g AS (SELECT {_zone_sql('score', CALL_T)} AS zone, count(*) AS n, sum(y) AS subs, avg(score) AS ap FROM leads GROUP BY 1),
+    j AS (SELECT CAST(zone_order AS INTEGER) AS zone_order, zone, coalesce(n, 0) AS n, CAST(coalesce(subs, 0) AS BIGINT) AS subscribers,
+                 CASE WHEN n > 0 THEN round(subs / n * 100, 2) ELSE 0.0 END AS conversion_pct,
+                 CASE WHEN n > 0 THEN round(ap, 4) ELSE 0.0 END AS avg_prob,
+                 CAST(coalesce(subs, 0) * 200 AS BIGINT) AS revenue_at_risk, CAST(coalesce(n, 0) * 5 AS BIGINT) AS call_cost
+          FROM z LEFT JOIN g USING (zone))
+    SELECT *, CAST(sum(n) OVER (ORDER BY zone_order ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS calls_saved_if_skipped FROM j""",
+)
+def q_decision_zones(spark, sf):
+    from leadlens.operators.leads import decision_zones
+
+    return decision_zones(_scored(spark, sf), CALL_T)
+
+
+PROFILE_FEATS = ["status", "month", "day_of_week"]
+
+
+def _profile_sql(seg_expr: str, name: str, where: str = "TRUE") -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT {seg_expr} AS {name}, '{f}' AS feature, CAST({f} AS VARCHAR) AS level, y FROM leads WHERE {where}" for f in PROFILE_FEATS
+    )
+    return f"""lng AS ({parts}),
+    cnt AS (SELECT {name}, feature, level, count(*) AS n, sum(y) AS subs FROM lng GROUP BY ALL),
+    rk AS (SELECT *, sum(n) OVER (PARTITION BY {name}, feature) AS seg_n,
+                  row_number() OVER (PARTITION BY {name}, feature ORDER BY n DESC, level ASC) AS rank FROM cnt)
+    SELECT {name}, feature, CAST(rank AS INTEGER) AS rank, level, n, n / seg_n * 100 AS pct_of_segment,
+           CAST(subs AS BIGINT) AS subscribers, subs / seg_n * 100 AS subscriber_pct_of_segment FROM rk WHERE rank <= 6"""
+
+
+@register("zone_profile", f"WITH {LEADS}, {_profile_sql(_zone_sql('score', CALL_T), 'zone', _zone_sql('score', CALL_T) + ' IS NOT NULL')}")
+def q_zone_profile(spark, sf):
+    from leadlens.operators.leads import zone_profile
+
+    return zone_profile(_scored(spark, sf), CALL_T, PROFILE_FEATS)
+
+
+def _tier_sql(p: str) -> str:
+    return f"CASE WHEN {p} >= {sql_double(0.35)} THEN 'Hot' WHEN {p} >= {sql_double(0.11)} THEN 'Warm' ELSE 'Cold' END"
+
+
+@register("fixed_tiers", f"WITH {LEADS} SELECT lead_id, score AS probability, {_tier_sql('score')} AS tier FROM leads")
+def q_fixed_tiers(spark, sf):
+    from leadlens.operators.leads import fixed_tiers
+
+    return fixed_tiers(_scored(spark, sf).select("lead_id", "probability"))
+
+
+_TIER_RULES_SQL = f"""tr AS (SELECT {_tier_sql('score')} AS tier, count(*) AS n, CAST(sum(y) AS BIGINT) AS subscribers,
+        avg(score) AS ap, min(score) AS min_prob, max(score) AS max_prob,
+        count(*) FILTER (WHERE score >= {sql_double(CALL_T)} AND y = 1) AS tp,
+        count(*) FILTER (WHERE score >= {sql_double(CALL_T)} AND y = 0) AS fp,
+        count(*) FILTER (WHERE NOT (score >= {sql_double(CALL_T)}) AND y = 1) AS fn FROM leads GROUP BY 1),
+    rules AS (SELECT tier, n, subscribers, round(subscribers / n * 100, 2) AS conversion_pct, round(ap, 4) AS avg_prob,
+        min_prob, max_prob, {_profit_sql()} AS net_profit,
+        CASE tier WHEN 'Hot' THEN 'Priority call — senior agent' WHEN 'Warm' THEN 'Standard call queue' ELSE 'Email nurture / skip' END AS action,
+        n / sum(n) OVER () * 100 AS share_pct FROM tr)"""
+
+
+@register("tier_rules", f"WITH {LEADS}, {_TIER_RULES_SQL} SELECT * FROM rules")
+def q_tier_rules(spark, sf):
+    from leadlens.operators.leads import fixed_tiers, tier_rules
+
+    return tier_rules(fixed_tiers(_scored(spark, sf)), CALL_T)
+
+
+@register("tier_profile", f"WITH {LEADS}, {_profile_sql(_tier_sql('score'), 'tier')}")
+def q_tier_profile(spark, sf):
+    from leadlens.operators.leads import fixed_tiers, tier_profile
+
+    return tier_profile(fixed_tiers(_scored(spark, sf)), PROFILE_FEATS)
+
+
+@register(
+    "tier_economics",
+    f"""WITH {LEADS}, {_TIER_RULES_SQL}
+    SELECT tier, n, subscribers, subscribers / n * 100 AS conversion_pct, subscribers * CAST(200 AS DOUBLE) AS revenue_at_risk,
+           n * CAST(5 AS DOUBLE) AS call_cost, subscribers * CAST(195 AS DOUBLE) AS tp_revenue FROM rules""",
+)
+def q_tier_economics(spark, sf):
+    from leadlens.operators.leads import fixed_tiers, tier_economics, tier_rules
+
+    return tier_economics(tier_rules(fixed_tiers(_scored(spark, sf)), CALL_T))
+
+
+@register("kmeans_tiers")
+def q_kmeans_tiers(spark, sf):
+    from leadlens.operators.leads import kmeans_tiers
+
+    return kmeans_tiers(_scored(spark, sf).select("lead_id", "probability"))
+
+
+@register(
+    "sanitise_numeric",
+    f"""WITH {PROSPECTS} SELECT prospect_id,
+    greatest(least(CASE WHEN amount IS NULL OR isnan(amount) OR amount IN ('inf'::DOUBLE, '-inf'::DOUBLE) THEN 0.0 ELSE amount END, 1e9), -1e9) AS amount,
+    greatest(least(CAST(pdays AS DOUBLE), 1e9), -1e9) AS pdays FROM prospects""",
+)
+def q_sanitise_numeric(spark, sf):
+    from leadlens.operators.leads import sanitise_numeric
+
+    return sanitise_numeric(ds.prospects(spark, sf).select("prospect_id", "amount", "pdays"), ["amount", "pdays"])
