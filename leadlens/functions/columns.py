@@ -39,7 +39,7 @@ HIGH_VALUE_JOBS = ["retired", "student"]
 
 
 def _c(col: str | Column) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+    return F.col(f"`{col}`") if isinstance(col, str) else col
 
 
 # ---------------------------------------------------------------------------

@@ -865,3 +865,618 @@ def q_sanitise_numeric(spark, sf):
     from leadlens.operators.leads import sanitise_numeric
 
     return sanitise_numeric(ds.prospects(spark, sf).select("prospect_id", "amount", "pdays"), ["amount", "pdays"])
+
+
+# ===========================================================================
+# 2.5 Split and folds, 2.6 encoding (bank-shaped customers over orders)
+# ===========================================================================
+BANK = f"bank AS ({ds.BANK_SQL})"
+
+
+def _split_sql(src: str = "bank", key: str = "client_id") -> str:
+    c1, c2 = 0.0 + 0.70, 0.0 + 0.70 + 0.15
+    return f"""sp AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY md5(CAST({key} AS VARCHAR) || '-42'), {key}) AS rk,
+                        count(*) OVER (PARTITION BY y) AS cn FROM {src}),
+    s AS (SELECT * EXCLUDE (rk, cn), CASE WHEN rk <= round(cn * {sql_double(c1)}) THEN 'train'
+                                          WHEN rk <= round(cn * {sql_double(c2)}) THEN 'val' ELSE 'test' END AS split FROM sp)"""
+
+
+def _bank(spark, sf):
+    return ds.bank_customers(spark, sf)
+
+
+def _bank_split(spark, sf):
+    from leadlens.operators.split import stratified_split
+
+    return stratified_split(_bank(spark, sf), "client_id", "y")
+
+
+@register("stratified_split", f"WITH {BANK}, {_split_sql()} SELECT client_id, y, split FROM s")
+def q_stratified_split(spark, sf):
+    return _bank_split(spark, sf).select("client_id", "y", "split")
+
+
+@register(
+    "stratified_kfold",
+    f"""WITH {BANK}, f AS (SELECT client_id, y, CAST((row_number() OVER (PARTITION BY y ORDER BY md5(CAST(client_id AS VARCHAR) || '-42'), client_id) - 1) % 5 AS INTEGER) AS fold FROM bank)
+    SELECT * FROM f""",
+)
+def q_stratified_kfold(spark, sf):
+    from leadlens.operators.split import stratified_kfold
+
+    return stratified_kfold(_bank(spark, sf), "client_id", "y", 5).select("client_id", "y", "fold")
+
+
+@register("union_splits", f"WITH {BANK}, {_split_sql()} SELECT client_id, y, split FROM s WHERE split IN ('train', 'val')")
+def q_union_splits(spark, sf):
+    from leadlens.operators.split import take_split, union_splits
+
+    s = _bank_split(spark, sf).select("client_id", "y", "split")
+    return union_splits(take_split(s, "train"), take_split(s, "val"))
+
+
+@register(
+    "split_summary",
+    f"WITH {BANK}, {_split_sql()} SELECT split, count(*) AS n, avg(CAST(y AS DOUBLE)) AS positive_rate FROM s GROUP BY split",
+)
+def q_split_summary(spark, sf):
+    from leadlens.operators.split import split_summary
+
+    return split_summary(_bank_split(spark, sf))
+
+
+BANK_NUMS = ["age", "campaign", "previous", "emp.var.rate", "cons.price.idx", "cons.conf.idx", "euribor3m", "nr.employed"]
+OH_COLS = ["contact", "marital", "housing", "month"]
+OH_LEVELS = {
+    "contact": ["cellular", "telephone"],
+    "marital": ["divorced", "married", "single", "unknown"],
+    "housing": ["no", "unknown", "yes"],
+    "month": ["apr", "aug", "dec", "feb", "jan", "jul", "jun", "mar", "may", "nov", "oct", "sep"],
+}
+
+
+def _safe(n: str) -> str:
+    return n.replace(".", "_").replace(" ", "_")
+
+
+def _scale_sql() -> str:
+    stats = ", ".join(f'avg(CAST("{c}" AS DOUBLE)) AS "m_{c}", stddev_pop(CAST("{c}" AS DOUBLE)) AS "s_{c}"' for c in BANK_NUMS)
+    cols = ", ".join(
+        f'(CAST("{c}" AS DOUBLE) - "m_{c}") / CASE WHEN "s_{c}" IS NULL OR "s_{c}" = 0 THEN 1.0 ELSE "s_{c}" END AS num__{_safe(c)}'
+        for c in BANK_NUMS
+    )
+    return f"st AS (SELECT {stats} FROM s WHERE split = 'train'), sc AS (SELECT s.client_id, {cols} FROM s, st)"
+
+
+def _onehot_sql() -> str:
+    cols = []
+    for c, lv in OH_LEVELS.items():
+        kept = lv[1:] if len(lv) == 2 else lv
+        cols += [f"CAST(coalesce(CAST({c} = '{v}' AS INTEGER), 0) AS INTEGER) AS nom__{c}_{_safe(v)}" for v in kept]
+    return ", ".join(cols)
+
+
+def _ord_sql(col: str = "education") -> str:
+    from leadlens.operators.features import EDUCATION_ORDER
+
+    arr = "[" + ", ".join(f"'{v}'" for v in EDUCATION_ORDER) + "]"
+    return f"CAST(coalesce(list_position({arr}, {col}) - 1, -1) AS INTEGER)"
+
+
+@register("standard_scale", f"WITH {BANK}, {_split_sql()}, {_scale_sql()} SELECT * FROM sc")
+def q_standard_scale(spark, sf):
+    from leadlens.operators.features import standard_scale
+    from leadlens.operators.split import take_split
+
+    s = _bank_split(spark, sf)
+    out = standard_scale(s, BANK_NUMS, fit_on=take_split(s, "train"))
+    return out.select("client_id", *[f"num__{_safe(c)}" for c in BANK_NUMS])
+
+
+@register("ordinal_encode", f"WITH {BANK} SELECT client_id, education, {_ord_sql()} AS ord__education FROM bank")
+def q_ordinal_encode(spark, sf):
+    from leadlens.operators.features import ordinal_encode
+
+    return ordinal_encode(_bank(spark, sf).select("client_id", "education"), "education")
+
+
+@register("one_hot", f"WITH {BANK}, {_split_sql()} SELECT client_id, {_onehot_sql()} FROM s")
+def q_one_hot(spark, sf):
+    from leadlens.operators.features import one_hot, one_hot_columns  # noqa: F401
+    from leadlens.operators.split import take_split
+
+    s = _bank_split(spark, sf)
+    out = one_hot(s, OH_COLS, fit_on=take_split(s, "train"))
+    return out.select("client_id", *[c for c in out.columns if c.startswith("nom__")])
+
+
+def _assembled_sql() -> str:
+    oh = ", ".join(f"CAST({x.split(' AS ')[0]} AS DOUBLE) AS {x.split(' AS ')[-1]}" for x in _onehot_sql().split(", CAST(") if x)
+    return oh
+
+
+@register(
+    "assemble_features",
+    f"""WITH {BANK}, {_split_sql()}, {_scale_sql()},
+    oh AS (SELECT client_id, CAST({_ord_sql()} AS DOUBLE) AS ord__education, {_onehot_sql()} FROM s)
+    SELECT sc.*, oh.* EXCLUDE (client_id) FROM sc JOIN oh USING (client_id)""",
+)
+def q_assemble_features(spark, sf):
+    from leadlens.operators.features import fit_preprocessor
+    from leadlens.operators.split import take_split
+
+    s = _bank_split(spark, sf)
+    pre = fit_preprocessor(take_split(s, "train"), BANK_NUMS, "education", OH_COLS)
+    out = pre.transform(s, keep=["client_id"])
+    # one-hot indicators as int like the standalone encoder; the vector form is assemble_features()
+    return out.withColumns({c: F.col(c).cast("int") for c in out.columns if c.startswith("nom__")})
+
+
+@register(
+    "class_weights",
+    f"""WITH {BANK}, {_split_sql()}, c AS (SELECT y, count(*) AS n FROM s WHERE split = 'train' GROUP BY y)
+    SELECT y, n, sum(n) OVER () / (2.0 * n) AS weight,
+           round(CAST(sum(n) FILTER (WHERE y = 0) OVER () AS DOUBLE) / sum(n) FILTER (WHERE y = 1) OVER (), 2) AS scale_pos_weight FROM c""",
+)
+def q_class_weights(spark, sf):
+    from leadlens.operators.split import take_split
+    from leadlens.operators.train import class_weights
+
+    return class_weights(take_split(_bank_split(spark, sf), "train"), "y")
+
+
+# ===========================================================================
+# 2.2 Projection, filter, scalar expressions
+# ===========================================================================
+@register(
+    "sentinel_split",
+    f"""WITH {BANK} SELECT client_id, CAST(pdays <> 999 AS INTEGER) AS was_previously_contacted,
+    CASE WHEN pdays <> 999 THEN ln(1 + CAST(pdays AS DOUBLE)) WHEN pdays = 999 THEN 0.0 END AS pdays_log FROM bank""",
+)
+def q_sentinel_split(spark, sf):
+    from leadlens.functions.columns import sentinel_split
+
+    return sentinel_split(_bank(spark, sf).select("client_id", "pdays"), "pdays")
+
+
+def _labels_sql(col: str, edges, labels) -> str:
+    w = " ".join(
+        f"WHEN {col} > {sql_double(float(edges[i]))} AND {col} <= {sql_double(float(edges[i + 1]))} THEN '{labels[i]}'"
+        for i in range(len(labels))
+    )
+    return f"CASE {w} END"
+
+
+@register(
+    "fixed_bins",
+    f"""WITH {BANK} SELECT client_id,
+    {_labels_sql('age', [0, 30, 45, 60, float('inf')], ['young', 'prime', 'middle', 'senior'])} AS age_bin,
+    {_labels_sql('campaign', [0, 2, 5, float('inf')], ['low', 'moderate', 'high'])} AS campaign_bin,
+    {_labels_sql('euribor3m', [float('-inf'), 1.5, 3.5, float('inf')], ['low_rate', 'mid_rate', 'high_rate'])} AS euribor3m_bin FROM bank""",
+)
+def q_fixed_bins(spark, sf):
+    from leadlens.functions.columns import fixed_bins
+
+    return fixed_bins(_bank(spark, sf).select("client_id", "age", "campaign", "euribor3m")).select(
+        "client_id", "age_bin", "campaign_bin", "euribor3m_bin"
+    )
+
+
+AGE_EDGES = [17, 25, 35, 45, 55, 65, 100]
+AGE_LABELS = ["(%d, %d]" % (AGE_EDGES[i], AGE_EDGES[i + 1]) for i in range(len(AGE_EDGES) - 1)]
+
+
+@register(
+    "cut_bins",
+    f"""WITH {BANK} SELECT {_labels_sql('age', AGE_EDGES, AGE_LABELS)} AS age_band,
+    avg(CAST(y AS DOUBLE)) * 100 AS conversion_pct, count(*) AS n FROM bank GROUP BY 1""",
+)
+def q_cut_bins(spark, sf):
+    from leadlens.functions.columns import bin_label
+
+    return pr.conversion_by_bin(_bank(spark, sf), bin_label("age", AGE_EDGES), "y", "age_band")
+
+
+@register("cap_value", f"WITH {BANK} SELECT client_id, least(campaign, 10) AS campaign FROM bank")
+def q_cap_value(spark, sf):
+    from leadlens.functions.columns import cap_value
+
+    return _bank(spark, sf).select("client_id", cap_value("campaign", 10).alias("campaign"))
+
+
+@register(
+    "threshold_predict",
+    f"WITH {LEADS} SELECT lead_id, CAST(score >= {sql_double(0.3)} AS INTEGER) AS y_pred FROM leads",
+)
+def q_threshold_predict(spark, sf):
+    from leadlens.functions.columns import threshold_predict
+
+    return ds.leads(spark, sf).select("lead_id", threshold_predict("score", 0.3).alias("y_pred"))
+
+
+@register(
+    "expected_value",
+    f"WITH {LEADS} SELECT lead_id, score * 200.0 - (1.0 - score) * 5.0 AS expected_value FROM leads",
+)
+def q_expected_value(spark, sf):
+    from leadlens.functions.columns import expected_value
+
+    return ds.leads(spark, sf).select("lead_id", expected_value("score").alias("expected_value"))
+
+
+@register(
+    "verdict",
+    f"""WITH {LEADS} SELECT lead_id, score >= {sql_double(CALL_T)} AS will_subscribe,
+    CASE WHEN score >= {sql_double(CALL_T)} THEN 'LIKELY TO SUBSCRIBE' ELSE 'UNLIKELY TO SUBSCRIBE' END AS verdict,
+    CASE WHEN score >= {sql_double(CALL_T)} THEN 'Recommended Action: Call this customer'
+         ELSE 'Recommended Action: Skip — focus resources elsewhere' END AS action,
+    CASE WHEN score >= {sql_double(0.6)} THEN 'Very High Confidence' WHEN score >= {sql_double(0.35)} THEN 'High Confidence'
+         WHEN score >= {sql_double(CALL_T)} THEN 'Moderate Confidence' WHEN score >= {sql_double(CALL_T * 0.5)} THEN 'Low Confidence'
+         ELSE 'Very Low' END AS confidence,
+    score * 200.0 - (1.0 - score) * 5.0 AS expected_value FROM leads""",
+)
+def q_verdict(spark, sf):
+    from leadlens.functions.columns import verdict
+
+    return verdict(ds.leads(spark, sf).select("lead_id", "score"), "score", CALL_T).drop("score")
+
+
+def _title(c: str) -> str:
+    return f"upper(substr({c}, 1, 1)) || lower(substr({c}, 2))"
+
+
+@register(
+    "reason_codes",
+    f"""WITH {BANK} SELECT client_id,
+    concat_ws('|',
+      CASE WHEN poutcome = 'success' THEN 'Previous campaign: Success' END,
+      CASE WHEN coalesce(contact = 'cellular', false) THEN 'Mobile contact' END,
+      CASE WHEN coalesce(euribor3m, 5.0) < 2 THEN 'Low interest rates' END,
+      CASE WHEN job IN ('retired', 'student') THEN {_title('job')} || ' - high-value' END,
+      CASE WHEN month IN ('mar', 'sep', 'oct', 'dec') THEN 'Strong month (' || {_title('month')} || ')' END,
+      CASE WHEN NOT (coalesce(campaign, 0) > 5) AND coalesce(campaign, 99) <= 2 THEN 'Fresh lead (2 or fewer calls)' END,
+      CASE WHEN coalesce(age, 0) > 60 THEN 'Senior (60+)' WHEN coalesce(age, 0) < 30 THEN 'Young (<30)' END,
+      CASE WHEN coalesce(pdays, 999) > 0 AND coalesce(pdays, 999) < 30 THEN 'Recently contacted' END,
+      CASE WHEN housing = 'no' AND loan = 'no' THEN 'No existing loans' END,
+      CASE WHEN coalesce("nr.employed", 5200.0) < 5100 THEN 'Receptive market' END) AS positive,
+    concat_ws('|',
+      CASE WHEN poutcome = 'failure' THEN 'Previous campaign: Failed' END,
+      CASE WHEN NOT coalesce(contact = 'cellular', false) THEN 'Landline contact' END,
+      CASE WHEN NOT (coalesce(euribor3m, 5.0) < 2) AND coalesce(euribor3m, 0.0) > 4 THEN 'High interest rates' END,
+      CASE WHEN coalesce(campaign, 0) > 5 THEN CAST(campaign AS VARCHAR) || ' calls - diminishing returns' END) AS negative
+    FROM bank""",
+)
+def q_reason_codes(spark, sf):
+    from leadlens.functions.columns import reason_codes
+
+    pos, neg = reason_codes()
+    return _bank(spark, sf).select("client_id", F.array_join(pos, "|").alias("positive"), F.array_join(neg, "|").alias("negative"))
+
+
+def _messy(spark, sf) -> DataFrame:
+    """Upload-style frame: odd-cased names, aliases, leakage and extra columns, some columns missing."""
+    b = _bank(spark, sf)
+    return b.select(
+        F.col("client_id").alias(" Client_ID "),
+        F.col("age").alias("AGE"),
+        "job", "marital", "education", "default", "housing", "loan", "contact", "month",
+        F.col("day_of_week").alias("Day"),
+        "duration", "campaign",
+        F.col("`emp.var.rate`").alias("EMP_VAR_RATE"),
+        F.col("`cons.price.idx`").alias("ConsPriceIdx"),
+        F.col("y").alias("Y"),
+    )
+
+
+_MESSY_SQL = """messy AS (SELECT client_id AS " Client_ID ", age AS "AGE", job, marital, education, "default", housing, loan, contact, month,
+    day_of_week AS "Day", duration, campaign, "emp.var.rate" AS "EMP_VAR_RATE", "cons.price.idx" AS "ConsPriceIdx", y AS "Y" FROM bank)"""
+
+
+@register(
+    "normalise_columns",
+    f"""WITH {BANK}, {_MESSY_SQL} SELECT " Client_ID " AS client_id, "AGE" AS age, job, marital, education, "default", housing, loan,
+    contact, month, "Day" AS day_of_week, duration, campaign, "EMP_VAR_RATE" AS "emp.var.rate", "ConsPriceIdx" AS "cons.price.idx", "Y" AS y FROM messy""",
+)
+def q_normalise_columns(spark, sf):
+    from leadlens.operators.schema import normalise_columns
+
+    return normalise_columns(_messy(spark, sf))
+
+
+@register(
+    "conform_schema",
+    f"""WITH {BANK}, {_MESSY_SQL}
+    SELECT CAST("AGE" AS DOUBLE) AS age, job, marital, education, "default", housing, loan, contact, month, "Day" AS day_of_week,
+           CAST(campaign AS DOUBLE) AS campaign, CAST(999 AS DOUBLE) AS pdays, CAST(0 AS DOUBLE) AS previous, 'nonexistent' AS poutcome,
+           CAST("EMP_VAR_RATE" AS DOUBLE) AS "emp.var.rate", CAST("ConsPriceIdx" AS DOUBLE) AS "cons.price.idx",
+           CAST('-36.4' AS DOUBLE) AS "cons.conf.idx", CAST('4.857' AS DOUBLE) AS euribor3m, CAST('5191.0' AS DOUBLE) AS "nr.employed"
+    FROM messy""",
+)
+def q_conform_schema(spark, sf):
+    from leadlens.operators.schema import conform_schema
+
+    out, _warns, _missing = conform_schema(_messy(spark, sf))
+    return out
+
+
+# ===========================================================================
+# 2.1 Sources and sinks (round trips through the shared checkpoint folder)
+# ===========================================================================
+RAW_COLS = [f.name for f in __import__("leadlens.sources.io", fromlist=["BANK_SCHEMA"]).BANK_SCHEMA.fields]
+
+
+def _raw_bank(spark, sf) -> DataFrame:
+    """The bank view as a raw file would hold it: 20 inputs + yes/no target."""
+    b = _bank(spark, sf)
+    return b.select(*[F.col(f"`{c}`") for c in RAW_COLS if c != "y"], F.when(F.col("y") == 1, "yes").otherwise("no").alias("y"))
+
+
+_RAW_SQL_COLS = ", ".join(f'"{c}"' for c in RAW_COLS if c != "y")
+
+
+@register("read_delimited", f"WITH {BANK} SELECT {_RAW_SQL_COLS}, y FROM bank")
+def q_read_delimited(spark, sf):
+    from leadlens.session import scratch_path
+    from leadlens.sources.io import read_delimited, write_delimited
+
+    path = write_delimited(_raw_bank(spark, sf), scratch_path(spark, "raw-bank"))
+    n = ds.table(spark, sf, "orders").count()
+    return read_delimited(spark, path, expect_rows=n)
+
+
+@register(
+    "validate_shape",
+    f"WITH {BANK} SELECT count(*) AS n_rows, CAST(21 AS INTEGER) AS n_cols, count(*) = count(*) AS shape_ok FROM (SELECT {_RAW_SQL_COLS}, y FROM bank)",
+)
+def q_validate_shape(spark, sf):
+    from leadlens.operators.schema import validate_shape
+
+    raw = _raw_bank(spark, sf)
+    return validate_shape(raw, ds.table(spark, sf, "orders").count(), 21)
+
+
+@register("encode_target", f"WITH {BANK} SELECT client_id, y FROM bank")
+def q_encode_target(spark, sf):
+    from leadlens.operators.schema import encode_target
+
+    b = _bank(spark, sf).select("client_id", F.when(F.col("y") == 1, "yes").otherwise("no").alias("y"))
+    return encode_target(b, "y")
+
+
+@register("write_splits", f"WITH {BANK}, {_split_sql()} SELECT client_id, y, split FROM s")
+def q_write_splits(spark, sf):
+    from leadlens.session import scratch_path
+    from leadlens.sources.io import read_splits, write_splits
+
+    base = scratch_path(spark, "splits")
+    write_splits(_bank_split(spark, sf).select("client_id", "y", "split"), base)
+    return read_splits(spark, base).select("client_id", "y", "split")
+
+
+@register(
+    "write_report",
+    f"""WITH {LEADS}, {_sweep_sql(_values_sql(ev.arange(0.05, 0.95, 0.05)))}
+    SELECT round(threshold, 2) AS threshold, tp + fp AS calls_made, round({_profit_sql()}, 0) AS net_profit FROM sw""",
+)
+def q_write_report(spark, sf):
+    from leadlens.session import scratch_path
+    from leadlens.sources.io import write_report
+
+    rep = ev.recall_analysis(ds.leads(spark, sf), "y", "score").select("threshold", "calls_made", "net_profit")
+    path = write_report(rep, scratch_path(spark, "recall-report"), "json")
+    return spark.read.schema("threshold double, calls_made long, net_profit double").json(path)
+
+
+@register(
+    "write_predictions",
+    f"WITH {LEADS} SELECT lead_id, round(score, 4) AS probability, CASE WHEN score >= {sql_double(CALL_T)} THEN 'YES' ELSE 'NO' END AS verdict FROM leads",
+)
+def q_write_predictions(spark, sf):
+    from leadlens.operators.leads import batch_score
+    from leadlens.session import scratch_path
+    from leadlens.sources.io import write_predictions
+
+    scored = batch_score(_scored(spark, sf).select("lead_id", "probability"), CALL_T)
+    path = write_predictions(scored, scratch_path(spark, "predictions"))
+    return spark.read.schema("lead_id long, probability double, verdict string").option("header", True).csv(path)
+
+
+@register("preview", f"WITH {BANK} SELECT client_id, age, job, y FROM bank ORDER BY client_id LIMIT 5")
+def q_preview(spark, sf):
+    from leadlens.sources.io import preview
+
+    return preview(_bank(spark, sf).select("client_id", "age", "job", "y"), ["client_id"], 5)
+
+
+@register("generate_customers")
+def q_generate_customers(spark, sf):
+    from leadlens.sources.generate import customers_for
+
+    return customers_for(ds.table(spark, sf, "customer").select("c_custkey"), "c_custkey", 42)
+
+
+# ===========================================================================
+# 2.7 Training, tuning, importance (MLlib on the bank-shaped customers)
+# ===========================================================================
+def _train_test(spark, sf):
+    from leadlens.operators.split import take_split
+
+    s = _bank_split(spark, sf).drop("duration")
+    return take_split(s, "train").drop("split"), take_split(s, "test").drop("split")
+
+
+def _train_folds(spark, sf):
+    from leadlens.operators.split import stratified_kfold
+
+    train, _ = _train_test(spark, sf)
+    return stratified_kfold(train, "client_id", "y", 5)
+
+
+def _fit_score(spark, sf, name, params=None):
+    from leadlens.operators.train import fit, score
+
+    train, test = _train_test(spark, sf)
+    return score(fit(train, name, params), test, keep=["client_id", "y"])
+
+
+@register("build_pipeline")
+def q_build_pipeline(spark, sf):
+    return _fit_score(spark, sf, "logistic_regression")
+
+
+@register("train_lr")
+def q_train_lr(spark, sf):
+    return _fit_score(spark, sf, "logistic_regression", {"C": 1.0, "penalty": "l1"})
+
+
+@register("train_rf")
+def q_train_rf(spark, sf):
+    return _fit_score(spark, sf, "random_forest", {"n_estimators": 100, "max_depth": 8, "min_samples_leaf": 2})
+
+
+@register("train_gbt")
+def q_train_gbt(spark, sf):
+    return _fit_score(spark, sf, "xgboost", {"n_estimators": 100, "max_depth": 4, "learning_rate": 0.1})
+
+
+@register("train_svc")
+def q_train_svc(spark, sf):
+    from leadlens.operators.train import calibrated_svc
+
+    folds = _train_folds(spark, sf)
+    _, test = _train_test(spark, sf)
+    return calibrated_svc(folds, test, "client_id")
+
+
+@register("baseline_models")
+def q_baseline_models(spark, sf):
+    from leadlens.operators.train import baseline_models
+
+    train, test = _train_test(spark, sf)
+    return baseline_models(train, test, "client_id")
+
+
+@register("tune_model")
+def q_tune_model(spark, sf):
+    from leadlens.operators.train import tune_model
+
+    return tune_model(_train_folds(spark, sf), "logistic_regression", n_trials=30, parallelism=8)
+
+
+@register("train_final_model")
+def q_train_final_model(spark, sf):
+    from leadlens.operators.train import best_params, score, train_final_model, tune_model
+
+    trials = tune_model(_train_folds(spark, sf), "logistic_regression", n_trials=30, parallelism=8)
+    train, test = _train_test(spark, sf)
+    return score(train_final_model(train, "logistic_regression", best_params(trials)), test, keep=["client_id", "y"])
+
+
+@register("cv_compare")
+def q_cv_compare(spark, sf):
+    from leadlens.operators.train import cv_compare
+
+    return cv_compare(_train_folds(spark, sf), ["logistic_regression", "random_forest", "xgboost"], "client_id")
+
+
+@register("fold_importance")
+def q_fold_importance(spark, sf):
+    from leadlens.operators.train import fold_importance
+
+    return fold_importance(_train_folds(spark, sf), 5, n_trees=300, depth=12)
+
+
+@register("permutation_importance")
+def q_permutation_importance(spark, sf):
+    from leadlens.operators.features import NOMINAL_FEATURES, NUMERIC_FEATURES
+    from leadlens.operators.train import fit, permutation_importance
+
+    train, test = _train_test(spark, sf)
+    model = fit(train, "logistic_regression")
+    feats = NUMERIC_FEATURES + ["education"] + NOMINAL_FEATURES
+    return permutation_importance(model, test, "client_id", feats, repeats=10)
+
+
+@register("feature_subset_sweep")
+def q_feature_subset_sweep(spark, sf):
+    from leadlens.operators.train import feature_subset_sweep, fold_importance
+
+    folds = _train_folds(spark, sf)
+    imp = fold_importance(folds, 5, n_trees=100, depth=8)
+    return feature_subset_sweep(folds, imp, (5, 10, 15, 20, 30))
+
+
+@register("save_load_model")
+def q_save_load_model(spark, sf):
+    from leadlens.operators.train import fit, score
+    from leadlens.session import scratch_path
+    from leadlens.sources.io import load_model, save_model, verify_roundtrip
+
+    train, test = _train_test(spark, sf)
+    model = fit(train, "logistic_regression")
+    base = scratch_path(spark, "models")
+    save_model(model, base, "logistic_regression", 0.30)
+    loaded, _name, _thr = load_model(spark, base)
+    return verify_roundtrip(score(model, test, ["client_id"]), score(loaded, test, ["client_id"]), "client_id")
+
+
+MI_FEATS = ["job", "marital", "education", "contact", "month", "poutcome"]
+
+
+@register(
+    "mutual_information",
+    f"""WITH {BANK}, lng AS ({' UNION ALL '.join(f"SELECT '{f}' AS feature, CAST({f} AS VARCHAR) AS level, y FROM bank" for f in MI_FEATS)}),
+    c AS (SELECT feature, level, y, count(*) AS n_xy FROM lng GROUP BY ALL),
+    t AS (SELECT *, sum(n_xy) OVER (PARTITION BY feature) AS n, sum(n_xy) OVER (PARTITION BY feature, level) AS n_x,
+                 sum(n_xy) OVER (PARTITION BY feature, y) AS n_y FROM c)
+    SELECT feature, sum(n_xy / n * ln(n_xy * n / (n_x * n_y))) AS mutual_info FROM t GROUP BY feature""",
+)
+def q_mutual_information(spark, sf):
+    from leadlens.operators.train import mutual_information
+
+    return mutual_information(_bank(spark, sf), MI_FEATS, "y")
+
+
+ANOVA_FEATS = ["age", "campaign", "pdays", "previous", "emp.var.rate", "euribor3m", "nr.employed"]
+
+
+@register(
+    "anova_f",
+    f"""WITH {BANK}, lng AS ({' UNION ALL '.join(f"SELECT '{f}' AS feature, CAST(\"{f}\" AS DOUBLE) AS x, y FROM bank" for f in ANOVA_FEATS)}),
+    g AS (SELECT feature, y, count(*) AS n, sum(x) AS s, sum(x * x) AS ss FROM lng WHERE x IS NOT NULL AND NOT isnan(x) GROUP BY ALL),
+    t AS (SELECT feature, sum(n) AS N, sum(s) AS S, sum(ss) AS SS, count(*) AS k, sum(s * s / n) AS b FROM g GROUP BY feature)
+    SELECT feature, CASE WHEN k > 1 AND N > k AND SS - b > 0 THEN ((b - S * S / N) / (k - 1)) / ((SS - b) / (N - k)) END AS f_stat FROM t""",
+)
+def q_anova_f(spark, sf):
+    from leadlens.operators.train import anova_f
+
+    return anova_f(_bank(spark, sf), ANOVA_FEATS, "y")
+
+
+ATTR_COEFS = {"age": 0.012, "campaign": -0.08, "euribor3m": -0.35, "nr.employed": -0.004, "cons.conf.idx": 0.02}
+
+
+@register(
+    "linear_attribution",
+    f"""WITH {BANK}, m AS (SELECT {', '.join(f'avg(CAST("{c}" AS DOUBLE)) AS "m_{c}"' for c in ATTR_COEFS)} FROM bank),
+    a AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, avg(abs({sql_double(v)} * (CAST(\"{c}\" AS DOUBLE) - \"m_{c}\"))) AS mean_abs_attribution FROM bank, m" for c, v in ATTR_COEFS.items())})
+    SELECT * FROM a""",
+)
+def q_linear_attribution(spark, sf):
+    from leadlens.operators.train import linear_attribution
+
+    return linear_attribution(_bank(spark, sf), ATTR_COEFS)
+
+
+@register(
+    "local_cases",
+    f"""WITH {LEADS} SELECT 'max_prob' AS "case", arg_min(lead_id, (-score, lead_id)) AS lead_id FROM leads
+    UNION ALL SELECT 'min_prob', arg_min(lead_id, (score, lead_id)) FROM leads
+    UNION ALL SELECT 'near_threshold', arg_min(lead_id, (abs(score - {sql_double(0.3)}), lead_id)) FROM leads
+    UNION ALL SELECT 'first_tp', min(lead_id) FILTER (WHERE score >= 0.5 AND y = 1) FROM leads
+    UNION ALL SELECT 'first_tn', min(lead_id) FILTER (WHERE score <= {sql_double(0.1)} AND y = 0) FROM leads""",
+)
+def q_local_cases(spark, sf):
+    from leadlens.operators.train import local_cases
+
+    return local_cases(ds.leads(spark, sf), "lead_id", "score", "y", 0.30)

@@ -192,3 +192,88 @@ LABELLED_DOCS_SQL = """
 SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 """
+
+
+# ---------------------------------------------------------------------------
+# bank-shaped customers (orders): the reference's column names and roles
+# ---------------------------------------------------------------------------
+# The levels of the public bank-marketing categories.
+JOB_LEVELS = [
+    "admin.", "blue-collar", "entrepreneur", "housemaid", "management", "retired",
+    "self-employed", "services", "student", "technician", "unemployed", "unknown",
+]
+MARITAL_LEVELS = ["divorced", "married", "single", "unknown"]
+HOUSING_LEVELS = ["no", "yes", "unknown"]
+
+
+def _pick(levels: list[str], idx: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in levels]), (idx + 1).cast("int"))
+
+
+def _pick_sql(levels: list[str], idx: str) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in levels) + f"][CAST({idx} AS INTEGER) + 1]"
+
+
+def bank_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from leadlens.operators.features import EDUCATION_ORDER
+
+    o = table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    pdays = F.when(k % 7 != 0, F.lit(999)).otherwise((c % 28).cast("int"))
+    return o.select(
+        k.alias("client_id"),
+        (F.lit(18) + (c % 72)).cast("int").alias("age"),
+        _pick(JOB_LEVELS, c % 12).alias("job"),
+        _pick(MARITAL_LEVELS, k % 4).alias("marital"),
+        _pick(EDUCATION_ORDER, c % 8).alias("education"),
+        F.when(k % 5 == 0, "unknown").otherwise("no").alias("default"),
+        _pick(HOUSING_LEVELS, k % 3).alias("housing"),
+        F.when(k % 7 < 2, "yes").when(k % 7 == 2, "unknown").otherwise("no").alias("loan"),
+        F.when(k % 3 == 0, "telephone").otherwise("cellular").alias("contact"),
+        F.lower(F.date_format("o_orderdate", "MMM")).alias("month"),
+        F.lower(F.date_format("o_orderdate", "EEE")).alias("day_of_week"),
+        (F.lit(10) + (k % 990)).cast("int").alias("duration"),
+        (F.lit(1) + (k % 14)).cast("int").alias("campaign"),
+        pdays.alias("pdays"),
+        F.when(k % 7 != 0, F.lit(0)).otherwise((c % 5).cast("int")).alias("previous"),
+        F.when(k % 7 != 0, "nonexistent").when(c % 2 == 0, "failure").otherwise("success").alias("poutcome"),
+        ((k % 51).cast("double") / 10.0 - 3.4).alias("emp.var.rate"),
+        (F.lit(92.0) + (c % 3000).cast("double") / 1000.0).alias("cons.price.idx"),
+        (F.lit(-50.0) + (k % 251).cast("double") / 10.0).alias("cons.conf.idx"),
+        (F.lit(0.5) + (c % 4500).cast("double") / 1000.0).alias("euribor3m"),
+        (F.lit(4960.0) + (k % 2701).cast("double") / 10.0).alias("nr.employed"),
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("y"),
+    )
+
+
+def _bank_sql() -> str:
+    from leadlens.operators.features import EDUCATION_ORDER
+
+    return f"""
+SELECT o_orderkey AS client_id,
+       CAST(18 + o_custkey % 72 AS INTEGER) AS age,
+       {_pick_sql(JOB_LEVELS, 'o_custkey % 12')} AS job,
+       {_pick_sql(MARITAL_LEVELS, 'o_orderkey % 4')} AS marital,
+       {_pick_sql(EDUCATION_ORDER, 'o_custkey % 8')} AS education,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'unknown' ELSE 'no' END AS "default",
+       {_pick_sql(HOUSING_LEVELS, 'o_orderkey % 3')} AS housing,
+       CASE WHEN o_orderkey % 7 < 2 THEN 'yes' WHEN o_orderkey % 7 = 2 THEN 'unknown' ELSE 'no' END AS loan,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'telephone' ELSE 'cellular' END AS contact,
+       lower(strftime(o_orderdate, '%b')) AS month,
+       lower(strftime(o_orderdate, '%a')) AS day_of_week,
+       CAST(10 + o_orderkey % 990 AS INTEGER) AS duration,
+       CAST(1 + o_orderkey % 14 AS INTEGER) AS campaign,
+       CASE WHEN o_orderkey % 7 <> 0 THEN 999 ELSE CAST(o_custkey % 28 AS INTEGER) END AS pdays,
+       CASE WHEN o_orderkey % 7 <> 0 THEN 0 ELSE CAST(o_custkey % 5 AS INTEGER) END AS previous,
+       CASE WHEN o_orderkey % 7 <> 0 THEN 'nonexistent' WHEN o_custkey % 2 = 0 THEN 'failure' ELSE 'success' END AS poutcome,
+       CAST(o_orderkey % 51 AS DOUBLE) / 10.0 - CAST('3.4' AS DOUBLE) AS "emp.var.rate",
+       CAST('92.0' AS DOUBLE) + CAST(o_custkey % 3000 AS DOUBLE) / 1000.0 AS "cons.price.idx",
+       CAST('-50.0' AS DOUBLE) + CAST(o_orderkey % 251 AS DOUBLE) / 10.0 AS "cons.conf.idx",
+       CAST('0.5' AS DOUBLE) + CAST(o_custkey % 4500 AS DOUBLE) / 1000.0 AS euribor3m,
+       CAST('4960.0' AS DOUBLE) + CAST(o_orderkey % 2701 AS DOUBLE) / 10.0 AS "nr.employed",
+       CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y
+FROM orders
+"""
+
+
+BANK_SQL = _bank_sql()

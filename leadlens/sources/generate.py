@@ -1,0 +1,110 @@
+"""Synthetic bank customers, generated by Spark.
+
+Each row's random draws come from ``xxhash64(key, seed, draw)`` mapped to
+[0, 1), so a row's values depend only on its key and the seed — not on
+partitioning or task retries (a lost executor recomputes the same rows).
+Categories use an inverse-CDF ``when`` chain; exponential and Poisson draws
+use their inverse CDFs.  Not bit-equal to NumPy's generator.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# ---------------------------------------------------------------------------
+# Category levels and weights of the synthetic customers.
+# ---------------------------------------------------------------------------
+JOBS = ["admin.", "blue-collar", "technician", "services", "management", "retired", "entrepreneur", "self-employed", "housemaid", "unemployed", "student", "unknown"]
+JOB_WEIGHTS = [0.25, 0.22, 0.16, 0.10, 0.07, 0.04, 0.04, 0.03, 0.03, 0.03, 0.02, 0.01]
+MARITAL = ["married", "single", "divorced", "unknown"]
+MARITAL_WEIGHTS = [0.61, 0.28, 0.10, 0.01]
+EDUCATION = ["university.degree", "high.school", "basic.9y", "professional.course", "basic.4y", "basic.6y", "unknown", "illiterate"]
+EDUCATION_WEIGHTS = [0.30, 0.23, 0.15, 0.13, 0.10, 0.06, 0.03, 0.00]
+CONTACT = ["cellular", "telephone"]
+CONTACT_WEIGHTS = [0.64, 0.36]
+MONTHS = ["may", "jul", "aug", "jun", "nov", "apr", "oct", "sep", "mar", "dec"]
+MONTH_WEIGHTS = [0.33, 0.17, 0.15, 0.13, 0.10, 0.06, 0.02, 0.01, 0.01, 0.02]
+DAYS = ["mon", "tue", "wed", "thu", "fri"]
+DAY_WEIGHTS = [0.20, 0.20, 0.20, 0.20, 0.20]
+POUTCOME = ["nonexistent", "failure", "success"]
+POUTCOME_WEIGHTS = [0.86, 0.10, 0.04]
+DEFAULT_VALS = ["no", "unknown", "yes"]
+DEFAULT_WEIGHTS = [0.79, 0.21, 0.00]
+HOUSING_VALS = ["yes", "no", "unknown"]
+HOUSING_WEIGHTS = [0.53, 0.45, 0.02]
+LOAN_VALS = ["no", "yes", "unknown"]
+LOAN_WEIGHTS = [0.83, 0.15, 0.02]
+AGE_RANGE = (17, 99)  # integers in [17, 99)
+CAMPAIGN_SCALE, CAMPAIGN_MAX = 1.8, 56  # 1 + floor(exponential), clipped
+NEVER_CONTACTED_SHARE, PDAYS_MAX = 0.86, 28
+PREVIOUS_LAMBDA, PREVIOUS_MAX = 0.17, 7
+UNIFORM_RANGES = {
+    "emp.var.rate": (-3.4, 1.4, 1),
+    "cons.price.idx": (92.201, 94.767, 3),
+    "cons.conf.idx": (-50.8, -26.9, 1),
+    "euribor3m": (0.634, 5.045, 3),
+    "nr.employed": (4963.6, 5228.1, 1),
+}
+
+
+def uniform(key: Column, seed: int, draw: int) -> Column:
+    """A uniform [0, 1) number from (key, seed, draw): 53 hash bits / 2^53."""
+    h = F.xxhash64(key, F.lit(seed), F.lit(draw))
+    return F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
+
+
+def categorical(u: Column, levels: list[str], weights: list[float]) -> Column:
+    """Inverse CDF over normalised weights (zero-weight levels never drawn)."""
+    total = float(sum(weights))
+    expr, cum = None, 0.0
+    for lv, w in zip(levels, weights):
+        if w <= 0:
+            continue
+        cum += w / total
+        expr = F.when(u < F.lit(cum), lv) if expr is None else expr.when(u < F.lit(cum), lv)
+    last = [lv for lv, w in zip(levels, weights) if w > 0][-1]
+    return expr.otherwise(last)
+
+
+def poisson(u: Column, lam: float, cap: int) -> Column:
+    """Inverse-CDF Poisson draw, capped (the cap clips, as in the reference)."""
+    expr, cdf, p = None, 0.0, math.exp(-lam)
+    for k in range(cap):
+        cdf += p
+        expr = F.when(u < F.lit(cdf), F.lit(k)) if expr is None else expr.when(u < F.lit(cdf), F.lit(k))
+        p *= lam / (k + 1)
+    return expr.otherwise(F.lit(cap))
+
+
+def customers_for(keys: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """One synthetic customer (19 model inputs) per row of ``keys``."""
+    k = F.col(key)
+    u = lambda i: uniform(k, seed, i)
+    lo, hi = AGE_RANGE
+    cols = {
+        "age": (F.lit(lo) + F.floor(u(0) * (hi - lo))).cast("int"),
+        "job": categorical(u(1), JOBS, JOB_WEIGHTS),
+        "marital": categorical(u(2), MARITAL, MARITAL_WEIGHTS),
+        "education": categorical(u(3), EDUCATION, EDUCATION_WEIGHTS),
+        "default": categorical(u(4), DEFAULT_VALS, DEFAULT_WEIGHTS),
+        "housing": categorical(u(5), HOUSING_VALS, HOUSING_WEIGHTS),
+        "loan": categorical(u(6), LOAN_VALS, LOAN_WEIGHTS),
+        "contact": categorical(u(7), CONTACT, CONTACT_WEIGHTS),
+        "month": categorical(u(8), MONTHS, MONTH_WEIGHTS),
+        "day_of_week": categorical(u(9), DAYS, DAY_WEIGHTS),
+        "campaign": F.least(F.floor(-F.log(F.lit(1.0) - u(10)) * CAMPAIGN_SCALE).cast("int") + 1, F.lit(CAMPAIGN_MAX)),
+        "pdays": F.when(u(11) < NEVER_CONTACTED_SHARE, F.lit(999)).otherwise(F.floor(u(12) * PDAYS_MAX).cast("int")),
+        "previous": poisson(u(13), PREVIOUS_LAMBDA, PREVIOUS_MAX),
+        "poutcome": categorical(u(14), POUTCOME, POUTCOME_WEIGHTS),
+    }
+    for i, (name, (a, b, d)) in enumerate(UNIFORM_RANGES.items()):
+        cols[name] = F.round(F.lit(a) + u(20 + i) * (b - a), d)
+    return keys.select(k, *[c.alias(n) for n, c in cols.items()])
+
+
+def generate_customers(spark: SparkSession, num_records: int = 100, seed: int = 42) -> DataFrame:
+    """``num_records`` synthetic customers, distributed over ``spark.range``."""
+    return customers_for(spark.range(num_records).withColumnRenamed("id", "customer_id"), "customer_id", seed).drop("customer_id")

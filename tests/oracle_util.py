@@ -57,12 +57,25 @@ def _norm(v):
     return v
 
 
+def _close(x: tuple, y: tuple) -> bool:
+    """Row equality with a float tolerance (engines sum in different orders)."""
+    if len(x) != len(y):
+        return False
+    for u, v in zip(x, y):
+        if isinstance(u, float) and isinstance(v, float):
+            if not math.isclose(u, v, rel_tol=1e-9, abs_tol=1e-9):
+                return False
+        elif u != v:
+            return False
+    return True
+
+
 def _rows(pdf: pd.DataFrame) -> list[tuple]:
     cols = sorted(pdf.columns)
     out = []
     for rec in pdf[cols].itertuples(index=False, name=None):
         out.append(tuple(_norm(x) for x in rec))
-    return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
+    return sorted(out, key=lambda r: tuple((x is None, f"{x:.6g}" if isinstance(x, float) else str(x)) for x in r))
 
 
 def compare(spark, sf_dir: str, name: str, con=None) -> dict:
@@ -86,9 +99,9 @@ def compare(spark, sf_dir: str, name: str, con=None) -> dict:
         res["match"] = False
         return res
     a, b = _rows(spdf), _rows(opdf)
-    res["match"] = a == b
+    res["match"] = len(a) == len(b) and all(_close(x, y) for x, y in zip(a, b))
     if not res["match"]:
-        diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
+        diff = [(x, y) for x, y in zip(a, b) if not _close(x, y)][:3]
         res["first_diff"] = diff
     # type check (spark type vs duckdb type family)
     sty = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
