@@ -30,7 +30,7 @@ def hash_order(key: str | Sequence[str], seed: int = SEED) -> Column:
     return F.md5(F.concat_ws("-", *[quoted(k).cast("string") for k in keys], F.lit(str(seed))))
 
 
-def class_rank(df: DataFrame, key: str, target: str = "y", seed: int = SEED, prefix: int = HASH_PREFIX) -> DataFrame:
+def class_rank(df: DataFrame, key: str | Sequence[str], target: str = "y", seed: int = SEED, prefix: int = HASH_PREFIX) -> DataFrame:
     """Adds ``_h`` (hash), ``class_rank`` (1-based rank in class by hash order) and ``class_n``."""
     h = df.withColumn("_h", hash_order(key, seed)).withColumn("_b", F.substring("_h", 1, prefix))
     counts = h.groupBy(target, "_b").agg(F.count(F.lit(1)).alias("_bn"))
@@ -43,7 +43,8 @@ def class_rank(df: DataFrame, key: str, target: str = "y", seed: int = SEED, pre
     )
     # offsets has at most (#classes x 16^prefix) rows
     joined = h.join(F.broadcast(offsets), [target, "_b"])
-    wi = Window.partitionBy(target, "_b").orderBy("_h", quoted(key))
+    keys = [key] if isinstance(key, str) else list(key)
+    wi = Window.partitionBy(target, "_b").orderBy("_h", *[quoted(k) for k in keys])
     return joined.withColumn("class_rank", F.col("_off") + F.row_number().over(wi)).drop("_b", "_off")
 
 

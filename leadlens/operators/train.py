@@ -127,7 +127,12 @@ def fit(
     n = prepared.count() if name == "logistic_regression" else None
     clf = make_classifier(name, params, n, "weight")
     pipe = build_pipeline(clf, numeric, ordinal, nominal)
-    return pipe.fit(prepared)
+    # iterative fits scan the input many times: keep it cached for the fit only
+    prepared = prepared.persist()
+    try:
+        return pipe.fit(prepared)
+    finally:
+        prepared.unpersist()
 
 
 def score(model, df: DataFrame, keep: Sequence[str] = ("y",), prob: str = "probability") -> DataFrame:
@@ -206,7 +211,7 @@ def tune_model(
             for k, cap in scale.items():
                 if k in t:
                     t[k] = min(t[k], cap)
-    prepared = prepare(train_with_folds, "y", "pos" if name == "xgboost" else ("none" if name == "linear_svc" else "balanced"))
+    prepared = prepare(train_with_folds, "y", "pos" if name == "xgboost" else ("none" if name == "linear_svc" else "balanced")).persist()
     n = prepared.count() if name == "logistic_regression" else None
     base = make_classifier(name, trials[0], n)
     pipe = build_pipeline(base)
@@ -214,9 +219,13 @@ def tune_model(
     for t in trials:
         c = make_classifier(name, t, n)
         grid.append({base.getParam(p.name): c.getOrDefault(p) for p in c.params if c.isDefined(p) and base.hasParam(p.name)})
-    evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC", weightCol=None)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator, foldCol=fold_col, parallelism=parallelism, seed=seed)
+    evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC")
+    n_folds = train_with_folds.agg(F.max(fold_col)).first()[0] + 1
+    cv = CrossValidator(
+        estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator, numFolds=int(n_folds), foldCol=fold_col, parallelism=parallelism, seed=seed
+    )
     model = cv.fit(prepared)
+    prepared.unpersist()
     best = int(np.argmax(model.avgMetrics))
     spark = train_with_folds.sparkSession
     rows = [(i, json.dumps(t, sort_keys=True), float(model.avgMetrics[i]), i == best) for i, t in enumerate(trials)]
@@ -302,23 +311,36 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean and std of the ROC-AUC drop when one feature is shuffled.
 
-    Repeat r pairs the row of rank i (order seed) with the row of rank i in
-    a second hash order (seed+r+1): a permutation by one equi-join on rank.
-    All (feature, repeat) variants are scored in one pass and evaluated by a
-    grouped AUC."""
+    Repeat r is a permutation: the row of hash rank i under ``seed`` takes the
+    feature values of the row of rank i under hash(key, r).  Ranks of all
+    repeats come from ONE distributed rank pass (grouped by r), partners from
+    ONE equi-join on (r, rank), and every (feature, repeat) variant is
+    generated by ``inline`` and scored in one pass with a grouped AUC."""
+    from leadlens.operators.split import class_rank
+
     base_auc = ev.roc_auc(score(model, df, keep=[key, target]), target, "probability").first()["roc_auc"]
-    ranked = distributed_rank(df, key, seed, "_r0")
-    variants = None
-    for r in range(repeats):
-        partner = distributed_rank(df.select(key, *features), key, seed + r + 1, "_r0").select(
-            "_r0", *[quoted(f).alias(f"_p_{safe_name(f)}") for f in features]
-        )
-        joined = ranked.join(partner, "_r0")
-        for f in features:
-            v = joined.withColumn(f, F.col(f"_p_{safe_name(f)}")).select(*df.columns).withColumns(
-                {"_feature": F.lit(f), "_repeat": F.lit(r)}
+    reps = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_r")
+    base = distributed_rank(df, key, seed, "_rank").select("*", reps)
+    partner_src = df.select(quoted(key).alias("_pk"), *[quoted(f).alias(f"_p_{safe_name(f)}") for f in features], reps)
+    partner = class_rank(partner_src, ["_pk", "_r"], "_r", seed).select(
+        "_r", F.col("class_rank").alias("_rank"), *[f"_p_{safe_name(f)}" for f in features]
+    )
+    joined = base.join(partner, ["_r", "_rank"])
+    cols = [c for c in df.columns]
+    variants = joined.select(
+        "_r",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(f).alias("_feature"),
+                        *[(F.col(f"_p_{safe_name(f)}") if c == f else quoted(c)).alias(c) for c in cols],
+                    )
+                    for f in features
+                ]
             )
-            variants = v if variants is None else variants.unionByName(v)
+        ),
+    ).withColumnRenamed("_r", "_repeat")
     scored = score(model, variants, keep=[key, target, "_feature", "_repeat"])
     aucs = ev.roc_auc(scored, target, "probability", by=["_feature", "_repeat"])
     drops = aucs.select(F.col("_feature").alias("feature"), (F.lit(base_auc) - F.col("roc_auc")).alias("drop"))

@@ -1300,16 +1300,20 @@ def q_generate_customers(spark, sf):
 # ===========================================================================
 def _train_test(spark, sf):
     from leadlens.operators.split import take_split
+    from leadlens.session import materialize
 
-    s = _bank_split(spark, sf).drop("duration")
+    # the split feeds many passes (indexers, scaler, iterations): cut its lineage once
+    s = materialize(_bank_split(spark, sf).drop("duration"))
     return take_split(s, "train").drop("split"), take_split(s, "test").drop("split")
 
 
 def _train_folds(spark, sf):
     from leadlens.operators.split import stratified_kfold
 
+    from leadlens.session import materialize
+
     train, _ = _train_test(spark, sf)
-    return stratified_kfold(train, "client_id", "y", 5)
+    return materialize(stratified_kfold(train, "client_id", "y", 5))
 
 
 def _fit_score(spark, sf, name, params=None):
