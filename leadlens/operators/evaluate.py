@@ -11,7 +11,7 @@ Design for scale
   (partitioned, so many tasks) and a window over the per-bucket totals (one
   row per bucket: bounded by the bucket count, joined back by broadcast).
 * Threshold sweeps never form rows x thresholds: every row is bucketed onto
-  the sorted grid (``Bucketizer`` = binary search on exact grid values), the
+  the sorted grid (arithmetic index checked against the exact grid values), the
   buckets are counted (at most grid+1 groups) and a suffix sum over that tiny
   table gives the confusion matrix of every threshold.
 """
@@ -21,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,13 +40,44 @@ GRID_START, GRID_STOP, GRID_STEPS = 0.05, 0.95, 200
 RECALL_START, RECALL_STOP, RECALL_STEP = 0.05, 0.95, 0.05
 
 
-def linspace(start: float, stop: float, n: int) -> list[float]:
-    """Grid values exactly as ``numpy.linspace`` produces them."""
-    return [float(x) for x in np.linspace(start, stop, n)]
+class LinearGrid(list):
+    """Sorted threshold values t_i = i*step + start (i < n), optionally with the
+    last value pinned to ``last`` — exactly how numpy's linspace/arange build
+    them — plus an O(1) column expression for "how many t_i are <= p"."""
 
+    def __init__(self, start: float, step: float, n: int, last: float | None = None):
+        vals = [float(i * step + start) for i in range(n)]
+        if last is not None and n > 1:
+            vals[-1] = float(last)
+        super().__init__(vals)
+        self.start, self.step, self.n, self.last = float(start), float(step), n, last
 
-def arange(start: float, stop: float, step: float) -> list[float]:
-    return [float(x) for x in np.arange(start, stop, step)]
+    def value_at(self, i: Column) -> Column:
+        v = i.cast("double") * F.lit(self.step) + F.lit(self.start)
+        return F.when(i == self.n - 1, F.lit(self[-1])).otherwise(v) if self.last is not None else v
+
+    def count_at_most(self, p: Column) -> Column:
+        # floor() of the division is off by at most one next to a grid value;
+        # compare with the exact neighbouring grid values to settle it.
+        j = F.least(F.greatest(F.floor((p - F.lit(self.start)) / F.lit(self.step)), F.lit(-1)), F.lit(self.n - 1))
+        up = (j + 1 <= self.n - 1) & (self.value_at(j + 1) <= p)
+        down = (j >= 0) & (self.value_at(j) > p)
+        return (F.when(up, j + 2).when(down, j).otherwise(j + 1)).cast("int")
+
+
+def linspace(start: float, stop: float, n: int) -> LinearGrid:
+    """Grid values exactly as ``numpy.linspace`` produces them (i*step + start, last = stop)."""
+    g = LinearGrid(start, (stop - start) / (n - 1), n, stop)
+    assert list(g) == [float(x) for x in np.linspace(start, stop, n)]
+    return g
+
+
+def arange(start: float, stop: float, step: float) -> LinearGrid:
+    """Values exactly as ``numpy.arange`` produces them (start + i*delta)."""
+    n = int(np.ceil((stop - start) / step))
+    g = LinearGrid(start, (start + step) - start, n)
+    assert list(g) == [float(x) for x in np.arange(start, stop, step)]
+    return g
 
 
 def _by(by: Sequence[str] | str | None) -> list[str]:
@@ -183,11 +213,23 @@ def score_buckets(df: DataFrame, prob: str, n_buckets: int | None = None) -> lis
     return sorted({float(e) for e in edges if e is not None and not np.isnan(e)})
 
 
+def count_at_most(c: Column, edges: Sequence[float]) -> Column:
+    """Number of sorted ``edges`` that are <= c, as a balanced CASE tree
+    (binary search in log2(n) comparisons; a plain Catalyst expression, so it
+    stays inside whole-stage codegen).  Exact on the given double values."""
+
+    def node(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(c >= F.lit(float(edges[mid])), node(mid + 1, hi)).otherwise(node(lo, mid))
+
+    return node(0, len(edges))
+
+
 def _bucketize(df: DataFrame, col: str, edges: Sequence[float], out: str) -> DataFrame:
-    splits = [float("-inf")] + [e for e in edges if np.isfinite(e)] + [float("inf")]
-    if len(splits) == 2:
-        return df.withColumn(out, F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(df)
+    es = sorted({float(e) for e in edges if np.isfinite(e)})
+    return df.withColumn(out, count_at_most(F.col(col), es) if es else F.lit(0))
 
 
 def prefix_sums(
@@ -280,9 +322,10 @@ def compute_metrics(
     pred: str | None = None,
     by: Sequence[str] | str | None = None,
     n_buckets: int | None = None,
+    counts: bool = False,
 ) -> DataFrame:
     """accuracy, precision, recall, f1, roc_auc, pr_auc, log_loss, mcc, brier_score
-    (zero on zero division) from one distinct-score pass."""
+    (zero on zero division) from one distinct-score pass; ``counts`` keeps tp/fp/fn/tn."""
     keys = _by(by)
     predicted = _predicate(prob, threshold, pred)
     cum = cumulative_scores(df, label, prob, keys, predicted, n_buckets)
@@ -292,7 +335,8 @@ def compute_metrics(
         (F.sum("ll_sum") / (F.sum("pos") + F.sum("neg"))).alias("log_loss"),
         (F.sum("sq_sum") / (F.sum("pos") + F.sum("neg"))).alias("brier_score"),
     )
-    return agg.select(*keys, *metric_columns(), "roc_auc", "pr_auc", "log_loss", "brier_score")
+    extra = ["tp", "fp", "fn", "tn"] if counts else []
+    return agg.select(*keys, *metric_columns(), "roc_auc", "pr_auc", "log_loss", "brier_score", *extra)
 
 
 def metric_columns() -> list[Column]:
@@ -397,12 +441,15 @@ def threshold_sweep(
     per ``by`` group; no rows x thresholds product is formed.
     """
     keys = _by(by)
-    ts = sorted({float(t) for t in thresholds})
+    ts = thresholds if isinstance(thresholds, LinearGrid) else sorted({float(t) for t in thresholds})
     n = len(ts)
     spark: SparkSession = df.sparkSession
     scored = df.select(*keys, _label_int(label).alias("_y"), F.col(prob).cast("double").alias("_p"))
     # bucket k = number of thresholds <= p; threshold i (1-based) calls rows with k >= i.
-    b = _bucketize(scored, "_p", ts, "_k")
+    if isinstance(ts, LinearGrid):
+        b = scored.withColumn("_k", ts.count_at_most(F.col("_p")))
+    else:
+        b = _bucketize(scored, "_p", ts, "_k")
     hist = b.groupBy(*keys, F.col("_k").cast("int").alias("_k")).agg(
         F.count(F.when(F.col("_y") == 1, 1)).alias("_pos"), F.count(F.when(F.col("_y") == 0, 1)).alias("_neg")
     )
@@ -422,10 +469,13 @@ def threshold_sweep(
         F.sum("_pos").over(w_all).alias("_P"),
         F.sum("_neg").over(w_all).alias("_N"),
     )
-    grid = F.array(*[F.lit(t) for t in ts])
+    if isinstance(ts, LinearGrid):
+        thr = ts.value_at(F.col("_k") - 1)
+    else:
+        thr = F.element_at(F.array(*[F.lit(t) for t in ts]), F.col("_k"))
     out = sfx.where(F.col("_k") >= 1).select(
         *keys,
-        F.element_at(grid, F.col("_k")).alias("threshold"),
+        thr.alias("threshold"),
         "tp",
         "fp",
         (F.col("_P") - F.col("tp")).alias("fn"),
@@ -500,7 +550,7 @@ def recall_analysis(
     """Recall / precision / calls / profit trade-off at fixed thresholds
     (default ``arange(0.05, 0.95, 0.05)``), rounded like the report."""
     keys = _by(by)
-    ts = list(thresholds) if thresholds is not None else arange(RECALL_START, RECALL_STOP, RECALL_STEP)
+    ts = thresholds if thresholds is not None else arange(RECALL_START, RECALL_STOP, RECALL_STEP)
     sweep = threshold_sweep(df, ts, label, prob, keys)
     tp, fp, fn = (F.col(c).cast("double") for c in ("tp", "fp", "fn"))
     return sweep.select(
@@ -525,22 +575,21 @@ def model_comparison(
     model: str = "model",
     label: str = "y",
     prob: str = "probability",
-    thresholds: DataFrame | None = None,
+    thresholds: Mapping[str, float] | None = None,
     n_buckets: int | None = None,
 ) -> DataFrame:
-    """One row per model: threshold, the nine metrics and net profit.
+    """One row per model: threshold, the nine metrics, confusion counts and net profit.
 
-    ``thresholds`` (model, threshold) defaults to each model's optimal
-    threshold on the same rows.  It holds one row per model, joined on the
-    model key (Spark picks the join by its own size estimate)."""
+    ``thresholds`` defaults to each model's optimal threshold on the same
+    rows.  Thresholds are one number per model, so they are collected and
+    applied as a map literal: the metric pass is a single grouped aggregate
+    with no join back to the rows."""
     if thresholds is None:
-        thresholds = find_optimal_threshold(df, label, prob, by=model).select(model, "threshold")
-    scored = df.join(thresholds, model)
-    m = compute_metrics(scored, label, prob, threshold=F.col("threshold"), by=[model, "threshold"], n_buckets=n_buckets)
-    cost = business_cost_analysis(scored, label, prob, threshold=F.col("threshold"), by=model).select(
-        model, "net_profit", "tp", "fp", "fn", "tn"
-    )
-    return m.join(cost, model)
+        thresholds = {r[model]: r["threshold"] for r in find_optimal_threshold(df, label, prob, by=model).collect()}
+    tmap = F.create_map(*[x for k, v in thresholds.items() for x in (F.lit(k), F.lit(float(v)))])
+    scored = df.withColumn("threshold", tmap[F.col(model)])
+    m = compute_metrics(scored, label, prob, threshold=F.col("threshold"), by=[model, "threshold"], n_buckets=n_buckets, counts=True)
+    return m.withColumn("net_profit", profit_expr(F.col("tp"), F.col("fp"), F.col("fn")).cast("double"))
 
 
 def select_best_model(comparison: DataFrame, model: str = "model", profit: str = "net_profit") -> DataFrame:
@@ -593,7 +642,7 @@ def wins_per_model(best: DataFrame) -> DataFrame:
 
 def strategy_compare(
     df: DataFrame,
-    thresholds: DataFrame,
+    thresholds: DataFrame | Mapping[str, float],
     model: str = "model",
     label: str = "y",
     prob: str = "probability",
@@ -601,7 +650,10 @@ def strategy_compare(
 ) -> DataFrame:
     """Call nobody / call everybody / each model at its threshold:
     profit, calls, conversions and profit per call (0 with no calls)."""
-    per_model = business_cost_analysis(df.join(thresholds, model), label, prob, F.col("threshold"), by=model)
+    if isinstance(thresholds, DataFrame):  # one row per model
+        thresholds = {r[model]: r["threshold"] for r in thresholds.select(model, "threshold").collect()}
+    tmap = F.create_map(*[x for k, v in thresholds.items() for x in (F.lit(k), F.lit(float(v)))])
+    per_model = business_cost_analysis(df.withColumn("threshold", tmap[F.col(model)]), label, prob, F.col("threshold"), by=model)
     rows = per_model.select(
         F.col(model).alias("strategy"),
         F.col("net_profit").alias("profit"),

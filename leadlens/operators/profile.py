@@ -438,13 +438,15 @@ def histogram(df: DataFrame, column: str, lo: float, hi: float, bins: int) -> Da
     """numpy-style histogram: edges linspace(lo, hi, bins+1), [a, b) bins and a
     closed last bin; values outside [lo, hi] are ignored.  Empty bins give 0."""
     import numpy as np
-    from pyspark.ml.feature import Bucketizer
+
+    from leadlens.operators.evaluate import count_at_most
 
     edges = [float(e) for e in np.linspace(lo, hi, bins + 1)]
     x = quoted(column).cast("double")
     inside = df.select(x.alias("_x")).where((F.col("_x") >= lo) & (F.col("_x") <= hi))
-    b = Bucketizer(splits=edges, inputCol="_x", outputCol="_b").transform(inside)
-    counts = b.groupBy(F.col("_b").cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # bin = (#inner edges <= x), so [a, b) bins; the top edge closes the last bin
+    idx = F.least(count_at_most(F.col("_x"), edges[1:-1]), F.lit(bins - 1))
+    counts = inside.groupBy(idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession
     frame = spark.createDataFrame([(i, edges[i], edges[i + 1]) for i in range(bins)], "bin int, lower double, upper double")
     return frame.join(counts, "bin", "left").select("bin", "lower", "upper", F.coalesce("n", F.lit(0)).alias("n"))

@@ -305,7 +305,7 @@ def q_best_per_criterion(spark, sf):
 )
 def q_strategy_compare(spark, sf):
     tuned = ds.model_scores(spark, sf).where(F.col("stage") == "tuned")
-    th = ev.find_optimal_threshold(tuned, "y", "score", by="model").select("model", "threshold")
+    th = {r["model"]: r["threshold"] for r in ev.find_optimal_threshold(tuned, "y", "score", by="model").collect()}
     return ev.strategy_compare(tuned, th, "model", "y", "score")
 
 

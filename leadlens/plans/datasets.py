@@ -27,19 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # leads (lineitem)
 # ---------------------------------------------------------------------------
-def _noise(a: int, b: int, c: int, d: int, e: int, mod: int) -> Column:
-    """Deterministic integer in [0, mod) from row attributes."""
-    q = F.col("l_quantity").cast("int")
-    disc = F.round(F.col("l_discount") * 100).cast("int")
-    return (
-        q * a
-        + disc * b
-        + F.col("l_linenumber") * c
-        + F.dayofmonth("l_shipdate") * d
-        + (F.col("l_orderkey") % 97).cast("int") * e
-    ) % mod
-
-
 def _noise_sql(a: int, b: int, c: int, d: int, e: int, mod: int) -> str:
     return (
         f"((CAST(l_quantity AS INTEGER) * {a} + CAST(round(l_discount * 100) AS INTEGER) * {b}"
@@ -58,35 +45,44 @@ SCORERS = {
 BASELINE_SHIFT = {m: s[6] // 2 for m, s in SCORERS.items()}
 
 
-def _score(model: str, shift: int | None = None) -> Column:
+def _score_sql(model: str, shift: int | None = None) -> str:
     a, b, c, d, e, mod, sh = SCORERS[model]
-    y = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
-    k = _noise(a, b, c, d, e, mod) + y * (sh if shift is None else shift)
-    return k.cast("double") / F.lit(1000.0)
+    s = sh if shift is None else shift
+    return f"CAST({_noise_sql(a, b, c, d, e, mod)} + (CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) * {s} AS DOUBLE) / 1000.0"
 
 
-def _score_sql(model: str, shift: int | None = None) -> str:
+def _noise_spark(a: int, b: int, c: int, d: int, e: int, mod: int) -> str:
+    return (
+        f"((CAST(l_quantity AS INT) * {a} + CAST(round(l_discount * 100) AS INT) * {b}"
+        f" + l_linenumber * {c} + dayofmonth(l_shipdate) * {d} + CAST(l_orderkey % 97 AS INT) * {e}) % {mod})"
+    )
+
+
+def _score_spark(model: str, shift: int | None = None) -> str:
     a, b, c, d, e, mod, sh = SCORERS[model]
     s = sh if shift is None else shift
-    return f"CAST({_noise_sql(a, b, c, d, e, mod)} + (CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) * {s} AS DOUBLE) / 1000.0"
+    return f"CAST({_noise_spark(a, b, c, d, e, mod)} + (CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) * {s} AS DOUBLE) / 1000.0D"
+
+
+# Spark SQL projections (one analyzer round trip per view instead of one per Column node).
+LEADS_EXPRS = [
+    "l_orderkey * 10 + l_linenumber AS lead_id",
+    "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y",
+    "l_linestatus AS status",
+    "lower(date_format(l_shipdate, 'MMM')) AS month",
+    "lower(date_format(l_shipdate, 'EEE')) AS day_of_week",
+    "l_linenumber AS linenumber",
+    "l_quantity AS quantity",
+    "l_extendedprice AS price",
+    "l_discount AS discount",
+    "l_tax AS tax",
+    "l_extendedprice * (1.0D - l_discount) AS net_price",
+    f"{_score_spark('logistic_regression')} AS score",
+]
 
 
 def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    return li.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("lead_id"),
-        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"),
-        F.col("l_linestatus").alias("status"),
-        F.lower(F.date_format("l_shipdate", "MMM")).alias("month"),
-        F.lower(F.date_format("l_shipdate", "EEE")).alias("day_of_week"),
-        F.col("l_linenumber").alias("linenumber"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("l_extendedprice").alias("price"),
-        F.col("l_discount").alias("discount"),
-        F.col("l_tax").alias("tax"),
-        (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("net_price"),
-        _score("logistic_regression").alias("score"),
-    )
+    return table(spark, sf_dir, "lineitem").selectExpr(*LEADS_EXPRS)
 
 
 LEADS_SQL = f"""
@@ -107,18 +103,14 @@ FROM lineitem
 
 
 def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long form: (model, stage, lead_id, y, score) for 4 models x {baseline, tuned}."""
-    li = table(spark, sf_dir, "lineitem")
+    """Long form: (lead_id, y, model, stage, score) for 4 models x {baseline, tuned}."""
     entries = []
     for m in SCORERS:
-        entries.append(F.struct(F.lit(m).alias("model"), F.lit("tuned").alias("stage"), _score(m).alias("score")))
-        entries.append(
-            F.struct(F.lit(m).alias("model"), F.lit("baseline").alias("stage"), _score(m, BASELINE_SHIFT[m]).alias("score"))
-        )
-    return li.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("lead_id"),
-        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"),
-        F.inline(F.array(*entries)),
+        entries += [f"'{m}'", "'tuned'", _score_spark(m), f"'{m}'", "'baseline'", _score_spark(m, BASELINE_SHIFT[m])]
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS lead_id",
+        "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y",
+        f"stack({len(entries) // 3}, {', '.join(entries)}) AS (model, stage, score)",
     )
 
 
@@ -140,25 +132,24 @@ MODEL_SCORES_SQL = _model_scores_sql()
 # ---------------------------------------------------------------------------
 # prospects (orders) with deterministic dirt
 # ---------------------------------------------------------------------------
+PROSPECTS_EXPRS = [
+    "o_orderkey AS prospect_id",
+    "o_custkey AS cust_id",
+    "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y",
+    "CASE WHEN o_orderkey % 13 = 0 THEN 'unknown' ELSE o_orderpriority END AS priority",
+    "CASE WHEN o_orderkey % 11 = 0 THEN 'unknown' ELSE lower(date_format(o_orderdate, 'MMM')) END AS month",
+    "lower(date_format(o_orderdate, 'EEE')) AS day_of_week",
+    "CASE WHEN o_orderkey % 29 = 0 THEN 'unknown' ELSE o_orderstatus END AS status_code",
+    "CASE WHEN o_orderkey % 19 = 0 THEN CAST('NaN' AS DOUBLE) WHEN o_orderkey % 23 = 0 THEN CAST(NULL AS DOUBLE) "
+    "ELSE o_totalprice END AS amount",
+    "CASE WHEN o_orderkey % 7 <> 0 THEN 999 ELSE CAST(o_custkey % 30 AS INT) END AS pdays",
+    "CAST(o_custkey % 10 AS INT) AS previous",
+    "year(o_orderdate) AS year",
+]
+
+
 def prospects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    return o.select(
-        k.alias("prospect_id"),
-        F.col("o_custkey").alias("cust_id"),
-        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("y"),
-        F.when(k % 13 == 0, F.lit("unknown")).otherwise(F.col("o_orderpriority")).alias("priority"),
-        F.when(k % 11 == 0, F.lit("unknown")).otherwise(F.lower(F.date_format("o_orderdate", "MMM"))).alias("month"),
-        F.lower(F.date_format("o_orderdate", "EEE")).alias("day_of_week"),
-        F.when(k % 29 == 0, F.lit("unknown")).otherwise(F.col("o_orderstatus")).alias("status_code"),
-        F.when(k % 19 == 0, F.lit(float("nan")))
-        .when(k % 23 == 0, F.lit(None).cast("double"))
-        .otherwise(F.col("o_totalprice"))
-        .alias("amount"),
-        F.when(k % 7 != 0, F.lit(999)).otherwise((F.col("o_custkey") % 30).cast("int")).alias("pdays"),
-        (F.col("o_custkey") % 10).cast("int").alias("previous"),
-        F.year("o_orderdate").alias("year"),
-    )
+    return table(spark, sf_dir, "orders").selectExpr(*PROSPECTS_EXPRS)
 
 
 PROSPECTS_SQL = """
@@ -206,44 +197,45 @@ MARITAL_LEVELS = ["divorced", "married", "single", "unknown"]
 HOUSING_LEVELS = ["no", "yes", "unknown"]
 
 
-def _pick(levels: list[str], idx: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in levels]), (idx + 1).cast("int"))
+def _pick_spark(levels: list[str], idx: str) -> str:
+    return "element_at(array(" + ", ".join(f"'{v}'" for v in levels) + f"), CAST({idx} AS INT) + 1)"
 
 
 def _pick_sql(levels: list[str], idx: str) -> str:
     return "[" + ", ".join(f"'{v}'" for v in levels) + f"][CAST({idx} AS INTEGER) + 1]"
 
 
-def bank_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _bank_exprs() -> list[str]:
     from leadlens.operators.features import EDUCATION_ORDER
 
-    o = table(spark, sf_dir, "orders")
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    pdays = F.when(k % 7 != 0, F.lit(999)).otherwise((c % 28).cast("int"))
-    return o.select(
-        k.alias("client_id"),
-        (F.lit(18) + (c % 72)).cast("int").alias("age"),
-        _pick(JOB_LEVELS, c % 12).alias("job"),
-        _pick(MARITAL_LEVELS, k % 4).alias("marital"),
-        _pick(EDUCATION_ORDER, c % 8).alias("education"),
-        F.when(k % 5 == 0, "unknown").otherwise("no").alias("default"),
-        _pick(HOUSING_LEVELS, k % 3).alias("housing"),
-        F.when(k % 7 < 2, "yes").when(k % 7 == 2, "unknown").otherwise("no").alias("loan"),
-        F.when(k % 3 == 0, "telephone").otherwise("cellular").alias("contact"),
-        F.lower(F.date_format("o_orderdate", "MMM")).alias("month"),
-        F.lower(F.date_format("o_orderdate", "EEE")).alias("day_of_week"),
-        (F.lit(10) + (k % 990)).cast("int").alias("duration"),
-        (F.lit(1) + (k % 14)).cast("int").alias("campaign"),
-        pdays.alias("pdays"),
-        F.when(k % 7 != 0, F.lit(0)).otherwise((c % 5).cast("int")).alias("previous"),
-        F.when(k % 7 != 0, "nonexistent").when(c % 2 == 0, "failure").otherwise("success").alias("poutcome"),
-        ((k % 51).cast("double") / 10.0 - 3.4).alias("emp.var.rate"),
-        (F.lit(92.0) + (c % 3000).cast("double") / 1000.0).alias("cons.price.idx"),
-        (F.lit(-50.0) + (k % 251).cast("double") / 10.0).alias("cons.conf.idx"),
-        (F.lit(0.5) + (c % 4500).cast("double") / 1000.0).alias("euribor3m"),
-        (F.lit(4960.0) + (k % 2701).cast("double") / 10.0).alias("nr.employed"),
-        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("y"),
-    )
+    return [
+        "o_orderkey AS client_id",
+        "CAST(18 + o_custkey % 72 AS INT) AS age",
+        f"{_pick_spark(JOB_LEVELS, 'o_custkey % 12')} AS job",
+        f"{_pick_spark(MARITAL_LEVELS, 'o_orderkey % 4')} AS marital",
+        f"{_pick_spark(EDUCATION_ORDER, 'o_custkey % 8')} AS education",
+        "CASE WHEN o_orderkey % 5 = 0 THEN 'unknown' ELSE 'no' END AS `default`",
+        f"{_pick_spark(HOUSING_LEVELS, 'o_orderkey % 3')} AS housing",
+        "CASE WHEN o_orderkey % 7 < 2 THEN 'yes' WHEN o_orderkey % 7 = 2 THEN 'unknown' ELSE 'no' END AS loan",
+        "CASE WHEN o_orderkey % 3 = 0 THEN 'telephone' ELSE 'cellular' END AS contact",
+        "lower(date_format(o_orderdate, 'MMM')) AS month",
+        "lower(date_format(o_orderdate, 'EEE')) AS day_of_week",
+        "CAST(10 + o_orderkey % 990 AS INT) AS duration",
+        "CAST(1 + o_orderkey % 14 AS INT) AS campaign",
+        "CASE WHEN o_orderkey % 7 <> 0 THEN 999 ELSE CAST(o_custkey % 28 AS INT) END AS pdays",
+        "CASE WHEN o_orderkey % 7 <> 0 THEN 0 ELSE CAST(o_custkey % 5 AS INT) END AS previous",
+        "CASE WHEN o_orderkey % 7 <> 0 THEN 'nonexistent' WHEN o_custkey % 2 = 0 THEN 'failure' ELSE 'success' END AS poutcome",
+        "CAST(o_orderkey % 51 AS DOUBLE) / 10.0D - 3.4D AS `emp.var.rate`",
+        "92.0D + CAST(o_custkey % 3000 AS DOUBLE) / 1000.0D AS `cons.price.idx`",
+        "-50.0D + CAST(o_orderkey % 251 AS DOUBLE) / 10.0D AS `cons.conf.idx`",
+        "0.5D + CAST(o_custkey % 4500 AS DOUBLE) / 1000.0D AS euribor3m",
+        "4960.0D + CAST(o_orderkey % 2701 AS DOUBLE) / 10.0D AS `nr.employed`",
+        "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y",
+    ]
+
+
+def bank_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr(*_bank_exprs())
 
 
 def _bank_sql() -> str:
