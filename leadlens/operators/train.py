@@ -26,9 +26,22 @@ from leadlens.operators import evaluate as ev
 from leadlens.operators.features import NOMINAL_FEATURES, NUMERIC_FEATURES, build_pipeline, safe_name
 
 SEED = 42
+PARALLELISM = 4  # concurrent fold/model fits (Spark jobs submitted from driver threads)
 MODEL_NAMES = ["logistic_regression", "random_forest", "xgboost", "linear_svc"]
 
 
+def _parallel(fn, items, parallelism: int = PARALLELISM) -> list:
+    """Run independent fits concurrently; each is its own Spark job, the
+    scheduler interleaves their tasks on the executors."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    items = list(items)
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        return list(pool.map(fn, items))
+
+
 # ---------------------------------------------------------------------------
 # Class weights
 # ---------------------------------------------------------------------------
@@ -86,6 +99,9 @@ def make_classifier(name: str, params: Mapping | None = None, n_rows: int | None
             maxDepth=min(int(p.get("max_depth", 5)), 30),
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
             seed=SEED,
+            # deep forests: more nodes split per pass over the data, node ids cached
+            maxMemoryInMB=int(p.get("max_memory_mb", 1024)),
+            cacheNodeIds=True,
             **common,
         )
     if name == "xgboost":
@@ -96,6 +112,8 @@ def make_classifier(name: str, params: Mapping | None = None, n_rows: int | None
             subsamplingRate=float(p.get("subsample", 1.0)),
             featureSubsetStrategy=str(p.get("colsample_bytree", "all")),
             seed=SEED,
+            maxMemoryInMB=int(p.get("max_memory_mb", 1024)),
+            cacheNodeIds=True,
             **common,
         )
     if name == "linear_svc":
@@ -104,8 +122,15 @@ def make_classifier(name: str, params: Mapping | None = None, n_rows: int | None
 
 
 def prepare(df: DataFrame, target: str = "y", weights: str = "balanced") -> DataFrame:
-    """Rename dotted columns, add ``label`` and the class weight column."""
+    """Rename dotted columns, add ``label`` and the class weight column.
+
+    Iterative learners parallelise by partition: a small input that arrives in
+    fewer partitions than the cluster has cores is spread round-robin first
+    (a large input already has many partitions and is left alone)."""
     out = df.select(*[quoted(c).alias(safe_name(c)) for c in df.columns]).withColumn("label", F.col(target).cast("double"))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if out.rdd.getNumPartitions() < cores:
+        out = out.repartition(cores)
     if weights == "balanced":
         return with_balanced_weights(out, target)
     if weights == "pos":
@@ -153,11 +178,10 @@ def score(model, df: DataFrame, keep: Sequence[str] = ("y",), prob: str = "proba
 # ---------------------------------------------------------------------------
 def baseline_models(train: DataFrame, test: DataFrame, key: str, names: Sequence[str] = ("logistic_regression", "random_forest", "xgboost")) -> DataFrame:
     """Default configs at threshold 0.5: metrics and dollars per model (one grouped evaluation)."""
-    scored = None
-    for nm in names:
-        m = fit(train, nm)
-        s = score(m, test, keep=[key, "y"]).withColumn("model", F.lit(nm))
-        scored = s if scored is None else scored.unionByName(s)
+    parts = _parallel(lambda nm: score(fit(train, nm), test, keep=[key, "y"]).withColumn("model", F.lit(nm)), names)
+    scored = parts[0]
+    for p_ in parts[1:]:
+        scored = scored.unionByName(p_)
     met = ev.compute_metrics(scored, "y", "probability", 0.5, by="model")
     cost = ev.business_cost_analysis(scored, "y", "probability", 0.5, by="model").select("model", "net_profit")
     return met.join(cost, "model")
@@ -245,14 +269,17 @@ def train_final_model(train: DataFrame, name: str, params: Mapping):
 
 def cv_compare(train_with_folds: DataFrame, names: Sequence[str], key: str, fold_col: str = "fold", k: int = 5, params: Mapping | None = None) -> DataFrame:
     """Per model: mean and population std over folds of AUC, PR-AUC, F1, recall (threshold 0.5)."""
-    oof = None
-    for nm in names:
-        for f in range(k):
-            tr = train_with_folds.where(F.col(fold_col) != f)
-            va = train_with_folds.where(F.col(fold_col) == f)
-            m = fit(tr.drop(fold_col), nm, (params or {}).get(nm))
-            s = score(m, va.drop(fold_col), keep=[key, "y"]).withColumns({"model": F.lit(nm), "fold": F.lit(f)})
-            oof = s if oof is None else oof.unionByName(s)
+    def one(job):
+        nm, f = job
+        tr = train_with_folds.where(F.col(fold_col) != f)
+        va = train_with_folds.where(F.col(fold_col) == f)
+        m = fit(tr.drop(fold_col), nm, (params or {}).get(nm))
+        return score(m, va.drop(fold_col), keep=[key, "y"]).withColumns({"model": F.lit(nm), "fold": F.lit(f)})
+
+    parts = _parallel(one, [(nm, f) for nm in names for f in range(k)])
+    oof = parts[0]
+    for p_ in parts[1:]:
+        oof = oof.unionByName(p_)
     per = ev.compute_metrics(oof, "y", "probability", 0.5, by=["model", "fold"])
     aggs = []
     for mname in ("roc_auc", "pr_auc", "f1", "recall"):
@@ -267,12 +294,14 @@ def fold_importance(train_with_folds: DataFrame, k: int = 5, fold_col: str = "fo
     """RF importances fitted on each training fold, averaged per feature (sorted).
     Only the importance vectors (#features numbers per fold) reach the driver."""
     spark = train_with_folds.sparkSession
-    rows = []
-    for f in range(k):
+
+    def one(f: int) -> list:
         m = fit(train_with_folds.where(F.col(fold_col) != f).drop(fold_col), "random_forest", {"n_estimators": n_trees, "max_depth": depth})
         names = vector_names(m)
         imp = m.stages[-1].featureImportances.toArray()
-        rows += [(f, names[i] if i < len(names) else f"f{i}", float(v)) for i, v in enumerate(imp)]
+        return [(f, names[i] if i < len(names) else f"f{i}", float(v)) for i, v in enumerate(imp)]
+
+    rows = [r for part in _parallel(one, range(k)) for r in part]
     df = spark.createDataFrame(rows, "fold int, feature string, importance double")
     return df.groupBy("feature").agg(F.avg("importance").alias("importance"), F.stddev_pop("importance").alias("importance_std")).orderBy(
         F.desc("importance"), F.asc("feature")
@@ -445,7 +474,7 @@ def feature_subset_sweep(
     ranked = [r["feature"] for r in importance.orderBy(F.desc("importance"), F.asc("feature")).collect()]
     prepared = prepare(train_with_folds, "y", "balanced")
     pipe_model = build_pipeline(make_classifier("logistic_regression", {}, 1)).fit(prepared)
-    feats = pipe_model.transform(prepared).select("features", "label", "weight", fold_col)
+    feats = pipe_model.transform(prepared).select("features", "label", "weight", fold_col).persist()
     names = vector_names(pipe_model)
     spark = train_with_folds.sparkSession
     out = []
@@ -453,13 +482,14 @@ def feature_subset_sweep(
     for kk in list(ks) + [len(names)]:
         keep = [names.index(f) for f in ranked[:kk] if f in names] or list(range(min(kk, len(names))))
         sliced = VectorSlicer(inputCol="features", outputCol="sub", indices=sorted(keep)).transform(feats)
-        aucs = []
-        for f in range(n_folds):
+        def one(f: int, sliced=sliced) -> float:
             from pyspark.ml.classification import LogisticRegression
 
             lr = LogisticRegression(featuresCol="sub", labelCol="label", weightCol="weight", maxIter=50)
             m = lr.fit(sliced.where(F.col(fold_col) != f))
-            aucs.append(evaluator.evaluate(m.transform(sliced.where(F.col(fold_col) == f))))
+            return evaluator.evaluate(m.transform(sliced.where(F.col(fold_col) == f)))
+
+        aucs = _parallel(one, range(n_folds))
         out.append((int(min(kk, len(names))), float(np.mean(aucs))))
     return spark.createDataFrame(out, "k int, mean_cv_auc double")
 
@@ -469,11 +499,14 @@ def calibrated_svc(train_with_folds: DataFrame, test: DataFrame, key: str, fold_
     fitted on out-of-fold margins; returns calibrated test probabilities."""
     from pyspark.ml.regression import IsotonicRegression
 
-    oof = None
-    for f in range(k):
+    def one(f: int) -> DataFrame:
         m = fit(train_with_folds.where(F.col(fold_col) != f).drop(fold_col), "linear_svc", {"reg": reg})
-        s = score(m, train_with_folds.where(F.col(fold_col) == f).drop(fold_col), keep=[key, "y"], prob="margin")
-        oof = s if oof is None else oof.unionByName(s)
+        return score(m, train_with_folds.where(F.col(fold_col) == f).drop(fold_col), keep=[key, "y"], prob="margin")
+
+    parts = _parallel(one, range(k))
+    oof = parts[0]
+    for p_ in parts[1:]:
+        oof = oof.unionByName(p_)
     iso = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="probability").fit(
         oof.withColumn("label", F.col("y").cast("double"))
     )

@@ -1484,3 +1484,27 @@ def q_local_cases(spark, sf):
     from leadlens.operators.train import local_cases
 
     return local_cases(ds.leads(spark, sf), "lead_id", "score", "y", 0.30)
+
+
+# ===========================================================================
+# Streaming: the batch-scoring flow as a micro-batch stream over lineitem
+# ===========================================================================
+@register(
+    "score_stream",
+    f"WITH {LEADS} SELECT lead_id, round(score, 4) AS probability, CASE WHEN score >= {sql_double(CALL_T)} THEN 'YES' ELSE 'NO' END AS verdict FROM leads",
+)
+def q_score_stream(spark, sf):
+    from leadlens.session import scratch_path
+    from leadlens.streaming.scoring import run_to_completion, score_stream
+
+    src = f"{sf.rstrip('/')}/lineitem.parquet"
+    schema = spark.read.parquet(src).schema
+    score_expr = [e for e in ds.LEADS_EXPRS if e.endswith(" AS score")][0].replace(" AS score", " AS probability")
+
+    def scorer(df: DataFrame) -> DataFrame:
+        return df.selectExpr("l_orderkey * 10 + l_linenumber AS lead_id", score_expr)
+
+    sink = scratch_path(spark, "scored-stream")
+    q = score_stream(spark, sf.rstrip("/"), schema, scorer, CALL_T, sink, sanitise=False, keep=("lead_id",), glob="lineitem.parquet")
+    run_to_completion(q)
+    return spark.read.parquet(sink)
