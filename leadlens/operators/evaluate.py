@@ -676,3 +676,80 @@ def strategy_compare(
     )
     out = nobody.unionByName(everybody).unionByName(rows)
     return out.withColumn("profit_per_call", _safe_div(F.col("profit"), F.col("calls")))
+
+
+# ---------------------------------------------------------------------------
+# Before / after tuning (inputs: long scores with model and stage columns)
+# ---------------------------------------------------------------------------
+def stage_costs(
+    df: DataFrame,
+    thresholds: Mapping[tuple[str, str], float],
+    model: str = "model",
+    stage: str = "stage",
+    label: str = "y",
+    prob: str = "probability",
+) -> DataFrame:
+    """Per (model, stage): TP revenue, FP cost, FN loss and net profit at the
+    stage's threshold (``thresholds[(model, stage)]``, a few numbers)."""
+    key = F.concat_ws("\u0001", F.col(model), F.col(stage))
+    tmap = F.create_map(*[x for (m, s), t in thresholds.items() for x in (F.lit(f"{m}\u0001{s}"), F.lit(float(t)))])
+    c = confusion(df.withColumn("_t", tmap[key]), label, prob, F.col("_t"), by=[model, stage])
+    return c.select(
+        model,
+        stage,
+        (F.col("tp") * F.lit(VALUE_TP - COST_FP)).alias("tp_revenue"),
+        (F.col("fp") * F.lit(COST_FP)).alias("fp_cost"),
+        (F.col("fn") * F.lit(COST_FN)).alias("fn_loss"),
+        profit_expr(F.col("tp"), F.col("fp"), F.col("fn")).cast("double").alias("net_profit"),
+    )
+
+
+def cost_breakdown(costs: DataFrame, model: str = "model", stage: str = "stage", before: str = "baseline", after: str = "tuned") -> DataFrame:
+    """Stage rows plus a ``delta`` row (after - before) per model."""
+    vals = ["tp_revenue", "fp_cost", "fn_loss", "net_profit"]
+    sign = F.when(F.col(stage) == after, 1.0).when(F.col(stage) == before, -1.0).otherwise(0.0)
+    delta = costs.groupBy(model).agg(*[F.sum(F.col(v) * sign).alias(v) for v in vals]).withColumn(stage, F.lit("delta"))
+    return costs.unionByName(delta.select(model, stage, *vals))
+
+
+def profit_stages(stages: DataFrame, model: str = "model", stage: str = "stage", order: Sequence[str] = ("baseline", "tuned", "optimised")) -> DataFrame:
+    """One row per model: profit at each stage (pivot) and the gains between them."""
+    wide = stages.groupBy(model).pivot(stage, list(order)).agg(F.first("net_profit"))
+    a, b, c = order
+    return wide.select(
+        model,
+        a,
+        b,
+        c,
+        (F.col(b) - F.col(a)).alias("gain_tuning"),
+        (F.col(c) - F.col(b)).alias("gain_threshold"),
+        (F.col(c) - F.col(a)).alias("total_gain"),
+    )
+
+
+def tuning_comparison(before: DataFrame, after: DataFrame, model: str = "model") -> DataFrame:
+    """Inner join on model (models missing on either side are skipped):
+    AUC, log loss, Brier and profit before/after and the differences."""
+    cols = ["roc_auc", "log_loss", "brier_score", "net_profit"]
+    b = before.select(model, *[F.col(c).alias(f"{c}_before") for c in cols])
+    a = after.select(model, *[F.col(c).alias(f"{c}_after") for c in cols])
+    j = b.join(a, model, "inner")
+    return j.select(
+        "*",
+        (F.col("roc_auc_after") - F.col("roc_auc_before")).alias("auc_gain"),
+        (F.col("log_loss_before") - F.col("log_loss_after")).alias("log_loss_gain"),
+        (F.col("brier_score_before") - F.col("brier_score_after")).alias("brier_gain"),
+        (F.col("net_profit_after") - F.col("net_profit_before")).alias("profit_gain"),
+    )
+
+
+def pr_curve(df: DataFrame, label="y", prob="probability", by=None, n_buckets=None) -> DataFrame:
+    """Precision and recall at every distinct score."""
+    keys = _by(by)
+    cum = cumulative_scores(df, label, prob, keys, n_buckets=n_buckets)
+    return cum.select(
+        *keys,
+        F.col("score").alias("threshold"),
+        (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
+        _safe_div(F.col("cum_pos").cast("double"), F.col("pos_total")).alias("recall"),
+    )

@@ -1508,3 +1508,95 @@ def q_score_stream(spark, sf):
     q = score_stream(spark, sf.rstrip("/"), schema, scorer, CALL_T, sink, sanitise=False, keep=("lead_id",), glob="lineitem.parquet")
     run_to_completion(q)
     return spark.read.parquet(sink)
+
+
+# ===========================================================================
+# 2.8 Before / after tuning over the stand-in models
+# ===========================================================================
+def _stage_thresholds(spark, sf):
+    """baseline and tuned stages at 0.5; 'optimised' = tuned scores at the optimal threshold."""
+    scores = ds.model_scores(spark, sf)
+    opt = {r["model"]: r["threshold"] for r in ev.find_optimal_threshold(scores.where("stage = 'tuned'"), "y", "score", by="model").collect()}
+    th = {}
+    for m in ds.SCORERS:
+        th[(m, "baseline")] = 0.5
+        th[(m, "tuned")] = 0.5
+    optimised = scores.where("stage = 'tuned'").withColumn("stage", F.lit("optimised"))
+    for m, t in opt.items():
+        th[(m, "optimised")] = t
+    return scores.unionByName(optimised), th
+
+
+_STAGES_SQL = f"""{SCORES}, tuned AS (SELECT * FROM scores WHERE stage = 'tuned'), {_opt_sql('tuned')},
+    st AS (SELECT model, stage, y, score, 0.5 AS t FROM scores
+           UNION ALL SELECT s.model, 'optimised', s.y, s.score, o.threshold FROM tuned s JOIN opt o USING (model)),
+    sc AS (SELECT model, stage, {_conf_sql('score >= t')} FROM st GROUP BY model, stage),
+    costs AS (SELECT model, stage, CAST(tp * 195 AS DOUBLE) AS tp_revenue, CAST(fp * 5 AS DOUBLE) AS fp_cost,
+                     CAST(fn * 200 AS DOUBLE) AS fn_loss, {_profit_sql()} AS net_profit FROM sc)"""
+
+
+@register(
+    "cost_breakdown",
+    f"""WITH {_STAGES_SQL}, c2 AS (SELECT * FROM costs WHERE stage IN ('baseline', 'tuned'))
+    SELECT * FROM c2 UNION ALL
+    SELECT model, 'delta', sum(CASE stage WHEN 'tuned' THEN tp_revenue ELSE -tp_revenue END),
+           sum(CASE stage WHEN 'tuned' THEN fp_cost ELSE -fp_cost END), sum(CASE stage WHEN 'tuned' THEN fn_loss ELSE -fn_loss END),
+           sum(CASE stage WHEN 'tuned' THEN net_profit ELSE -net_profit END) FROM c2 GROUP BY model""",
+)
+def q_cost_breakdown(spark, sf):
+    scores, th = _stage_thresholds(spark, sf)
+    costs = ev.stage_costs(scores.where("stage IN ('baseline', 'tuned')"), th, prob="score")
+    return ev.cost_breakdown(costs)
+
+
+@register(
+    "profit_stages",
+    f"""WITH {_STAGES_SQL}, w AS (SELECT model, max(net_profit) FILTER (WHERE stage = 'baseline') AS baseline,
+        max(net_profit) FILTER (WHERE stage = 'tuned') AS tuned, max(net_profit) FILTER (WHERE stage = 'optimised') AS optimised
+        FROM costs GROUP BY model)
+    SELECT *, tuned - baseline AS gain_tuning, optimised - tuned AS gain_threshold, optimised - baseline AS total_gain FROM w""",
+)
+def q_profit_stages(spark, sf):
+    scores, th = _stage_thresholds(spark, sf)
+    return ev.profit_stages(ev.stage_costs(scores, th, prob="score"))
+
+
+@register(
+    "tuning_comparison",
+    f"""WITH {_comparison_sql()}, base AS (SELECT * FROM scores WHERE stage = 'baseline'),
+    bm AS (SELECT model, avg(CASE WHEN y = 1 THEN -ln({_pc('score')}) ELSE -ln(1.0 - {_pc('score')}) END) AS log_loss,
+                  avg((score - y) * (score - y)) AS brier_score,
+                  {_profit_sql("count(*) FILTER (WHERE y = 1 AND score >= 0.5)", "count(*) FILTER (WHERE y = 0 AND score >= 0.5)", "count(*) FILTER (WHERE y = 1 AND score < 0.5)")} AS net_profit
+           FROM base GROUP BY model),
+    {_rank_sql('base', 'model').replace(' d AS', ' d2 AS').replace('FROM d)', 'FROM d2)').replace(' c AS', ' c2 AS').replace('FROM c ', 'FROM c2 ').replace(' r AS', ' r2 AS')}
+    SELECT bm.model, r2.roc_auc AS roc_auc_before, bm.log_loss AS log_loss_before, bm.brier_score AS brier_score_before,
+           bm.net_profit AS net_profit_before, cmp.roc_auc AS roc_auc_after, cmp.log_loss AS log_loss_after,
+           cmp.brier_score AS brier_score_after, cmp.net_profit AS net_profit_after,
+           cmp.roc_auc - r2.roc_auc AS auc_gain, bm.log_loss - cmp.log_loss AS log_loss_gain,
+           bm.brier_score - cmp.brier_score AS brier_gain, cmp.net_profit - bm.net_profit AS profit_gain
+    FROM bm JOIN r2 USING (model) JOIN cmp USING (model)""",
+)
+def q_tuning_comparison(spark, sf):
+    scores = ds.model_scores(spark, sf)
+    base = scores.where("stage = 'baseline'")
+    before = ev.compute_metrics(base, "y", "score", 0.5, by="model", counts=True).withColumn(
+        "net_profit", ev.profit_expr(F.col("tp"), F.col("fp"), F.col("fn")).cast("double")
+    )
+    return ev.tuning_comparison(before, model_comparison(spark, sf))
+
+
+@register(
+    "pr_curve",
+    f"""WITH {LEADS}, {_rank_sql('leads')}
+    SELECT score AS threshold, CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg) AS precision,
+           CASE WHEN P > 0 THEN CAST(cum_pos AS DOUBLE) / P ELSE 0.0 END AS recall FROM c""",
+)
+def q_pr_curve(spark, sf):
+    return ev.pr_curve(ds.leads(spark, sf), "y", "score")
+
+
+@register(
+    "verify_roundtrip",
+)
+def q_verify_roundtrip(spark, sf):
+    return q_save_load_model(spark, sf)
