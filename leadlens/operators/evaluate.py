@@ -200,9 +200,10 @@ def score_table(
 
 
 def score_buckets(df: DataFrame, prob: str, n_buckets: int | None = None) -> list[float]:
-    """Bucket edges at approximate quantiles of the raw scores (one sketch
-    pass, no shuffle; returns at most ``n_buckets - 1`` numbers).  Each bucket
-    then holds at most ~1/n of the rows and so of the distinct scores."""
+    """Bucket edges at approximate quantiles of a column (one sketch pass, no
+    shuffle; returns at most ``n_buckets - 1`` numbers).  Taken over a
+    distinct-value table, each bucket holds ~1/n of the distinct values, i.e.
+    of the rows a per-bucket window has to sort."""
     spark = df.sparkSession
     if n_buckets is None:
         n_buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions", "200")) * 2)
@@ -278,9 +279,15 @@ def cumulative_scores(
     predicted: Column | None = None,
     n_buckets: int | None = None,
 ) -> DataFrame:
-    """Distinct scores with ``cum_pos``/``cum_neg`` = counts with score >= s."""
-    table = score_table(df, label, prob, by, predicted)
-    edges = score_buckets(df, prob, n_buckets)
+    """Distinct scores with ``cum_pos``/``cum_neg`` = counts with score >= s.
+
+    The distinct-score table is checkpointed to the shared checkpoint folder:
+    the input is scanned once, the bucket sketch reads the (much smaller)
+    table, and a lost executor does not force a re-scan."""
+    from leadlens.session import materialize
+
+    table = materialize(score_table(df, label, prob, by, predicted))
+    edges = score_buckets(table, "score", n_buckets)
     return prefix_sums(table, "score", ["pos", "neg"], by, edges, descending=True)
 
 
@@ -453,22 +460,37 @@ def threshold_sweep(
     hist = b.groupBy(*keys, F.col("_k").cast("int").alias("_k")).agg(
         F.count(F.when(F.col("_y") == 1, 1)).alias("_pos"), F.count(F.when(F.col("_y") == 0, 1)).alias("_neg")
     )
-    # Every bucket 0..n of every group, generated (not joined) per group.
-    if keys:
-        full = hist.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n))).alias("_k"))
+    if keys and n <= 2000:
+        # Per group the histogram has at most n+1 rows: gather them (bounded by
+        # the grid, not the data) and build every suffix sum with higher-order
+        # functions -- one pass, no second scan for the group list, no join.
+        g = hist.groupBy(*keys).agg(F.collect_list(F.struct("_k", "_pos", "_neg")).alias("_h"))
+        total = lambda f: F.aggregate("_h", F.lit(0).cast("long"), lambda acc, e: acc + e[f])
+        at_least = lambda k, f: F.aggregate(
+            F.filter("_h", lambda e: e["_k"] >= k), F.lit(0).cast("long"), lambda acc, e: acc + e[f]
+        )
+        arr = F.transform(
+            F.sequence(F.lit(1), F.lit(n)),
+            lambda k: F.struct(k.alias("_k"), at_least(k, "_pos").alias("tp"), at_least(k, "_neg").alias("fp")),
+        )
+        sfx = g.select(*keys, total("_pos").alias("_P"), total("_neg").alias("_N"), F.inline(arr))
     else:
-        full = spark.range(n + 1).select(F.col("id").cast("int").alias("_k"))
-    full = full.join(hist, [*keys, "_k"], "left").fillna(0, ["_pos", "_neg"])
-    w_suffix = Window.partitionBy(*keys).orderBy(F.desc("_k")).rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.partitionBy(*keys)
-    sfx = full.select(
-        *keys,
-        "_k",
-        F.sum("_pos").over(w_suffix).alias("tp"),
-        F.sum("_neg").over(w_suffix).alias("fp"),
-        F.sum("_pos").over(w_all).alias("_P"),
-        F.sum("_neg").over(w_all).alias("_N"),
-    )
+        # Every bucket 0..n, then a suffix-sum window over <= n+1 rows per group.
+        if keys:
+            full = hist.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n))).alias("_k"))
+        else:
+            full = spark.range(n + 1).select(F.col("id").cast("int").alias("_k"))
+        full = full.join(hist, [*keys, "_k"], "left").fillna(0, ["_pos", "_neg"])
+        w_suffix = Window.partitionBy(*keys).orderBy(F.desc("_k")).rowsBetween(Window.unboundedPreceding, 0)
+        w_all = Window.partitionBy(*keys)
+        sfx = full.select(
+            *keys,
+            "_k",
+            F.sum("_pos").over(w_suffix).alias("tp"),
+            F.sum("_neg").over(w_suffix).alias("fp"),
+            F.sum("_pos").over(w_all).alias("_P"),
+            F.sum("_neg").over(w_all).alias("_N"),
+        )
     if isinstance(ts, LinearGrid):
         thr = ts.value_at(F.col("_k") - 1)
     else:

@@ -215,8 +215,10 @@ def exact_quantiles(
     long = df.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), quoted(c).cast("double").alias("v")) for c in cols]))
     ).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    counts = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    edges = score_buckets(long, "v", n_buckets)
+    from leadlens.session import materialize
+
+    counts = materialize(long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    edges = score_buckets(counts, "v", n_buckets)
     ranked = prefix_sums(counts, "v", ["cnt"], by="column", edges=edges, descending=False)
     # a distinct value v covers 0-based ranks [cum - cnt, cum - 1]
     lo_r = F.col("cum_cnt") - F.col("cnt")

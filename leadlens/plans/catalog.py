@@ -256,7 +256,7 @@ def _comparison_sql() -> str:
 
 
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
-    tuned = ds.model_scores(spark, sf).where(F.col("stage") == "tuned")
+    tuned = ds.model_scores(spark, sf, ("tuned",))
     return ev.model_comparison(tuned, "model", "y", "score")
 
 
@@ -304,7 +304,7 @@ def q_best_per_criterion(spark, sf):
            CASE WHEN calls > 0 THEN CAST(profit AS DOUBLE) / calls ELSE 0.0 END AS profit_per_call FROM u""",
 )
 def q_strategy_compare(spark, sf):
-    tuned = ds.model_scores(spark, sf).where(F.col("stage") == "tuned")
+    tuned = ds.model_scores(spark, sf, ("tuned",))
     th = {r["model"]: r["threshold"] for r in ev.find_optimal_threshold(tuned, "y", "score", by="model").collect()}
     return ev.strategy_compare(tuned, th, "model", "y", "score")
 
@@ -1516,7 +1516,7 @@ def q_score_stream(spark, sf):
 def _stage_thresholds(spark, sf):
     """baseline and tuned stages at 0.5; 'optimised' = tuned scores at the optimal threshold."""
     scores = ds.model_scores(spark, sf)
-    opt = {r["model"]: r["threshold"] for r in ev.find_optimal_threshold(scores.where("stage = 'tuned'"), "y", "score", by="model").collect()}
+    opt = {r["model"]: r["threshold"] for r in ev.find_optimal_threshold(ds.model_scores(spark, sf, ("tuned",)), "y", "score", by="model").collect()}
     th = {}
     for m in ds.SCORERS:
         th[(m, "baseline")] = 0.5
@@ -1577,8 +1577,7 @@ def q_profit_stages(spark, sf):
     FROM bm JOIN r2 USING (model) JOIN cmp USING (model)""",
 )
 def q_tuning_comparison(spark, sf):
-    scores = ds.model_scores(spark, sf)
-    base = scores.where("stage = 'baseline'")
+    base = ds.model_scores(spark, sf, ("baseline",))
     before = ev.compute_metrics(base, "y", "score", 0.5, by="model", counts=True).withColumn(
         "net_profit", ev.profit_expr(F.col("tp"), F.col("fp"), F.col("fn")).cast("double")
     )

@@ -102,16 +102,32 @@ FROM lineitem
 """
 
 
-def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long form: (lead_id, y, model, stage, score) for 4 models x {baseline, tuned}."""
+# Per-row integer features shared by all stand-in scorers (computed once, before the stack).
+_BASE_EXPRS = [
+    "l_orderkey * 10 + l_linenumber AS lead_id",
+    "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y",
+    "CAST(l_quantity AS INT) AS _q",
+    "CAST(round(l_discount * 100) AS INT) AS _d",
+    "l_linenumber AS _l",
+    "dayofmonth(l_shipdate) AS _dd",
+    "CAST(l_orderkey % 97 AS INT) AS _o",
+]
+
+
+def _score_from_base(model: str, shift: int | None = None) -> str:
+    a, b, c, d, e, mod, sh = SCORERS[model]
+    s = sh if shift is None else shift
+    return f"CAST((_q * {a} + _d * {b} + _l * {c} + _dd * {d} + _o * {e}) % {mod} + y * {s} AS DOUBLE) / 1000.0D"
+
+
+def model_scores(spark: SparkSession, sf_dir: str, stages: tuple[str, ...] = ("tuned", "baseline")) -> DataFrame:
+    """Long form: (lead_id, y, model, stage, score) for 4 models x the requested stages."""
     entries = []
     for m in SCORERS:
-        entries += [f"'{m}'", "'tuned'", _score_spark(m), f"'{m}'", "'baseline'", _score_spark(m, BASELINE_SHIFT[m])]
-    return table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey * 10 + l_linenumber AS lead_id",
-        "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y",
-        f"stack({len(entries) // 3}, {', '.join(entries)}) AS (model, stage, score)",
-    )
+        for st in stages:
+            entries += [f"'{m}'", f"'{st}'", _score_from_base(m, BASELINE_SHIFT[m] if st == "baseline" else None)]
+    base = table(spark, sf_dir, "lineitem").selectExpr(*_BASE_EXPRS)
+    return base.selectExpr("lead_id", "y", f"stack({len(entries) // 3}, {', '.join(entries)}) AS (model, stage, score)")
 
 
 def _model_scores_sql() -> str:
