@@ -119,7 +119,7 @@ def clean_data(
     outlier_cols: Sequence[str] = tuple(OUTLIER_COLS),
     impute_cols: Sequence[str] = tuple(IMPUTE_MODE_COLS),
     token: str = UNKNOWN,
-    checkpoint: bool = False,
+    checkpoint: bool = True,
 ) -> DataFrame:
     """The cleaning sequence; the order is part of the semantics:
     drop leakage (production) -> de-duplicate -> clip -> impute.
@@ -132,7 +132,9 @@ def clean_data(
     out = drop_leakage(df, leakage) if production else df
     out = dedup_rows(out)
     if checkpoint:
-        out = out.checkpoint(eager=True)
+        from leadlens.session import materialize
+
+        out = materialize(out)
     bounds = learn_clip_bounds(out, outlier_cols)
     out_c = clip_columns(out, bounds)
     modes = learn_modes(out_c, impute_cols, token)

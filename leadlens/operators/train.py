@@ -91,6 +91,7 @@ def make_classifier(name: str, params: Mapping | None = None, n_rows: int | None
             elasticNetParam=1.0 if p.get("penalty", "l2") == "l1" else 0.0,
             standardization=False,
             maxIter=int(p.get("max_iter", 100)),
+            tol=float(p.get("tol", 1e-4)),  # the reference solver's stopping tolerance
             **common,
         )
     if name == "random_forest":
@@ -121,7 +122,7 @@ def make_classifier(name: str, params: Mapping | None = None, n_rows: int | None
     raise ValueError(f"Unknown model name: {name!r}")
 
 
-def prepare(df: DataFrame, target: str = "y", weights: str = "balanced") -> DataFrame:
+def prepare(df: DataFrame, target: str = "y", weights: str = "balanced", spread: bool = True) -> DataFrame:
     """Rename dotted columns, add ``label`` and the class weight column.
 
     Iterative learners parallelise by partition: a small input that arrives in
@@ -129,7 +130,7 @@ def prepare(df: DataFrame, target: str = "y", weights: str = "balanced") -> Data
     (a large input already has many partitions and is left alone)."""
     out = df.select(*[quoted(c).alias(safe_name(c)) for c in df.columns]).withColumn("label", F.col(target).cast("double"))
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if out.rdd.getNumPartitions() < cores:
+    if spread and out.rdd.getNumPartitions() < cores:
         out = out.repartition(cores)
     if weights == "balanced":
         return with_balanced_weights(out, target)
@@ -235,7 +236,10 @@ def tune_model(
             for k, cap in scale.items():
                 if k in t:
                     t[k] = min(t[k], cap)
-    prepared = prepare(train_with_folds, "y", "pos" if name == "xgboost" else ("none" if name == "linear_svc" else "balanced")).persist()
+    # trials already run concurrently (``parallelism``): do not also spread the input
+    prepared = prepare(
+        train_with_folds, "y", "pos" if name == "xgboost" else ("none" if name == "linear_svc" else "balanced"), spread=False
+    ).persist()
     n = prepared.count() if name == "logistic_regression" else None
     base = make_classifier(name, trials[0], n)
     pipe = build_pipeline(base)
