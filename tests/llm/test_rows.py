@@ -1,0 +1,250 @@
+"""Operators on single rows: pages, URLs, toxic spans, secrets, benchmark passages."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from leadlens.llm import decontam, secrets, toxicity, url_rules
+from leadlens.llm.html_text import extract, main_text
+
+from .conftest import SF, words
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{x:1}</style><script>var a="<p>no</p>";</script></head><body class="has-sidebar">
+<header class="site"><h2>Brand</h2><p>Slogan of the brand, with commas, and more words to score.</p></header><nav><ul><li><a href=x>Menu</a></ul></nav>
+<div id="cookie-notice">We use cookies, to make things work, as all do.</div><!-- <p>hidden</p> --><div class="wrap"><main><article>
+<header><h1>Title &amp; more</h1></header><p>First paragraph,&nbsp;with <b>bold<br>text</b>, and
+ enough words to be the article &lt;main&gt; text.<p>Second &#8211; unclosed, with <a href=y>a link</a>, and still enough words.
+<ul><li>One item, of a list<li>Another item</ul><div class="ad-box">Buy, buy, buy this very good thing now.</div>
+<form><p>Search, here</p><input name=q></form><noscript>Enable it</noscript><aside>Also, read this other thing.</aside>
+<p title="a > b">Third &am odd &unknown; text.</p></article><section id="comments"><h3>Comments</h3><p>I, for one, think that this is a fine page.</p></section></main></div>
+<div class="sidebar"><p>Popular, posts, with, many, commas, and a long text to earn points of its own in scoring.</p></div><footer>&copy; somebody</footer></body></html>"""
+
+
+def test_main_text_of_an_article():
+    assert main_text(PAGE) == (
+        "Title & more\n\nFirst paragraph, with bold text, and enough words to be the article <main> text.\n\n"
+        "Second – unclosed, with a link, and still enough words.\n\nOne item, of a list\n\nAnother item\n\nThird &am odd &unknown; text."
+    )
+
+
+def test_container_without_article_element():
+    body = "".join(f"<p>Paragraph {k}, which has some commas, and a fair number of words in it.</p>" for k in range(4))
+    links = "".join(f"<p><a href=x>Link text number {k}, with commas, too</a></p>" for k in range(9))
+    text = main_text(f"<body><div class=menu2>{links}</div><div class=c1><div class=c2>{body}</div></div>")
+    assert text.split("\n\n") == [f"Paragraph {k}, which has some commas, and a fair number of words in it." for k in range(4)]
+
+
+@pytest.mark.parametrize("page", ["", "plain text", "<p>", "<", "<p title='open>x</p> words", "<div>" * 3000 + "deep", "</p></div>", "<script>x", "<!-- x", "<p>a<!b>c"])
+def test_odd_pages(page):
+    text = main_text(page)
+    assert text == "\n\n".join(" ".join(b.split()) for b in text.split("\n\n")) and "<p" not in text
+
+
+def test_pages_of_the_table(spark):
+    import html
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    got = {r.page_id: r for r in extract(pages).collect()}
+    for r in pages.collect():  # these pages have one article, of h1 and p
+        inner = re.sub("</?b>", "", r.html.split("<article>")[1].split("</article>")[0].split("<footer>")[0])
+        want = [" ".join(html.unescape(x).split()) for x in re.split("</?(?:p|h1)>", inner.replace("<br>", " "))]
+        assert got[r.page_id].text == "\n\n".join(x for x in want if x)
+        assert got[r.page_id].n_chars == len(got[r.page_id].text) and got[r.page_id].url == r.url
+    odd = spark.createDataFrame([(1, None, None, "t"), (None, "u", "<p>Some words here, and there", "t"), (1, None, None, "t")], "page_id long, url string, html string, text string")
+    assert sorted((r.n_chars, r.text) for r in extract(odd).collect()) == [(0, ""), (0, ""), (26, "Some words here, and there")]
+    assert extract(odd.limit(0)).count() == 0
+
+
+RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "", "allow"), ("b.org", "/x", "allow"), ("b.org", "/x", "block"), ("q", None, "block")]
+
+
+def brute_verdict(url):
+    m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+    host, path = (m[1].translate({c: c + 32 for c in range(65, 91)}), m[2]) if m else ("", "")
+    fit = [(len(h + p), len(h), h + p, v) for h, p, v in RULES if p is not None and (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fit, default=(0, 0, None, "allow"))
+    return host, path, best[2], best[3]
+
+
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_urls_against_brute_force(spark, most, monkeypatch):
+    monkeypatch.setattr(url_rules, "MOST_BROADCAST", most)
+    urls = [None, "", "x", "http://", "HTTP://WWW.Example.COM/en/a?b#c", "http://a.example.com/en/", "http://xexample.com/en/x", "http://example.com/EN/", "https://a.b.net/es/1", "http://net/es", "http://net",
+            "http://user:p@b.org:80/x", "http://b.org/xyz", "http://B.ORG/x?y=http://c.com/", "a://b://c.com/", "http://.com/", "http://com./", "http://ÄÖ.com/ü", "http://" + "a." * 2000 + "com/" + "p" * 5000, "http://com#/x", "http://q/"]
+    urls += [urls[8]] * 50
+    df = spark.createDataFrame([(i, u, "own") for i, u in enumerate(urls)] + [(None, urls[4], "own")], "page_id long, url string, rule string")
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    got = {(r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_rules.judge_urls(df, rules).collect()}
+    assert got == {(i, *brute_verdict(u)) for i, u in enumerate(urls)} | {(None, *brute_verdict(urls[4]))}
+    assert url_rules.judge_urls(df, rules).count() == len(urls) + 1
+    assert url_rules.judge_urls(df.limit(0), rules).count() == 0
+    assert {r.verdict for r in url_rules.judge_urls(df, rules.limit(0), "block").collect()} == {"block"}
+
+
+def brute_secrets(text):
+    out = []
+    for k, (kind, pattern, group, least) in enumerate(secrets.BASE):
+        for m in re.finditer(pattern, text, re.ASCII):  # a long s is no s
+            if len(m[group]) >= least:
+                out.append((m.start(), k, m.end(), kind))
+    return sorted(out)
+
+
+def test_base_secrets_against_brute_force(spark):
+    rng = random.Random(8)
+    parts = ["password", "Secret", "TOKEN", "api_key", "apikey", "passwd", "=", ": ", ' : "', "'", "AKIA", "AKIA0123456789ABCD", "deadbeefdeadbeef", "0123456789abcdef01", "abc", "Z9/+_.=-", " ", "\n", "é", "\U0001f600", "hunter2hunter2", ":", "ſecret=abcdefabcdefg"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 25))) for _ in range(400)] + ["token: secret: abcdefghijklmnop", None, "", "AKIA" * 30, "token=" + "a1" * 4000, "password=hunter2hunter2 " * 300]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(None, texts[0], "x"), (0, texts[0], "x")], "doc_id long, text string, hex string")
+    got = secrets.scan(df, [0.0] * secrets.SIZE**2).collect()
+    assert len(got) == len(texts) + 2
+    for r in got:
+        text = texts[r.doc_id or 0] or ""
+        assert sorted((s.start, s.ord, s.end, s.kind) for s in [*r.assign, *r.access, *r.hex]) == brute_secrets(text)
+        assert r.markov == []
+    assert secrets.scan(df.limit(0), [0.0] * secrets.SIZE**2).count() == 0
+
+
+def test_markov_models_find_random_tokens(spark):
+    rng = random.Random(3)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rand = lambda n: "".join(rng.choices(alphabet, k=n))
+    plain = lambda: "_".join(words(rng, 6).split())
+    samples = [(rand(32), True) for _ in range(500)] + [(plain(), False) for _ in range(500)] + [(None, True), ("é~\x01", False), ("x", None), ("ab", None)]
+    ratios = secrets.fit_models(spark.createDataFrame(samples, "token string, random boolean"))
+    texts = [f"see {plain()} or {rand(40)} é" for _ in range(100)]
+    got = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ratios).collect()
+    hits = [texts[r.doc_id][s.start : s.end] for r in got for s in r.markov]
+    ends = [t.split()[3] for t in texts]
+    assert len(set(hits) & set(ends)) >= 95 and len(set(hits) - set(ends)) <= 2
+    table = np.array(ratios).reshape(secrets.SIZE, secrets.SIZE)
+    from pyspark.sql import functions as F
+
+    row = spark.createDataFrame([(ends[0],)], "t string").select(secrets.likelihood_ratio(F.col("t"), ratios).alias("x")).first()
+    assert row.x == pytest.approx(sum(table[ord(a) - secrets.LOW, ord(b) - secrets.LOW] for a, b in zip(ends[0], ends[0][1:])))
+    assert set(secrets.fit_models(spark.createDataFrame([], "token string, random boolean"))) == {0.0}
+
+
+def edits(pattern: str, text: str) -> int:
+    """Fewest edits of the pattern with any part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, p in enumerate(pattern):
+        new = [i + 1]
+        for j, t in enumerate(text):
+            new.append(min(row[j] + (p != t), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def test_passages_against_brute_force(spark):
+    rng = random.Random(6)
+    items = [(k, words(rng, rng.randint(6, 30)).capitalize() + ".") for k in range(12)] + [(50, "short"), (51, None), (52, "")]
+
+    def noisy(text, n):
+        text = list(text)
+        for _ in range(n):
+            k = rng.randrange(len(text))
+            text[k : k + 1] = rng.choice([[], ["x"], [text[k], "y"]])
+        return "".join(text)
+
+    docs = []
+    for k in range(120):
+        item = items[rng.randrange(12)][1]
+        body = noisy(item, rng.randint(0, len(item) // 7))
+        docs.append((k, words(rng, rng.randint(0, 30)) + " " + body.replace(" ", rng.choice([" ", "\n", "  "])) + " " + words(rng, rng.randint(0, 30)), "x", 0))
+    docs += [(200, None, "x", 0), (201, "", "x", 0), (None, items[0][1].upper(), "x", 0), (202, words(rng, 3000) + items[1][1], "x", 0), (0, docs[0][1], "x", 0)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, item_id string, start int")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.find_passages(df, bench).collect()
+    found = {(r.doc_id, r.item_id): r.edits for r in got}
+    normal = lambda t: " ".join((t or "").lower().split())
+    for i, text, *_ in docs:
+        for k, item in items[:12]:
+            least = edits(normal(item), normal(text)) if i != 202 else (0 if k == 1 else 99)
+            limit = min(int(0.1 * len(normal(item))), (len(normal(item)) - 8) // 8)
+            assert found.get((i, k)) == (least if least <= limit else None), (i, k)
+    for r in got:
+        if r.edits == 0:
+            text = normal(next(t for i, t, *_ in docs if i == r.doc_id))
+            assert text[r.start : r.end] == normal(items[r.item_id][1])
+    kept = decontam.drop_contaminated(df, bench)
+    assert kept.columns == df.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, *_ in docs if i not in {k for k, _ in found})
+    assert decontam.find_passages(df.limit(0), bench).count() == 0 and decontam.find_passages(df, bench.limit(0)).count() == 0
+
+
+def test_passages_across_windows_and_sets(spark, monkeypatch):
+    rng = random.Random(2)
+    items = [(k, words(rng, 20)) for k in range(9)]
+    text = " ".join(words(rng, 60) + " " + t for _, t in items)
+    scanner = decontam.Scanner(items)
+    assert [m[0] for m in scanner.find([text], window=1 << 20)[0]] == list(range(9))
+    assert scanner.find([text], window=700) == scanner.find([text])
+    monkeypatch.setattr(decontam, "MOST_CHARS", 300)
+    docs = spark.createDataFrame([(1, text), (2, "clean words only")], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(r.item_id for r in decontam.find_passages(docs, bench).collect()) == list(range(9))
+    assert [r.doc_id for r in decontam.drop_contaminated(docs, bench).collect()] == [2]
+
+
+def test_chain_against_enumeration():
+    from itertools import product
+
+    rng = np.random.default_rng(0)
+    sizes = [1, 4, 6, 2, 7]
+    emit, trans, start = rng.normal(size=sum(sizes)) * 2, rng.normal(size=(2, 2)), rng.normal(size=2)
+    ends = np.cumsum(sizes)
+    resets = np.isin(np.arange(ends[-1]), np.concatenate([[0], ends[:-1]]))
+    p, pair, first = toxicity.chain(emit, resets, trans, start)
+    want, want_pair, want_first = np.zeros(ends[-1]), np.zeros((2, 2)), np.zeros(2)
+    for lo, hi in zip(ends - sizes, ends):
+        total = 0.0
+        for y in product((0, 1), repeat=hi - lo):
+            w = np.exp(start[y[0]] + sum(emit[lo + k] * v for k, v in enumerate(y)) + sum(trans[a, b] for a, b in zip(y, y[1:])))
+            total += w
+        for y in product((0, 1), repeat=hi - lo):
+            w = np.exp(start[y[0]] + sum(emit[lo + k] * v for k, v in enumerate(y)) + sum(trans[a, b] for a, b in zip(y, y[1:]))) / total
+            want[lo:hi] += w * np.array(y)
+            want_first[y[0]] += w
+            for a, b in zip(y, y[1:]):
+                want_pair[a, b] += w
+    assert np.allclose(p, want) and np.allclose(pair, want_pair) and np.allclose(first, want_first)
+
+
+def test_toxic_scores_on_held_out_rows(spark):
+    rng = random.Random(1)
+    bad = ["vilehat", "vilehet", "grubok", "grubak"]
+    rows, labels = [], []
+    for i in range(900):
+        w = words(rng, rng.randint(20, 120)).split()
+        toxic = i % 3 == 0
+        for _ in range(rng.randint(2, 5) if toxic else 0):
+            w.insert(rng.randrange(len(w)), rng.choice(bad) + rng.choice(["", "", "er", ","]))
+        rows.append((i, " ".join(w), "x"))
+        labels.append((i, int(toxic)))
+    rows += [(5000, None, "x"), (5001, "", "x"), (None, "vilehat you", "x"), (5000, None, "x"), (5002, words(rng, 20000) + " grubok", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    model = toxicity.fit_on(docs, spark.createDataFrame(labels + [(None, 1), (7000, None), (3, 1)], "doc_id long, toxic int"))
+    got = {r.doc_id: r for r in toxicity.score_documents(docs, model).collect()}
+    assert toxicity.score_documents(docs, model).count() == len(rows)
+    import zlib
+
+    held = [i for i in range(900) if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert [i for i in range(900) if got[i].held_out] == held
+    wrong = [i for i in held if got[i].predicted != labels[i][1]]
+    assert len(wrong) <= 0.03 * len(held)
+    for i in held:
+        text = rows[i][1]
+        if labels[i][1] and got[i].predicted:
+            assert any("vile" in text[s.start : s.end] or "grub" in text[s.start : s.end] for s in got[i].spans)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got.values())
+    assert got[5001].predicted == 0
+    kept = toxicity.drop_toxic(docs, model)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, *_ in rows if not got[i].predicted)
+    none = toxicity.fit_on(docs.limit(0), spark.createDataFrame([], "doc_id long, toxic int"))
+    assert toxicity.score_documents(docs.limit(0), none).count() == 0
+    assert len({r.score for r in toxicity.score_documents(docs, none).collect()}) == 1
