@@ -22,8 +22,9 @@ SHIFT = 57
 
 
 def words_of(line: Column) -> Column:
-    """Lower-case words, separated by ASCII white space."""
-    return F.filter(F.split(F.lower(line), r"[\s\x0B]+"), lambda w: w != "")
+    """Lower-case words, separated by ASCII white space.  Lines with single blanks alone are split without a pattern."""
+    odd = line.rlike(r"[\t\r\f\x0B]|  |^ | $|^$")
+    return F.when(odd, F.array_remove(F.split(F.lower(line), r"[\s\x0B]+"), "")).otherwise(F.split(F.lower(line), " "))
 
 
 def _exploded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -34,8 +35,8 @@ def _exploded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def word_ranks(docs: DataFrame, text_col: str = "text") -> list[int]:
     """A rank from 0 (rare) to 63 of each group of words, by the logarithm of its count over all texts."""
-    words = docs.select(F.explode(F.split(F.lower(text_of(text_col)), r"[\s\x0B]+")).alias("w"))
-    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(GROUPS)).alias("g")).agg(F.count("*").alias("n")).collect()
+    words = docs.select(F.explode(F.split(F.lower(F.translate(text_of(text_col), "\n", " ")), " ")).alias("w"))
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(GROUPS - 1)).alias("g")).agg(F.count("*").alias("n")).collect()
     total = sum(r["n"] for r in counts) or 1
     ranks = [0] * GROUPS
     for r in counts:
@@ -43,25 +44,25 @@ def word_ranks(docs: DataFrame, text_col: str = "text") -> list[int]:
     return ranks
 
 
-def line_tokens(words: Column, ranks: list[int], shingle: int = 5) -> Column:
-    """Distinct shingles as sorted longs, rarest first: the rank of its rarest word, which bounds how common a shingle can be, above
-    57 bits of its hash."""
-    table = F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")  # folded to one literal
-    low = (1 << SHIFT) - 1
-
-    def ranked(w):
-        h = F.xxhash64(w)
-        return F.shiftleft(F.get(table, F.pmod(h, F.lit(GROUPS)).cast("int")), SHIFT).bitwiseOR(h.bitwiseAND(F.lit(low)))
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
 
-    hashed = F.transform(words, ranked)
-    n = F.size(words) - (shingle - 1)
-    zipped = F.arrays_zip(*[F.slice(hashed, i + 1, n).alias(str(i)) for i in range(shingle)])
 
-    def token(s):
-        rarest = F.least(*[s[str(i)] for i in range(shingle)])
-        return F.shiftleft(F.shiftright(rarest, SHIFT), SHIFT).bitwiseOR(F.xxhash64(s).bitwiseAND(F.lit(low)))
-
-    return F.when(F.size(words) < shingle, F.array(F.xxhash64(words).bitwiseAND(F.lit(low)))).otherwise(F.sort_array(F.array_distinct(F.transform(zipped, token))))
+def line_tokens(hashes: Column, ranks: list[int], shingle: int = 5) -> Column:
+    """Distinct shingles, from the hashes of the words, as sorted longs, rarest first: the rank of the rarest word, which bounds how common
+    a shingle can be, above 57 bits of its hash.  The shingle is folded from the left, two words at a time."""
+    table = F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")  # folded to one literal
+    low, n = F.lit((1 << SHIFT) - 1), F.size(hashes) - (shingle - 1)
+    ranked = F.transform(hashes, lambda x: F.shiftleft(F.get(table, x.bitwiseAND(F.lit(GROUPS - 1)).cast("int")), SHIFT).bitwiseOR(x.bitwiseAND(low)))
+    high = F.lit(63 << SHIFT)
+    fold = lambda a, b: F.least(a, b).bitwiseAND(high).bitwiseOR(F.xxhash64(a, b).bitwiseAND(low))
+    out, width = ranked, 1
+    while width < shingle:  # the last fold may overlap
+        step = min(width, shingle - width)
+        out = once(out, lambda o, step=step: F.zip_with(o, F.slice(o, step + 1, F.size(o)), fold))
+        width += step
+    return F.when(F.size(hashes) < shingle, F.array(F.xxhash64(hashes).bitwiseAND(low))).otherwise(F.sort_array(F.array_distinct(F.slice(out, 1, n))))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, ranks: list[int], similarity: float, shingle: int, id_col: str, text_col: str) -> DataFrame:
@@ -76,7 +77,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, ranks: list[int], similarity: f
     rows = rows.join(wanted, F.col("d").eqNullSafe(F.col("wd")) & (F.col("h") == F.col("wh")))
     lines = rows.withColumn("lines", F.split("t", "\n")).select("d", "h", F.explode("nos").alias("no"), "lines")
     lines = lines.select(F.struct("d", "h", "no").alias("p"), F.get("lines", F.col("no")).alias("line")).dropDuplicates(["p"])
-    sets = written(lines.select("p", line_tokens(words_of(F.col("line")), ranks, shingle).alias("t")), "line_sets")
+    sets = written(lines.select("p", line_tokens(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)), ranks, shingle).alias("t")), "line_sets")
     met = pairs.join(sets.select(F.col("p").alias("x"), F.col("t").alias("tx")), "x").join(sets.select(F.col("p").alias("y"), F.col("t").alias("ty")), "y")
     both = F.size(F.array_intersect("tx", "ty"))
     return met.filter(both >= F.lit(similarity) * (F.size("tx") + F.size("ty") - both)).select("k").distinct()
@@ -84,8 +85,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, ranks: list[int], similarity: f
 
 def distinct_lines(docs: DataFrame, ranks: list[int], similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per distinct line with words: k (hash), place (d, h, no) of its first occurrence, n (shingles), prefix."""
-    lines = _exploded(docs, id_col, text_col).withColumn("words", words_of(F.col("line"))).filter(F.size("words") > 0)
-    lines = lines.select("d", "h", "no", F.struct(F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), "words").alias("b")).alias("k"), line_tokens(F.col("words"), ranks, shingle).alias("t"))
+    lines = _exploded(docs, id_col, text_col).filter(F.col("line").rlike(r"[^\s\x0B]"))
+    lines = lines.select("d", "h", "no", F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)).alias("x"))
+    lines = lines.select("d", "h", "no", F.struct(F.xxhash64("x").alias("a"), F.xxhash64(F.lit(1), "x").alias("b")).alias("k"), line_tokens(F.col("x"), ranks, shingle).alias("t"))
     n = F.size("t")
     lines = lines.select("k", F.struct("d", "h", "no").alias("place"), n.alias("n"), F.slice("t", 1, n - F.ceil(n * F.lit(similarity)).cast("int") + 1).alias("prefix"))
     return lines.groupBy("k").agg(F.min("place").alias("place"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
@@ -98,10 +100,11 @@ def matched_lines(docs: DataFrame, distinct: DataFrame, ranks: list[int], simila
     compared with all earlier ones of its shingles.  A large group of near copies so takes one comparison a line.
     """
     s = F.lit(similarity)
-    rows = distinct.select("k", "place", "n", F.posexplode("prefix").alias("i", "token"))
+    rows = distinct.select(F.col("k.a").alias("a"), F.posexplode("prefix").alias("i", "token"))
     same = Window.partitionBy("token")
-    rows = rows.withColumn("many", F.count("*").over(same)).filter("many > 1")
-    rows = written(rows.withColumn("head", F.min(F.struct("place", "k", "n", "i")).over(same)), "prefix_rows")
+    rows = rows.withColumn("many", F.count("*").over(same)).filter("many > 1").drop("many").join(distinct.select(F.col("k.a").alias("a"), "k", "place", "n"), "a")
+    rows = rows.select("token", "k", "place", "n", "i", F.count("*").over(same).alias("many"), F.min(F.struct("place", "k", "n", "i")).over(same).alias("head"))
+    rows = written(rows, "prefix_rows")
 
     def alike(n, m, i, j) -> Column:
         """Length filter, and the positional filter on the first shared shingle."""
