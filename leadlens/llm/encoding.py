@@ -77,10 +77,12 @@ class PieceEncoder:
         return self._pack(self._ids(text))
 
     def _word(self, blank: str, word: str) -> bytes:
-        m = SIMPLE.fullmatch(word)
-        if not m:
+        if word.isascii() and word.isalpha():
+            stem, marks = word, ""
+        elif m := SIMPLE.fullmatch(word):
+            stem, marks = m.groups()
+        else:
             return self._whole(blank + word)
-        stem, marks = m.groups()
         blank = blank if self.kind == "byte" else ""
         if self.kind == "word":
             stem = stem.lower()
