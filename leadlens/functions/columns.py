@@ -121,8 +121,9 @@ def equal_width_index(col: str | Column, lo: Column, hi: Column, n: int) -> Colu
 
 
 def cap_value(col: str | Column, upper: float) -> Column:
-    """Upper clip; NULL stays NULL."""
-    return F.least(_c(col), F.lit(upper))
+    """Upper clip; NULL stays NULL and NaN stays NaN."""
+    c = _c(col)
+    return F.when((c > F.lit(upper)) & ~F.isnan(c), F.lit(upper)).otherwise(c)
 
 
 # ---------------------------------------------------------------------------
@@ -194,7 +195,7 @@ def reason_codes(
     ag = F.coalesce(col(age), F.lit(0))
     pd_ = F.coalesce(col(pdays), F.lit(NEVER_CONTACTED))
     emp = F.coalesce(col(employed), F.lit(5200.0))
-    title = lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 20)))
+    title = lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, F.lit(2), F.length(c))))
     pos = F.array_compact(
         F.array(
             F.when(col(poutcome) == "success", F.lit("Previous campaign: Success")),
@@ -236,11 +237,6 @@ def sanitised(col: str | Column, limit: float = SANITISE_LIMIT) -> Column:
     return F.greatest(F.least(F.when(bad, F.lit(0.0)).otherwise(c), F.lit(limit)), F.lit(-limit))
 
 
-def is_nan_or_null(col: str | Column, numeric: bool) -> Column:
-    c = _c(col)
-    return (c.isNull() | F.isnan(c)) if numeric else c.isNull()
-
-
 def quoted(name: str) -> Column:
     """Column reference that tolerates dots in the name."""
     return F.col(f"`{name}`")

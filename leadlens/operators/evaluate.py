@@ -96,7 +96,13 @@ def _predicate(prob: str, threshold: float | Column | None, pred: str | None) ->
     if threshold is None:
         raise ValueError("give a threshold or a prediction column")
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    return F.col(prob) >= t
+    return valid_probability(F.col(prob)) >= t
+
+
+def valid_probability(p: Column) -> Column:
+    """The probability; a NULL or NaN one fails the job instead of vanishing from counts or counting as a call."""
+    p = p.cast("double")
+    return F.when(p.isNotNull() & ~F.isnan(p), p).otherwise(F.raise_error(F.lit("probability is NULL or NaN")).cast("double"))
 
 
 # ---------------------------------------------------------------------------
@@ -186,7 +192,7 @@ def score_table(
     happens map-side before the shuffle."""
     keys = _by(by)
     y = _label_int(label)
-    p = F.col(prob).cast("double")
+    p = valid_probability(F.col(prob))
     pc = F.greatest(F.least(p, F.lit(1.0 - LOG_LOSS_EPS)), F.lit(LOG_LOSS_EPS))
     aggs = [
         F.count(F.when(y == 1, 1)).alias("pos"),
@@ -196,7 +202,7 @@ def score_table(
     ]
     if predicted is not None:
         aggs += confusion_aggs(label, predicted)
-    return df.groupBy(*keys, F.col(prob).cast("double").alias("score")).agg(*aggs)
+    return df.groupBy(*keys, p.alias("score")).agg(*aggs)
 
 
 def score_buckets(df: DataFrame, prob: str, n_buckets: int | None = None) -> list[float]:

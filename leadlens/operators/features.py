@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadlens.functions.columns import quoted, sentinel_split
+from leadlens.functions.columns import quoted
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's.
@@ -56,10 +56,16 @@ def safe_name(name: str) -> str:
 # ---------------------------------------------------------------------------
 # Standard scaling (population std; constant column -> divisor 1)
 # ---------------------------------------------------------------------------
+def _known(col: str) -> Column:
+    """The column as double; NaN is left out of statistics, as NULL is."""
+    x = quoted(col).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def fit_standard_scaler(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     row = train.agg(
-        *[F.avg(quoted(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.stddev_pop(quoted(c).cast("double")).alias(f"s{i}") for i, c in enumerate(columns)],
+        *[F.avg(_known(c)).alias(f"m{i}") for i, c in enumerate(columns)],
+        *[F.stddev_pop(_known(c)).alias(f"s{i}") for i, c in enumerate(columns)],
     ).first()
     out = {}
     for i, c in enumerate(columns):
@@ -180,12 +186,16 @@ def build_pipeline(
     sentinel_col: str | None = "pdays",
     order: Sequence[str] = tuple(EDUCATION_ORDER),
     scale: bool = True,
+    binary: Sequence[str] = (),
+    n_rows: int | None = None,
 ):
     """A ``pyspark.ml.Pipeline``: SQL sentinel split + ordinal code, string
-    indexing (alphabetical, unseen kept) and one-hot, assembly, scaling and the
-    classifier (features -> ``features``, label -> ``label``)."""
+    indexing (alphabetical) and one-hot (one slot per level, unseen levels all zeros; columns named in ``binary``
+    have two levels and keep the second), assembly, scaling and the classifier (features -> ``features``, label -> ``label``).
+    With ``n_rows``, the scaler divides by the population deviation, as the expression form does."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
+    from pyspark.ml.linalg import Vectors
 
     nums = [safe_name(c) for c in numeric]
     selects = []
@@ -198,7 +208,7 @@ def build_pipeline(
         ]
     if ordinal:
         arr = ", ".join(f"'{v}'" for v in order)
-        selects.append(f"CAST(array_position(array({arr}), {safe_name(ordinal)}) - 1 AS DOUBLE) AS ord_{safe_name(ordinal)}")
+        selects.append(f"CAST(coalesce(array_position(array({arr}), {safe_name(ordinal)}) - 1, -1) AS DOUBLE) AS ord_{safe_name(ordinal)}")
     sql = SQLTransformer(statement=f"SELECT *, {', '.join(selects)} FROM __THIS__" if selects else "SELECT * FROM __THIS__")
     noms = [safe_name(c) for c in nominal]
     stages = [sql]
@@ -208,15 +218,16 @@ def build_pipeline(
                 inputCols=noms, outputCols=[f"{c}_idx" for c in noms], handleInvalid="keep", stringOrderType="alphabetAsc"
             )
         )
-        stages.append(OneHotEncoder(inputCols=[f"{c}_idx" for c in noms], outputCols=[f"{c}_oh" for c in noms], handleInvalid="keep", dropLast=True))
+        stages.append(OneHotEncoder(inputCols=[f"{c}_idx" for c in noms], outputCols=[f"{c}_oh" for c in noms], handleInvalid="error", dropLast=True))  # the last is the indexer's slot of unseen levels
+        stages += [VectorSlicer(inputCol=f"{safe_name(c)}_oh", outputCol=f"{safe_name(c)}_second", indices=[1]) for c in binary]
     stages.append(VectorAssembler(inputCols=nums, outputCol="num_vec", handleInvalid="keep"))
     if scale:
-        stages.append(StandardScaler(inputCol="num_vec", outputCol="num_scaled", withMean=True, withStd=True))
-    parts = ["num_scaled" if scale else "num_vec"] + ([f"ord_{safe_name(ordinal)}"] if ordinal else []) + [f"{c}_oh" for c in noms]
+        sample = "num_sample" if n_rows and n_rows > 1 else "num_scaled"
+        stages.append(StandardScaler(inputCol="num_vec", outputCol=sample, withMean=True, withStd=True))
+        if sample == "num_sample":  # from the sample deviation to the population's
+            stages.append(ElementwiseProduct(inputCol=sample, outputCol="num_scaled", scalingVec=Vectors.dense([(n_rows / (n_rows - 1)) ** 0.5] * len(nums))))
+    parts = ["num_scaled" if scale else "num_vec"] + ([f"ord_{safe_name(ordinal)}"] if ordinal else []) + [f"{c}_second" if c in {safe_name(b) for b in binary} else f"{c}_oh" for c in noms]
     stages.append(VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="keep"))
     stages.append(classifier)
     return Pipeline(stages=stages)
 
-
-def with_sentinel(df: DataFrame, col: str = "pdays") -> DataFrame:
-    return sentinel_split(df, col)

@@ -71,7 +71,10 @@ def batch_score(
     )
     if prob != "probability":
         out = out.drop(prob)
-    return out.orderBy(F.desc("probability"))
+    # rounded values tie by the thousand: sort by the exact one, then by every other column
+    rest = [quoted(c) for c in df.columns if c not in (prob, "probability")]
+    exact = scored.withColumns({"_exact": p, "verdict": F.when(p >= F.lit(threshold), "YES").otherwise("NO"), "probability": F.round(p, digits)})
+    return exact.orderBy(F.desc("_exact"), *rest).select(*[quoted(c) for c in out.columns])
 
 
 def batch_summary(df: DataFrame, threshold: float, prob: str = "probability") -> DataFrame:
@@ -133,7 +136,8 @@ def decision_zones(df: DataFrame, threshold: float, label: str = "y", prob: str
         .groupBy("zone")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("subscribers"), F.avg("_p").alias("avg_prob"))
     )
-    out = F.broadcast(zones).join(g, "zone", "left").select(
+    g = g.where(F.col("zone").isNotNull())  # at most one row per zone
+    out = zones.join(F.broadcast(g), "zone", "left").select(
         "zone_order",
         "zone",
         F.coalesce("n", F.lit(0)).alias("n"),
@@ -164,14 +168,16 @@ def segment_profile(
         F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), quoted(f).cast("string").alias("level")) for f in features])),
     )
     counts = long.groupBy(name, "feature", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("subs"))
-    seg_n = Window.partitionBy(name, "feature")
-    rank = Window.partitionBy(name, "feature").orderBy(F.desc("n"), F.asc("level"))
-    ranked = counts.select(
-        "*",
-        F.sum("n").over(seg_n).alias("_seg_n"),
-        F.row_number().over(rank).alias("rank"),
-    )
-    return ranked.where(F.col("rank") <= top).select(
+    # a feature may have very many levels: totals and the best levels come from map-side aggregates, first within hash groups of levels
+    totals = counts.groupBy(name, "feature").agg(F.sum("n").alias("_seg_n"))
+    part = F.pmod(F.xxhash64("level"), F.lit(256)).alias("_part")
+    some = Window.partitionBy(name, "feature", part).orderBy(F.desc("n"), F.asc("level"))
+    best = counts.withColumn("_place", F.row_number().over(some)).where(F.col("_place") <= top).drop("_place")
+    rank = Window.partitionBy(name, "feature").orderBy(F.desc("n"), F.asc("level"))  # at most 256 * top rows
+    ranked = best.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= top)
+    same = [ranked[name].eqNullSafe(totals[name]), ranked["feature"] == totals["feature"]]
+    ranked = ranked.join(totals, same).select(ranked[name], ranked["feature"], "rank", "level", "n", "subs", "_seg_n")
+    return ranked.select(
         name,
         "feature",
         "rank",
@@ -267,6 +273,3 @@ def top_level(profile: DataFrame, segment: str = "tier") -> DataFrame:
     """The most common level of each feature in each segment."""
     return profile.where(F.col("rank") == 1).select(segment, "feature", "level")
 
-
-def label_map(mapping: Mapping[str, str], col: str) -> Column:
-    return F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])[F.col(col)]

@@ -250,6 +250,12 @@ def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float])
     return {(r["column"], float(r["prob"])): r["value"] for r in rows}
 
 
+def _number(col: str) -> Column:
+    """The column as double; NaN counts as missing."""
+    x = quoted(col).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def _skew_kurt(c: Column) -> tuple[Column, Column, Column]:
     """Sample-size-corrected skewness and excess kurtosis (pandas ``skew``/``kurt``)
     from Spark's population ``skewness``/``kurtosis``."""
@@ -306,7 +312,7 @@ def skewness_report(df: DataFrame, columns: Sequence[str] | None = None, high: f
     cols = list(columns or numeric_columns(df))
     aggs = []
     for i, c in enumerate(cols):
-        _, sk, ku = _skew_kurt(quoted(c).cast("double"))
+        _, sk, ku = _skew_kurt(_number(c))
         aggs += [sk.alias(f"_sk{i}"), ku.alias(f"_ku{i}")]
     rep = _long(
         df.agg(*aggs),
@@ -322,7 +328,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], pairs: str = "all"
     cols = list(columns)
     idx = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if (i < j if pairs == "upper" else True)]
     uniq = sorted({(min(i, j), max(i, j)) for i, j in idx if i != j})
-    agg = df.agg(*[F.corr(quoted(cols[i]).cast("double"), quoted(cols[j]).cast("double")).alias(f"_r{i}_{j}") for i, j in uniq], F.lit(1.0).alias("_one"))
+    agg = df.agg(*[F.corr(_number(cols[i]), _number(cols[j])).alias(f"_r{i}_{j}") for i, j in uniq], F.lit(1.0).alias("_one"))
     structs = []
     for i, j in idx:
         r = F.col("_one") if i == j else F.col(f"_r{min(i, j)}_{max(i, j)}")
@@ -354,7 +360,7 @@ def outlier_report(df: DataFrame, columns: Sequence[str], low: float = 0.01, hig
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(cols):
         lo, hi = qm.get((c, low)), qm.get((c, high))
-        x = quoted(c).cast("double")
+        x = _number(c)
         aggs.append(F.count(F.when(x < F.lit(lo), 1)).alias(f"_lo{i}"))
         aggs.append(F.count(F.when(x > F.lit(hi), 1)).alias(f"_hi{i}"))
     rep = _long(
@@ -411,7 +417,8 @@ def conversion_by_ordered(
     cal = spark.createDataFrame([(i + 1, v) for i, v in enumerate(levels)], "ordinal int, level string")
     g = df.groupBy(quoted(column).alias("level")).agg(_rate(target).alias("conversion_pct"), F.count(F.lit(1)).alias("n"))
     # the calendar has a fixed, tiny size: broadcasting it is bounded
-    return F.broadcast(cal).join(g, "level", "left").select("ordinal", "level", "conversion_pct", "n").orderBy("ordinal")
+    g = g.where(F.col("level").isin(levels))  # as many rows as the calendar has
+    return cal.join(F.broadcast(g), "level", "left").select("ordinal", "level", "conversion_pct", "n").orderBy("ordinal")
 
 
 def conversion_by_bin(df: DataFrame, bin_col: Column | str, target: str = "y", name: str = "bin") -> DataFrame:
@@ -453,6 +460,3 @@ def histogram(df: DataFrame, column: str, lo: float, hi: float, bins: int) -> Da
     frame = spark.createDataFrame([(i, edges[i], edges[i + 1]) for i in range(bins)], "bin int, lower double, upper double")
     return frame.join(counts, "bin", "left").select("bin", "lower", "upper", F.coalesce("n", F.lit(0)).alias("n"))
 
-
-def group_rates(df: DataFrame, keys: Mapping[str, Column], target: str = "y") -> DataFrame:
-    return df.groupBy(*[c.alias(k) for k, c in keys.items()]).agg(_rate(target).alias("conversion_pct"), F.count(F.lit(1)).alias("n"))

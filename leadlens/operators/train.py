@@ -59,9 +59,15 @@ def class_weights(df: DataFrame, target: str = "y") -> DataFrame:
     )
 
 
+def _join_weights(df: DataFrame, weights: DataFrame, target: str) -> DataFrame:
+    """One row per class is broadcast; rows without a target keep their place (and make a fit fail loudly)."""
+    w = weights.withColumnRenamed(target, "_wt")
+    return df.join(F.broadcast(w), F.col(target).eqNullSafe(F.col("_wt")), "left").drop("_wt")
+
+
 def with_balanced_weights(df: DataFrame, target: str = "y", out: str = "weight") -> DataFrame:
     cw = class_weights(df, target).select(target, F.col("weight").alias(out))
-    return df.join(F.broadcast(cw), target)
+    return _join_weights(df, cw, target)
 
 
 def with_pos_weight(df: DataFrame, target: str = "y", out: str = "weight") -> DataFrame:
@@ -69,12 +75,18 @@ def with_pos_weight(df: DataFrame, target: str = "y", out: str = "weight") -> Da
     cw = class_weights(df, target).select(
         target, F.when(F.col(target) == 1, F.col("scale_pos_weight")).otherwise(F.lit(1.0)).alias(out)
     )
-    return df.join(F.broadcast(cw), target)
+    return _join_weights(df, cw, target)
 
 
 # ---------------------------------------------------------------------------
 # Classifiers
 # ---------------------------------------------------------------------------
+def _depth(depth) -> int:
+    if int(depth) > 30:
+        raise ValueError("MLlib trees have at most 30 levels")
+    return int(depth)
+
+
 def make_classifier(name: str, params: Mapping | None = None, n_rows: int | None = None, weight_col: str | None = "weight"):
     """A ``pyspark.ml`` classifier for a reference model name and its params."""
     from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
@@ -90,14 +102,14 @@ def make_classifier(name: str, params: Mapping | None = None, n_rows: int | None
             regParam=1.0 / (C * n),
             elasticNetParam=1.0 if p.get("penalty", "l2") == "l1" else 0.0,
             standardization=False,
-            maxIter=int(p.get("max_iter", 100)),
+            maxIter=int(p.get("max_iter", 2000)),  # the tolerance stops it
             tol=float(p.get("tol", 1e-4)),  # the reference solver's stopping tolerance
             **common,
         )
     if name == "random_forest":
         return RandomForestClassifier(
             numTrees=int(p.get("n_estimators", 100)),
-            maxDepth=min(int(p.get("max_depth", 5)), 30),
+            maxDepth=_depth(p.get("max_depth", 5)),
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
             seed=SEED,
             # deep forests: more nodes split per pass over the data, node ids cached
@@ -108,7 +120,7 @@ def make_classifier(name: str, params: Mapping | None = None, n_rows: int | None
     if name == "xgboost":
         return GBTClassifier(
             maxIter=int(p.get("n_estimators", 20)),
-            maxDepth=int(p.get("max_depth", 5)),
+            maxDepth=_depth(p.get("max_depth", 5)),
             stepSize=float(p.get("learning_rate", 0.1)),
             subsamplingRate=float(p.get("subsample", 1.0)),
             featureSubsetStrategy=str(p.get("colsample_bytree", "all")),
@@ -118,20 +130,18 @@ def make_classifier(name: str, params: Mapping | None = None, n_rows: int | None
             **common,
         )
     if name == "linear_svc":
-        return LinearSVC(regParam=float(p.get("reg", 0.01)), maxIter=int(p.get("max_iter", 100)), **common)
+        return LinearSVC(regParam=float(p.get("reg", 0.01)), maxIter=int(p.get("max_iter", 2000)), **common)
     raise ValueError(f"Unknown model name: {name!r}")
 
 
 def prepare(df: DataFrame, target: str = "y", weights: str = "balanced", spread: bool = True) -> DataFrame:
     """Rename dotted columns, add ``label`` and the class weight column.
 
-    Iterative learners parallelise by partition: a small input that arrives in
-    fewer partitions than the cluster has cores is spread round-robin first
-    (a large input already has many partitions and is left alone)."""
+    Rows are dealt by a hash of their values to ``spark.sql.shuffle.partitions``: bagging and float sums follow the rows, not the
+    way they arrived."""
     out = df.select(*[quoted(c).alias(safe_name(c)) for c in df.columns]).withColumn("label", F.col(target).cast("double"))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if spread and out.rdd.getNumPartitions() < cores:
-        out = out.repartition(cores)
+    if spread:
+        out = out.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(*out.columns))
     if weights == "balanced":
         return with_balanced_weights(out, target)
     if weights == "pos":
@@ -139,6 +149,14 @@ def prepare(df: DataFrame, target: str = "y", weights: str = "balanced", spread:
     return out.withColumn("weight", F.lit(1.0))
 
 
+def binary_columns(df: DataFrame, nominal: Sequence[str]) -> list[str]:
+    """The nominal columns with exactly two levels: one aggregate, one number per column."""
+    if not nominal:
+        return []
+    row = df.agg(*[F.count_distinct(quoted(safe_name(c))).alias(f"n{i}") for i, c in enumerate(nominal)]).first()
+    return [c for i, c in enumerate(nominal) if row[f"n{i}"] == 2]
+
+
 def fit(
     train: DataFrame,
     name: str,
@@ -149,13 +167,11 @@ def fit(
     target: str = "y",
 ):
     """Fit sentinel -> encode -> classifier on the training rows (PipelineModel)."""
-    prepared = prepare(train, target, "pos" if name == "xgboost" else ("balanced" if name != "linear_svc" else "none"))
-    n = prepared.count() if name == "logistic_regression" else None
-    clf = make_classifier(name, params, n, "weight")
-    pipe = build_pipeline(clf, numeric, ordinal, nominal)
     # iterative fits scan the input many times: keep it cached for the fit only
-    prepared = prepared.persist()
+    prepared = prepare(train, target, "pos" if name == "xgboost" else ("balanced" if name != "linear_svc" else "none")).persist()
     try:
+        n = prepared.count()
+        pipe = build_pipeline(make_classifier(name, params, n, "weight"), numeric, ordinal, nominal, binary=binary_columns(prepared, nominal), n_rows=n)
         return pipe.fit(prepared)
     finally:
         prepared.unpersist()
@@ -219,11 +235,9 @@ def tune_model(
     seed: int = SEED,
     parallelism: int = 4,
     fold_col: str = "fold",
-    scale: Mapping | None = None,
 ) -> DataFrame:
     """Random search maximising mean CV ROC-AUC; one row per trial (params as
-    JSON, mean AUC, is_best).  Folds come from ``stratified_kfold``.
-    ``scale`` caps tree counts / iterations for quick runs (a parameter, not a row cap)."""
+    JSON, mean AUC, is_best).  Folds come from ``stratified_kfold``."""
     import json
 
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -231,18 +245,13 @@ def tune_model(
 
     rng = np.random.RandomState(seed)
     trials = [search_space(name, rng) for _ in range(n_trials)]
-    if scale:
-        for t in trials:
-            for k, cap in scale.items():
-                if k in t:
-                    t[k] = min(t[k], cap)
     # trials already run concurrently (``parallelism``): do not also spread the input
     prepared = prepare(
         train_with_folds, "y", "pos" if name == "xgboost" else ("none" if name == "linear_svc" else "balanced"), spread=False
     ).persist()
-    n = prepared.count() if name == "logistic_regression" else None
+    n = prepared.count()
     base = make_classifier(name, trials[0], n)
-    pipe = build_pipeline(base)
+    pipe = build_pipeline(base, binary=binary_columns(prepared, NOMINAL_FEATURES), n_rows=n)
     grid = []
     for t in trials:
         c = make_classifier(name, t, n)
@@ -303,7 +312,7 @@ def fold_importance(train_with_folds: DataFrame, k: int = 5, fold_col: str = "fo
         m = fit(train_with_folds.where(F.col(fold_col) != f).drop(fold_col), "random_forest", {"n_estimators": n_trees, "max_depth": depth})
         names = vector_names(m)
         imp = m.stages[-1].featureImportances.toArray()
-        return [(f, names[i] if i < len(names) else f"f{i}", float(v)) for i, v in enumerate(imp)]
+        return [(f, name, float(v)) for name, v in zip(names, imp, strict=True)]
 
     rows = [r for part in _parallel(one, range(k)) for r in part]
     df = spark.createDataFrame(rows, "fold int, feature string, importance double")
@@ -324,11 +333,17 @@ def vector_names(model) -> list[str]:
     for part in assemblers[-1].getInputCols():
         if part in ("num_scaled", "num_vec"):
             names += list(nums)
+        elif part.endswith("_second"):
+            col = part[: -len("_second")]
+            names.append(f"{col}_{labels[col][1]}")
         elif part.endswith("_oh"):
             col = part[: -len("_oh")]
             names += [f"{col}_{lv}" for lv in labels.get(col, [])]
         else:
             names.append(part)
+    slots = getattr(stages[-1], "numFeatures", None)
+    if slots is not None and slots >= 0 and slots != len(names):
+        raise ValueError(f"{len(names)} names for {slots} features")
     return names
 
 
@@ -390,16 +405,12 @@ def mutual_information(df: DataFrame, features: Sequence[str], target: str = "y"
         F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), quoted(f).cast("string").alias("level")) for f in features])),
     )
     cnt = long.groupBy("feature", "level", "_y").agg(F.count(F.lit(1)).alias("n_xy"))
-    wf = Window.partitionBy("feature")
-    wx = Window.partitionBy("feature", "level")
-    wy = Window.partitionBy("feature", "_y")
-    t = cnt.select(
-        "feature",
-        "n_xy",
-        F.sum("n_xy").over(wf).alias("n"),
-        F.sum("n_xy").over(wx).alias("n_x"),
-        F.sum("n_xy").over(wy).alias("n_y"),
-    )
+    # a feature may have very many levels: its totals per class are few rows and broadcast, level totals stay with the level
+    wx = Window.partitionBy("feature", "level")  # as many rows as classes
+    by_class = cnt.groupBy("feature", "_y").agg(F.sum("n_xy").alias("n_y"))
+    whole = by_class.groupBy("feature").agg(F.sum("n_y").alias("n"))
+    totals = by_class.join(whole, "feature").withColumnsRenamed({"feature": "_f", "_y": "_c"})
+    t = cnt.withColumn("n_x", F.sum("n_xy").over(wx)).join(F.broadcast(totals), (F.col("feature") == F.col("_f")) & F.col("_y").eqNullSafe(F.col("_c")))
     term = F.col("n_xy") / F.col("n") * F.log(F.col("n_xy") * F.col("n") / (F.col("n_x") * F.col("n_y")))
     mi = t.groupBy("feature").agg(F.sum(term).alias("mutual_info"))
     if normalise:
@@ -477,24 +488,29 @@ def feature_subset_sweep(
 
     ranked = [r["feature"] for r in importance.orderBy(F.desc("importance"), F.asc("feature")).collect()]
     prepared = prepare(train_with_folds, "y", "balanced")
-    pipe_model = build_pipeline(make_classifier("logistic_regression", {}, 1)).fit(prepared)
+    n_rows = prepared.count()
+    pipe_model = build_pipeline(make_classifier("logistic_regression", {}, n_rows), binary=binary_columns(prepared, NOMINAL_FEATURES), n_rows=n_rows).fit(prepared)
     feats = pipe_model.transform(prepared).select("features", "label", "weight", fold_col).persist()
     names = vector_names(pipe_model)
     spark = train_with_folds.sparkSession
     out = []
     evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
     for kk in list(ks) + [len(names)]:
-        keep = [names.index(f) for f in ranked[:kk] if f in names] or list(range(min(kk, len(names))))
+        missing = [f for f in ranked[:kk] if f not in names]
+        if missing:
+            raise ValueError(f"no such features: {missing[:5]}")
+        keep = [names.index(f) for f in ranked[:kk]]
         sliced = VectorSlicer(inputCol="features", outputCol="sub", indices=sorted(keep)).transform(feats)
         def one(f: int, sliced=sliced) -> float:
             from pyspark.ml.classification import LogisticRegression
 
-            lr = LogisticRegression(featuresCol="sub", labelCol="label", weightCol="weight", maxIter=50)
+            lr = LogisticRegression(featuresCol="sub", labelCol="label", weightCol="weight", maxIter=2000)
             m = lr.fit(sliced.where(F.col(fold_col) != f))
             return evaluator.evaluate(m.transform(sliced.where(F.col(fold_col) == f)))
 
         aucs = _parallel(one, range(n_folds))
         out.append((int(min(kk, len(names))), float(np.mean(aucs))))
+    feats.unpersist()
     return spark.createDataFrame(out, "k int, mean_cv_auc double")
 
 

@@ -52,9 +52,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path inside the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path inside the shared checkpoint folder; it is removed when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(at.getParent())
+    fs.deleteOnExit(at)
+    return path
 
 
 def materialize(df):
