@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from leadlens.llm.common import text_of, union_all
+from leadlens.llm.common import text_of, tidied, union_all
 
 #: Characters of passages that go to the executors at once (some 30 bytes each); more are done in further passes.
 MOST_CHARS = 4_000_000
@@ -219,7 +219,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, id_
                     if rows:
                         yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-        return docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, schema)
+        return docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(tidied(run), schema)
 
     return union_all([one(p) for p in passage_sets(benchmark, item_col, item_text)])
 
@@ -240,7 +240,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE,
                     clean = [not got for got in find([t or "" for t in part.column(place).to_pylist()])]
                     yield part.filter(pa.array(clean, pa.bool_()))
 
-        return frame.mapInArrow(run, frame.schema)
+        return frame.mapInArrow(tidied(run), frame.schema)
 
     for p in passage_sets(benchmark, item_col, item_text):
         docs = one(docs, p)

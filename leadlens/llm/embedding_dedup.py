@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadlens.llm.common import components, written
+from leadlens.llm.common import components, tidied, written
 
 #: Members of a bucket that one task compares at once; a larger bucket is dealt out as pairs of such blocks.
 BLOCK = 1024
@@ -64,7 +64,7 @@ def _coded(distinct: DataFrame, dim: int, bits: int, tables: int, seed: int) ->
                 keys = signs @ place
                 yield pa.record_batch([part.column(0), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(factor), pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * tables, pa.int32()), pa.array(keys.ravel(), pa.int64()))], names=["node", "code", "factor", "keys"])
 
-    return distinct.select("node", "vector").mapInArrow(run, schema)
+    return distinct.select("node", "vector").mapInArrow(tidied(run), schema)
 
 
 def _compared(rows: DataFrame, dim: int, threshold: float, seed: int) -> DataFrame:
@@ -154,7 +154,7 @@ def _compared(rows: DataFrame, dim: int, threshold: float, seed: int) -> DataFra
 
     order = ["t", "key", "i", "j"]
     rows = rows.select(*order, "side", "node", "copies", "vector", "code", "factor", "keys")
-    return rows.repartition(*order).sortWithinPartitions(*order, "node").mapInArrow(run, "node long, links long, root long")
+    return rows.repartition(*order).sortWithinPartitions(*order, "node").mapInArrow(tidied(run), "node long, links long, root long")
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.95, seed: int = 7, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadlens.llm.common import text_of
+from leadlens.llm.common import text_of, tidied
 
 # HTML's element kinds.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -254,5 +254,5 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 part = b.slice(lo, 256)
                 yield pa.record_batch([part.column(0), part.column(1), pa.array([main_text(p) for p in part.column(2).to_pylist()], pa.string())], names=["page_id", "url", "text"])
 
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), text_of(html_col).alias("html")).mapInArrow(run, schema)
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), text_of(html_col).alias("html")).mapInArrow(tidied(run), schema)
     return rows.withColumn("n_chars", F.length("text").cast("long"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadlens.llm.common import text_of
+from leadlens.llm.common import text_of, tidied
 from leadlens.llm.encoding import PieceEncoder
 
 
@@ -108,6 +108,7 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     end_id: int = 1,
+    remember: int = 800_000,
 ) -> DataFrame:
     """Packs every row's tokens (text, then ``end_id``) into sequences; one output row per piece.
 
@@ -115,6 +116,7 @@ def pack_documents(
     task's rows, without a shuffle: their number and filling depend on the split of the input, their
     content never crosses tasks, and a lost task is run again alone with the same result.  A task holds one Arrow
     batch and a bounded pool of pieces.  A null text or prompt is empty (the text has its end id alone);
+    ``remember`` words keep their ids in a task (some 230 bytes each), which the result doesn't depend on;
     null, repeated ids and repeated rows are packed like any other row; an empty table gives no row; other
     columns are ignored.
 
@@ -142,7 +144,7 @@ def pack_documents(
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder = PieceEncoder(tokenizer_path, end_id)
+        encoder = PieceEncoder(tokenizer_path, end_id, remember)
         packer = VectorPacker(seq_len, max_segments, limit_loss, first_sequence=TaskContext.get().partitionId() << 40)
         held: dict[int, list] = {}  # row -> [id, ids, tokens left]
         out_schema = None
@@ -181,4 +183,4 @@ def pack_documents(
             yield batch(out[lo : lo + 512])
 
     prompt = text_of(prompt_col) if prompt_col else F.lit("")
-    return docs.select(F.col(id_col).alias("doc_id"), prompt.alias("prompt"), text_of(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), prompt.alias("prompt"), text_of(text_col).alias("text")).mapInArrow(tidied(run), schema)

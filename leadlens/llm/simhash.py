@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadlens.llm.common import components, free_name, text_of, written
+from leadlens.llm.common import components, free_name, text_of, tidied, written
 
 #: A null id takes this place where rows are matched.
 NO_ID = -(1 << 63)
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
                 yield pa.record_batch([part.column(0), part.column(1), pa.array([one(t) for t in part.column(2).to_pylist()], pa.int64())], names=["doc_id", "text_hash", "fp"])
 
     text = text_of(text_col)
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(tidied(run), schema)
 
 
 def tree_edges(members, visitors, radius: int) -> list[tuple[int, int]]:
@@ -153,7 +153,7 @@ def fingerprint_links(fps: DataFrame, max_distance: int = 3, target: int = 64, s
         if out:
             yield pa.record_batch([pa.array([e[0] for e in out], pa.int64()), pa.array([e[1] for e in out], pa.int64())], names=["u", "v"])
 
-    return rows.select("t", "k", "ring", "fp", "below").repartition("t", "k", "ring").sortWithinPartitions("t", "k", "ring", "below", "fp").mapInArrow(run, "u long, v long")
+    return rows.select("t", "k", "ring", "fp", "below").repartition("t", "k", "ring").sortWithinPartitions("t", "k", "ring", "below", "fp").mapInArrow(tidied(run), "u long, v long")
 
 
 def simhash_components(docs: DataFrame, shingle: int = 3, max_distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadlens.llm.common import text_of
+from leadlens.llm.common import text_of, tidied
 from leadlens.llm.encoding import PieceEncoder
 
 
@@ -105,7 +105,7 @@ def write_token_store(
     store, base = _filesystem(path)
     store.create_dir(base)
     dealt = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
-    dealt.mapInArrow(run, index).write.parquet(f"{path}/index")
+    dealt.mapInArrow(tidied(run), index).write.parquet(f"{path}/index")
 
 
 def read_token_store(spark: SparkSession, path: str) -> DataFrame:
@@ -165,4 +165,4 @@ def read_token_store(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
 
     placed = index.join(F.broadcast(before), "shard").select("doc_id", (F.col("before") + F.col("local")).alias("start"), "shard", "local", "n_tokens")
-    return placed.mapInArrow(run, schema)
+    return placed.mapInArrow(tidied(run), schema)

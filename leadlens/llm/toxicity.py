@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadlens.llm.common import text_of
+from leadlens.llm.common import text_of, tidied
 
 #: Marks around a word that don't belong to it.
 EDGES = ".,;:!?\"'()[]{}<>*#$%&-_"
@@ -104,7 +104,7 @@ class ToxicModel:
 
         fresh = set(words).difference(self.known)
         if fresh:
-            if len(self.known) > 400_000:
+            if len(self.known) > 150_000:
                 self.known = {}
                 fresh = set(words)
             get = self.weights.get
@@ -316,7 +316,7 @@ def score_documents(docs: DataFrame, model: ToxicModel, threshold: float = 0.3,
                 spans = [[{"start": s, "end": e, "probability": x} for s, e, x in model.spans(t, p)] for t, p in zip(texts, ps)]
                 yield pa.record_batch([part.column(0), pa.array([model.score(p) for p in ps], pa.float64()), pa.array(spans, kind)], names=["doc_id", "score", "spans"])
 
-    out = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, schema)
+    out = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(tidied(run), schema)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "spans")
 
 
@@ -333,4 +333,4 @@ def drop_toxic(docs: DataFrame, model: ToxicModel, threshold: float = 0.3, text_
                 ps = model.marginals([t or "" for t in part.column(place).to_pylist()])
                 yield part.filter(pa.array([model.score(p) < threshold for p in ps], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
