@@ -369,13 +369,13 @@ def metric_columns() -> list[Column]:
 def log_loss(df: DataFrame, label="y", prob="probability", by=None) -> DataFrame:
     keys = _by(by)
     y = _label_int(label)
-    pc = F.greatest(F.least(F.col(prob).cast("double"), F.lit(1.0 - LOG_LOSS_EPS)), F.lit(LOG_LOSS_EPS))
+    pc = F.greatest(F.least(valid_probability(F.col(prob)), F.lit(1.0 - LOG_LOSS_EPS)), F.lit(LOG_LOSS_EPS))
     return df.groupBy(*keys).agg(F.avg(F.when(y == 1, -F.log(pc)).otherwise(-F.log(1 - pc))).alias("log_loss"))
 
 
 def brier_score(df: DataFrame, label="y", prob="probability", by=None) -> DataFrame:
     keys = _by(by)
-    d = F.col(prob).cast("double") - _label_int(label)
+    d = valid_probability(F.col(prob)) - _label_int(label)
     return df.groupBy(*keys).agg(F.avg(d * d).alias("brier_score"))
 
 
