@@ -23,7 +23,9 @@ SHIFT = 57
 
 def words_of(line: Column) -> Column:
     """Lower-case words, separated by ASCII white space.  Lines with single blanks alone are split without a pattern."""
-    odd = line.rlike(r"[\t\r\f\x0B]|  |^ | $|^$")
+    odd = (line == "") | line.startswith(" ") | line.endswith(" ")
+    for white in ("  ", "\t", "\r", "\f", "\x0b"):
+        odd = odd | line.contains(white)
     return F.when(odd, F.array_remove(F.split(F.lower(line), r"[\s\x0B]+"), "")).otherwise(F.split(F.lower(line), " "))
 
 
@@ -35,7 +37,7 @@ def _exploded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def word_ranks(docs: DataFrame, text_col: str = "text") -> list[int]:
     """A rank from 0 (rare) to 63 of each group of words, by the logarithm of its count over all texts."""
-    words = docs.select(F.explode(F.split(F.lower(F.translate(text_of(text_col), "\n", " ")), " ")).alias("w"))
+    words = docs.select(F.explode(F.split(F.lower(F.replace(text_of(text_col), F.lit("\n"), F.lit(" "))), " ")).alias("w"))
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(GROUPS - 1)).alias("g")).agg(F.count("*").alias("n")).collect()
     total = sum(r["n"] for r in counts) or 1
     ranks = [0] * GROUPS
