@@ -68,7 +68,7 @@ def line_tokens(hashes: Column, ranks: list[int], shingle: int = 5) -> Column:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, ranks: list[int], similarity: float, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """Of candidate pairs (k, x, y; x and y are places of lines) the keys k whose lines reach the similarity."""
+    """Of candidate pairs (x, y; places of lines) the places x whose lines reach the similarity."""
     pairs = written(pairs, "line_pairs")
     places = pairs.select(F.col("x").alias("p")).unionByName(pairs.select(F.col("y").alias("p"))).distinct()
     wanted = places.groupBy(F.col("p.d").alias("wd"), F.col("p.h").alias("wh")).agg(F.collect_set("p.no").alias("nos"))
@@ -82,7 +82,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, ranks: list[int], similarity: f
     sets = written(lines.select("p", line_tokens(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)), ranks, shingle).alias("t")), "line_sets")
     met = pairs.join(sets.select(F.col("p").alias("x"), F.col("t").alias("tx")), "x").join(sets.select(F.col("p").alias("y"), F.col("t").alias("ty")), "y")
     both = F.size(F.array_intersect("tx", "ty"))
-    return met.filter(both >= F.lit(similarity) * (F.size("tx") + F.size("ty") - both)).select("k").distinct()
+    return met.filter(both >= F.lit(similarity) * (F.size("tx") + F.size("ty") - both)).select("x").distinct()
 
 
 def distinct_lines(docs: DataFrame, ranks: list[int], similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -96,7 +96,7 @@ def distinct_lines(docs: DataFrame, ranks: list[int], similarity: float = 0.8, s
 
 
 def matched_lines(docs: DataFrame, distinct: DataFrame, ranks: list[int], similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Keys k of the distinct lines that an earlier line matches.
+    """Places x of the distinct lines that an earlier line matches.
 
     Lines that share a prefix shingle are first compared with the earliest of them only; what finds no match there is then
     compared with all earlier ones of its shingles.  A large group of near copies so takes one comparison a line.
@@ -104,8 +104,8 @@ def matched_lines(docs: DataFrame, distinct: DataFrame, ranks: list[int], simila
     s = F.lit(similarity)
     rows = distinct.select(F.col("k.a").alias("a"), F.posexplode("prefix").alias("i", "token"))
     same = Window.partitionBy("token")
-    rows = rows.withColumn("many", F.count("*").over(same)).filter("many > 1").drop("many").join(distinct.select(F.col("k.a").alias("a"), "k", "place", "n"), "a")
-    rows = rows.select("token", "k", "place", "n", "i", F.count("*").over(same).alias("many"), F.min(F.struct("place", "k", "n", "i")).over(same).alias("head"))
+    rows = rows.withColumn("many", F.count("*").over(same)).filter("many > 1").drop("many").join(distinct.select(F.col("k.a").alias("a"), "place", "n"), "a")
+    rows = rows.select("token", "place", "n", "i", F.count("*").over(same).alias("many"), F.min(F.struct("place", "n", "i")).over(same).alias("head"))
     rows = written(rows, "prefix_rows")
 
     def alike(n, m, i, j) -> Column:
@@ -114,11 +114,12 @@ def matched_lines(docs: DataFrame, distinct: DataFrame, ranks: list[int], simila
         return (n >= s * m - F.lit(1e-9)) & (m >= s * n - F.lit(1e-9)) & (1 + F.least(n - i - 1, m - j - 1) >= need)
 
     c = F.col
-    first = rows.filter((c("head.k") != c("k")) & alike(c("n"), c("head.n"), c("i"), c("head.i"))).select("k", c("place").alias("x"), c("head.place").alias("y")).distinct()
+    first = rows.filter((c("head.place") != c("place")) & alike(c("n"), c("head.n"), c("i"), c("head.i"))).select(c("place").alias("x"), c("head.place").alias("y")).distinct()
     got = written(_verified(docs, first, ranks, similarity, shingle, id_col, text_col), "matched_lines")
-    left = rows.filter("many > 2 and head.k <> k").join(got, "k", "left_anti").select("k", c("place").alias("x"), c("n").alias("xn"), c("i").alias("xi"), "token")
-    right = rows.filter("many > 2 and head.k <> k").select(c("place").alias("y"), c("n").alias("yn"), c("i").alias("yi"), "token")
-    more = left.join(right, "token").filter(c("y") < c("x")).filter(alike(c("xn"), c("yn"), c("xi"), c("yi"))).select("k", "x", "y").distinct()
+    rest = rows.filter("many > 2 and head.place <> place")
+    left = rest.select(c("place").alias("x"), c("n").alias("xn"), c("i").alias("xi"), "token").join(got, "x", "left_anti")
+    right = rest.select(c("place").alias("y"), c("n").alias("yn"), c("i").alias("yi"), "token")
+    more = left.join(right, "token").filter(c("y") < c("x")).filter(alike(c("xn"), c("yn"), c("xi"), c("yi"))).select("x", "y").distinct()
     return got.unionByName(_verified(docs, more, ranks, similarity, shingle, id_col, text_col))
 
 
@@ -133,7 +134,7 @@ def dedup_lines(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_c
     ranks = word_ranks(docs, text_col)
     distinct = written(distinct_lines(docs, ranks, similarity, shingle, id_col, text_col), "distinct_lines")
     gone = matched_lines(docs, distinct, ranks, similarity, shingle, id_col, text_col)
-    stay = distinct.join(gone, "k", "left_anti").select("place.*").groupBy("d", "h").agg(F.collect_list("no").alias("nos"))
+    stay = distinct.join(gone, F.col("place") == F.col("x"), "left_anti").select("place.*").groupBy("d", "h").agg(F.collect_list("no").alias("nos"))
     d, h, nos, lines = (free_name(docs, x) for x in ("_d", "_h", "_nos", "_lines"))
     stay = stay.select(F.col("d").alias(d + "_"), F.col("h").alias(h + "_"), F.col("nos").alias(nos))
     keyed = docs.withColumn(h, F.xxhash64(text_of(text_col)))
