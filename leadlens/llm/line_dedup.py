@@ -55,16 +55,15 @@ def line_tokens(hashes: Column, ranks: list[int], shingle: int = 5) -> Column:
     """Distinct shingles, from the hashes of the words, as sorted longs, rarest first: the rank of the rarest word, which bounds how common
     a shingle can be, above 57 bits of its hash.  The shingle is folded from the left, two words at a time."""
     table = F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")  # folded to one literal
-    low, n = F.lit((1 << SHIFT) - 1), F.size(hashes) - (shingle - 1)
-    ranked = F.transform(hashes, lambda x: F.shiftleft(F.get(table, x.bitwiseAND(F.lit(GROUPS - 1)).cast("int")), SHIFT).bitwiseOR(x.bitwiseAND(low)))
-    high = F.lit(63 << SHIFT)
-    fold = lambda a, b: F.least(a, b).bitwiseAND(high).bitwiseOR(F.xxhash64(a, b).bitwiseAND(low))
+    low = lambda h: F.shiftrightunsigned(h, 64 - SHIFT)
+    ranked = F.transform(hashes, lambda x: F.shiftleft(F.get(table, x.bitwiseAND(F.lit(GROUPS - 1)).cast("int")), SHIFT).bitwiseOR(low(x)))
+    fold = lambda a, b: F.least(a, b).bitwiseXOR(low(F.xxhash64(a, b)))  # noqa: E731  # the rank above stays, the bits below stay a hash
     out, width = ranked, 1
     while width < shingle:  # the last fold may overlap
         step = min(width, shingle - width)
         out = once(out, lambda o, step=step: F.zip_with(o, F.slice(o, step + 1, F.size(o)), fold))
         width += step
-    return F.when(F.size(hashes) < shingle, F.array(F.xxhash64(hashes).bitwiseAND(low))).otherwise(F.sort_array(F.array_distinct(F.slice(out, 1, n))))
+    return F.when(F.size(hashes) < shingle, F.array(low(F.xxhash64(hashes)))).otherwise(F.sort_array(F.array_distinct(F.slice(out, 1, F.size(hashes) - (shingle - 1)))))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, ranks: list[int], similarity: float, shingle: int, id_col: str, text_col: str) -> DataFrame:
