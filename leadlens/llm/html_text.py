@@ -29,7 +29,7 @@ IMPLIED = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "td": {"td", "t
 IMPLIED |= {k: {"tr", "td", "th", "tbody", "thead", "tfoot"} for k in ("tbody", "thead", "tfoot")}
 BOUNDS = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "tr": {"table"}, "tbody": {"table"}, "thead": {"table"}, "tfoot": {"table"}}
 
-#: Elements that never hold the article, by name, role, and words of class or id.
+#: Elements that never hold the article, by name and role; words of class or id speak against an element, but its share of the page's points decides.
 OUT = set("nav header footer aside form menu head dialog button input search fieldset label".split()) | RAW
 OUT_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist note status".split())
 OUT_WORDS = set(
@@ -38,6 +38,9 @@ OUT_WORDS = set(
     " newsletter subscribe subscription signup login share sharing social related recommended recommendations trending popular widget toolbar pagination pager skip skiplink"
     " copyright legal disclaimer byline tagcloud tags rating".split()
 )
+#: Names of readers' comments, which can be longer than the article, and what such names have besides.
+COMMENTS = set("comment comments respond reply replies disqus".split())
+COMMENT_PARTS = COMMENTS | set("area list section thread threads wrap wrapper container box".split())
 TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|$)", re.S)
 ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 WORDS = re.compile(r"[a-z]+")
@@ -45,21 +48,35 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "out", "text", "links", "commas", "score")
-
-    def __init__(self, tag, parent, out):
-        self.tag, self.parent, self.out, self.kids = tag, parent, out, []
-        self.text = self.links = self.commas = 0
-        self.score = 0.0
-
-
-def _unwanted(tag: str, attrs: str, inside: bool) -> bool:
-    """Whether an element is no part of an article.  ``inside``: a header in an article holds its title, so its name alone doesn't
-    exclude it."""
+    __slots__ = ("tag", "parent", "kids", "out", "doubt", "text", "links", "commas", "score", "held", "span")
+
+    def __init__(self, tag, parent, out, doubt=None):
+        self.tag, self.parent, self.out, self.doubt, self.kids = tag, parent, out, doubt, []
+        self.text = self.links = self.commas = self.span = 0
+        self.score = self.held = 0.0
+
+
+def _doubts(names: list[str]):
+    """What the words of class and id say against an element: (words, whole, comments) or None.  ``whole``: one name has no other word
+    (``sidebar``, not ``has-sidebar``); ``comments``: one is a name of readers' comments."""
+    found, whole, comments = set(), False, False
+    for name in names:
+        words = WORDS.findall(CAMEL.sub(" ", name).lower())
+        hit = OUT_WORDS.intersection(words)
+        found |= hit
+        whole |= bool(hit) and OUT_WORDS.issuperset(words)
+        comments |= not COMMENTS.isdisjoint(words) and COMMENT_PARTS.issuperset(words)
+    return (found, whole, comments) if found else None
+
+
+def _unwanted(tag: str, attrs: str, inside: bool):
+    """Whether an element is no part of an article, or what its names say against it (see ``_doubts``).  ``inside``: a header in an
+    article holds its title, so its name alone doesn't exclude it."""
     if tag in OUT and not (tag == "header" and inside):
         return True
     if not attrs or tag in ("html", "body", "article", "main"):
         return False
+    names: list[str] = []
     for m in ATTR.finditer(attrs):
         name = m[1].lower()
         value = m[2] or m[3] or m[4] or ""
@@ -69,9 +86,9 @@ def _unwanted(tag: str, attrs: str, inside: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id") and OUT_WORDS.intersection(WORDS.findall(CAMEL.sub(" ", value).lower())):
-            return True
-    return False
+        if name in ("class", "id"):
+            names += value.split()
+    return (_doubts(names) or False) if names else False
 
 
 def parse(page: str) -> Node:
@@ -127,7 +144,8 @@ def parse(page: str) -> Node:
                 up = up.parent
             if last is not None:
                 node = last.parent
-        child = Node(tag, node, node.out or _unwanted(tag, attrs, articles > 0))
+        verdict = node.out or _unwanted(tag, attrs, articles > 0)
+        child = Node(tag, node, verdict is True, None if verdict is True else verdict or None)
         node.kids.append(child)
         if tag not in VOID and not (attrs.endswith("/") and tag not in BLOCK):
             node = child
@@ -141,6 +159,8 @@ def _measure(root: Node) -> list[Node]:
     while stack:
         node, link = stack.pop()
         order.append(node)
+        node.text = node.links = node.commas = 0
+        node.score, node.held, node.span = 0.0, 0.0, 1
         link = link or node.tag == "a"
         for k in node.kids:
             if isinstance(k, str):
@@ -162,18 +182,83 @@ def _density(node: Node) -> float:
     return node.links / node.text if node.text else 0.0
 
 
+def _points(node: Node) -> float:
+    """Points of an element's own paragraph: 0 if it is none."""
+    own = node.tag in ("p", "pre", "blockquote", "td", "li") or node.tag in ("div", "section", "article", "body", "main", "#root") and any(isinstance(k, str) and k.strip() for k in node.kids)
+    if not own or node.text < 20:
+        return 0.0
+    direct = node.tag in ("p", "pre", "td", "li", "blockquote")
+    size = node.text if direct else sum(len(k) for k in node.kids if isinstance(k, str))
+    commas = node.commas if direct else sum(k.count(",") for k in node.kids if isinstance(k, str))
+    return (1 + commas + min(size / 100, 3)) * (1 - _density(node))
+
+
+def _settle(root: Node) -> list[Node]:
+    """Excludes elements whose names speak against them, unless most of the page's points are theirs, alone or together with the
+    others of the same word in longer names (``elementor-widget-container``); returns the excluded ones.
+
+    Readers' comments can outweigh an article, so elements named for them alone stay out where an article or a title is elsewhere; so
+    do other elements of a whole name beside an article element with text.
+    """
+    order = _measure(root)
+    doubted = [k for k, node in enumerate(order) if node.doubt]
+    if not doubted:
+        return []
+    for node in reversed(order):
+        node.held += _points(node)
+        if node.parent is not None:
+            node.parent.held += node.held
+            node.parent.span += node.span
+    most = root.held / 2
+
+    def beside(k: int) -> bool:
+        """Whether the element at place k leaves an article, or readers' comments a title, elsewhere."""
+        lo, hi = k, k + order[k].span
+        if any(x.tag in ("h1", "main") for x in order[lo:hi]):
+            return False
+        if not order[k].doubt[2]:
+            return any(x.tag in ("article", "main") and x.text and (j + x.span <= lo or j >= hi) for j, x in enumerate(order))
+        return any(x.tag == "h1" and x.text or x.tag in ("article", "main") and x.held > (order[k].held if j < lo and j + x.span >= hi else 0) for j, x in enumerate(order) if not lo <= j < hi)
+
+    left = [k for k in doubted if order[k].held <= most or (order[k].doubt[1] or order[k].doubt[2]) and beside(k)]
+    held: dict[str, float] = {}
+    ends: dict[str, int] = {}
+    for k in left:
+        words, whole, comments = order[k].doubt
+        for w in () if whole or comments else words:
+            if k >= ends.get(w, 0):  # not in another one of this word
+                held[w] = held.get(w, 0.0) + order[k].held
+                ends[w] = k + order[k].span
+    common = {w for w, points in held.items() if points > most}
+    gone = [order[k] for k in left if order[k].doubt[1] or order[k].doubt[2] or not order[k].doubt[0] <= common]
+    for node in gone:
+        node.out = True
+    return gone
+
+
 def main_nodes(root: Node) -> list[Node]:
     """The best container and the siblings that go with it, in page order."""
+    gone = _settle(root)
+    nodes = _best_nodes(root)
+    if nodes is None and gone:  # nothing scores: once more without the words, but not for what lies beside an article of a few words
+        short = any(n.tag in ("article", "main") and n.text for n in _measure(root))
+        for node in gone:
+            up = node
+            while short and up is not None and up.tag not in ("article", "main"):
+                up = up.parent
+            node.out = up is None
+        nodes = _best_nodes(root)
+    return nodes or [n for n in _measure(root) if n.tag == "body"][:1] or [root]
+
+
+def _best_nodes(root: Node) -> list[Node] | None:
+    """As ``main_nodes``, of what isn't excluded; None if nothing scores."""
     order = _measure(root)
     for node in order:
-        own = node.tag in ("p", "pre", "blockquote", "td", "li") or node.tag in ("div", "section", "article", "body", "main", "#root") and any(isinstance(k, str) and k.strip() for k in node.kids)
-        if not own or node.text < 20:
+        points = _points(node)
+        if not points:
             continue
-        direct = node if node.tag in ("p", "pre", "td", "li", "blockquote") else None
-        size = node.text if direct else sum(len(k) for k in node.kids if isinstance(k, str))
-        commas = node.commas if direct else sum(k.count(",") for k in node.kids if isinstance(k, str))
-        points = (1 + commas + min(size / 100, 3)) * (1 - _density(node))
-        up, share = node.parent if direct else node, 1.0
+        up, share = node.parent if node.tag in ("p", "pre", "td", "li", "blockquote") else node, 1.0
         while up is not None and share > 0.1:
             up.score += points * share
             up, share = up.parent, share / 2
@@ -186,7 +271,7 @@ def main_nodes(root: Node) -> list[Node]:
         if value > top:
             best, top = node, value
     if best is None:
-        return [n for n in order if n.tag == "body"][:1] or [root]
+        return None
     while best.parent is not None and best.tag in ("p", "li", "td", "th", "tr", "tbody", "thead", "ul", "ol", "dl", "table", "blockquote", "b", "i", "em", "strong", "span"):
         best = best.parent
     if best.parent is None:

@@ -44,6 +44,28 @@ def test_odd_pages(page):
     assert text == "\n\n".join(" ".join(b.split()) for b in text.split("\n\n")) and "<p" not in text
 
 
+PARTS = [f"Paragraph {k}, which has some commas, and a fair number of words in it." for k in range(6)]
+PARAS = "".join(f"<p>{x}</p>" for x in PARTS)
+
+
+@pytest.mark.parametrize("name", ['class="content has-sidebar"', 'id="no-sidebar"', 'class="elementor-widget-container"', 'class="legal-news"', 'class="comments-open"', 'class="sidebar"'])
+@pytest.mark.parametrize("page", ["<div {}>{}</div>", "<div {}><article>{}</article></div>", "<article><div {}>{}</div></article>", "<main><div {}>{}</div><p>A short line beside it, of the page.</p></main>"])
+def test_wrappers_named_for_layout_hold_the_article(name, page):
+    side = '<div class="sidebar"><p>Popular, posts, with, commas, of the sidebar.</p></div>'
+    assert main_text(f"<body>{page.format(name, PARAS)}{side if 'sidebar' not in name.split('=')[1].strip(chr(34)) else ''}</body>").split("\n\n")[:6] == PARTS
+    assert main_text(f"<body>{page.format(name, PARAS + side)}</body>").split("\n\n")[:7].count("Popular, posts, with, commas, of the sidebar.") == 0
+
+
+def test_words_of_names_against_shares_of_points():
+    boxes = "".join(f'<div class="elementor-widget elementor-widget-text"><p>{x}</p></div>' for x in PARTS)
+    assert main_text(f"<body><article>{boxes}<p>A line in no box, of the article.</p></article></body>").split("\n\n") == [*PARTS, "A line in no box, of the article."]
+    assert main_text("".join(f'<div class="widget"><p>{x}</p></div>' for x in PARTS)).split("\n\n") == PARTS  # nothing else scores
+    long = PARAS.replace("Paragraph", "Comment") * 5
+    for article in (f"<article><h1>Title</h1>{PARAS}</article>", f"<div><h1>Title</h1>{PARAS}</div>"):
+        assert main_text(f'<body>{article}<section id="comments" class="comments-area">{long}</section></body>').split("\n\n") == ["Title", *PARTS]
+        assert main_text(f'<body><div class="has-sidebar comments-open">{article}<div id="comments">{long}</div></div></body>').split("\n\n") == ["Title", *PARTS]
+
+
 def test_pages_of_the_table(spark):
     import html
 
