@@ -274,15 +274,26 @@ def _best_nodes(root: Node) -> list[Node] | None:
         return None
     while best.parent is not None and best.tag in ("p", "li", "td", "th", "tr", "tbody", "thead", "ul", "ol", "dl", "table", "blockquote", "b", "i", "em", "strong", "span"):
         best = best.parent
+    around, up = None, best
+    while up is not None:
+        if up.tag == "article" or up.tag == "main" and around is None:
+            around = up  # the outermost article, or else the main element
+        up = up.parent
+    best = around or best  # short sections and the title count as much as the longest section
     if best.parent is None:
         return [best]
     level = max(10.0, top * 0.2)
+    holds = set()  # elements with a paragraph, by id()
+    for node in reversed(order):
+        if node.tag in ("p", "pre", "blockquote") and node.text or id(node) in holds:
+            holds.update((id(node), id(node.parent)))
     kept = []
     for k in best.parent.kids:
         if isinstance(k, str) or k.out:
             continue
         paragraph = k.tag == "p" and (k.text > 80 and _density(k) < 0.25 or 0 < k.text and k.links == 0 and k.commas + k.text // 40 > 0)
-        if k is best or k.score * (1 - _density(k)) >= level and k.tag not in ("a",) or paragraph or k.tag in ("h1", "h2") and k.text and best.tag not in ("body", "article", "main"):
+        section = best.tag != "main" and k.tag != "p" and id(k) in holds and _density(k) < 0.25
+        if k is best or k.score * (1 - _density(k)) >= level and k.tag not in ("a",) or paragraph or section or k.tag in ("h1", "h2") and k.text and best.tag not in ("body", "article", "main"):
             kept.append(k)
     return kept
 

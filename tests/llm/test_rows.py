@@ -66,6 +66,16 @@ def test_words_of_names_against_shares_of_points():
         assert main_text(f'<body><div class="has-sidebar comments-open">{article}<div id="comments">{long}</div></div></body>').split("\n\n") == ["Title", *PARTS]
 
 
+@pytest.mark.parametrize("outer", ["article", "main", "div"])
+def test_short_sections_beside_a_long_one(outer):
+    long = "".join(f"<p>{'word ' * 59}{k}, of, the, text.</p>" for k in range(8))
+    links = "<section><p><a href=x>Link text, with commas, and more</a></p></section>"
+    first, last = "<section><h2>Opening</h2><p>It opens.</p></section>", f"<section><h2>Closing</h2><p>{'last ' * 30}, of it.</p></section>"
+    title = "<h1>Title</h1>" if outer == "div" else "<header><h1>Title</h1></header>"
+    got = main_text(f"<body><{outer}>{title}{first}<section>{long}</section>{last}{links if outer == 'div' else ''}</{outer}></body>").split("\n\n")
+    assert got[:3] == ["Title", "Opening", "It opens."] and len(got) == 13 and got[11] == "Closing" and got[12].startswith("last last")
+
+
 def test_pages_of_the_table(spark):
     import html
 
