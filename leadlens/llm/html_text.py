@@ -18,11 +18,21 @@ from leadlens.llm.common import text_of, tidied
 
 # HTML's element kinds.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title xmp iframe noembed noframes noscript template svg math object canvas select".split())
+#: Elements whose content is no markup, with the pattern of their end tag; without one, the first four take the rest of the page, the others nothing.
+RAW = {t: re.compile(f"</{t}(?=[\\s/>]|$)", re.I | re.A) for t in "script style textarea title xmp iframe noembed noframes noscript".split()}
+TO_END = set("script style textarea title".split())
+#: Elements with markup that is not shown in the text, and those of them that are left alone where they have no end tag.
+HIDDEN = set("svg object canvas select template annotation annotation-xml".split())
+LOOSE = {t: re.compile(rf"<(/?){t}(?=[\s/>])", re.I | re.A) for t in "object canvas select template".split()}
 BLOCK = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html"
     " legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption".split()
 )
+#: HTML start tags that end an open svg or math, and elements of these that hold HTML.
+BREAKS = set("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()) | BLOCK
+HOLDS_HTML = set("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+#: Implied ends don't reach out of these.
+SCOPE = set("svg math object canvas select template foreignobject".split())
 #: A start tag of the key ends an open element of these, up to the nearest of BOUNDS.
 ENDS_P = BLOCK - set("body html legend li dd dt td th tr tbody thead tfoot caption".split())
 IMPLIED = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
@@ -30,7 +40,7 @@ IMPLIED |= {k: {"tr", "td", "th", "tbody", "thead", "tfoot"} for k in ("tbody",
 BOUNDS = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "tr": {"table"}, "tbody": {"table"}, "thead": {"table"}, "tfoot": {"table"}}
 
 #: Elements that never hold the article, by name and role; words of class or id speak against an element, but its share of the page's points decides.
-OUT = set("nav header footer aside form menu head dialog button input search fieldset label".split()) | RAW
+OUT = set("nav header footer aside form menu head dialog button input search fieldset label".split()) | set(RAW) | HIDDEN
 OUT_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist note status".split())
 OUT_WORDS = set(
     "ad ads advert adverts advertisement advertising adbox adblock banner sponsor sponsored promo promotion sidebar aside menu nav navbar navigation breadcrumb breadcrumbs"
@@ -91,11 +101,25 @@ def _unwanted(tag: str, attrs: str, inside: bool):
     return (_doubts(names) or False) if names else False
 
 
+def _unended(page: str, tag: str) -> set[int]:
+    """Places of the start tags of an element that have no end tag."""
+    opened: list[int] = []
+    for m in LOOSE[tag].finditer(page):
+        if not m[1]:
+            opened.append(m.start())
+        elif opened:
+            opened.pop()
+    return set(opened)
+
+
 def parse(page: str) -> Node:
     """Tree of elements and strings (raw, with character references)."""
     root = node = Node("#root", None, False)
-    at, n, lower = 0, len(page), None
+    at, n = 0, len(page)
     articles = 0
+    foreign = choice = None  # the last opened svg or math; an open select without an end tag
+    endless: set[str] = set()  # raw elements that end nowhere in the rest
+    unended: dict[str, set[int]] = {}
     while at < n:
         m = TAG.search(page, at)
         if not m:
@@ -119,26 +143,46 @@ def parse(page: str) -> Node:
                 articles -= node.tag in ("article", "main")
                 node = node.parent
             continue
-        if tag in RAW:
-            lower = lower or page.lower()
-            end = lower.find("</" + tag, at)
-            if m[0].endswith("/>") and tag in ("svg", "math"):
-                continue
-            if end < 0:
+        if choice is not None and tag not in ("option", "optgroup"):
+            up = node
+            while up is not None and up is not choice:
+                up = up.parent
+            node, choice = up.parent if up is not None else node, None
+        inside = False  # directly in svg or math
+        if foreign is not None:
+            up = node
+            while up is not None and up.tag not in ("svg", "math") and up.tag not in HOLDS_HTML:
+                up = up.parent
+            if up is None:
+                foreign = None
+            elif up.tag in ("svg", "math"):
+                inside = tag not in BREAKS
+                node = node if inside else up.parent
+        if tag in RAW and not inside:
+            end = None if tag in endless else RAW[tag].search(page, at)
+            if end is not None:
+                close = page.find(">", end.end())
+                at = n if close < 0 else close + 1
+            elif tag in TO_END:
                 break  # nothing after it is shown
-            close = page.find(">", end)
-            at = n if close < 0 else close + 1
+            else:
+                endless.add(tag)
             continue
+        if tag in LOOSE:
+            if tag not in unended:
+                unended[tag] = _unended(page, tag)
+            if m.start() in unended[tag] and tag != "select":
+                continue
         if tag in ENDS_P:
             up = node
-            while up is not root and up.tag != "p" and up.tag not in BLOCK:
+            while up is not root and up.tag != "p" and up.tag not in BLOCK and up.tag not in SCOPE:
                 up = up.parent
             if up.tag == "p":
                 node = up.parent
         if tag in IMPLIED:
             up, stop = node, BOUNDS.get(tag, set())
             last = None
-            while up is not root and up.tag not in stop:
+            while up is not root and up.tag not in stop and up.tag not in SCOPE:
                 if up.tag in IMPLIED[tag]:
                     last = up
                 up = up.parent
@@ -150,6 +194,10 @@ def parse(page: str) -> Node:
         if tag not in VOID and not (attrs.endswith("/") and tag not in BLOCK):
             node = child
             articles += tag in ("article", "main")
+            if tag in ("svg", "math"):
+                foreign = child
+            elif tag == "select" and m.start() in unended[tag]:
+                choice = child
     return root
 
 

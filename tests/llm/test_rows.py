@@ -76,6 +76,28 @@ def test_short_sections_beside_a_long_one(outer):
     assert got[:3] == ["Title", "Opening", "It opens."] and len(got) == 13 and got[11] == "Closing" and got[12].startswith("last last")
 
 
+@pytest.mark.parametrize("skipped", [
+    "<script>var a = '<p>no</p>'</script>", "<SCRIPT>no</Script >", "<iframe>no</iframe>", "<noscript><p>no</p></noscript>", "<svg><title>no</title><style>no</style><path d=M0 /></svg>",
+    "<svg><title/><script/><path d=M0>", "<svg viewBox='0'><g><text>no</text></g>", "<canvas>", "<canvas/>", "<object data=x>", "<template>", "<noscript>", "<iframe src=x>", "<noembed>", "<xmp>", "<noframes>",
+    "<select><option>no<option>no", "<select><optgroup><option>no</select>", "<template><p>no</p></template>", "<object data=x><p>no</p></object>", "<canvas><p>no</p></canvas>",
+    "<template><template><li>no</li></template><p>no</p></template>", "<svg><foreignObject><div>no</div></foreignObject></svg>", "<canvas><canvas><p>no</p></canvas>", "<math><annotation>no</annotation></math>",
+])
+@pytest.mark.parametrize("dots", [0, 1, 12, 400])
+def test_skipped_elements_take_no_text(skipped, dots):
+    start = "<p>Paragraph, with commas, and words to be the text " + "İ" * dots + "</p>"
+    page = f"<body><article>{start}{skipped}{PARAS}{skipped}<p>And the last one, after it.</article>"
+    if skipped == "<canvas><canvas><p>no</p></canvas>":
+        page = page.replace(skipped, "", 1)
+    assert main_text(page).split("\n\n") == [start[3:-4].strip(), *PARTS, "And the last one, after it."]
+
+
+def test_ends_of_scripts_and_formulas():
+    assert main_text(f"<article>{PARAS}<script>x</article><p>no") == "\n\n".join(PARTS)  # no end tag: HTML's rule
+    assert main_text(f"<article><script>'</scripts>no'</script>{PARAS}</article>") == "\n\n".join(PARTS)
+    assert main_text(f"<article>{PARAS}<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds, as said.</p></article>").endswith("\n\nSo x=1 holds, as said.")
+    assert main_text("<article>" + "<iframe>" * 20000 + "<object>" * 20000 + PARAS).split("\n\n") == PARTS
+
+
 def test_pages_of_the_table(spark):
     import html
 
