@@ -19,8 +19,9 @@ BASE = (
 )
 #: A run this long holds no shorter match of its pattern that could pass, so scanning for it directly is the same as scanning and dropping.
 DIRECT = {"access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
-#: Tokens the models learn from, and those they judge.
-LEARN, JUDGE = r"[A-Za-z0-9+/_=-]{12,}", r"[A-Za-z0-9+/_=-]{20,}"
+#: Tokens the models learn from and judge, and their least length.
+LEAST = 12
+LEARN = JUDGE = r"[A-Za-z0-9+/_=-]{%d,}" % LEAST
 LOW, SIZE = ord("+"), ord("z") - ord("+") + 1
 
 
@@ -95,16 +96,17 @@ def likelihood_ratio(token: Column, ratios: list[float]) -> Column:
 def scan(docs: DataFrame, ratios: list[float], least: float = 6.9, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, assign, access, hex, markov (arrays of start, ord, end, kind; code points, end exclusive).
 
-    ``markov`` has the tokens of 20 and more characters whose ratio is at least ``least`` (about 1000 to 1) and that overlap no base span.
+    ``markov`` has the tokens of 12 and more characters whose ratio is at least ``least`` (about 1000 to 1) and that base spans don't cover wholly.
     Null and empty texts have no spans; ids may be null or repeated, each row is reported; an empty table gives no row;
     other columns are ignored.  Time grows with the square of the matches in one text.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     out = docs.select(F.col(id_col).alias("doc_id"), text.alias("_text"))
     spans = base_spans(F.col("_text"))
-    out = out.select("doc_id", "_text", *[c.alias(k) for k, c in spans.items()], match_spans(F.col("_text"), JUDGE, 0, 20, "markov", len(BASE)).alias("_tokens"))
-    base = F.concat("assign", "access", "hex")
+    out = out.select("doc_id", "_text", *[c.alias(k) for k, c in spans.items()], match_spans(F.col("_text"), JUDGE, 0, LEAST, "markov", len(BASE)).alias("_tokens"))
+    base = F.array_sort(F.concat("assign", "access", "hex"))
     word = lambda t: F.substring(F.col("_text"), t["start"] + 1, t["end"] - t["start"])
-    clear = lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
+    reach = lambda t: F.aggregate(base, t["start"], lambda at, b: F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at))
+    clear = lambda t: reach(t) < t["end"]
     markov = F.filter("_tokens", lambda t: clear(t) & (likelihood_ratio(word(t), ratios) >= least))
     return out.select("doc_id", "assign", "access", "hex", F.when(F.size("_tokens") > 0, markov).otherwise(F.col("_tokens")).alias("markov"))
