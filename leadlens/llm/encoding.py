@@ -43,17 +43,20 @@ class PieceEncoder:
     Byte-level and word-end vocabularies split at white space before any merge, so the ids of a text are those of its
     words in a row: with the blank before them in a byte-level vocabulary, without white space in a word-end one.
     Simple words go straight to the vocabulary's model, others through the whole library.  The memory is bounded and results don't depend on
-    it.  Special tokens' strings in a text are ordinary text.  Any other kind of vocabulary encodes whole texts.
+    it.  Any other kind of vocabulary encodes whole texts.  With ``added``, as the library does by default, the strings of added tokens in a text
+    have these tokens' ids, and a text that holds one is encoded whole; without, special tokens' strings are ordinary text.
     """
 
-    def __init__(self, path: str, end_id: int = 1, most: int = 800_000, longest: int = 40):
+    def __init__(self, path: str, end_id: int = 1, most: int = 800_000, longest: int = 40, added: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not added
+        strings = [t.content for t in self.tok.get_added_tokens_decoder().values() if t.content] if added else []
+        self.added = re.compile("|".join(map(re.escape, strings)), re.I).search if strings else None  # any case: some match normalized text
         self.end = end_id.to_bytes(4, "little")
         self.letters = byte_letters()
         model, before = self.tok.model, type(self.tok.pre_tokenizer).__name__
@@ -91,6 +94,8 @@ class PieceEncoder:
         return ids + self.pieces[marks] if marks else ids
 
     def _text(self, text: str) -> bytes:
+        if self.added is not None and self.added(text):
+            return self._whole(text)
         if self.kind == "word":
             if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:  # white to Python alone
                 return b"".join(map(self.pieces.__getitem__, PIECES.findall(text)))

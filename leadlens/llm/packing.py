@@ -144,7 +144,7 @@ def pack_documents(
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder = PieceEncoder(tokenizer_path, end_id, remember)
+        encoder = PieceEncoder(tokenizer_path, end_id, remember, added=True)
         packer = VectorPacker(seq_len, max_segments, limit_loss, first_sequence=TaskContext.get().partitionId() << 40)
         held: dict[int, list] = {}  # row -> [id, ids, tokens left]
         out_schema = None

@@ -51,7 +51,7 @@ def write_token_store(
         from pyspark import TaskContext
 
         task = TaskContext.get()
-        encoder = PieceEncoder(tokenizer_path, end_id)
+        encoder = PieceEncoder(tokenizer_path, end_id, added=True)
         small = encoder.tok.get_vocab_size() <= 1 << 16 and end_id < 1 << 16
         ids_type, np_type = (pa.uint16(), np.uint16) if small else (pa.uint32(), np.uint32)
         schema = pa.schema([("ids", pa.list_(ids_type, seq_len)), ("mask", pa.list_(pa.bool_(), seq_len))])

@@ -41,6 +41,28 @@ def test_pieces_equal_whole_texts(path):
         assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids + [1], repr(text)
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_added_tokens_as_the_library_does(path):
+    tok = Tokenizer.from_file(path)
+    rng = random.Random(2)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext", "|>", " ", "\n", "  ", "a", "word", "É", "\x1c", "\U0001f600"]
+    texts = ODD + ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(500)]
+    for text, ids in zip(texts, PieceEncoder(path, most=40, added=True).encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids + [1], repr(text)
+
+
+def test_added_tokens_in_packing_and_store(spark):
+    docs = spark.createDataFrame([(1, "one <|endoftext|> two<|startoftext|>"), (2, "plain")], "doc_id long, text string")
+    ids = {p: [*Tokenizer.from_file(p).encode("one <|endoftext|> two<|startoftext|>", add_special_tokens=False).ids, 1] for p in (BYTE, WORD)}
+    got = [r for r in pack_documents(docs, BYTE, seq_len=64).collect() if r.doc_id == 1]
+    assert b"".join(r.ids for r in sorted(got, key=lambda r: r.start)) == np.array(ids[BYTE], "<u4").tobytes() and 50256 in ids[BYTE]
+    path = scratch_path(spark, "store")
+    write_token_store(docs, path, WORD, seq_len=32, batch_rows=4)
+    rows = {r.doc_id: r for r in read_token_store(spark, path).collect()}
+    assert bytes(rows[1].ids) == np.array(ids[WORD], "<u4").tobytes() and {49406, 49407} <= set(ids[WORD])
+    assert (rows[1].n_tokens, rows[2].start) == (len(ids[WORD]), len(ids[WORD]))
+
+
 def test_packer_keeps_limits_and_loses_nothing():
     rng = random.Random(3)
     packer = VectorPacker(64, 5, 40, pool=32)
