@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and their SQL where SQL can express them."""
+"""The registered queries of the thirteen operators, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlens.llm import decontam, embedding_dedup, html_text, line_dedup, packing, secrets, simhash, token_store, toxicity, url_rules
+from leadlens.llm import decontam, embedding_dedup, html_text, line_dedup, packing, prefix_trie, secrets, simhash, spelling, token_store, toxicity, url_rules
 from leadlens.llm.common import table
 from leadlens.session import scratch_path
 
@@ -134,8 +134,94 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ranked_turns(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    shared = F.crc32(conv.cast("string").cast("binary")) % 6
+    rebuilt, convs = prefix_trie.rebuild_forks(turns, conv - conv % 100, shared, most=5)
+    nodes, ends = prefix_trie.prefix_trie(rebuilt, convs)
+    full = nodes.join(prefix_trie.list_digests(ends), ["depth", "k1", "k2"], "left")
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    return full.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", none).alias("ends_sha256"))
+
+
+def _crc32_sql(hex_text: str) -> str:
+    """Unsigned CRC-32 of the bytes written in ``hex_text``, bit by bit."""
+    data = f"list_transform(range(1, length({hex_text}) // 2 + 1), lambda i: CAST('0x' || substring({hex_text}, 2 * i - 1, 2) AS BIGINT))"
+    bits = "list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda a, b: {bits}), 4294967295)"
+
+
+OP12_SQL = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) - 1 AS pos FROM t
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc32_sql("x")} % 6 AS h FROM (SELECT DISTINCT conv_id, hex(encode(CAST(conv_id AS VARCHAR))) AS x FROM t)
+), b AS (
+  SELECT c.conv_id, 0 AS part, pos, role, text FROM c JOIN r ON r.conv_id = c.base AND pos < h
+  UNION ALL SELECT c.conv_id, 1, pos, role, text FROM c JOIN r ON r.conv_id = c.conv_id AND pos >= h
+), n AS (
+  SELECT conv_id, row_number() OVER w AS depth, list(md5(length(role) || ':' || role || text)) OVER w AS key, length(text) AS chars
+  FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), m AS (
+  SELECT * FROM n UNION ALL SELECT conv_id, 0, [], 0 FROM c
+), v AS (
+  SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM m GROUP BY ALL
+), kids AS (
+  SELECT depth - 1 AS depth, key[1:depth - 1] AS key, count(*) AS n_children FROM v WHERE depth > 0 GROUP BY ALL
+), e AS (
+  SELECT depth, key, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+  FROM (SELECT conv_id, max(depth) AS depth, arg_max(key, depth) AS key FROM m GROUP BY conv_id) GROUP BY ALL
+), f AS (
+  SELECT v.*, coalesce(n_children, 0) AS n_children FROM v LEFT JOIN kids USING (depth, key)
+), s AS (
+  SELECT a.depth, a.key, count(*) FILTER (WHERE z.n_children = 0) AS n_leaves, CAST(sum((z.n_convs - 1) * z.chars) AS BIGINT) AS saved_tokens
+  FROM f a JOIN f z ON z.depth >= a.depth AND z.key[1:a.depth] = a.key GROUP BY ALL
+)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM f JOIN s USING (depth, key) LEFT JOIN e USING (depth, key) LEFT JOIN f p ON p.depth = f.depth - 1 AND p.key = f.key[1:f.depth - 1]
+"""
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(table(spark, sf_dir, "documents"))
+    return spelling.group_variants(words)
+
+
+OP13_SQL = f"""
+WITH RECURSIVE u AS (
+  SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[a-zÀ-ÿ]+')) AS run FROM u) WHERE length(run) >= 7 GROUP BY ALL
+), hashed AS (
+  SELECT run, n, {_crc32_sql("x")} AS h FROM (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs)
+), written AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+), w AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM written WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cut AS (
+  SELECT word, n, i, substring(word, 1, i) || substring(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND length(a.word) = length(b.word) AND a.word <> b.word
+  UNION SELECT cut.word, w.word, w.n FROM cut JOIN w ON w.word = rest
+  UNION SELECT w.word, cut.word, cut.n FROM cut JOIN w ON w.word = rest
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min({{'o': other, 'm': m}}, {{'m': -m, 'o': other}}) AS b FROM near GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.m >= 10 * w.n THEN b.o END AS form, CASE WHEN b.m >= 10 * w.n THEN b.m END AS form_n FROM w LEFT JOIN best USING (word)
+), walk(word, root) AS (
+  SELECT word, word FROM forms UNION ALL SELECT walk.word, forms.form FROM walk JOIN forms ON forms.word = walk.root WHERE forms.form IS NOT NULL
+), last AS (
+  SELECT walk.word, walk.root FROM walk JOIN forms ON forms.word = walk.root WHERE forms.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN last USING (word)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_html_text, op2_packing, op3_line_dedup, op4_url_rules, op5_toxicity, op6_embedding_dedup, op7_secrets, op8_token_store, op9_decontamination, op10_simhash)
+    for f in (op1_html_text, op2_packing, op3_line_dedup, op4_url_rules, op5_toxicity, op6_embedding_dedup, op7_secrets, op8_token_store, op9_decontamination, op10_simhash, op12_prefix_trie, op13_spelling)
 }
-ORACLE = {"op3_line_dedup": OP3_SQL, "op4_url_rules": OP4_SQL, "op6_embedding_dedup": OP6_SQL}
+ORACLE = {"op3_line_dedup": OP3_SQL, "op4_url_rules": OP4_SQL, "op6_embedding_dedup": OP6_SQL, "op12_prefix_trie": OP12_SQL, "op13_spelling": OP13_SQL}
