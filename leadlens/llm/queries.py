@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlens.llm import decontam, embedding_dedup, html_text, line_dedup, packing, prefix_trie, secrets, simhash, spelling, token_store, toxicity, url_rules
+from leadlens.llm import decontam, embedding_dedup, html_text, line_dedup, packing, prefix_trie, repeats, secrets, simhash, spelling, token_store, toxicity, url_rules
 from leadlens.llm.common import table
 from leadlens.session import scratch_path
 
@@ -134,6 +134,38 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    copies, texts = repeats.cut_texts(table(spark, sf_dir, "documents"), length=100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    digests = texts.select("doc", "first", removed.alias("n_removed"), F.size("spans").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return repeats.removed_bytes(copies, digests, length=100)
+
+
+OP11_SQL = """
+WITH d AS (
+  SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, md5(coalesce(text, ''))) AS row, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), p AS (
+  SELECT row, at, x FROM (SELECT row, x, unnest(range(0, length(x) // 2 - 99)) AS at FROM d)
+), s AS (
+  SELECT row, at, row_number() OVER (PARTITION BY md5(substring(x, 2 * at + 1, 200)) ORDER BY row, at) AS nth FROM p
+), o AS (
+  SELECT row, at, lag(at) OVER (PARTITION BY row ORDER BY at) AS prev FROM s WHERE nth > 1
+), g AS (
+  SELECT row, at, count(*) FILTER (WHERE prev IS NULL OR at > prev + 100) OVER (PARTITION BY row ORDER BY at) AS run FROM o
+), r AS (
+  SELECT row, run, min(at) AS a, max(at) + 100 AS z FROM g GROUP BY ALL
+), k AS (
+  SELECT row, run, a, z, lag(z, 1, 0) OVER (PARTITION BY row ORDER BY run) AS free FROM r
+), e AS (
+  SELECT row, sum(z - a) AS n, count(*) AS runs, string_agg(substring(x, 2 * free + 1, 2 * (a - free)), '' ORDER BY run) || substring(any_value(x), 2 * max(z) + 1) AS rest
+  FROM k JOIN d USING (row) GROUP BY row
+)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, CAST(coalesce(runs, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(rest, x))) AS kept_sha256
+FROM d LEFT JOIN e USING (row)
+"""
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = prefix_trie.ranked_turns(table(spark, sf_dir, "conversations"))
     conv = F.col("conv_id")
@@ -222,6 +254,6 @@ SELECT word, form, root, n, n_near, form_n FROM forms JOIN last USING (word)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_html_text, op2_packing, op3_line_dedup, op4_url_rules, op5_toxicity, op6_embedding_dedup, op7_secrets, op8_token_store, op9_decontamination, op10_simhash, op12_prefix_trie, op13_spelling)
+    for f in (op1_html_text, op2_packing, op3_line_dedup, op4_url_rules, op5_toxicity, op6_embedding_dedup, op7_secrets, op8_token_store, op9_decontamination, op10_simhash, op11_suffix_dedup, op12_prefix_trie, op13_spelling)
 }
-ORACLE = {"op3_line_dedup": OP3_SQL, "op4_url_rules": OP4_SQL, "op6_embedding_dedup": OP6_SQL, "op12_prefix_trie": OP12_SQL, "op13_spelling": OP13_SQL}
+ORACLE = {"op3_line_dedup": OP3_SQL, "op4_url_rules": OP4_SQL, "op6_embedding_dedup": OP6_SQL, "op11_suffix_dedup": OP11_SQL, "op12_prefix_trie": OP12_SQL, "op13_spelling": OP13_SQL}
