@@ -143,26 +143,28 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP11_SQL = """
 WITH d AS (
-  SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, md5(coalesce(text, ''))) AS row, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+  SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, md5(coalesce(text, ''))) AS num, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), b AS (
+  SELECT num, 500 * i AS start, substring(x, 1000 * i + 1, 1198) AS x FROM (SELECT num, x, unnest(range(0, length(x) // 1000 + 1)) AS i FROM d)
 ), p AS (
-  SELECT row, at, x FROM (SELECT row, x, unnest(range(0, length(x) // 2 - 99)) AS at FROM d)
+  SELECT num, start + i AS pos, substring(x, 2 * i + 1, 200) AS w FROM (SELECT num, start, x, unnest(range(0, 500)) AS i FROM b)
 ), s AS (
-  SELECT row, at, row_number() OVER (PARTITION BY md5(substring(x, 2 * at + 1, 200)) ORDER BY row, at) AS nth FROM p
+  SELECT num, pos, row_number() OVER (PARTITION BY md5(w) ORDER BY num, pos) AS nth FROM p WHERE length(w) = 200
 ), o AS (
-  SELECT row, at, lag(at) OVER (PARTITION BY row ORDER BY at) AS prev FROM s WHERE nth > 1
+  SELECT num, pos, lag(pos) OVER (PARTITION BY num ORDER BY pos) AS prev FROM s WHERE nth > 1
 ), g AS (
-  SELECT row, at, count(*) FILTER (WHERE prev IS NULL OR at > prev + 100) OVER (PARTITION BY row ORDER BY at) AS run FROM o
+  SELECT num, pos, count(*) FILTER (WHERE prev IS NULL OR pos > prev + 100) OVER (PARTITION BY num ORDER BY pos) AS run FROM o
 ), r AS (
-  SELECT row, run, min(at) AS a, max(at) + 100 AS z FROM g GROUP BY ALL
+  SELECT num, run, min(pos) AS a, max(pos) + 100 AS z FROM g GROUP BY ALL
 ), k AS (
-  SELECT row, run, a, z, lag(z, 1, 0) OVER (PARTITION BY row ORDER BY run) AS free FROM r
+  SELECT num, run, a, z, lag(z, 1, 0) OVER (PARTITION BY num ORDER BY run) AS free FROM r
 ), e AS (
-  SELECT row, sum(z - a) AS n, count(*) AS runs, string_agg(substring(x, 2 * free + 1, 2 * (a - free)), '' ORDER BY run) || substring(any_value(x), 2 * max(z) + 1) AS rest
-  FROM k JOIN d USING (row) GROUP BY row
+  SELECT num, sum(z - a) AS n, count(*) AS runs, string_agg(substring(x, 2 * free + 1, 2 * (a - free)), '' ORDER BY run) || substring(any_value(x), 2 * max(z) + 1) AS rest
+  FROM k JOIN d USING (num) GROUP BY num
 )
 SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, CAST(coalesce(runs, 0) AS BIGINT) AS n_spans,
   sha256(unhex(coalesce(rest, x))) AS kept_sha256
-FROM d LEFT JOIN e USING (row)
+FROM d LEFT JOIN e USING (num)
 """
 
 
