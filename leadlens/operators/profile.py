@@ -9,10 +9,10 @@ Scale notes
   counted with map-side partial aggregation, so the shuffle carries distinct
   levels only, never rows.
 * Exact quantiles (``exact_quantiles``) avoid Spark's ``percentile`` (which
-  gathers every distinct value of a group into one task): values are counted
-  per distinct value, ranked with distributed two-level prefix sums, and
-  only the rows that hold the requested ranks are kept.  Results equal the
-  linear interpolation of pandas ``quantile``.
+  gathers every distinct value of a group into one task): a sketch brackets
+  the wanted ranks and only the rows inside the brackets are counted by value
+  and ranked (``selection``).  Results equal the linear interpolation of
+  pandas ``quantile``.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadlens.functions.columns import MONTH_ORDER, WEEKDAY_ORDER, quoted
-from leadlens.operators.evaluate import prefix_sums, score_buckets
+from leadlens.operators.selection import exact_quantiles_map, number
 
 # Report thresholds.
 RARE_LEVEL_COUNT = 50  # a level with fewer rows is flagged rare
@@ -200,60 +200,18 @@ def dataset_overview(raw: DataFrame, target: str = "y", drop: Sequence[str] = ()
 # ---------------------------------------------------------------------------
 # Numeric summaries
 # ---------------------------------------------------------------------------
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    n_buckets: int | None = None,
-) -> DataFrame:
-    """(column, prob, value): exact linear-interpolation quantiles of every
-    column (NULL and NaN skipped), distributed.
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(column, prob, value): exact linear-interpolation quantiles of every column (NULL and NaN skipped).
 
-    h = (n-1)*q; value = x[floor h] + (h - floor h) * (x[floor h + 1] - x[floor h]).
+    h = (n-1)*q; value = x[floor h] + (h - floor h) * (x[floor h + 1] - x[floor h]).  See ``selection``; a column without values has no row.
     """
-    cols = list(columns)
-    long = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), quoted(c).cast("double").alias("v")) for c in cols]))
-    ).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    from leadlens.session import materialize
-
-    counts = materialize(long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("cnt")))
-    edges = score_buckets(counts, "v", n_buckets)
-    ranked = prefix_sums(counts, "v", ["cnt"], by="column", edges=edges, descending=False)
-    # a distinct value v covers 0-based ranks [cum - cnt, cum - 1]
-    lo_r = F.col("cum_cnt") - F.col("cnt")
-    hi_r = F.col("cum_cnt") - 1
-    picks = []
-    for q in probs:
-        h = (F.col("cnt_total") - 1).cast("double") * F.lit(float(q))
-        fl = F.floor(h)
-        for which, rank in (("lo", fl), ("hi", F.least(fl + 1, F.col("cnt_total") - 1))):
-            picks.append(
-                F.when(
-                    (rank >= lo_r) & (rank <= hi_r),
-                    F.struct(F.lit(float(q)).alias("prob"), F.lit(which).alias("which"), (h - fl).alias("frac")),
-                )
-            )
-    hits = ranked.select("column", "v", F.explode(F.array_compact(F.array(*picks))).alias("p")).select(
-        "column", "v", "p.*"
-    )
-    return hits.groupBy("column", "prob").agg(
-        F.max(F.when(F.col("which") == "lo", F.col("v"))).alias("_lo"),
-        F.max(F.when(F.col("which") == "hi", F.col("v"))).alias("_hi"),
-        F.max("frac").alias("_frac"),
-    ).select("column", "prob", (F.col("_lo") + F.col("_frac") * (F.col("_hi") - F.col("_lo"))).alias("value"))
+    found = quantile_map(df, columns, probs)
+    return df.sparkSession.createDataFrame([(c, q, v) for (c, q), v in found.items()], "column string, prob double, value double")
 
 
 def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[tuple[str, float], float]:
-    """Collect the (few) quantile values to the driver: #columns x #probs numbers."""
-    rows = exact_quantiles(df, columns, probs).collect()
-    return {(r["column"], float(r["prob"])): r["value"] for r in rows}
-
-
-def _number(col: str) -> Column:
-    """The column as double; NaN counts as missing."""
-    x = quoted(col).cast("double")
-    return F.when(~F.isnan(x), x)
+    """The (few) quantile values on the driver: #columns x #probs numbers."""
+    return exact_quantiles_map(df, columns, probs)
 
 
 def _skew_kurt(c: Column) -> tuple[Column, Column, Column]:
@@ -269,11 +227,11 @@ def _skew_kurt(c: Column) -> tuple[Column, Column, Column]:
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std (sample), min, q25, median, q75, max, skew, kurtosis per column."""
     cols = list(columns or numeric_columns(df))
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    q = quantile_map(df, cols, [0.25, 0.5, 0.75])
     aggs = []
     for i, c in enumerate(cols):
-        x = F.when(~F.isnan(quoted(c).cast("double")), quoted(c).cast("double"))
-        n, sk, ku = _skew_kurt(x)
+        x = number(c)
+        _, sk, ku = _skew_kurt(x)
         aggs += [
             F.count(x).alias(f"_n{i}"),
             F.avg(x).alias(f"_mean{i}"),
@@ -283,7 +241,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
             sk.alias(f"_sk{i}"),
             ku.alias(f"_ku{i}"),
         ]
-    base = _long(
+    return _long(
         df.agg(*aggs),
         [
             F.struct(
@@ -292,6 +250,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
                 F.col(f"_mean{i}").alias("mean"),
                 F.col(f"_std{i}").alias("std"),
                 F.col(f"_min{i}").alias("min"),
+                *[F.lit(q.get((c, p))).cast("double").alias(name) for p, name in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))],
                 F.col(f"_max{i}").alias("max"),
                 F.col(f"_sk{i}").alias("skewness"),
                 F.col(f"_ku{i}").alias("kurtosis"),
@@ -299,12 +258,6 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
             for i, c in enumerate(cols)
         ],
     )
-    qw = q.groupBy("column").agg(
-        *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name) for p, name in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))]
-    )
-    return base.join(qw, "column", "left").select(
-        "column", "count", "mean", "std", "min", "q25", "median", "q75", "max", "skewness", "kurtosis"
-    )
 
 
 def skewness_report(df: DataFrame, columns: Sequence[str] | None = None, high: float = HIGH_SKEW) -> DataFrame:
@@ -312,7 +265,7 @@ def skewness_report(df: DataFrame, columns: Sequence[str] | None = None, high: f
     cols = list(columns or numeric_columns(df))
     aggs = []
     for i, c in enumerate(cols):
-        _, sk, ku = _skew_kurt(_number(c))
+        _, sk, ku = _skew_kurt(number(c))
         aggs += [sk.alias(f"_sk{i}"), ku.alias(f"_ku{i}")]
     rep = _long(
         df.agg(*aggs),
@@ -328,7 +281,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], pairs: str = "all"
     cols = list(columns)
     idx = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if (i < j if pairs == "upper" else True)]
     uniq = sorted({(min(i, j), max(i, j)) for i, j in idx if i != j})
-    agg = df.agg(*[F.corr(_number(cols[i]), _number(cols[j])).alias(f"_r{i}_{j}") for i, j in uniq], F.lit(1.0).alias("_one"))
+    agg = df.agg(*[F.corr(number(cols[i]), number(cols[j])).alias(f"_r{i}_{j}") for i, j in uniq], F.lit(1.0).alias("_one"))
     structs = []
     for i, j in idx:
         r = F.col("_one") if i == j else F.col(f"_r{min(i, j)}_{max(i, j)}")
@@ -360,7 +313,7 @@ def outlier_report(df: DataFrame, columns: Sequence[str], low: float = 0.01, hig
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(cols):
         lo, hi = qm.get((c, low)), qm.get((c, high))
-        x = _number(c)
+        x = number(c)
         aggs.append(F.count(F.when(x < F.lit(lo), 1)).alias(f"_lo{i}"))
         aggs.append(F.count(F.when(x > F.lit(hi), 1)).alias(f"_hi{i}"))
     rep = _long(

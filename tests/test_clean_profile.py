@@ -65,16 +65,41 @@ def test_clip_matches_pandas_and_keeps_nan(spark, bank_pdf):
     assert np.isnan(out["euribor3m"].iloc[3])
 
 
-@pytest.mark.parametrize("n_buckets", [1, 5, 40])
-def test_exact_quantiles_equal_pandas(spark, n_buckets):
+@pytest.mark.parametrize("accuracy,inside", [(10_000, 1_000_000), (20, 5), (20, 0), (4, 50)])
+def test_exact_quantiles_equal_pandas(spark, monkeypatch, accuracy, inside):
+    from leadlens.operators import selection
+
+    monkeypatch.setattr(selection, "ACCURACY", accuracy)
+    monkeypatch.setattr(selection, "MOST_INSIDE", inside)
     rng = np.random.default_rng(3)
     x = np.round(rng.exponential(2.0, 2001), 1)  # ties
-    df = spark.createDataFrame(pd.DataFrame({"x": x, "z": -x}))
-    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = {(r.column, r.prob): r.value for r in pr.exact_quantiles(df, ["x", "z"], probs, n_buckets=n_buckets).collect()}
-    for q in probs:
-        assert got[("x", q)] == pytest.approx(pd.Series(x).quantile(q), abs=1e-12)
-        assert got[("z", q)] == pytest.approx(pd.Series(-x).quantile(q), abs=1e-12)
+    x[:3] = [np.inf, -np.inf, np.nan]
+    half = np.repeat([0.0, 1.0], 1001)[:2001]
+    pdf = pd.DataFrame({"x": x, "z": rng.normal(size=2001), "half": half, "one": 7.0})
+    df = spark.createDataFrame(pdf).withColumn("none", F.lit(None).cast("double")).withColumn("a.b", F.col("z"))
+    probs = [0.0, 0.01, 0.25, 0.4999, 0.5, 0.75, 0.99, 1.0]
+    got = {(r.column, r.prob): r.value for r in pr.exact_quantiles(df, ["x", "z", "half", "one", "none", "a.b"], probs).collect()}
+    for c in pdf:
+        for q in probs:
+            want = pdf[c].quantile(q)
+            assert got[(c, q)] == pytest.approx(want, abs=1e-12) or np.isnan(want)
+    assert got[("a.b", 0.25)] == got[("z", 0.25)] and not any(c == "none" for c, _ in got)
+
+
+def test_moved_brackets_find_their_rank(spark, monkeypatch):
+    """A sketch that misses altogether costs passes, not the result."""
+    from leadlens.operators import selection
+
+    seen = []
+
+    def blind(df, todo):
+        for b in todo:
+            seen.append(b.column)
+            b.lo, b.hi = (50.0, 60.0) if len(seen) < 3 else (b.lo, b.hi)
+
+    monkeypatch.setattr(selection, "_sketch", blind)
+    df = spark.range(101).select(F.col("id").cast("double").alias("x"))
+    assert selection.order_statistics(df, {"x": [3, 97, 55]}, {"x": 101}) == {("x", 3): 3.0, ("x", 97): 97.0, ("x", 55): 55.0}
 
 
 def test_skew_kurtosis_equal_pandas(spark, bank_pdf):
