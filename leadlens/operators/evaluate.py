@@ -6,10 +6,10 @@ Design for scale
   map-side partial aggregation collapses a hot score value to one row before
   the shuffle, so skew in scores cannot overload a task.
 * Cumulative counts over the score order (ROC, average precision, curves) are
-  prefix sums computed in two levels (``_prefix_sums``): score buckets cut at
-  approximate quantiles of the raw scores, a window inside each bucket
-  (partitioned, so many tasks) and a window over the per-bucket totals (one
-  row per bucket: bounded by the bucket count, joined back by broadcast).
+  prefix sums computed in two levels (``prefix_sums``): score ranges cut at
+  approximate quantiles of the raw scores, a window inside each range
+  (partitioned, so many tasks) and a window over the totals of the ranges,
+  joined back null-safe, so that a NULL group keeps its rows.
 * Threshold sweeps never form rows x thresholds: every row is bucketed onto
   the sorted grid (arithmetic index checked against the exact grid values), the
   buckets are counted (at most grid+1 groups) and a suffix sum over that tiny
@@ -205,38 +205,25 @@ def score_table(
     return df.groupBy(*keys, p.alias("score")).agg(*aggs)
 
 
-def score_buckets(df: DataFrame, prob: str, n_buckets: int | None = None) -> list[float]:
-    """Bucket edges at approximate quantiles of a column (one sketch pass, no
-    shuffle; returns at most ``n_buckets - 1`` numbers).  Taken over a
-    distinct-value table, each bucket holds ~1/n of the distinct values, i.e.
-    of the rows a per-bucket window has to sort."""
-    spark = df.sparkSession
-    if n_buckets is None:
-        n_buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions", "200")) * 2)
-    if n_buckets <= 1:
+def score_ranges(df: DataFrame, column: str, n_ranges: int | None = None) -> list[float]:
+    """Cuts at approximate quantiles of a column's rows (one sketch pass, no shuffle; at most ``n_ranges - 1`` numbers),
+    so that no range holds many more than one in ``n_ranges`` of the rows, whatever their groups, but for rows of one value."""
+    if n_ranges is None:
+        n_ranges = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")) * 2)
+    if n_ranges <= 1:
         return []
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = df.approxQuantile(prob, probs, 1.0 / (4 * n_buckets))
-    return sorted({float(e) for e in edges if e is not None and not np.isnan(e)})
+    cuts = df.approxQuantile(column, [i / n_ranges for i in range(1, n_ranges)], 1.0 / (4 * n_ranges))
+    return sorted({float(e) for e in cuts if e is not None and np.isfinite(e)})
 
 
-def count_at_most(c: Column, edges: Sequence[float]) -> Column:
-    """Number of sorted ``edges`` that are <= c, as a balanced CASE tree
-    (binary search in log2(n) comparisons; a plain Catalyst expression, so it
-    stays inside whole-stage codegen).  Exact on the given double values."""
+def range_number(df: DataFrame, column: str, cuts: Sequence[float], out: str) -> DataFrame:
+    """``out``: the number of sorted ``cuts`` that are <= the column, by the JVM's binary search (NULL stays NULL)."""
+    from pyspark.ml.feature import Bucketizer
 
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c >= F.lit(float(edges[mid])), node(mid + 1, hi)).otherwise(node(lo, mid))
-
-    return node(0, len(edges))
-
-
-def _bucketize(df: DataFrame, col: str, edges: Sequence[float], out: str) -> DataFrame:
-    es = sorted({float(e) for e in edges if np.isfinite(e)})
-    return df.withColumn(out, count_at_most(F.col(col), es) if es else F.lit(0))
+    if not len(cuts):
+        return df.withColumn(out, F.lit(0))
+    search = Bucketizer(splits=[-np.inf, *map(float, cuts), np.inf], inputCol=column, outputCol=out, handleInvalid="keep")
+    return search.transform(df).withColumn(out, F.col(out).cast("int"))
 
 
 def prefix_sums(
@@ -244,35 +231,37 @@ def prefix_sums(
     order_col: str,
     sum_cols: Sequence[str],
     by: Sequence[str] | str | None = None,
-    edges: Sequence[float] = (),
+    cuts: Sequence[float] = (),
     descending: bool = True,
 ) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ``order_col`` order within
-    each ``by`` group, plus group totals (``<col>_total``).
+    each ``by`` group (NULL is a group), plus group totals (``<col>_total``).
 
-    Two levels: a window per (group, bucket) and a window over per-bucket
-    totals.  ``edges`` cut the order column into buckets; with no edges it
-    is one bucket per group.
+    Two levels: a window per (group, range) and a window over the totals of
+    a group's ranges.  ``cuts`` cut the order column into ranges; any cuts give
+    the same sums.
     """
     keys = _by(by)
-    t = _bucketize(table, order_col, edges, "_bucket")
-    bkt = t.groupBy(*keys, "_bucket").agg(*[F.sum(c).alias(f"_b_{c}") for c in sum_cols])
-    border = F.desc("_bucket") if descending else F.asc("_bucket")
-    w_before = Window.partitionBy(*keys).orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*keys)
-    bkt = bkt.select(
-        *keys,
-        "_bucket",
-        *[F.coalesce(F.sum(f"_b_{c}").over(w_before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
-        *[F.sum(f"_b_{c}").over(w_all).alias(f"{c}_total") for c in sum_cols],
+    t = range_number(table, order_col, cuts, "_range")
+    totals = t.groupBy(*keys, "_range").agg(*[F.sum(c).alias(f"_r_{c}") for c in sum_cols])
+    order = F.desc("_range") if descending else F.asc("_range")
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    offsets = totals.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col("_range").alias("_of"),
+        *[F.coalesce(F.sum(f"_r_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
+        *[F.sum(f"_r_{c}").over(whole).alias(f"{c}_total") for c in sum_cols],
     )
-    # bkt has one row per (group, bucket): bounded by groups x buckets.
-    joined = t.join(F.broadcast(bkt) if not keys else bkt, [*keys, "_bucket"])
-    oorder = F.desc(order_col) if descending else F.asc(order_col)
-    w_in = Window.partitionBy(*keys, "_bucket").orderBy(oorder).rowsBetween(Window.unboundedPreceding, 0)
-    return joined.select(
-        *[c for c in table.columns],
-        *[(F.col(f"_off_{c}") + F.sum(c).over(w_in)).alias(f"cum_{c}") for c in sum_cols],
+    same = F.col("_range") == F.col("_of")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    inner = F.desc(order_col) if descending else F.asc(order_col)
+    within = Window.partitionBy(*keys, "_range").orderBy(inner).rowsBetween(Window.unboundedPreceding, 0)
+    summed = t.withColumns({f"_in_{c}": F.sum(c).over(within) for c in sum_cols})
+    return summed.join(offsets, same).select(
+        *table.columns,
+        *[(F.col(f"_off_{c}") + F.col(f"_in_{c}")).alias(f"cum_{c}") for c in sum_cols],
         *[F.col(f"{c}_total") for c in sum_cols],
     )
 
@@ -283,18 +272,14 @@ def cumulative_scores(
     prob: str = "probability",
     by: Sequence[str] | str | None = None,
     predicted: Column | None = None,
-    n_buckets: int | None = None,
+    n_ranges: int | None = None,
 ) -> DataFrame:
     """Distinct scores with ``cum_pos``/``cum_neg`` = counts with score >= s.
 
-    The distinct-score table is checkpointed to the shared checkpoint folder:
-    the input is scanned once, the bucket sketch reads the (much smaller)
-    table, and a lost executor does not force a re-scan."""
-    from leadlens.session import materialize
-
-    table = materialize(score_table(df, label, prob, by, predicted))
-    edges = score_buckets(table, "score", n_buckets)
-    return prefix_sums(table, "score", ["pos", "neg"], by, edges, descending=True)
+    The rows are read twice: by the sketch that cuts the scores into ranges, and by the aggregate that leaves one row per distinct
+    score.  Scores that are dear to compute are best written first."""
+    cuts = score_ranges(df.select(F.col(prob).cast("double").alias("p")), "p", n_ranges)
+    return prefix_sums(score_table(df, label, prob, by, predicted), "score", ["pos", "neg"], by, cuts, descending=True)
 
 
 # ---------------------------------------------------------------------------
@@ -315,15 +300,15 @@ def _rank_aggs() -> list[Column]:
     return [roc.alias("roc_auc"), F.when(F.first("pos_total") > 0, ap).alias("pr_auc")]
 
 
-def roc_auc(df: DataFrame, label="y", prob="probability", by=None, n_buckets=None) -> DataFrame:
+def roc_auc(df: DataFrame, label="y", prob="probability", by=None, n_ranges=None) -> DataFrame:
     keys = _by(by)
-    cum = cumulative_scores(df, label, prob, keys, n_buckets=n_buckets)
+    cum = cumulative_scores(df, label, prob, keys, n_ranges=n_ranges)
     return cum.groupBy(*keys).agg(_rank_aggs()[0])
 
 
-def pr_auc(df: DataFrame, label="y", prob="probability", by=None, n_buckets=None) -> DataFrame:
+def pr_auc(df: DataFrame, label="y", prob="probability", by=None, n_ranges=None) -> DataFrame:
     keys = _by(by)
-    cum = cumulative_scores(df, label, prob, keys, n_buckets=n_buckets)
+    cum = cumulative_scores(df, label, prob, keys, n_ranges=n_ranges)
     return cum.groupBy(*keys).agg(_rank_aggs()[1])
 
 
@@ -334,14 +319,14 @@ def compute_metrics(
     threshold: float | Column | None = 0.5,
     pred: str | None = None,
     by: Sequence[str] | str | None = None,
-    n_buckets: int | None = None,
+    n_ranges: int | None = None,
     counts: bool = False,
 ) -> DataFrame:
     """accuracy, precision, recall, f1, roc_auc, pr_auc, log_loss, mcc, brier_score
     (zero on zero division) from one distinct-score pass; ``counts`` keeps tp/fp/fn/tn."""
     keys = _by(by)
     predicted = _predicate(prob, threshold, pred)
-    cum = cumulative_scores(df, label, prob, keys, predicted, n_buckets)
+    cum = cumulative_scores(df, label, prob, keys, predicted, n_ranges)
     agg = cum.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")],
         *_rank_aggs(),
@@ -385,10 +370,10 @@ def mcc(df: DataFrame, label="y", prob="probability", threshold=0.5, pred=None,
     return c.select(*keys, *[m for m in metric_columns() if "mcc" in str(m)])
 
 
-def roc_curve(df: DataFrame, label="y", prob="probability", by=None, n_buckets=None) -> DataFrame:
+def roc_curve(df: DataFrame, label="y", prob="probability", by=None, n_ranges=None) -> DataFrame:
     """One point per distinct score (descending): fpr, tpr, precision, recall."""
     keys = _by(by)
-    cum = cumulative_scores(df, label, prob, keys, n_buckets=n_buckets)
+    cum = cumulative_scores(df, label, prob, keys, n_ranges=n_ranges)
     return cum.select(
         *keys,
         F.col("score").alias("threshold"),
@@ -449,54 +434,38 @@ def threshold_sweep(
 ) -> DataFrame:
     """Confusion matrix and profit at every threshold (``prob >= t``).
 
-    Rows are bucketed onto the sorted thresholds by binary search, so the
+    Rows are placed on the sorted thresholds by binary search, so the
     work is one pass plus an aggregate with at most len(thresholds)+1 groups
-    per ``by`` group; no rows x thresholds product is formed.
+    per ``by`` group; no rows x thresholds product is formed.  A NULL or NaN
+    probability fails the job; NULL is a group like any other.
     """
     keys = _by(by)
     ts = thresholds if isinstance(thresholds, LinearGrid) else sorted({float(t) for t in thresholds})
     n = len(ts)
     spark: SparkSession = df.sparkSession
-    scored = df.select(*keys, _label_int(label).alias("_y"), F.col(prob).cast("double").alias("_p"))
-    # bucket k = number of thresholds <= p; threshold i (1-based) calls rows with k >= i.
+    scored = df.select(*keys, _label_int(label).alias("_y"), valid_probability(F.col(prob)).alias("_p"))
+    # _k = number of thresholds <= p; threshold i (1-based) calls rows with _k >= i.
     if isinstance(ts, LinearGrid):
         b = scored.withColumn("_k", ts.count_at_most(F.col("_p")))
     else:
-        b = _bucketize(scored, "_p", ts, "_k")
+        b = range_number(scored, "_p", ts, "_k")
     hist = b.groupBy(*keys, F.col("_k").cast("int").alias("_k")).agg(
         F.count(F.when(F.col("_y") == 1, 1)).alias("_pos"), F.count(F.when(F.col("_y") == 0, 1)).alias("_neg")
     )
-    if keys and n <= 2000:
-        # Per group the histogram has at most n+1 rows: gather them (bounded by
-        # the grid, not the data) and build every suffix sum with higher-order
-        # functions -- one pass, no second scan for the group list, no join.
-        g = hist.groupBy(*keys).agg(F.collect_list(F.struct("_k", "_pos", "_neg")).alias("_h"))
-        total = lambda f: F.aggregate("_h", F.lit(0).cast("long"), lambda acc, e: acc + e[f])
-        at_least = lambda k, f: F.aggregate(
-            F.filter("_h", lambda e: e["_k"] >= k), F.lit(0).cast("long"), lambda acc, e: acc + e[f]
-        )
-        arr = F.transform(
-            F.sequence(F.lit(1), F.lit(n)),
-            lambda k: F.struct(k.alias("_k"), at_least(k, "_pos").alias("tp"), at_least(k, "_neg").alias("fp")),
-        )
-        sfx = g.select(*keys, total("_pos").alias("_P"), total("_neg").alias("_N"), F.inline(arr))
-    else:
-        # Every bucket 0..n, then a suffix-sum window over <= n+1 rows per group.
-        if keys:
-            full = hist.select(*keys).distinct().select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n))).alias("_k"))
-        else:
-            full = spark.range(n + 1).select(F.col("id").cast("int").alias("_k"))
-        full = full.join(hist, [*keys, "_k"], "left").fillna(0, ["_pos", "_neg"])
-        w_suffix = Window.partitionBy(*keys).orderBy(F.desc("_k")).rowsBetween(Window.unboundedPreceding, 0)
-        w_all = Window.partitionBy(*keys)
-        sfx = full.select(
-            *keys,
-            "_k",
-            F.sum("_pos").over(w_suffix).alias("tp"),
-            F.sum("_neg").over(w_suffix).alias("fp"),
-            F.sum("_pos").over(w_all).alias("_P"),
-            F.sum("_neg").over(w_all).alias("_N"),
-        )
+    # every place 0..n of every group is there, with zeros if no row is; then a suffix sum over n+1 rows per group
+    groups = hist.groupBy(*keys).agg(F.lit(1).alias("_one")) if keys else spark.range(1)
+    zeros = groups.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n))).alias("_k"), *[F.lit(0).cast("long").alias(c) for c in ("_pos", "_neg")])
+    full = hist.unionByName(zeros).groupBy(*keys, "_k").agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
+    w_suffix = Window.partitionBy(*keys).orderBy(F.desc("_k")).rowsBetween(Window.unboundedPreceding, 0)
+    w_all = Window.partitionBy(*keys)
+    sfx = full.select(
+        *keys,
+        "_k",
+        F.sum("_pos").over(w_suffix).alias("tp"),
+        F.sum("_neg").over(w_suffix).alias("fp"),
+        F.sum("_pos").over(w_all).alias("_P"),
+        F.sum("_neg").over(w_all).alias("_N"),
+    )
     if isinstance(ts, LinearGrid):
         thr = ts.value_at(F.col("_k") - 1)
     else:
@@ -604,7 +573,7 @@ def model_comparison(
     label: str = "y",
     prob: str = "probability",
     thresholds: Mapping[str, float] | None = None,
-    n_buckets: int | None = None,
+    n_ranges: int | None = None,
 ) -> DataFrame:
     """One row per model: threshold, the nine metrics, confusion counts and net profit.
 
@@ -616,7 +585,7 @@ def model_comparison(
         thresholds = {r[model]: r["threshold"] for r in find_optimal_threshold(df, label, prob, by=model).collect()}
     tmap = F.create_map(*[x for k, v in thresholds.items() for x in (F.lit(k), F.lit(float(v)))])
     scored = df.withColumn("threshold", tmap[F.col(model)])
-    m = compute_metrics(scored, label, prob, threshold=F.col("threshold"), by=[model, "threshold"], n_buckets=n_buckets, counts=True)
+    m = compute_metrics(scored, label, prob, threshold=F.col("threshold"), by=[model, "threshold"], n_ranges=n_ranges, counts=True)
     return m.withColumn("net_profit", profit_expr(F.col("tp"), F.col("fp"), F.col("fn")).cast("double"))
 
 
@@ -771,10 +740,10 @@ def tuning_comparison(before: DataFrame, after: DataFrame, model: str = "model")
     )
 
 
-def pr_curve(df: DataFrame, label="y", prob="probability", by=None, n_buckets=None) -> DataFrame:
+def pr_curve(df: DataFrame, label="y", prob="probability", by=None, n_ranges=None) -> DataFrame:
     """Precision and recall at every distinct score."""
     keys = _by(by)
-    cum = cumulative_scores(df, label, prob, keys, n_buckets=n_buckets)
+    cum = cumulative_scores(df, label, prob, keys, n_ranges=n_ranges)
     return cum.select(
         *keys,
         F.col("score").alias("threshold"),

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlens.functions.columns import quoted, sanitised
-from leadlens.operators.evaluate import BASE_CONVERSION, COST_FN, COST_FP, VALUE_TP, profit_expr
+from leadlens.operators.evaluate import BASE_CONVERSION, COST_FN, COST_FP, VALUE_TP, profit_expr, valid_probability
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's.
@@ -58,14 +58,14 @@ def batch_score(
     digits: int = 4,
 ) -> DataFrame:
     """Score (optionally through a fitted ``PipelineModel``), round the
-    probability, decide YES/NO on the UNROUNDED value; highest first."""
+    probability, decide YES/NO on the UNROUNDED value; highest first.  A NULL or NaN probability fails the job."""
     scored = df
     if model is not None:
         scored = probability_of_positive(model.transform(df), "probability", "_p").drop(
             "rawPrediction", "prediction", "probability", "features"
         )
         prob = "_p"
-    p = F.col(prob).cast("double")
+    p = valid_probability(F.col(prob))
     out = scored.withColumns(
         {"verdict": F.when(p >= F.lit(threshold), "YES").otherwise("NO"), "probability": F.round(p, digits)}
     )
@@ -78,8 +78,8 @@ def batch_score(
 
 
 def batch_summary(df: DataFrame, threshold: float, prob: str = "probability") -> DataFrame:
-    """total, yes (call), no (skip), average probability: one row."""
-    p = F.col(prob).cast("double")
+    """total, yes (call), no (skip), average probability: one row.  A NULL or NaN probability fails the job."""
+    p = valid_probability(F.col(prob))
     return df.agg(
         F.count(F.lit(1)).alias("total"),
         F.count(F.when(p >= F.lit(threshold), 1)).alias("n_yes"),
@@ -205,25 +205,68 @@ def fixed_tiers(df: DataFrame, prob: str = "probability", out: str = "tier") ->
     return df.withColumn(out, fixed_tier_column(prob))
 
 
-def kmeans_tiers(df: DataFrame, prob: str = "probability", k: int = 3, seed: int = 42, out: str = "tier") -> DataFrame:
-    """k-means (k=3) on the probability; clusters named Cold/Warm/Hot by centre order.
-    Only the k centres come to the driver."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    vec = VectorAssembler(inputCols=[prob], outputCol="_pv").transform(df)
-    model = KMeans(k=k, seed=seed, featuresCol="_pv", predictionCol="_cluster").fit(vec)
-    centres = [float(c[0]) for c in model.clusterCenters()]
-    order = sorted(range(len(centres)), key=lambda i: centres[i])
+def kmeans_cuts(df: DataFrame, prob: str = "probability", k: int = 3, digits: int = 4) -> list[dict]:
+    """The k groups of least squared deviation of the rounded probabilities, exactly: per group its least and greatest value (lo, hi), n and
+    centre, ascending.
+
+    In one dimension the groups are ranges, so the best cuts follow from prefix sums of count, sum and squares over the distinct
+    rounded values (at most 10**digits + 1, which reach the driver) by dynamic programming; nothing is random.  Of equally
+    good cuts the lower ones win; with fewer distinct values than k, each is a group.  A probability that is NULL, NaN or outside [0, 1] fails the job.
+    """
+    import numpy as np
+
+    p = valid_probability(F.col(prob))
+    p = F.when((p >= 0) & (p <= 1), p).otherwise(F.raise_error(F.lit("probability outside [0, 1]")).cast("double"))
+    rows = df.groupBy(F.round(p * 10**digits).cast("long").alias("v")).agg(F.count(F.lit(1)).alias("n")).orderBy("v").collect()
+    if not rows:
+        return []
+    v, n = np.array([r["v"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64)
+    m, k = len(v), min(k, len(v))
+    zero = np.zeros(1)
+    count, total, squares = (np.concatenate([zero, np.cumsum(x)]) for x in (n.astype(float), (n * v).astype(float), (n * v * v).astype(float)))
+
+    def spread(a, b):
+        """Squared deviation of the values a..b-1 from their mean."""
+        return (squares[b] - squares[a]) - (total[b] - total[a]) ** 2 / (count[b] - count[a])
+
+    ends = np.arange(1, m + 1)
+    best = spread(np.zeros(m, np.int64), ends)  # the first e values in one group
+    cuts = []
+    for g in range(1, k):
+        now, cut = np.full(m, np.inf), np.zeros(m, np.int64)
+        for e in range(g + 1, m + 1):
+            a = np.arange(g, e)
+            cost = best[a - 1] + spread(a, np.full(len(a), e))
+            at = int(np.argmin(cost))
+            now[e - 1], cut[e - 1] = cost[at], a[at]
+        best = now
+        cuts.append(cut)
+    edges = [m]
+    for cut in reversed(cuts):
+        edges.append(int(cut[edges[-1] - 1]))
+    edges = [0, *reversed(edges)]
+    unit = 10**digits
+    return [
+        {"lo": v[a] / unit, "hi": v[b - 1] / unit, "n": int(count[b] - count[a]), "centre": (total[b] - total[a]) / (count[b] - count[a]) / unit}
+        for a, b in zip(edges, edges[1:])
+    ]
+
+
+def kmeans_tiers(df: DataFrame, prob: str = "probability", k: int = 3, out: str = "tier", digits: int = 4) -> DataFrame:
+    """``df`` with the tier of its probability: Cold/Warm/Hot (tier_0.. for another k) by ``kmeans_cuts``."""
+    groups = kmeans_cuts(df, prob, k, digits)
     names = ["Cold", "Warm", "Hot"] if k == 3 else [f"tier_{r}" for r in range(k)]
-    mapping = F.create_map(*[x for rank, ci in enumerate(order) for x in (F.lit(ci), F.lit(names[rank]))])
-    return model.transform(vec).withColumn(out, mapping[F.col("_cluster")]).drop("_pv", "_cluster")
+    v = F.round(F.col(prob).cast("double") * 10**digits)
+    tier = F.lit(None).cast("string")
+    for group, name in reversed(list(zip(groups, names))):
+        tier = F.when(v <= round(group["hi"] * 10**digits), name).otherwise(tier)
+    return df.withColumn(out, tier)
 
 
 def tier_rules(df: DataFrame, threshold: float, label: str = "y", prob: str = "probability", tier: str = "tier") -> DataFrame:
     """Per tier: rows, subscribers, conversion %, mean/min/max p, net profit at the
-    threshold, action and share of all rows."""
-    p = F.col(prob).cast("double")
+    threshold, action and share of all rows.  A NULL or NaN probability fails the job."""
+    p = valid_probability(F.col(prob))
     y = F.col(label).cast("int")
     pred = p >= F.lit(float(threshold))
     g = df.groupBy(tier).agg(

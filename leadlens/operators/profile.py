@@ -401,13 +401,14 @@ def histogram(df: DataFrame, column: str, lo: float, hi: float, bins: int) -> Da
     closed last bin; values outside [lo, hi] are ignored.  Empty bins give 0."""
     import numpy as np
 
-    from leadlens.operators.evaluate import count_at_most
+    from leadlens.operators.evaluate import range_number
 
     edges = [float(e) for e in np.linspace(lo, hi, bins + 1)]
     x = quoted(column).cast("double")
     inside = df.select(x.alias("_x")).where((F.col("_x") >= lo) & (F.col("_x") <= hi))
     # bin = (#inner edges <= x), so [a, b) bins; the top edge closes the last bin
-    idx = F.least(count_at_most(F.col("_x"), edges[1:-1]), F.lit(bins - 1))
+    inside = range_number(inside, "_x", edges[1:-1], "_inner")
+    idx = F.least(F.col("_inner"), F.lit(bins - 1))
     counts = inside.groupBy(idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession
     frame = spark.createDataFrame([(i, edges[i], edges[i + 1]) for i in range(bins)], "bin int, lower double, upper double")

@@ -12,7 +12,6 @@ The result does not depend on partitioning, and sizes per class are exact.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,7 +22,7 @@ from leadlens.functions.columns import quoted
 SEED = 42
 SPLIT_FRACTIONS = (0.70, 0.15, 0.15)
 N_FOLDS = 5
-ROWS_PER_BUCKET = 1_000_000  # rows that one task ranks; the number of hash buckets follows the row count
+PREFIX = 4  # hex digits of a hash bucket: 65,536 buckets a class, of 15 million rows each at 10^12 rows
 
 
 def hash_order(key: str | Sequence[str], seed: int = SEED) -> Column:
@@ -31,26 +30,25 @@ def hash_order(key: str | Sequence[str], seed: int = SEED) -> Column:
     return F.md5(F.concat_ws("-", *[quoted(k).cast("string") for k in keys], F.lit(str(seed))))
 
 
-def class_rank(df: DataFrame, key: str | Sequence[str], target: str = "y", seed: int = SEED, prefix: int | None = None) -> DataFrame:
-    """Adds ``_h`` (hash), ``class_rank`` (1-based rank in class by hash order) and ``class_n``."""
-    if prefix is None:  # any number of hex digits gives the same ranks
-        prefix = max(2, math.ceil(math.log(max(df.count(), 1) / ROWS_PER_BUCKET + 1, 16)) + 1)
-    h = df.withColumn("_h", hash_order(key, seed)).withColumn("_b", F.substring("_h", 1, prefix))
-    counts = h.groupBy(target, "_b").agg(F.count(F.lit(1)).alias("_bn"))
-    wb = Window.partitionBy(target).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+def class_rank(df: DataFrame, key: str | Sequence[str], target: str = "y", seed: int = SEED, prefix: int = PREFIX) -> DataFrame:
+    """Adds ``_h`` (hash), ``class_rank`` (1-based rank in class by hash order) and ``class_n``; any ``prefix`` gives the same ranks.
+
+    The input is dealt once, by (class, bucket): the buckets' offsets meet it there, and there it is ranked."""
+    t = quoted(target)
+    # rows without a target are a class of their own
+    own = {"_cn": t.isNull(), "_cv": F.coalesce(t.cast("string"), F.lit(""))}
+    h = df.withColumn("_h", hash_order(key, seed)).withColumns({**own, "_b": F.substring("_h", 1, prefix)})
+    place = ["_cn", "_cv", "_b"]
+    counts = h.groupBy(*place).agg(F.count(F.lit(1)).alias("_bn"))
+    before = Window.partitionBy("_cn", "_cv").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        target,
-        "_b",
-        F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_off"),
-        F.sum("_bn").over(Window.partitionBy(target)).alias("class_n"),
+        *place,
+        F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off"),
+        F.sum("_bn").over(Window.partitionBy("_cn", "_cv")).alias("class_n"),
     )
-    # offsets has at most (#classes x 16^prefix) rows
-    offsets = offsets.withColumnsRenamed({target: "_ot", "_b": "_ob"})
-    same = quoted(target).eqNullSafe(F.col("_ot")) & (F.col("_b") == F.col("_ob"))  # rows without a target are a class of their own
-    joined = h.join(F.broadcast(offsets), same).drop("_ot", "_ob")
     keys = [key] if isinstance(key, str) else list(key)
-    wi = Window.partitionBy(target, "_b").orderBy("_h", *[quoted(k) for k in keys])
-    return joined.withColumn("class_rank", F.col("_off") + F.row_number().over(wi)).drop("_b", "_off")
+    inside = Window.partitionBy(*place).orderBy("_h", *[quoted(k) for k in keys])
+    return h.join(offsets, place).withColumn("class_rank", F.col("_off") + F.row_number().over(inside)).drop(*place, "_off")
 
 
 def stratified_split(

@@ -848,13 +848,38 @@ def q_tier_economics(spark, sf):
     return tier_economics(tier_rules(fixed_tiers(_scored(spark, sf)), CALL_T))
 
 
-@register("kmeans_tiers")
+# every pair of cuts over the distinct rounded scores
+_KMEANS_SQL = """h AS (SELECT CAST(round(score * 10000) AS BIGINT) AS v, count(*) AS n FROM leads GROUP BY 1),
+    c AS (SELECT v, CAST(sum(n) OVER o AS DOUBLE) AS cn, CAST(sum(n * v) OVER o AS DOUBLE) AS cs, CAST(sum(n * v * v) OVER o AS DOUBLE) AS cq
+        FROM h WINDOW o AS (ORDER BY v)),
+    e AS (SELECT max(cn) AS zn, max(cs) AS zs, max(cq) AS zq FROM c),
+    p AS (SELECT a.v AS a, b.v AS b, a.cq - a.cs * a.cs / a.cn + (b.cq - a.cq) - (b.cs - a.cs) * (b.cs - a.cs) / (b.cn - a.cn)
+        + (zq - b.cq) - (zs - b.cs) * (zs - b.cs) / (zn - b.cn) AS spread FROM c a JOIN c b ON b.v > a.v CROSS JOIN e WHERE b.cn < zn),
+    cut AS (SELECT a, b FROM p ORDER BY spread, a, b LIMIT 1),
+    tiers AS (SELECT lead_id, score AS probability, round(score * 10000) AS v,
+        CASE WHEN round(score * 10000) <= a THEN 'Cold' WHEN round(score * 10000) <= b THEN 'Warm' ELSE 'Hot' END AS tier FROM leads CROSS JOIN cut)"""
+
+
+@register("kmeans_tiers", f"WITH {LEADS}, {_KMEANS_SQL} SELECT lead_id, probability, tier FROM tiers")
 def q_kmeans_tiers(spark, sf):
     from leadlens.operators.leads import kmeans_tiers
 
     return kmeans_tiers(_scored(spark, sf).select("lead_id", "probability"))
 
 
+@register(
+    "kmeans_centres",
+    f"""WITH {LEADS}, {_KMEANS_SQL} SELECT tier, min(v) / 10000 AS lo, max(v) / 10000 AS hi, count(*) AS n, sum(v) / count(*) / 10000 AS centre
+    FROM tiers GROUP BY tier""",
+)
+def q_kmeans_centres(spark, sf):
+    from leadlens.operators.leads import kmeans_cuts
+
+    groups = kmeans_cuts(_scored(spark, sf))
+    rows = [(name, float(g["lo"]), float(g["hi"]), g["n"], float(g["centre"])) for name, g in zip(("Cold", "Warm", "Hot"), groups)]
+    return spark.createDataFrame(rows, "tier string, lo double, hi double, n long, centre double")
+
+
 @register(
     "sanitise_numeric",
     f"""WITH {PROSPECTS} SELECT prospect_id,

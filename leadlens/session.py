@@ -51,18 +51,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+_SCRATCH: dict[str, list[str]] = {}  # paths by application
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path inside the shared checkpoint folder; it is removed when the driver ends."""
+    """A fresh, unique path inside the shared checkpoint folder; it is removed by ``clear_scratch``, at the latest when the driver ends."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(at.getParent())
     fs.deleteOnExit(at)
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
 
-def materialize(df):
-    """Cut lineage: write ``df`` to the shared checkpoint folder (reliable, so a
-    lost executor does not force recomputing the upstream shuffles)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def clear_scratch(spark: SparkSession) -> int:
+    """Removes every scratch path of this session; call it when no frame that was returned so far is needed any more."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
+
+
+def materialize(df, name: str = "table"):
+    """``df`` as a Parquet table in the shared folder: cuts the lineage, survives lost executors, and goes with ``clear_scratch``."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

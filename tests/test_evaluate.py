@@ -62,10 +62,10 @@ def test_perfect_predictor(spark):
     assert row.roc_auc == 1.0 and row.pr_auc == 1.0 and row.precision == 1.0 and row.recall == 1.0 and row.accuracy == 1.0
 
 
-@pytest.mark.parametrize("n_buckets", [1, 7, 64])
-def test_rank_metrics_match_brute_force(spark, noisy, n_buckets):
+@pytest.mark.parametrize("n_ranges", [1, 7, 64])
+def test_rank_metrics_match_brute_force(spark, noisy, n_ranges):
     y, p = noisy
-    row = ev.compute_metrics(scored_frame(spark, y, p), threshold=0.5, n_buckets=n_buckets).first()
+    row = ev.compute_metrics(scored_frame(spark, y, p), threshold=0.5, n_ranges=n_ranges).first()
     assert row.roc_auc == pytest.approx(brute_auc(y, p), abs=1e-12)
     assert row.pr_auc == pytest.approx(brute_ap(y, p), abs=1e-12)
 
@@ -73,7 +73,7 @@ def test_rank_metrics_match_brute_force(spark, noisy, n_buckets):
 def test_grouped_metrics_equal_per_group(spark, noisy):
     y, p = noisy
     df = scored_frame(spark, y, p).withColumn("model", (F.col("id") % 3).cast("string"))
-    got = {r.model: r.roc_auc for r in ev.roc_auc(df, by="model", n_buckets=5).collect()}
+    got = {r.model: r.roc_auc for r in ev.roc_auc(df, by="model", n_ranges=5).collect()}
     for m in "012":
         idx = np.arange(len(y)) % 3 == int(m)
         assert got[m] == pytest.approx(brute_auc(y[idx], p[idx]), abs=1e-12)
@@ -134,6 +134,6 @@ def test_select_best_model_and_input_unchanged(spark):
 
 def test_roc_curve_endpoints(spark, noisy):
     y, p = noisy
-    rows = ev.roc_curve(scored_frame(spark, y, p), n_buckets=4).orderBy(F.desc("threshold")).collect()
+    rows = ev.roc_curve(scored_frame(spark, y, p), n_ranges=4).orderBy(F.desc("threshold")).collect()
     assert rows[-1].tpr == 1.0 and rows[-1].fpr == 1.0
     assert all(a.tpr <= b.tpr and a.fpr <= b.fpr for a, b in zip(rows, rows[1:]))
