@@ -10,7 +10,7 @@ blind tries for the groups that still share all of it.  With the longest common
 window that starts d bytes before them if their prefixes agree on d bytes and their suffixes on ``length`` - d.
 
 Copies of a text are set aside first, as they go whole.  Equal surroundings of anchors are collapsed in each task before the
-shuffle.  Anchors of a gram with more than ``most`` occurrences do not gather in one group: their windows travel alone, as digests, and are
+shuffle.  A group of still more than ``most`` anchors is not held in memory: its windows travel alone, as digests, and are
 compared with their neighbour in sorted order.
 """
 
@@ -214,7 +214,11 @@ def _copies(docs: DataFrame, id_col: str, text_col: str, length: int) -> tuple[D
 
 
 def _anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """(h, k, pos) of all anchors; some stand twice where a long text is hashed in pieces."""
+    """(h, k, pos) of all anchors; some stand twice where a long text is hashed in pieces.
+
+    A gram that occurs again in its own piece is known to be shared: one of its rows goes on under h, and all as -1 - pos under a
+    hash of their place, so that a very common gram isn't dealt to one task.
+    """
 
     def run(batches):
         import numpy as np
@@ -231,150 +235,224 @@ def _anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 inside = at[np.searchsorted(at, lo, "right") : np.searchsorted(at, hi, "left")]
                 place, h = gram_anchors(data[lo:hi], (inside - lo).tolist(), length, gram)
                 row = np.searchsorted(at, place + lo, "right") - 1
-                yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(keys[row], pa.int64()), pa.array(place + lo - at[row], pa.int64())], names=["h", "k", "pos"])
+                k, pos = keys[row], place + lo - at[row]
+                _, one, of, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+                known = count[of] > 1
+                spread = (k[known].view(np.uint64) + pos[known].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                cols = [np.append(h[one], spread).view(np.int64), np.append(k[one], k[known]), np.append(pos[one], -1 - pos[known])]
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=["h", "k", "pos"])
                 lo = hi - length + 1 if hi < last else last
 
     return texts.mapInArrow(tidied(run), "h long, k long, pos long")
 
 
-def _shared(anchors: DataFrame, most: int) -> DataFrame:
-    """(k, place) of the anchors whose gram occurs more than once; place is twice pos, plus one in groups of more than ``most``."""
+def _shared(anchors: DataFrame) -> DataFrame:
+    """(k, pos) of the anchors whose gram occurs more than once."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        def rows(k, pos, hot):
-            return pa.record_batch([pa.array(k), pa.array(2 * pos + hot)], names=["k", "place"])
-
-        held, hot = None, None  # rows of the group that may go on; the gram of a large group
+        held, shared = None, None  # a row that may stand alone; the last gram that doesn't
         for b in batches:
             h, k, pos = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            if held is not None:
-                h, k, pos = (np.concatenate(x) for x in zip(held, (h, k, pos)))
             if not len(h):
                 continue
-            new = np.append(True, h[1:] != h[:-1])
-            starts = np.flatnonzero(new)
-            sizes = np.diff(np.append(starts, len(h)))
-            size = np.repeat(sizes, sizes)
-            size[h == hot] = most + 1 if hot is not None else 0
-            end = int(starts[-1])
-            done = np.arange(len(h)) < end
-            if len(h) - end > most or (hot is not None and h[-1] == hot):  # too many to hold
-                hot = int(h[-1])
-                size[end:] = most + 1
-                done[:] = True
-            held = None if done.all() else (h[end:], k[end:], pos[end:])
-            keep = done & (size > 1)
-            yield rows(k[keep], pos[keep], size[keep] > most)
-        if held is not None and len(held[0]) > 1:
-            yield rows(held[1], held[2], np.zeros(len(held[1]), bool))
-
-    return anchors.repartition("h").sortWithinPartitions("h").mapInArrow(tidied(run), "k long, place long")
+            known = pos < 0
+            free = ~known
+            out = [np.stack([k[known], -1 - pos[known]])]
+            h, k, pos = h[free], k[free], pos[free]
+            if held is not None:
+                h, k, pos = (np.append(x, y) for x, y in zip(held, (h, k, pos)))
+            if len(h):
+                same = h[1:] == h[:-1]
+                keep = np.append(False, same) | np.append(same, False) | (h == shared if shared is not None else False)
+                last = bool(keep[-1])
+                held = None if last else (h[-1:], k[-1:], pos[-1:])
+                shared = h[-1] if last else None
+                out.append(np.stack([k[keep], pos[keep]]))
+            both = np.concatenate(out, axis=1)
+            yield pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["k", "pos"])
+
+    return anchors.repartition("h").sortWithinPartitions("h").mapInArrow(tidied(run), "k long, pos long")
 
 
 def _surroundings(texts: DataFrame, shared: DataFrame, length: int, gram: int) -> DataFrame:
-    """Rows of shared anchors (kind 1, with the bytes before and after), of windows of large groups (kind 2, with a digest), and of spans
-    that are already known to be repeated (kind 0, with start and end in pos and stop)."""
+    """Rows of shared anchors, with the reversed bytes before and those from it on, and of spans that are known to be repeated, with
+    start and stop (before and after null)."""
     reach = length - gram
-    places = shared.groupBy("k").agg(F.collect_set("place").alias("places"))
-    names = ["kind", "digest", "first", "doc", "pos", "stop", "before", "after"]
+    places = shared.groupBy("k").agg(F.collect_set("pos").alias("places"))
+    names = ["first", "doc", "start", "stop", "before", "after"]
 
     def run(batches):
-        from hashlib import blake2b
-
         import pyarrow as pa
 
-        types = [pa.int8(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
         def rows(out):
-            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 8, types)], names=names)
+            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, types)], names=names)
 
-        seen: dict = {}  # surroundings or digest: the earliest place in this task
+        seen: dict = {}  # surroundings: their earliest place in this task
         out: list = []
 
         def flush():
-            for what, (none, first, doc, pos) in seen.items():
-                who = (None if none else first, doc, pos, None)
-                out.append((1, None, *who, *what) if type(what) is tuple else (2, what, *who, None, None))
+            out.extend((None if none else first, doc, pos, None, *around) for around, (none, first, doc, pos) in seen.items())
             seen.clear()
 
         for b in batches:
-            for i in range(b.num_rows):
-                doc, first, body, at = (b.column(c)[i].as_py() for c in (1, 2, 3, 4))
-                none, size = first is None, len(body)
-                for place in sorted(at):
-                    pos, hot = place >> 1, place & 1
+            docs, firsts = b.column(1).to_pylist(), b.column(2).to_pylist()
+            # in the documents' order, so that the later of two equal places is nearly always the one at hand
+            for i in sorted(range(b.num_rows), key=lambda i: (firsts[i] is None, firsts[i] or 0, docs[i])):
+                doc, first, body, at = docs[i], firsts[i], b.column(3)[i].as_py(), b.column(4)[i].as_py()
+                none, size, gone = first is None, len(body), []
+                for pos in sorted(at):
                     if pos + gram > size:  # of another text with this k
                         continue
-                    if hot:
-                        found = [(blake2b(body[p : p + length], digest_size=16).digest(), p, p + length, p) for p in range(max(0, pos - reach), min(pos, size - length) + 1)]
-                    else:
-                        before, after = body[max(0, pos - reach) : pos][::-1], body[pos : pos + length]
-                        if len(before) + len(after) < length:
-                            continue
-                        found = [((before, after), pos - len(before), pos + len(after), pos)]
-                    for what, start, stop, p in found:
-                        me = (none, first or 0, doc, p)
-                        other = seen.setdefault(what, me)
-                        if other != me:  # the later of the two is repeated
-                            late = max(me, other)
-                            seen[what] = min(me, other)
-                            out.append((0, None, None if late[0] else late[1], late[2], late[3] + start - p, late[3] + stop - p, None, None))
+                    before, after = body[max(0, pos - reach) : pos][::-1], body[pos : pos + length]
+                    if len(before) + len(after) < length:
+                        continue
+                    me = (none, first or 0, doc, pos)
+                    other = seen.setdefault((before, after), me)
+                    if other < me:  # the later of the two is repeated
+                        gone.append([pos - len(before), pos + len(after)])
+                    elif me < other:
+                        seen[before, after] = me
+                        out.append((None if other[0] else other[1], other[2], other[3] - len(before), other[3] + len(after), None, None))
                     if len(seen) > 20_000:
                         flush()
-                    if len(out) > 10_000:
-                        yield rows(out)
-                        out = []
+                out.extend((first, doc, x, y, None, None) for x, y in merged(gone))
+                if len(out) > 10_000:
+                    yield rows(out)
+                    out.clear()
         flush()
         yield rows(out)
 
-    schema = "kind byte, digest binary, first long, doc binary, pos long, stop long, before binary, after binary"
+    schema = "first long, doc binary, start long, stop long, before binary, after binary"
     return texts.join(places, "k").select("k", "doc", "first", "body", "places").mapInArrow(tidied(run), schema)
 
 
-def _spans(around: DataFrame, length: int, gram: int) -> DataFrame:
+def merged(spans) -> list[list[int]]:
+    """The union of (start, stop) spans as maximal runs, in order."""
+    runs: list = []
+    for start, stop in sorted(spans):
+        if runs and start <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], stop)
+        else:
+            runs.append([start, stop])
+    return runs
+
+
+def _spans(around: DataFrame, length: int, gram: int, most: int) -> DataFrame:
     """(doc, start, stop) of repeated bytes; spans may overlap."""
+    names = ["digest", "first", "doc", "start", "stop"]
+
+    def compare(batches):
+        """Spans, and the windows (with a digest) of groups of more than ``most`` anchors."""
+        from hashlib import blake2b
 
-    def run(batches):
         import numpy as np
         import pyarrow as pa
 
+        types = [pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+
         def rows(out):
-            cols = list(zip(*out)) or [(), (), ()]
-            return pa.record_batch([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], names=["doc", "start", "stop"])
+            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, types)], names=names)
 
         def finish(group):
-            least, most = repeated_windows([g[3] for g in group], [g[4] for g in group], length, gram)
-            some = np.flatnonzero(most >= 0)
-            return [(group[i][1], group[i][2] - m, group[i][2] - d + length) for i, d, m in zip(some.tolist(), least[some].tolist(), most[some].tolist())]
+            least, far = repeated_windows([g[4] for g in group], [g[5] for g in group], length, gram)
+            some = np.flatnonzero(far >= 0)
+            return [(None, None, group[i][2], group[i][3] - m, group[i][3] - d + length) for i, d, m in zip(some.tolist(), least[some].tolist(), far[some].tolist())]
+
+        seen: dict = {}  # digest: the earliest place of the window so far
 
-        group: list = []
-        last = None
+        def flush():
+            found = [(digest, None if none else first, doc, p, p + length) for digest, (none, first, doc, p) in seen.items()]
+            seen.clear()
+            return found
+
+        def windows(group):
+            found = []
+            for _, first, doc, pos, before, after in group:
+                for d in range(max(0, length - len(after)), len(before) + 1):
+                    digest = blake2b(before[:d][::-1] + after[: length - d], digest_size=16).digest()
+                    me = (first is None, first or 0, doc, pos - d)
+                    other = seen.setdefault(digest, me)
+                    if other != me:  # two anchors may hold one window
+                        late = max(me, other)
+                        seen[digest] = min(me, other)
+                        found.append((None, None, late[2], late[3], late[3] + length))
+                if len(seen) > 100_000:
+                    found += flush()
+            return found
+
+        held: list = []  # whole groups
+        group: list = []  # the group at hand
+        large = False
         for b in batches:
-            out = []
-            for key, kind, digest, doc, pos, stop, before, after in zip(*(b.column(i).to_pylist() for i in range(8))):
-                if kind == 0:
-                    out.append((doc, pos, stop))
-                elif kind == 2:
-                    if digest == last:
-                        out.append((doc, pos, pos + length))
-                    last = digest
+            out: list = []
+            for row in zip(*(b.column(i).to_pylist() for i in range(7))):
+                key, first, doc, start, stop, before, after = row
+                if after is None:
+                    out.append((None, None, doc, start, stop))
+                    continue
+                if group and group[-1][0] != key:
+                    if large:
+                        out += windows(group) + flush()
+                    else:
+                        held += group
+                    group, large = [], False
+                    if len(held) > 20_000:
+                        out += finish(held)
+                        held = []
+                group.append((key, first, doc, start, before, after))
+                if len(group) > most:
+                    large = True
+                if large and len(group) > 1000:
+                    out += windows(group[:-1])  # the last row tells where the group ends
+                    group = group[-1:]
+                if len(out) > 50_000:
+                    yield rows(out)
+                    out = []
+            if out:
+                yield rows(out)
+        yield rows((windows(group) + flush() if large else []) + finish(held + ([] if large else group)))
+
+    def pick(batches):
+        """Spans of one document merged; windows with the digest of the row before are repeated."""
+        import pyarrow as pa
+
+        last, doc_at, spans = None, None, []
+
+        def rows(out):
+            cols = list(zip(*out)) or [(), (), ()]
+            return pa.record_batch([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], names=["doc", "start", "stop"])
+
+        for b in batches:
+            out: list = []
+            for digest, doc, start, stop in zip(*(b.column(i).to_pylist() for i in range(4))):
+                if digest is not None:
+                    if last is not None and digest == last[0] and (doc, start) != last[1:]:
+                        out.append((doc, start, stop))
+                    last = (digest, doc, start)
+                    continue
+                if doc != doc_at:
+                    out += [(doc_at, x, y) for x, y in spans]
+                    doc_at, spans = doc, []
+                if spans and start <= spans[-1][1]:
+                    spans[-1][1] = max(spans[-1][1], stop)
                 else:
-                    if len(group) > 20_000 and group[-1][0] != key:
-                        out += finish(group)
-                        group = []
-                    group.append((key, doc, pos, before, after))
+                    spans.append([start, stop])
             if out:
                 yield rows(out)
-        if group:
-            yield rows(finish(group))
+        yield rows([(doc_at, x, y) for x, y in spans])
 
-    key = F.xxhash64(F.coalesce("digest", F.substring("after", 1, gram), "doc"), F.when(F.col("kind") == 0, F.col("pos")))
-    keyed = around.withColumn("key", key).repartition("key")
-    keyed = keyed.sortWithinPartitions("key", "kind", "digest", F.asc_nulls_last("first"), "doc", "pos")
-    return keyed.select("key", "kind", "digest", "doc", "pos", "stop", "before", "after").mapInArrow(tidied(run), "doc binary, start long, stop long")
+    # equal surroundings of many tasks, and the anchors of one gram, in the documents' order
+    key = F.xxhash64(F.coalesce(F.substring("after", 1, gram), F.concat("doc", F.col("start").cast("string").cast("binary"))))
+    keyed = around.withColumn("key", key).repartition("key").sortWithinPartitions("key", F.asc_nulls_last("first"), "doc", "start")
+    found = keyed.select("key", "first", "doc", "start", "stop", "before", "after").mapInArrow(tidied(compare), "digest binary, first long, doc binary, start long, stop long")
+    found = found.repartition(F.xxhash64(F.coalesce("digest", "doc")))
+    found = found.sortWithinPartitions(F.xxhash64(F.coalesce("digest", "doc")), "digest", F.asc_nulls_last("first"), "doc", "start")
+    return found.select("digest", "doc", "start", "stop").mapInArrow(tidied(pick), "doc binary, start long, stop long")
 
 
 def cut_texts(docs: DataFrame, length: int = 100, gram: int = GRAM, most: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -388,8 +466,8 @@ def cut_texts(docs: DataFrame, length: int = 100, gram: int = GRAM, most: int =
     Of repeated rows one is the first and the others are copies.  Other columns are left out; an empty table gives empty tables.
     """
     copies, texts = _copies(docs, id_col, text_col, length)
-    around = _surroundings(texts, _shared(_anchors(texts, length, gram), most), length, gram)
-    spans = _spans(around, length, gram)
+    around = _surroundings(texts, _shared(_anchors(texts, length, gram)), length, gram)
+    spans = _spans(around, length, gram, most)
     by_text = spans.groupBy(F.xxhash64("doc").alias("k")).agg(F.collect_list(F.struct("doc", "start", "stop")).alias("found"))
 
     def run(batches):
@@ -401,12 +479,7 @@ def cut_texts(docs: DataFrame, length: int = 100, gram: int = GRAM, most: int =
             size = 0
             for i in range(b.num_rows):
                 doc, first, body, found = (b.column(c)[i].as_py() for c in (1, 2, 3, 4))
-                runs: list = []
-                for start, stop in sorted((f["start"], f["stop"]) for f in found or () if f["doc"] == doc):
-                    if runs and start <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], stop)
-                    else:
-                        runs.append([start, stop])
+                runs = merged((f["start"], f["stop"]) for f in found or () if f["doc"] == doc)
                 edges = [0, *(x for r in runs for x in r), len(body)]
                 kept = b"".join(body[x:y] for x, y in zip(edges[::2], edges[1::2]))
                 out.append((doc, first, kept, [{"start": x, "stop": y} for x, y in runs]))
