@@ -217,7 +217,7 @@ def score_ranges(df: DataFrame, column: str, n_ranges: int | None = None) -> lis
 
 
 def range_number(df: DataFrame, column: str, cuts: Sequence[float], out: str) -> DataFrame:
-    """``out``: the number of sorted ``cuts`` that are <= the column, by the JVM's binary search (NULL stays NULL)."""
+    """``out``: the number of sorted ``cuts`` that are <= the column, by the JVM's binary search (NULL and NaN lie beyond the last)."""
     from pyspark.ml.feature import Bucketizer
 
     if not len(cuts):

@@ -228,6 +228,7 @@ def build_pipeline(
             stages.append(ElementwiseProduct(inputCol=sample, outputCol="num_scaled", scalingVec=Vectors.dense([(n_rows / (n_rows - 1)) ** 0.5] * len(nums))))
     parts = ["num_scaled" if scale else "num_vec"] + ([f"ord_{safe_name(ordinal)}"] if ordinal else []) + [f"{c}_second" if c in {safe_name(b) for b in binary} else f"{c}_oh" for c in noms]
     stages.append(VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="keep"))
-    stages.append(classifier)
+    if classifier is not None:  # else the encoder alone
+        stages.append(classifier)
     return Pipeline(stages=stages)
 

@@ -2,9 +2,9 @@
 
 * Class balance is a ``weightCol`` (n / (2 n_c)), joined from a per-class
   count table (one row per class).
-* Tuning is a seeded random search over the reference's search spaces, run
-  by ``CrossValidator`` on a precomputed stratified ``foldCol`` with
-  ``parallelism`` (fold/trial fits run concurrently as Spark jobs).
+* Tuning is a seeded random search over the reference's search spaces on a
+  fold store (``folds``): features are written once per fold, only the
+  classifiers are refitted, concurrently as Spark jobs.
 * Evaluation of out-of-fold predictions reuses the distributed metric
   operators with ``by=[model, fold]``, so no prediction is collected.
 * Permutation importance scores every (feature, repeat) variant in ONE
@@ -27,7 +27,7 @@ from leadlens.operators.features import NOMINAL_FEATURES, NUMERIC_FEATURES, buil
 
 SEED = 42
 PARALLELISM = 4  # concurrent fold/model fits (Spark jobs submitted from driver threads)
-MODEL_NAMES = ["logistic_regression", "random_forest", "xgboost", "linear_svc"]
+MODEL_NAMES = ["logistic_regression", "random_forest", "gradient_boosting", "linear_svc"]
 
 
 def _parallel(fn, items, parallelism: int = PARALLELISM) -> list:
@@ -81,8 +81,11 @@ def with_pos_weight(df: DataFrame, target: str = "y", out: str = "weight") -> Da
 # ---------------------------------------------------------------------------
 # Classifiers
 # ---------------------------------------------------------------------------
+MOST_LEVELS = 30  # MLlib's trees; what an unlimited depth comes to
+
+
 def _depth(depth) -> int:
-    if int(depth) > 30:
+    if int(depth) > MOST_LEVELS:
         raise ValueError("MLlib trees have at most 30 levels")
     return int(depth)
 
@@ -109,7 +112,7 @@ def make_classifier(name: str, params: Mapping | None = None, n_rows: int | None
     if name == "random_forest":
         return RandomForestClassifier(
             numTrees=int(p.get("n_estimators", 100)),
-            maxDepth=_depth(p.get("max_depth", 5)),
+            maxDepth=MOST_LEVELS if p.get("max_depth", 5) is None else _depth(p.get("max_depth", 5)),
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
             seed=SEED,
             # deep forests: more nodes split per pass over the data, node ids cached
@@ -117,7 +120,7 @@ def make_classifier(name: str, params: Mapping | None = None, n_rows: int | None
             cacheNodeIds=True,
             **common,
         )
-    if name == "xgboost":
+    if name == "gradient_boosting":
         return GBTClassifier(
             maxIter=int(p.get("n_estimators", 20)),
             maxDepth=_depth(p.get("max_depth", 5)),
@@ -130,7 +133,8 @@ def make_classifier(name: str, params: Mapping | None = None, n_rows: int | None
             **common,
         )
     if name == "linear_svc":
-        return LinearSVC(regParam=float(p.get("reg", 0.01)), maxIter=int(p.get("max_iter", 2000)), **common)
+        reg = 1.0 / (float(p["C"]) * float(n_rows or 1)) if "C" in p else float(p.get("reg", 0.01))
+        return LinearSVC(regParam=reg, maxIter=int(p.get("max_iter", 2000)), tol=float(p.get("tol", 1e-4)), **common)
     raise ValueError(f"Unknown model name: {name!r}")
 
 
@@ -168,7 +172,7 @@ def fit(
 ):
     """Fit sentinel -> encode -> classifier on the training rows (PipelineModel)."""
     # iterative fits scan the input many times: keep it cached for the fit only
-    prepared = prepare(train, target, "pos" if name == "xgboost" else ("balanced" if name != "linear_svc" else "none")).persist()
+    prepared = prepare(train, target, "pos" if name == "gradient_boosting" else "balanced").persist()
     try:
         n = prepared.count()
         pipe = build_pipeline(make_classifier(name, params, n, "weight"), numeric, ordinal, nominal, binary=binary_columns(prepared, nominal), n_rows=n)
@@ -193,29 +197,50 @@ def score(model, df: DataFrame, keep: Sequence[str] = ("y",), prob: str = "proba
 # ---------------------------------------------------------------------------
 # Baselines, tuning, final model
 # ---------------------------------------------------------------------------
-def baseline_models(train: DataFrame, test: DataFrame, key: str, names: Sequence[str] = ("logistic_regression", "random_forest", "xgboost")) -> DataFrame:
-    """Default configs at threshold 0.5: metrics and dollars per model (one grouped evaluation)."""
-    parts = _parallel(lambda nm: score(fit(train, nm), test, keep=[key, "y"]).withColumn("model", F.lit(nm)), names)
+# The default configurations that tuning is compared with.
+BASELINES = {
+    "logistic_regression": {"C": 1.0, "penalty": "l2", "max_iter": 2000},
+    "random_forest": {"n_estimators": 100, "max_depth": None},
+    "gradient_boosting": {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3},
+    "knn": {"k": 11, "weights": "uniform"},
+}
+
+
+def baseline_models(train: DataFrame, test: DataFrame, key: str, names: Sequence[str] = tuple(BASELINES), target: str = "y") -> DataFrame:
+    """Default configurations (``BASELINES``) at threshold 0.5: metrics and net profit per model, in one grouped evaluation of written scores."""
+    from leadlens.operators.features import POST_SENTINEL_NUMERIC
+    from leadlens.operators.flow import neighbours
+    from leadlens.functions.columns import sentinel_split
+    from leadlens.session import materialize
+
+    def one(name: str) -> DataFrame:
+        if name == "knn":
+            scorer = neighbours(numeric=POST_SENTINEL_NUMERIC, ordinal="education", nominal=NOMINAL_FEATURES, target=target, **BASELINES[name])
+            scored = scorer(sentinel_split(train, "pdays"), sentinel_split(test, "pdays"), key).join(test.select(key, target), key)
+        else:
+            scored = score(fit(train, name, BASELINES[name], target=target), test, keep=[key, target])
+        return scored.select(key, target, "probability").withColumn("model", F.lit(name))
+
+    parts = _parallel(one, names)
     scored = parts[0]
     for p_ in parts[1:]:
         scored = scored.unionByName(p_)
-    met = ev.compute_metrics(scored, "y", "probability", 0.5, by="model")
-    cost = ev.business_cost_analysis(scored, "y", "probability", 0.5, by="model").select("model", "net_profit")
-    return met.join(cost, "model")
+    judged = ev.compute_metrics(materialize(scored, "baseline_scores"), target, "probability", 0.5, by="model", counts=True)
+    return judged.withColumn("net_profit", ev.profit_expr(F.col("tp"), F.col("fp"), F.col("fn")).cast("double"))
 
 
 def search_space(name: str, rng: np.random.RandomState) -> dict:
-    """One random draw from the reference's search space of ``name``."""
+    """One random draw from the reference's search space of ``name``, but for what MLlib has no counterpart of (the least rows to split a
+    node, penalties on leaves)."""
     if name == "logistic_regression":
         return {"C": float(math.exp(rng.uniform(math.log(1e-4), math.log(10.0)))), "penalty": str(rng.choice(["l1", "l2"]))}
     if name == "random_forest":
         return {
             "n_estimators": int(rng.choice(range(100, 601, 100))),
             "max_depth": int(rng.randint(4, 19)),
-            "min_samples_split": int(rng.randint(5, 41)),
             "min_samples_leaf": int(rng.randint(2, 16)),
         }
-    if name == "xgboost":
+    if name == "gradient_boosting":
         return {
             "n_estimators": int(rng.choice(range(100, 801, 100))),
             "max_depth": int(rng.randint(3, 10)),
@@ -228,45 +253,12 @@ def search_space(name: str, rng: np.random.RandomState) -> dict:
     raise ValueError(name)
 
 
-def tune_model(
-    train_with_folds: DataFrame,
-    name: str,
-    n_trials: int = 30,
-    seed: int = SEED,
-    parallelism: int = 4,
-    fold_col: str = "fold",
-) -> DataFrame:
-    """Random search maximising mean CV ROC-AUC; one row per trial (params as
-    JSON, mean AUC, is_best).  Folds come from ``stratified_kfold``."""
-    import json
+def tune_model(train_with_folds: DataFrame, name: str, key: str, n_trials: int = 30, seed: int = SEED, parallelism: int = 4, fold_col: str = "fold") -> DataFrame:
+    """Random search maximising the mean CV ROC-AUC; one row per trial (params as JSON, mean and population deviation of the AUC,
+    is_best).  Folds come from ``stratified_kfold``; see ``folds.tune_on_folds`` for the scores themselves."""
+    from leadlens.operators.folds import tune_on_folds, write_folds
 
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator
-
-    rng = np.random.RandomState(seed)
-    trials = [search_space(name, rng) for _ in range(n_trials)]
-    # trials already run concurrently (``parallelism``): do not also spread the input
-    prepared = prepare(
-        train_with_folds, "y", "pos" if name == "xgboost" else ("none" if name == "linear_svc" else "balanced"), spread=False
-    ).persist()
-    n = prepared.count()
-    base = make_classifier(name, trials[0], n)
-    pipe = build_pipeline(base, binary=binary_columns(prepared, NOMINAL_FEATURES), n_rows=n)
-    grid = []
-    for t in trials:
-        c = make_classifier(name, t, n)
-        grid.append({base.getParam(p.name): c.getOrDefault(p) for p in c.params if c.isDefined(p) and base.hasParam(p.name)})
-    evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    n_folds = train_with_folds.agg(F.max(fold_col)).first()[0] + 1
-    cv = CrossValidator(
-        estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator, numFolds=int(n_folds), foldCol=fold_col, parallelism=parallelism, seed=seed
-    )
-    model = cv.fit(prepared)
-    prepared.unpersist()
-    best = int(np.argmax(model.avgMetrics))
-    spark = train_with_folds.sparkSession
-    rows = [(i, json.dumps(t, sort_keys=True), float(model.avgMetrics[i]), i == best) for i, t in enumerate(trials)]
-    return spark.createDataFrame(rows, "trial int, params string, mean_cv_auc double, is_best boolean")
+    return tune_on_folds(write_folds(train_with_folds, key, fold_col), name, n_trials, seed, parallelism=parallelism)[0]
 
 
 def best_params(trials: DataFrame) -> dict:
@@ -280,24 +272,11 @@ def train_final_model(train: DataFrame, name: str, params: Mapping):
     return fit(train, name, params)
 
 
-def cv_compare(train_with_folds: DataFrame, names: Sequence[str], key: str, fold_col: str = "fold", k: int = 5, params: Mapping | None = None) -> DataFrame:
+def cv_compare(train_with_folds: DataFrame, names: Sequence[str], key: str, fold_col: str = "fold", params: Mapping | None = None) -> DataFrame:
     """Per model: mean and population std over folds of AUC, PR-AUC, F1, recall (threshold 0.5)."""
-    def one(job):
-        nm, f = job
-        tr = train_with_folds.where(F.col(fold_col) != f)
-        va = train_with_folds.where(F.col(fold_col) == f)
-        m = fit(tr.drop(fold_col), nm, (params or {}).get(nm))
-        return score(m, va.drop(fold_col), keep=[key, "y"]).withColumns({"model": F.lit(nm), "fold": F.lit(f)})
-
-    parts = _parallel(one, [(nm, f) for nm in names for f in range(k)])
-    oof = parts[0]
-    for p_ in parts[1:]:
-        oof = oof.unionByName(p_)
-    per = ev.compute_metrics(oof, "y", "probability", 0.5, by=["model", "fold"])
-    aggs = []
-    for mname in ("roc_auc", "pr_auc", "f1", "recall"):
-        aggs += [F.avg(mname).alias(f"{mname}_mean"), F.stddev_pop(mname).alias(f"{mname}_std")]
-    return per.groupBy("model").agg(*aggs)
+    from leadlens.operators.folds import compare_on_folds, write_folds
+
+    return compare_on_folds(write_folds(train_with_folds, key, fold_col), names, params)
 
 
 # ---------------------------------------------------------------------------
@@ -480,56 +459,30 @@ def local_cases(df: DataFrame, key: str, prob: str = "probability", target: str
 
 
 def feature_subset_sweep(
-    train_with_folds: DataFrame, importance: DataFrame, ks: Sequence[int] = (5, 10, 15, 20, 30), fold_col: str = "fold", n_folds: int = 5
+    train_with_folds: DataFrame, importance: DataFrame, key: str, ks: Sequence[int] = (5, 10, 15, 20, 30), fold_col: str = "fold", params: Mapping | None = None
 ) -> DataFrame:
-    """CV ROC-AUC of LR on the top-k features (by ``importance``) for each k."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.feature import VectorSlicer
-
-    ranked = [r["feature"] for r in importance.orderBy(F.desc("importance"), F.asc("feature")).collect()]
-    prepared = prepare(train_with_folds, "y", "balanced")
-    n_rows = prepared.count()
-    pipe_model = build_pipeline(make_classifier("logistic_regression", {}, n_rows), binary=binary_columns(prepared, NOMINAL_FEATURES), n_rows=n_rows).fit(prepared)
-    feats = pipe_model.transform(prepared).select("features", "label", "weight", fold_col).persist()
-    names = vector_names(pipe_model)
-    spark = train_with_folds.sparkSession
-    out = []
-    evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-    for kk in list(ks) + [len(names)]:
-        missing = [f for f in ranked[:kk] if f not in names]
-        if missing:
-            raise ValueError(f"no such features: {missing[:5]}")
-        keep = [names.index(f) for f in ranked[:kk]]
-        sliced = VectorSlicer(inputCol="features", outputCol="sub", indices=sorted(keep)).transform(feats)
-        def one(f: int, sliced=sliced) -> float:
-            from pyspark.ml.classification import LogisticRegression
-
-            lr = LogisticRegression(featuresCol="sub", labelCol="label", weightCol="weight", maxIter=2000)
-            m = lr.fit(sliced.where(F.col(fold_col) != f))
-            return evaluator.evaluate(m.transform(sliced.where(F.col(fold_col) == f)))
-
-        aucs = _parallel(one, range(n_folds))
-        out.append((int(min(kk, len(names))), float(np.mean(aucs))))
-    feats.unpersist()
-    return spark.createDataFrame(out, "k int, mean_cv_auc double")
-
-
-def calibrated_svc(train_with_folds: DataFrame, test: DataFrame, key: str, fold_col: str = "fold", k: int = 5, reg: float = 0.01) -> DataFrame:
-    """LinearSVC margins calibrated to probabilities by isotonic regression
-    fitted on out-of-fold margins; returns calibrated test probabilities."""
-    from pyspark.ml.regression import IsotonicRegression
-
-    def one(f: int) -> DataFrame:
-        m = fit(train_with_folds.where(F.col(fold_col) != f).drop(fold_col), "linear_svc", {"reg": reg})
-        return score(m, train_with_folds.where(F.col(fold_col) == f).drop(fold_col), keep=[key, "y"], prob="margin")
+    """CV ROC-AUC (mean and population std) of a random forest on the top-k features (by ``importance``) for each k and for all."""
+    from leadlens.operators.folds import subset_sweep, write_folds
+
+    ranked = [r["feature"] for r in importance.orderBy(F.desc("importance"), F.asc("feature")).collect()]  # slots of the encoder
+    return subset_sweep(write_folds(train_with_folds, key, fold_col), ranked, ks, params=params)
+
+
+def calibrated_svc(train_with_folds: DataFrame, rows: DataFrame, key: str, fold_col: str = "fold", k: int = 5, C: float = 1.0, target: str = "y") -> DataFrame:
+    """(key, target, probability): mean of ``k`` linear SVMs, each fitted without one fold (classes balanced) and calibrated on that fold by isotonic
+    regression.  Margins are written; the calibration runs in blocks (``isotonic``)."""
+    from leadlens.operators.isotonic import calibrated, isotonic_pools
+    from leadlens.session import materialize
+
+    def one(f: int) -> tuple[DataFrame, DataFrame]:
+        model = fit(train_with_folds.where(F.col(fold_col) != f).drop(fold_col), "linear_svc", {"C": C}, target=target)
+        held = train_with_folds.where(F.col(fold_col) == f).drop(fold_col)
+        return tuple(score(model, d, keep=[key, target], prob="margin").withColumn("_model", F.lit(f)) for d in (held, rows))
 
     parts = _parallel(one, range(k))
-    oof = parts[0]
-    for p_ in parts[1:]:
-        oof = oof.unionByName(p_)
-    iso = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="probability").fit(
-        oof.withColumn("label", F.col("y").cast("double"))
-    )
-    final = fit(train_with_folds.drop(fold_col), "linear_svc", {"reg": reg})
-    margins = score(final, test, keep=[key, "y"], prob="margin")
-    return iso.transform(margins).select(key, "y", "probability")
+    held, asked = parts[0]
+    for h, a in parts[1:]:
+        held, asked = held.unionByName(h), asked.unionByName(a)
+    pools = materialize(isotonic_pools(held, "margin", target, by=["_model"]), "isotonic_pools")
+    each = calibrated(materialize(asked, "svc_margins"), pools, "margin", by=["_model"])
+    return each.groupBy(key, target).agg(F.avg("probability").alias("probability"))

@@ -1313,13 +1313,6 @@ def q_preview(spark, sf):
     return preview(_bank(spark, sf).select("client_id", "age", "job", "y"), ["client_id"], 5)
 
 
-@register("generate_customers")
-def q_generate_customers(spark, sf):
-    from leadlens.sources.generate import customers_for
-
-    return customers_for(ds.table(spark, sf, "customer").select("c_custkey"), "c_custkey", 42)
-
-
 # ===========================================================================
 # 2.7 Training, tuning, importance (MLlib on the bank-shaped customers)
 # ===========================================================================
@@ -1341,114 +1334,6 @@ def _train_folds(spark, sf):
     return materialize(stratified_kfold(train, "client_id", "y", 5))
 
 
-def _fit_score(spark, sf, name, params=None):
-    from leadlens.operators.train import fit, score
-
-    train, test = _train_test(spark, sf)
-    return score(fit(train, name, params), test, keep=["client_id", "y"])
-
-
-@register("build_pipeline")
-def q_build_pipeline(spark, sf):
-    return _fit_score(spark, sf, "logistic_regression")
-
-
-@register("train_lr")
-def q_train_lr(spark, sf):
-    return _fit_score(spark, sf, "logistic_regression", {"C": 1.0, "penalty": "l1"})
-
-
-@register("train_rf")
-def q_train_rf(spark, sf):
-    return _fit_score(spark, sf, "random_forest", {"n_estimators": 100, "max_depth": 8, "min_samples_leaf": 2})
-
-
-@register("train_gbt")
-def q_train_gbt(spark, sf):
-    return _fit_score(spark, sf, "xgboost", {"n_estimators": 100, "max_depth": 4, "learning_rate": 0.1})
-
-
-@register("train_svc")
-def q_train_svc(spark, sf):
-    from leadlens.operators.train import calibrated_svc
-
-    folds = _train_folds(spark, sf)
-    _, test = _train_test(spark, sf)
-    return calibrated_svc(folds, test, "client_id")
-
-
-@register("baseline_models")
-def q_baseline_models(spark, sf):
-    from leadlens.operators.train import baseline_models
-
-    train, test = _train_test(spark, sf)
-    return baseline_models(train, test, "client_id")
-
-
-@register("tune_model")
-def q_tune_model(spark, sf):
-    from leadlens.operators.train import tune_model
-
-    return tune_model(_train_folds(spark, sf), "logistic_regression", n_trials=30, parallelism=8)
-
-
-@register("train_final_model")
-def q_train_final_model(spark, sf):
-    from leadlens.operators.train import best_params, score, train_final_model, tune_model
-
-    trials = tune_model(_train_folds(spark, sf), "logistic_regression", n_trials=30, parallelism=8)
-    train, test = _train_test(spark, sf)
-    return score(train_final_model(train, "logistic_regression", best_params(trials)), test, keep=["client_id", "y"])
-
-
-@register("cv_compare")
-def q_cv_compare(spark, sf):
-    from leadlens.operators.train import cv_compare
-
-    return cv_compare(_train_folds(spark, sf), ["logistic_regression", "random_forest", "xgboost"], "client_id")
-
-
-@register("fold_importance")
-def q_fold_importance(spark, sf):
-    from leadlens.operators.train import fold_importance
-
-    return fold_importance(_train_folds(spark, sf), 5, n_trees=300, depth=12)
-
-
-@register("permutation_importance")
-def q_permutation_importance(spark, sf):
-    from leadlens.operators.features import NOMINAL_FEATURES, NUMERIC_FEATURES
-    from leadlens.operators.train import fit, permutation_importance
-
-    train, test = _train_test(spark, sf)
-    model = fit(train, "logistic_regression")
-    feats = NUMERIC_FEATURES + ["education"] + NOMINAL_FEATURES
-    return permutation_importance(model, test, "client_id", feats, repeats=10)
-
-
-@register("feature_subset_sweep")
-def q_feature_subset_sweep(spark, sf):
-    from leadlens.operators.train import feature_subset_sweep, fold_importance
-
-    folds = _train_folds(spark, sf)
-    imp = fold_importance(folds, 5, n_trees=100, depth=8)
-    return feature_subset_sweep(folds, imp, (5, 10, 15, 20, 30))
-
-
-@register("save_load_model")
-def q_save_load_model(spark, sf):
-    from leadlens.operators.train import fit, score
-    from leadlens.session import scratch_path
-    from leadlens.sources.io import load_model, save_model, verify_roundtrip
-
-    train, test = _train_test(spark, sf)
-    model = fit(train, "logistic_regression")
-    base = scratch_path(spark, "models")
-    save_model(model, base, "logistic_regression", 0.30)
-    loaded, _name, _thr = load_model(spark, base)
-    return verify_roundtrip(score(model, test, ["client_id"]), score(loaded, test, ["client_id"]), "client_id")
-
-
 MI_FEATS = ["job", "marital", "education", "contact", "month", "poutcome"]
 
 
@@ -1619,8 +1504,4 @@ def q_pr_curve(spark, sf):
     return ev.pr_curve(ds.leads(spark, sf), "y", "score")
 
 
-@register(
-    "verify_roundtrip",
-)
-def q_verify_roundtrip(spark, sf):
-    return q_save_load_model(spark, sf)
+from leadlens.plans import model_queries  # noqa: E402,F401  (registers the queries of trained models and of the main flow)

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from leadlens.operators import train as tr
-from leadlens.operators.split import stratified_kfold
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -33,13 +30,6 @@ def test_unknown_model_name():
         tr.make_classifier("nope")
 
 
-def test_tune_model_rows(spark, bank):
-    trials = tr.tune_model(stratified_kfold(bank, "client_id", k=3), "logistic_regression", n_trials=2, parallelism=2)
-    rows = trials.collect()
-    assert len(rows) == 2 and sum(r.is_best for r in rows) == 1
-    assert all(0 <= r.mean_cv_auc <= 1 for r in rows) and set(tr.best_params(trials)) == {"C", "penalty"}
-
-
 def test_catalog_contract():
     import __spark_entry__ as entry
 
@@ -73,14 +63,3 @@ def test_stream_scoring_matches_batch(spark):
     from tests.oracle_util import compare
 
     assert compare(spark, SMOKE, "score_stream")["match"]
-
-
-def test_generator_is_keyed_and_partition_independent(spark):
-    from leadlens.sources.generate import customers_for
-
-    keys = spark.range(500).withColumnRenamed("id", "k")
-    a = customers_for(keys, "k").collect()
-    b = customers_for(keys.repartition(5), "k").collect()
-    assert sorted(a) == sorted(b)
-    pdays = np.array([r.pdays for r in a])
-    assert 0.75 < (pdays == 999).mean() < 0.95 and {r.job for r in a} <= set(__import__("leadlens.sources.generate", fromlist=["JOBS"]).JOBS)
