@@ -14,7 +14,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadlens.functions.columns import quoted
-from leadlens.operators.profile import UNKNOWN, level_counts, quantile_map
+from leadlens.operators.profile import (
+    HIGH_CORRELATION,
+    UNKNOWN,
+    cardinality_report,
+    correlation_pairs,
+    level_counts,
+    null_report,
+    numeric_columns,
+    quantile_map,
+    skewness_report,
+    string_columns,
+)
 
 # The reference's column roles on the bank table.
 IMPUTE_MODE_COLS = ["job", "marital", "housing", "loan"]
@@ -119,23 +130,46 @@ def clean_data(
     outlier_cols: Sequence[str] = tuple(OUTLIER_COLS),
     impute_cols: Sequence[str] = tuple(IMPUTE_MODE_COLS),
     token: str = UNKNOWN,
-    checkpoint: bool = True,
+    write: bool = True,
 ) -> DataFrame:
     """The cleaning sequence; the order is part of the semantics:
     drop leakage (production) -> de-duplicate -> clip -> impute.
 
     De-duplication happens before imputation, so imputation may create new
-    duplicates that stay.  With ``checkpoint=True`` the de-duplicated frame
-    is checkpointed to the shared checkpoint folder, so the bound/mode passes
-    and the final rewrite do not repeat the de-duplication shuffle.
+    duplicates that stay.  With ``write`` the de-duplicated frame is written to the
+    shared folder, so the bound and mode passes and the final rewrite do not repeat
+    the de-duplication shuffle.
     """
-    out = drop_leakage(df, leakage) if production else df
-    out = dedup_rows(out)
-    if checkpoint:
-        from leadlens.session import materialize
-
-        out = materialize(out)
-    bounds = learn_clip_bounds(out, outlier_cols)
-    out_c = clip_columns(out, bounds)
-    modes = learn_modes(out_c, impute_cols, token)
-    return impute_columns(out_c, modes, token)
+    return impute_columns(*_clipped(df, production, leakage, outlier_cols, impute_cols, token, write)[1:], token)
+
+
+def _clipped(df, production, leakage, outlier_cols, impute_cols, token, write):
+    """(de-duplicated, clipped, modes of the clipped)."""
+    from leadlens.session import materialize
+
+    out = dedup_rows(drop_leakage(df, leakage) if production else df)
+    out = materialize(out, "deduplicated") if write else out
+    clipped = clip_columns(out, learn_clip_bounds(out, outlier_cols))
+    return out, clipped, learn_modes(clipped, impute_cols, token)
+
+
+def clean_with_reports(
+    df: DataFrame,
+    production: bool = True,
+    leakage: Sequence[str] = tuple(LEAKAGE_COLS),
+    outlier_cols: Sequence[str] = tuple(OUTLIER_COLS),
+    impute_cols: Sequence[str] = tuple(IMPUTE_MODE_COLS),
+    token: str = UNKNOWN,
+    numeric: Sequence[str] | None = None,
+    correlation_above: float = HIGH_CORRELATION,
+) -> tuple[DataFrame, DataFrame]:
+    """``clean_data`` and what its steps report, as rows (report, column, value): missing values per column of the raw rows, levels per category
+    after de-duplication, skewness per numeric column and strongly correlated pairs (``a~b``) after clipping."""
+    raw = null_report(df).select(F.lit("missing").alias("report"), "column", F.col("null_count").cast("double").alias("value"))
+    distinct, clipped, modes = _clipped(df, production, leakage, outlier_cols, impute_cols, token, True)
+    levels = cardinality_report(distinct, string_columns(distinct)).select(F.lit("levels").alias("report"), "column", F.col("n_levels").cast("double").alias("value"))
+    nums = list(numeric or numeric_columns(clipped))
+    skew = skewness_report(clipped, nums).select(F.lit("skewness").alias("report"), "column", F.col("skewness").alias("value"))
+    pairs = correlation_pairs(clipped, nums, correlation_above)
+    corr = pairs.select(F.lit("correlation").alias("report"), F.concat_ws("~", "column_a", "column_b").alias("column"), F.col("abs_r").alias("value"))
+    return impute_columns(clipped, modes, token), raw.unionByName(levels).unionByName(skew).unionByName(corr)

@@ -63,6 +63,8 @@ def _known(col: str) -> Column:
 
 
 def fit_standard_scaler(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    if not columns:
+        return {}
     row = train.agg(
         *[F.avg(_known(c)).alias(f"m{i}") for i, c in enumerate(columns)],
         *[F.stddev_pop(_known(c)).alias(f"s{i}") for i, c in enumerate(columns)],

@@ -280,6 +280,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], pairs: str = "all"
     is the cheaper plan (one pass over a dense matrix)."""
     cols = list(columns)
     idx = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if (i < j if pairs == "upper" else True)]
+    if not idx:
+        return df.sparkSession.createDataFrame([], "column_a string, column_b string, r double")
     uniq = sorted({(min(i, j), max(i, j)) for i, j in idx if i != j})
     agg = df.agg(*[F.corr(number(cols[i]), number(cols[j])).alias(f"_r{i}_{j}") for i, j in uniq], F.lit(1.0).alias("_one"))
     structs = []

@@ -333,44 +333,67 @@ def distributed_rank(df: DataFrame, key: str, seed: int, out: str = "rank") -> D
     return class_rank(df.withColumn("_all", F.lit(0)), key, "_all", seed).drop("_all", "_h", "class_n").withColumnRenamed("class_rank", out)
 
 
+def feature_slots(names: Sequence[str], features: Sequence[str]) -> dict[str, list[int]]:
+    """The slots of the encoded vector that come from each input column."""
+    out = {}
+    for f in features:
+        s = safe_name(f)
+        own = {s, f"ord_{s}"} | ({"was_previously_contacted", "pdays_log"} if s == "pdays" else set())
+        others = [safe_name(g) for g in features if len(safe_name(g)) > len(s) and safe_name(g).startswith(s + "_")]
+        out[f] = [
+            i for i, n in enumerate(names) if n in own or (n.startswith(s + "_") and not any(n == o or n.startswith(o + "_") for o in others))
+        ]
+        if not out[f]:
+            raise ValueError(f"no slots of {f!r}")
+    return out
+
+
 def permutation_importance(
     model, df: DataFrame, key: str, features: Sequence[str], repeats: int = 10, seed: int = SEED, target: str = "y"
 ) -> DataFrame:
     """Mean and std of the ROC-AUC drop when one feature is shuffled.
 
-    Repeat r is a permutation: the row of hash rank i under ``seed`` takes the
-    feature values of the row of rank i under hash(key, r).  Ranks of all
-    repeats come from ONE distributed rank pass (grouped by r), partners from
-    ONE equi-join on (r, rank), and every (feature, repeat) variant is
-    generated by ``inline`` and scored in one pass with a grouped AUC."""
+    Rows are encoded once.  Repeat r is a permutation: the row of hash rank i under ``seed`` takes the feature of the row of rank i under
+    hash(key, r).  What travels to meet a partner is its share of the margin per feature for linear models (the margin is updated), and its encoded
+    slots for others (the slots are exchanged); raw rows and encoders are not needed again.  All variants are scored in one grouped AUC."""
+    from leadlens.operators.model_table import encode
     from leadlens.operators.split import class_rank
+    from leadlens.session import materialize
 
-    base_auc = ev.roc_auc(score(model, df, keep=[key, target]), target, "probability").first()["roc_auc"]
+    names, last = vector_names(model), model.stages[-1]
+    slots = feature_slots(names, features)
+    x = encode(model, df, [key, target]).select(F.col(safe_name(key)).alias("_k"), F.col(safe_name(target)).cast("int").alias("_y"), "x")
+    linear = hasattr(last, "coefficients")
+    if linear:
+        coef = last.coefficients.toArray()
+        part = lambda idx: sum((F.col("x")[i] * F.lit(float(coef[i])) for i in idx), F.lit(0.0))
+        whole = F.aggregate(F.zip_with("x", F.array(*[F.lit(float(c)) for c in coef]), lambda a, b: a * b), F.lit(float(last.intercept)), lambda s, v: s + v)
+        x = x.select("_k", "_y", whole.alias("_margin"), F.array(*[part(slots[f]) for f in features]).alias("x"))
+    x = materialize(x, "permutation_rows")
     reps = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_r")
-    base = distributed_rank(df, key, seed, "_rank").select("*", reps)
-    partner_src = df.select(quoted(key).alias("_pk"), *[quoted(f).alias(f"_p_{safe_name(f)}") for f in features], reps)
-    partner = class_rank(partner_src, ["_pk", "_r"], "_r", seed).select(
-        "_r", F.col("class_rank").alias("_rank"), *[f"_p_{safe_name(f)}" for f in features]
-    )
+    base = distributed_rank(x, "_k", seed, "_rank").select("*", reps)
+    partner = class_rank(x.select("_k", F.col("x").alias("_px"), reps), ["_k", "_r"], "_r", seed).select("_r", F.col("class_rank").alias("_rank"), "_px")
     joined = base.join(partner, ["_r", "_rank"])
-    cols = [c for c in df.columns]
-    variants = joined.select(
-        "_r",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(f).alias("_feature"),
-                        *[(F.col(f"_p_{safe_name(f)}") if c == f else quoted(c)).alias(c) for c in cols],
-                    )
-                    for f in features
-                ]
-            )
-        ),
-    ).withColumnRenamed("_r", "_repeat")
-    scored = score(model, variants, keep=[key, target, "_feature", "_repeat"])
-    aucs = ev.roc_auc(scored, target, "probability", by=["_feature", "_repeat"])
-    drops = aucs.select(F.col("_feature").alias("feature"), (F.lit(base_auc) - F.col("roc_auc")).alias("drop"))
+    if linear:
+        moved = [F.struct(F.lit(f).alias("feature"), (F.col("_margin") - F.col("x")[i] + F.col("_px")[i]).alias("score")) for i, f in enumerate(features)]
+        scored = joined.select("_r", "_y", F.inline(F.array(*moved)))
+        own = x.select("_y", F.col("_margin").alias("score"))
+    else:
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+
+        def swapped(f):
+            mine = set(slots[f])
+            return F.struct(F.lit(f).alias("feature"), F.array(*[F.col("_px" if i in mine else "x")[i] for i in range(len(names))]).alias("v"))
+
+        def scores(rows: DataFrame) -> DataFrame:
+            out = last.transform(rows.withColumn("features", array_to_vector("v")))
+            return out.withColumn("score", vector_to_array("probability" if "probability" in out.columns else "rawPrediction")[1])
+
+        scored = scores(joined.select("_r", "_y", F.inline(F.array(*[swapped(f) for f in features])))).select("_r", "_y", "feature", "score")
+        own = scores(x.select("_y", F.col("x").alias("v"))).select("_y", "score")
+    base_auc = ev.roc_auc(own, "_y", "score").first()["roc_auc"]
+    aucs = ev.roc_auc(materialize(scored, "permuted_scores"), "_y", "score", by=["feature", "_r"])
+    drops = aucs.select("feature", (F.lit(base_auc) - F.col("roc_auc")).alias("drop"))
     return drops.groupBy("feature").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std")).orderBy(
         F.desc("importance_mean"), F.asc("feature")
     )
@@ -420,6 +443,81 @@ def anova_f(df: DataFrame, features: Sequence[str], target: str = "y") -> DataFr
     )
 
 
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    """Continued fraction of the incomplete beta function, for x below (a + 1) / (a + b + 2)."""
+    tiny = 1e-300
+    c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
+    d = 1.0 / (d if abs(d) > tiny else tiny)
+    h = d
+    for m in range(1, 10_000):
+        for up in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1.0 + up * d
+            d = 1.0 / (d if abs(d) > tiny else tiny)
+            c = 1.0 + up / c
+            c = c if abs(c) > tiny else tiny
+            h *= d * c
+        if abs(d * c - 1.0) < 1e-15:
+            break
+    return h
+
+
+def f_survival(f: float | None, d1: float, d2: float) -> float | None:
+    """P(F >= f) of the F distribution with d1 and d2 degrees of freedom, by the incomplete beta function."""
+    if f is None or f != f:
+        return None
+    if f <= 0:
+        return 1.0
+    if math.isinf(f):
+        return 0.0
+    x, a, b = d2 / (d2 + d1 * f), d2 / 2.0, d1 / 2.0  # P = I_x(a, b)
+    y = d1 * f / (d2 + d1 * f)  # 1 - x without cancellation
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(y))
+    if x < (a + 1.0) / (a + b + 2.0):
+        return front * _beta_fraction(a, b, x) / a
+    return 1.0 - front * _beta_fraction(b, a, y) / b
+
+
+def anova_encoded(df: DataFrame, names: Sequence[str], vector: str = "features", target: str = "y") -> DataFrame:
+    """(feature, f_stat, p_value) of every slot of an encoded vector across the target's classes.
+
+    One vector aggregate per class (count, sum, norm); a few numbers per slot and class reach the driver.  Rows without a target are left out; a slot
+    without spread within the classes has no F, and no p-value.
+    """
+    from pyspark.ml.stat import Summarizer
+
+    stats = Summarizer.metrics("count", "sum", "normL2")
+    rows = df.where(F.col(target).isNotNull()).groupBy(target).agg(stats.summary(F.col(vector)).alias("s")).select("s.count", "s.sum", "s.normL2").collect()
+    n = np.array([float(r["count"]) for r in rows])
+    out = []
+    if rows:
+        sums, squares = np.array([r["sum"].toArray() for r in rows]), np.array([r["normL2"].toArray() ** 2 for r in rows])
+        between = (sums**2 / n[:, None]).sum(axis=0)
+        ssb, ssw = between - sums.sum(axis=0) ** 2 / n.sum(), squares.sum(axis=0) - between
+        d1, d2 = float(len(rows) - 1), float(n.sum()) - len(rows)
+        for i, name in enumerate(names):
+            f = float((ssb[i] / d1) / (ssw[i] / d2)) if d1 > 0 and d2 > 0 and ssw[i] > 1e-12 * max(1.0, squares[:, i].sum()) else None
+            out.append((name, f, f_survival(f, d1, d2)))
+    return df.sparkSession.createDataFrame(out, "feature string, f_stat double, p_value double")
+
+
+def fitted_attribution(model, df: DataFrame, key: str, background: DataFrame | None = None) -> tuple[DataFrame, float]:
+    """(key, attribution array by slot, margin) of every row for a fitted linear pipeline, and the base margin.
+
+    Exact SHAP values of the linear model: coefficient times the slot's distance from its mean over ``background`` (the rows themselves if
+    none); base and attributions add up to the row's margin."""
+    from leadlens.operators.model_table import encode
+
+    last = model.stages[-1]
+    coef = last.coefficients.toArray()
+    x = encode(model, df, [key])
+    ground = x if background is None else encode(model, background, [key])
+    means = ground.agg(*[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(len(coef))]).first()
+    means = [means[f"m{i}"] or 0.0 for i in range(len(coef))]
+    shares = F.array(*[F.lit(float(c)) * (F.col("x")[i] - F.lit(m)) for i, (c, m) in enumerate(zip(coef, means))])
+    margin = F.aggregate(F.zip_with("x", F.array(*[F.lit(float(c)) for c in coef]), lambda a, b: a * b), F.lit(float(last.intercept)), lambda s, v: s + v)
+    return x.select(F.col(safe_name(key)).alias(key), shares.alias("attribution"), margin.alias("margin")), float(last.intercept + np.dot(coef, means))
+
+
 def linear_attribution(df: DataFrame, coefs: Mapping[str, float], means: Mapping[str, float] | None = None, top: int | None = None) -> DataFrame:
     """Exact SHAP values of a linear model, coef * (x - mean), for ALL rows;
     returns mean |attribution| per feature (top ``top``)."""

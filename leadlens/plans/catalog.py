@@ -1504,4 +1504,4 @@ def q_pr_curve(spark, sf):
     return ev.pr_curve(ds.leads(spark, sf), "y", "score")
 
 
-from leadlens.plans import model_queries  # noqa: E402,F401  (registers the queries of trained models and of the main flow)
+from leadlens.plans import model_queries, more_queries  # noqa: E402,F401  (they register queries of their own)
