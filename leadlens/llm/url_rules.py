@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadlens.llm.common import free_name
+
 #: Rules up to this many are broadcast (some 150 bytes each); more are joined with a shuffle over SALTS copies of each.
 MOST_BROADCAST = 100_000
 SALTS = 16
@@ -68,5 +70,6 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow", url_co
     else:
         salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         met = exprs.withColumn("salt", F.pmod(F.xxhash64("host", "path"), F.lit(SALTS)).cast("int")).join(salted, ["short", "salt"])
-    best = met.filter("full = full_r").groupBy("host", "path").agg(F.max("r").alias("r"))
-    return base.join(best, ["host", "path"], "left").select(*rest, "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", F.lit(default)).alias("verdict"))
+    r = free_name(base, "r")
+    best = met.filter("full = full_r").groupBy("host", "path").agg(F.max("r").alias(r))
+    return base.join(best, ["host", "path"], "left").select(*rest, "host", "path", F.col(r)["rule"].alias("rule"), F.coalesce(F.col(r)["verdict"], F.lit(default)).alias("verdict"))

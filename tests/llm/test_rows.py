@@ -136,6 +136,8 @@ def test_urls_against_brute_force(spark, most, monkeypatch):
     assert got == {(i, *brute_verdict(u)) for i, u in enumerate(urls)} | {(None, *brute_verdict(urls[4]))}
     assert url_rules.judge_urls(df, rules).count() == len(urls) + 1
     assert url_rules.judge_urls(df.limit(0), rules).count() == 0
+    clash = url_rules.judge_urls(df.selectExpr("*", "page_id AS r", "page_id AS e", "page_id AS short"), rules)
+    assert {(x.page_id, x.host, x.path, x.rule, x.verdict) for x in clash.collect()} == got and "r" in clash.columns
     assert {r.verdict for r in url_rules.judge_urls(df, rules.limit(0), "block").collect()} == {"block"}
 
 
