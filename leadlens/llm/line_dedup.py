@@ -1,7 +1,7 @@
 """Line de-duplication by an exact set-similarity join, with DataFrame functions only.
 
-A line is the set of its five-word shingles (a shorter line: its words as one shingle).  Shingles are ordered by rarity;
-two sets of Jaccard similarity s or more share one of the first n - ceil(s n) + 1, which is what the join is on.  Length and
+A line is the set of its five-word shingles (a shorter line: its words as one shingle).  Shingles are ordered by rarity: that of
+their rarest word over all texts, and their own among lines of large groups.  Two sets of Jaccard similarity s or more share one of the first n - ceil(s n) + 1, which is what the join is on.  Length and
 positional filters follow, the similarity is verified, and a line is removed if an earlier one matches.
 """
 
@@ -66,10 +66,8 @@ def line_tokens(hashes: Column, ranks: list[int], shingle: int = 5) -> Column:
     return F.when(F.size(hashes) < shingle, F.array(low(F.xxhash64(hashes)))).otherwise(F.sort_array(F.array_distinct(F.slice(out, 1, F.size(hashes) - (shingle - 1)))))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, ranks: list[int], similarity: float, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """Of candidate pairs (x, y; places of lines) the places x whose lines reach the similarity."""
-    pairs = written(pairs, "line_pairs")
-    places = pairs.select(F.col("x").alias("p")).unionByName(pairs.select(F.col("y").alias("p"))).distinct()
+def _line_sets(docs: DataFrame, places: DataFrame, ranks: list[int], shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """(p, t): the shingles of the lines at the places p."""
     wanted = places.groupBy(F.col("p.d").alias("wd"), F.col("p.h").alias("wh")).agg(F.collect_set("p.no").alias("nos"))
     wanted = written(wanted, "lines_to_verify")
     if wanted.count() <= MOST_BROADCAST:
@@ -78,7 +76,11 @@ def _verified(docs: DataFrame, pairs: DataFrame, ranks: list[int], similarity: f
     rows = rows.join(wanted, F.col("d").eqNullSafe(F.col("wd")) & (F.col("h") == F.col("wh")))
     lines = rows.withColumn("lines", F.split("t", "\n")).select("d", "h", F.explode("nos").alias("no"), "lines")
     lines = lines.select(F.struct("d", "h", "no").alias("p"), F.get("lines", F.col("no")).alias("line")).dropDuplicates(["p"])
-    sets = written(lines.select("p", line_tokens(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)), ranks, shingle).alias("t")), "line_sets")
+    return written(lines.select("p", line_tokens(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)), ranks, shingle).alias("t")), "line_sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Of candidate pairs (x, y; places of lines) the places x whose lines reach the similarity."""
     met = pairs.join(sets.select(F.col("p").alias("x"), F.col("t").alias("tx")), "x").join(sets.select(F.col("p").alias("y"), F.col("t").alias("ty")), "y")
     both = F.size(F.array_intersect("tx", "ty"))
     return met.filter(both >= F.lit(similarity) * (F.size("tx") + F.size("ty") - both)).select("x").distinct()
@@ -97,8 +99,9 @@ def distinct_lines(docs: DataFrame, ranks: list[int], similarity: float = 0.8, s
 def matched_lines(docs: DataFrame, distinct: DataFrame, ranks: list[int], similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Places x of the distinct lines that an earlier line matches.
 
-    Lines that share a prefix shingle are first compared with the earliest of them only; what finds no match there is then
-    compared with all earlier ones of its shingles.  A large group of near copies so takes one comparison a line.
+    Lines that share a prefix shingle are first compared with the earliest of them only.  The lines of shingles that three or more
+    share then meet in a second prefix join of their own, in which shingles are ordered by their true counts among these lines: what
+    a large group has in common comes last, so that only lines that share their rare shingles too are compared.
     """
     s = F.lit(similarity)
     rows = distinct.select(F.col("k.a").alias("a"), F.posexplode("prefix").alias("i", "token"))
@@ -114,17 +117,27 @@ def matched_lines(docs: DataFrame, distinct: DataFrame, ranks: list[int], simila
 
     c = F.col
     first = rows.filter((c("head.place") != c("place")) & alike(c("n"), c("head.n"), c("i"), c("head.i"))).select(c("place").alias("x"), c("head.place").alias("y")).distinct()
-    got = written(_verified(docs, first, ranks, similarity, shingle, id_col, text_col), "matched_lines")
-    rest = rows.filter("many > 2 and head.place <> place")
-    left = rest.select(c("place").alias("x"), c("n").alias("xn"), c("i").alias("xi"), "token").join(got, "x", "left_anti")
-    right = rest.select(c("place").alias("y"), c("n").alias("yn"), c("i").alias("yi"), "token")
+    first = written(first, "line_pairs")
+    ends = first.select(F.col("x").alias("p")).unionByName(first.select(F.col("y").alias("p"))).distinct()
+    got = written(_verified(first, _line_sets(docs, ends, ranks, shingle, id_col, text_col), similarity), "matched_lines")
+    members = rows.filter("many > 2 and head.place <> place").select(F.col("place").alias("p")).distinct()
+    sets = _line_sets(docs, members, ranks, shingle, id_col, text_col)
+    tokens = sets.select("p", F.size("t").alias("n"), F.explode("t").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count("*").alias("count")).filter("count > 1")
+    ordered = tokens.join(shared, "token").groupBy("p").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("count", "token"))).alias("o"))
+    # shingles of one line alone come before all others and meet nothing
+    alone, length = F.col("n") - F.size("o"), F.col("n") - F.ceil(F.col("n") * s).cast("int") + 1
+    prefix = ordered.select("p", "n", alone.alias("alone"), F.posexplode(F.slice("o", 1, F.greatest(length - alone, F.lit(0)))).alias("at", "t"))
+    prefix = written(prefix.select("p", "n", (F.col("alone") + F.col("at")).alias("i"), F.col("t.token").alias("token")), "second_prefixes")
+    left = prefix.select(c("p").alias("x"), c("n").alias("xn"), c("i").alias("xi"), "token").join(got, "x", "left_anti")
+    right = prefix.select(c("p").alias("y"), c("n").alias("yn"), c("i").alias("yi"), "token")
     more = left.join(right, "token").filter(c("y") < c("x")).filter(alike(c("xn"), c("yn"), c("xi"), c("yi"))).select("x", "y").distinct()
-    return got.unionByName(_verified(docs, more, ranks, similarity, shingle, id_col, text_col))
+    return got.unionByName(_verified(written(more, "line_pairs"), sets, similarity))
 
 
 def dedup_lines(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines removed from the text that match an earlier line (by id, text hash, number of the line; nulls
-    first) in any document; lines without words stay.  Two columns more: n_lines, n_removed.
+    first) in any document; lines without words stay.  Two columns more: n_lines, n_removed (columns of these names are replaced).
 
     A document whose lines all go keeps its row with the lines without words, if any.  A null text stays null and counts as no
     line with words; rows with equal id and text are one document, and all of them keep its lines; an empty table gives no row.
@@ -134,10 +147,10 @@ def dedup_lines(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_c
     distinct = written(distinct_lines(docs, ranks, similarity, shingle, id_col, text_col), "distinct_lines")
     gone = matched_lines(docs, distinct, ranks, similarity, shingle, id_col, text_col)
     stay = distinct.join(gone, F.col("place") == F.col("x"), "left_anti").select("place.*").groupBy("d", "h").agg(F.collect_list("no").alias("nos"))
-    d, h, nos, lines = (free_name(docs, x) for x in ("_d", "_h", "_nos", "_lines"))
-    stay = stay.select(F.col("d").alias(d + "_"), F.col("h").alias(h + "_"), F.col("nos").alias(nos))
+    h, d2, h2, nos, lines = (free_name(docs, x) for x in ("_h", "_dd", "_hh", "_nos", "_lines"))
+    stay = stay.select(F.col("d").alias(d2), F.col("h").alias(h2), F.col("nos").alias(nos))
     keyed = docs.withColumn(h, F.xxhash64(text_of(text_col)))
-    met = keyed.join(stay, F.col(id_col).eqNullSafe(F.col(d + "_")) & (F.col(h) == F.col(h + "_")), "left").withColumn(lines, F.split(F.col(text_col), "\n"))
+    met = keyed.join(stay, F.col(id_col).eqNullSafe(F.col(d2)) & (F.col(h) == F.col(h2)), "left").withColumn(lines, F.split(F.col(text_col), "\n"))
     blank = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(F.col(lines), i).rlike(r"^[\s\x0B]*$"))
     kept = F.sort_array(F.array_union(F.coalesce(nos, F.array().cast("array<int>")), blank))
     new = F.when(F.col(text_col).isNotNull(), F.array_join(F.transform(kept, lambda i: F.get(F.col(lines), i)), "\n"))

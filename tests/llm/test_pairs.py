@@ -109,6 +109,23 @@ def brute_lines(rows: list[tuple]) -> dict:
     return out
 
 
+def test_line_dedup_of_a_large_group(spark):
+    """Lines with a common core that mostly don't match the earliest of them, in documents with clashing column names."""
+    rng = random.Random(17)
+    core = [f"core{i}" for i in range(14)]
+    lines = []
+    for i in range(150):
+        words = list(core)
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            words[rng.randrange(len(words))] = f"own{rng.randrange(12)}"
+        lines.append(" ".join(words + [f"tail{rng.randrange(4)}"] * rng.randint(0, 2)))
+    rows = [(i, "\n".join(lines[3 * i : 3 * i + 3]), "a", "b") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _d_ string, _h string").repartition(4)
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    want = {i: kept for (i, _), (kept, _, _) in brute_lines([r[:2] for r in rows]).items()}
+    assert got == want and 20 < sum(t.count("core13") for t in want.values()) < 140
+
+
 def test_line_dedup_of_odd_documents(spark, odd_docs, no_docs):
     from pyspark.sql import functions as F
 
