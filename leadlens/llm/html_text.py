@@ -39,8 +39,10 @@ IMPLIED = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "td": {"td", "t
 IMPLIED |= {k: {"tr", "td", "th", "tbody", "thead", "tfoot"} for k in ("tbody", "thead", "tfoot")}
 BOUNDS = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "tr": {"table"}, "tbody": {"table"}, "thead": {"table"}, "tfoot": {"table"}}
 
-#: Elements that never hold the article, by name and role; words of class or id speak against an element, but its share of the page's points decides.
-OUT = set("nav header footer aside form menu head dialog button input search fieldset label".split()) | set(RAW) | HIDDEN
+#: Elements that never hold the article, by name; roles and words of class or id speak against an element, but its share of the page's points decides.
+OUT = set("nav header footer aside menu head button input search label".split()) | set(RAW) | HIDDEN
+#: Elements that can also wrap a whole page: they, and the roles, speak against an element as words do.
+WRAPS = set("form fieldset dialog".split())
 OUT_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist note status".split())
 OUT_WORDS = set(
     "ad ads advert adverts advertisement advertising adbox adblock banner sponsor sponsored promo promotion sidebar aside menu nav navbar navigation breadcrumb breadcrumbs"
@@ -51,6 +53,7 @@ OUT_WORDS = set(
 #: Names of readers' comments, which can be longer than the article, and what such names have besides.
 COMMENTS = set("comment comments respond reply replies disqus".split())
 COMMENT_PARTS = COMMENTS | set("area list section thread threads wrap wrapper container box".split())
+NO_TAG = re.compile("<[!?/]")
 TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|$)", re.S)
 ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 WORDS = re.compile(r"[a-z]+")
@@ -84,8 +87,9 @@ def _unwanted(tag: str, attrs: str, inside: bool):
     article holds its title, so its name alone doesn't exclude it."""
     if tag in OUT and not (tag == "header" and inside):
         return True
-    if not attrs or tag in ("html", "body", "article", "main"):
-        return False
+    against = {tag} if tag in WRAPS else set()
+    if not attrs or tag in ("html", "body", "main"):
+        return (against, False, False) if against else False
     names: list[str] = []
     for m in ATTR.finditer(attrs):
         name = m[1].lower()
@@ -93,12 +97,13 @@ def _unwanted(tag: str, attrs: str, inside: bool):
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
         if name == "role" and value.lower().strip() in OUT_ROLES:
-            return True
+            against.add(f"role {value.lower().strip()}")
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
         if name in ("class", "id"):
             names += value.split()
-    return (_doubts(names) or False) if names else False
+    words, whole, comments = _doubts(names) or (set(), False, False)
+    return (against | words, whole, comments) if against or words else False
 
 
 def _unended(page: str, tag: str) -> set[int]:
@@ -118,9 +123,15 @@ def parse(page: str) -> Node:
     at, n = 0, len(page)
     articles = 0
     foreign = choice = None  # the last opened svg or math; an open select without an end tag
+    final = page.rfind(">")  # what follows is no tag, however many open there
     endless: set[str] = set()  # raw elements that end nowhere in the rest
     unended: dict[str, set[int]] = {}
+    opened: set[str] = set()
     while at < n:
+        if at > final:
+            cut = NO_TAG.search(page, at)  # an open comment or the like, which takes the rest
+            node.kids.append(page[at : cut.start() if cut else n])
+            break
         m = TAG.search(page, at)
         if not m:
             node.kids.append(page[at:])
@@ -133,6 +144,8 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if end:
+            if tag not in opened:  # many of these must not each search a deep tree
+                continue
             up = node
             while up is not root and up.tag != tag:
                 up = up.parent
@@ -193,6 +206,7 @@ def parse(page: str) -> Node:
         node.kids.append(child)
         if tag not in VOID and not (attrs.endswith("/") and tag not in BLOCK):
             node = child
+            opened.add(tag)
             articles += tag in ("article", "main")
             if tag in ("svg", "math"):
                 foreign = child
@@ -268,7 +282,8 @@ def _settle(root: Node) -> list[Node]:
             return any(x.tag in ("article", "main") and x.text and (j + x.span <= lo or j >= hi) for j, x in enumerate(order))
         return any(x.tag == "h1" and x.text or x.tag in ("article", "main") and x.held > (order[k].held if j < lo and j + x.span >= hi else 0) for j, x in enumerate(order) if not lo <= j < hi)
 
-    left = [k for k in doubted if order[k].held <= most or (order[k].doubt[1] or order[k].doubt[2]) and beside(k)]
+    # an article element of such a name is another one's if it doesn't hold most of the points, or if its name is that of comments
+    left = [k for k in doubted if order[k].held <= most or (order[k].doubt[1] and order[k].tag != "article" or order[k].doubt[2]) and beside(k)]
     held: dict[str, float] = {}
     ends: dict[str, int] = {}
     for k in left:
@@ -291,6 +306,8 @@ def main_nodes(root: Node) -> list[Node]:
     if nodes is None and gone:  # nothing scores: once more without the words, but not for what lies beside an article of a few words
         short = any(n.tag in ("article", "main") and n.text for n in _measure(root))
         for node in gone:
+            if node.doubt[2]:  # readers' comments never come back
+                continue
             up = node
             while short and up is not None and up.tag not in ("article", "main"):
                 up = up.parent

@@ -324,3 +324,36 @@ def test_toxic_scores_on_held_out_rows(spark):
     none = toxicity.fit_on(docs.limit(0), spark.createDataFrame([], "doc_id long, toxic int"))
     assert toxicity.score_documents(docs.limit(0), none).count() == 0
     assert len({r.score for r in toxicity.score_documents(docs, none).collect()}) == 1
+
+
+PARAGRAPH = "<p>This is a paragraph, with some commas, and enough text to count as one, of the article.</p>"
+
+
+@pytest.mark.parametrize(
+    "page,want,unwanted",
+    [
+        ("<body><form id=aspnet><article><h1>Title</h1>{p}{p}{p}</article><article class='comment'>{p}</article><form class='signup'><p>Sign up, please, it costs nothing at all to do so.</p></form></form>", 3, "Sign"),
+        ("<body><fieldset><article><h1>Title</h1>{p}{p}</article></fieldset>", 2, None),
+        ("<body><div role='dialog'><article><h1>Title</h1>{p}{p}</article></div>", 2, None),
+        ("<body><main><article><h1>Title</h1>{p}{p}{p}</article><article class='related'><h2>More</h2>{p}</article></main>", 3, "More"),
+        ("<main><article><h1>Title</h1><p>Short, true text of it.</p></article><section class='comments-section'>{p}{p}{p}</section></main>", 0, "paragraph"),
+        ("<body><article><h1>Title</h1>{p}{p}</article><div role='navigation'><p>Home, news, sport, weather, and the rest of it.</p></div>", 2, "weather"),
+    ],
+)
+def test_wrappers_and_other_articles(page, want, unwanted):
+    from leadlens.llm.html_text import main_text
+
+    text = main_text(page.replace("{p}", PARAGRAPH))
+    assert text.startswith("Title") and text.count("This is a paragraph") == want
+    assert unwanted is None or unwanted not in text
+
+
+@pytest.mark.parametrize("body", ["text of < b and a <c " * 50_000, "<a " * 350_000, "<p>x</p>" + "<a '" * 250_000, "<b>" * 40_000 + "</i>" * 40_000])
+def test_long_pages_of_odd_tags_take_seconds(body):
+    import time
+
+    from leadlens.llm.html_text import main_text
+
+    begin = time.time()
+    main_text(body)
+    assert time.time() - begin < 10
