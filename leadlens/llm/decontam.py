@@ -2,7 +2,8 @@
 
 A passage of m characters that occurs with at most k edits shares at least m + 1 - q (k + 1) q-grams with
 that region, on diagonals at most k apart.  Shared q-grams are counted in overlapping diagonal bands; bands that meet
-the bound are verified by banded alignment.
+the bound are verified by banded alignment.  q is 8, but 4 for passages too short for the lemma with 8 and their budget; passages of
+under 4 characters, which have no budget, are searched word for word.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from leadlens.llm.common import text_of, tidied, union_all
 
 #: Characters of passages that go to the executors at once (some 30 bytes each); more are done in further passes.
 MOST_CHARS = 4_000_000
-Q, RATE = 8, 0.1
+Q, SHORT_Q, RATE = 8, 4, 0.1
 
 
 def _normal(text: str) -> str:
@@ -32,14 +33,14 @@ def _codes(text: str):
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def _grams(codes):
-    """64-bit hashes of all q-grams (q = 8) by three doublings."""
+def _grams(codes, q: int = Q):
+    """64-bit hashes of all q-grams (q a power of two) by doublings."""
     import numpy as np
 
     h = codes.astype(np.uint64) + np.uint64(1)
     base = np.uint64(0x9E3779B97F4A7C15)
     with np.errstate(over="ignore"):
-        for half in (1, 2, 4):
+        for half in (1 << b for b in range(q.bit_length() - 1)):
             h = h[:-half] * base + h[half:]
             base = base * base
         h ^= h >> np.uint64(29)
@@ -71,27 +72,64 @@ def align(pattern, text, lo: int, width: int) -> tuple[int, int]:
     return int(row[best]), lo + m + best
 
 
+def budget(length: int, rate: float) -> int:
+    """Edits that a passage may have."""
+    return int(rate * length)
+
+
 class Scanner:
-    """Finds the passages (id, text) in texts.  Passages of under q normalised characters never match."""
+    """Finds the passages (id, text) in texts: every region with at most ``rate`` edits a character, but of overlapping ones the best alone.
+    Empty passages never match."""
 
     def __init__(self, passages: list[tuple], rate: float = RATE):
+        sets: dict[int, list] = {Q: [], SHORT_Q: []}
+        self.tiny = []
+        for key, text in passages:
+            normal = _normal(text)
+            k = budget(len(normal), rate)
+            if len(normal) >= Q * (k + 1):  # the lemma promises a gram
+                sets[Q].append((key, normal, k))
+            elif len(normal) >= SHORT_Q * (k + 1):
+                sets[SHORT_Q].append((key, normal, k))
+            elif normal:
+                if k:
+                    raise ValueError(f"{k} edits in {len(normal)} characters: the rate is too high for the q-gram lemma")
+                self.tiny.append((key, normal))
+        self.parts = [Part(some, q) for q, some in sets.items() if some]
+
+    def find(self, texts: list[str], window: int = 1 << 20) -> list[list[tuple]]:
+        """Of each text its matches (item, start, end, edits, passage length) in normalised characters.  Texts over ``window`` characters are
+        searched in overlapping windows."""
+        normal = [_normal(t) for t in texts]
+        codes = [_codes(t) for t in normal]
+        out: list[list[tuple]] = [[] for _ in texts]
+        for part in self.parts:
+            for got, found in zip(out, part.find(codes, window)):
+                got += found
+        for key, passage in self.tiny:
+            for got, text in zip(out, normal):
+                at = text.find(passage)
+                while at >= 0:
+                    got.append((key, at, at + len(passage), 0, len(passage)))
+                    at = text.find(passage, at + len(passage))
+        return out
+
+
+class Part:
+    """The search for passages (id, normalised text, edits) by one gram length."""
+
+    def __init__(self, passages: list[tuple], q: int):
         import numpy as np
 
-        self.items = []
+        self.q, self.items = q, []
         grams, owner, place = [], [], []
-        for key, text in passages:
-            codes = _codes(_normal(text))
-            if len(codes) < Q:
-                continue
-            k = int(rate * len(codes))
-            k = min(k, (len(codes) - Q) // Q)  # the lemma needs at least one gram
-            g = _grams(codes)
+        for key, text, k in passages:
+            codes = _codes(text)
+            g = _grams(codes, q)
             grams.append(g)
             owner.append(np.full(len(g), len(self.items)))
             place.append(np.arange(len(g)))
-            self.items.append((key, codes, k, len(codes) + 1 - Q * (k + 1)))
-        if not self.items:
-            return
+            self.items.append((key, codes, k, len(codes) + 1 - q * (k + 1)))
         g = np.concatenate(grams)
         order = np.argsort(g, kind="stable")
         self.grams, self.first = np.unique(g[order], return_index=True)
@@ -103,16 +141,11 @@ class Scanner:
         self.band = np.array([2 * i[2] + 1 for i in self.items])
         self.longest = max(len(i[1]) for i in self.items)
 
-    def find(self, texts: list[str], window: int = 1 << 20) -> list[list[tuple]]:
-        """Of each text its matches (item, start, end, edits, passage length) in normalised characters: the best one of each passage, by fewest
-        edits, then the earliest.  Texts over ``window`` characters are searched in overlapping windows."""
+    def find(self, texts: list, window: int) -> list[list[tuple]]:
         out: list[dict] = [{} for _ in texts]
-        if not self.items:
-            return [[] for _ in texts]
         pieces, total = [], 0
         lap = 4 * self.longest + 64
-        for t, text in enumerate(texts):
-            codes = _codes(_normal(text))
+        for t, codes in enumerate(texts):
             step = max(window - lap, lap)
             for lo in range(0, max(1, len(codes) - lap), step):
                 pieces.append((t, lo, codes[lo : lo + step + lap]))
@@ -121,24 +154,24 @@ class Scanner:
                     self._search(pieces, out)
                     pieces, total = [], 0
         self._search(pieces, out)
-        return [[(self.items[p][0], s, e, d, len(self.items[p][1])) for p, (d, s, e) in sorted(found.items())] for found in out]
+        return [[(self.items[p][0], s, e, d, len(self.items[p][1])) for p, found in sorted(of.items()) for d, s, e in apart(found)] for of in out]
 
     def _search(self, pieces: list[tuple], out: list[dict]) -> None:
         import numpy as np
 
-        pieces = [p for p in pieces if len(p[2]) >= Q]
+        pieces = [p for p in pieces if len(p[2]) >= self.q]
         if not pieces:
             return
         starts = np.cumsum([0] + [len(p[2]) for p in pieces])
         text = np.concatenate([p[2] for p in pieces])
-        g = _grams(text)
+        g = _grams(text, self.q)
         at = np.flatnonzero(self.bits[(g >> np.uint64(44)).astype(np.int64)])
         k = np.searchsorted(self.grams, g[at])
         k[k == len(self.grams)] = 0
         same = self.grams[k] == g[at]
         at, k = at[same], k[same]
         piece = np.searchsorted(starts, at, "right") - 1
-        inside = at + Q <= starts[piece + 1]
+        inside = at + self.q <= starts[piece + 1]
         at, k, piece = at[inside], k[inside], piece[inside]
         count = self.last[k] - self.first[k]
         pick = np.repeat(self.first[k] - np.concatenate([[0], np.cumsum(count)[:-1]]) if len(k) else k, count) + np.arange(count.sum())
@@ -166,9 +199,16 @@ class Scanner:
                 continue
             back, length = align(pattern[::-1], codes[max(0, end - len(pattern) - k_edits) : end][::-1], -k_edits, 2 * k_edits + 1) if edits else (0, len(pattern))
             begin = end - (length if back == edits else len(pattern))
-            found = (edits, lo + begin, lo + end)
-            if p not in out[t] or found < out[t][p]:
-                out[t][p] = found
+            out[t].setdefault(p, []).append((edits, lo + begin, lo + end))
+
+
+def apart(found: list[tuple]) -> list[tuple]:
+    """Of (edits, start, end) regions those that overlap no better one (fewer edits, then the earlier), by start."""
+    kept: list[tuple] = []
+    for d, s, e in sorted(set(found)):
+        if all(e <= x or s >= y for _, x, y in kept):
+            kept.append((d, s, e))
+    return sorted(kept, key=lambda r: r[1])
 
 
 def passage_sets(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> list[list[tuple]]:
@@ -194,11 +234,12 @@ def _per_text(passages: list[tuple], rate: float) -> Callable:
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row per document and passage that occurs in it with at most ``rate`` edits a character: doc_id, item_id, start, end
+    """One row per document and region of a passage that occurs in it with at most ``rate`` edits a character: doc_id, item_id, start, end
     (characters of the text in lower case with single blanks), edits, passage_length.
 
-    Null and empty texts have no row; repeated rows have a row each; of equally good places the first counts; an
-    empty table, or benchmark, gives none; other columns are ignored.  Passages of under 8 characters never match.
+    Regions of one passage don't overlap: a better one (fewer edits, then the earlier) displaces those it overlaps.  Null and empty texts
+    have no row; repeated rows have a row each; an empty table, or benchmark, gives none; null and empty passages never match; other columns
+    are ignored.
     """
     schema = T.StructType(
         [T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("item_id", benchmark.schema[item_col].dataType)]
@@ -225,7 +266,9 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, id_
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``docs`` without the rows in whose text a passage occurs; the rest passes unchanged, without a shuffle."""
+    """``docs`` without the rows in whose text a passage occurs; the rest passes unchanged, without a shuffle.
+
+    Rows with a null or empty text stay; equal rows stay or go alike; an empty table stays empty, and with an empty benchmark all rows stay."""
     place = docs.columns.index(text_col)
 
     def one(frame: DataFrame, passages: list[tuple]) -> DataFrame:

@@ -321,7 +321,9 @@ def score_documents(docs: DataFrame, model: ToxicModel, threshold: float = 0.3,
 
 
 def drop_toxic(docs: DataFrame, model: ToxicModel, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose score reaches ``threshold``; the rest passes unchanged, without a shuffle."""
+    """``docs`` without the rows whose score reaches ``threshold``; the rest passes unchanged, without a shuffle.
+
+    A null text is judged as the empty one; equal rows stay or go alike; an empty table stays empty."""
     place = docs.columns.index(text_col)
 
     def run(batches):

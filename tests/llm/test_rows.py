@@ -235,12 +235,14 @@ def test_passages_against_brute_force(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string, item_id string, start int")
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = decontam.find_passages(df, bench).collect()
-    found = {(r.doc_id, r.item_id): r.edits for r in got}
+    found: dict = {}
+    for r in got:
+        found[r.doc_id, r.item_id] = min(r.edits, found.get((r.doc_id, r.item_id), 99))
     normal = lambda t: " ".join((t or "").lower().split())
     for i, text, *_ in docs:
         for k, item in items[:12]:
             least = edits(normal(item), normal(text)) if i != 202 else (0 if k == 1 else 99)
-            limit = min(int(0.1 * len(normal(item))), (len(normal(item)) - 8) // 8)
+            limit = int(0.1 * len(normal(item)))
             assert found.get((i, k)) == (least if least <= limit else None), (i, k)
     for r in got:
         if r.edits == 0:
@@ -252,6 +254,32 @@ def test_passages_against_brute_force(spark):
     assert decontam.find_passages(df.limit(0), bench).count() == 0 and decontam.find_passages(df, bench.limit(0)).count() == 0
 
 
+def test_short_passages_and_all_their_places():
+    rng = random.Random(31)
+    for _ in range(150):
+        m = rng.randint(1, 40)
+        item = "".join(rng.choice("abcd") for _ in range(m))
+        text = list("".join(rng.choice("abcd") for _ in range(rng.randint(0, 30))))
+        for _ in range(rng.randint(0, 3)):
+            part = list(item)
+            for _ in range(rng.randint(0, 1 + m // 8)):
+                at = rng.randrange(m)
+                part[at : at + 1] = rng.choice([[], ["x"], [item[at], "y"]])
+            text += part + list("".join(rng.choice("efgh") for _ in range(rng.randint(0, 12))))
+        text, k = "".join(text), int(0.1 * m)
+        got = decontam.Scanner([(1, item)]).find([text])[0]
+        assert bool(got) == (edits(item, text) <= k)
+        for _, s, e, d, n in got:
+            assert d <= k and n == m and edits(item, text[s:e]) == d
+        assert all(a[2] <= b[1] for a, b in zip(got, got[1:]))
+        # what is left between the places holds none
+        rest = "|".join(text[x:y] for x, y in zip([0, *(g[2] for g in got)], [*(g[1] for g in got), len(text)]))
+        assert edits(item, rest) > k or any(g[3] for g in got)
+    assert decontam.Scanner([(1, "abcdefghijkl")]).find(["xx abcdexghijkl"])[0][0][3] == 1
+    assert [g[1:3] for g in decontam.Scanner([(1, "short")]).find(["short and Short,  shor t"])[0]] == [(0, 5), (10, 15)]
+    assert decontam.Scanner([(1, None or ""), (2, " ")]).find(["any"]) == [[]]
+
+
 def test_passages_across_windows_and_sets(spark, monkeypatch):
     rng = random.Random(2)
     items = [(k, words(rng, 20)) for k in range(9)]
