@@ -7,6 +7,7 @@ log-likelihood ratio speaks for the random chain is reported besides the base ma
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,27 +26,80 @@ LEARN = JUDGE = r"[A-Za-z0-9+/_=-]{%d,}" % LEAST
 LOW, SIZE = ord("+"), ord("z") - ord("+") + 1
 
 
-def match_spans(text: Column, pattern: str, group: int, least: int, kind: str, order: int) -> Column:
-    """Array of (start, ord, end, kind) of the leftmost non-overlapping matches whose ``group`` has ``least`` characters.
+#: Characters of base matches, and the private ones that stand for them where a match covers them.
+PLAIN = "".join(map(chr, range(0x20, 0x7B)))
+COVERED = "".join(chr(0xE000 + ord(c)) for c in PLAIN)
+PRIVATE, OTHER = "".join(map(chr, range(0xE000, 0xE080))), "\uf8ff" * 0x80
+#: The patterns over text in which some characters are covered: each class has its covered characters, too.
+EITHER = {
+    "access": "[A\ue041][K\ue04b][I\ue049][A\ue041][A-Z0-9\ue041-\ue05a\ue030-\ue039]{14,}",
+    "hex": "[0-9a-f\ue030-\ue039\ue061-\ue066]{16,}",
+    "judge": "[A-Za-z0-9+/_=\ue041-\ue05a\ue061-\ue07a\ue030-\ue039\ue02b\ue02f\ue05f\ue03d\ue02d-]{%d,}" % LEAST,
+}
+#: Doublings of the running sums, enough for the matches (12 characters and more) of the longest text that a row can hold.
+DOUBLINGS = 28
+
+
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
+def running(values: Column) -> Column:
+    """Running sums of an array, by doubling: n log n steps, none of which copies what is done so far for each element."""
+    out = values
+    for k in range(DOUBLINGS):
+
+        def add(a, step=1 << k):
+            before = F.concat(F.array_repeat(F.lit(0), F.least(F.size(a), F.lit(step))), F.slice(a, 1, F.size(a) - step))
+            return F.when(F.size(a) > step, F.zip_with(a, before, lambda x, y: x + y)).otherwise(a)
+
+        out = once(out, add)
+    return out
+
+
+def may_hold(text: Column, kind: str) -> Column:
+    """Whether the text can hold a match of a base pattern, by plain search where a match must have some string."""
+    if kind == "assign":
+        low = F.lower(text)
+        return reduce(lambda a, b: a | b, [low.contains(w) for w in ("password", "passwd", "secret", "token", "apikey", "api_key")])
+    return text.contains("AKIA") if kind == "access" else text.rlike(DIRECT[kind])
+
+
+def match_spans(text: Column, pattern: str, group: int, least: int, kind: str, order: int, guard: Column | None = None, words: bool = False) -> Column:
+    """Array of (start, ord, end, kind) of the leftmost non-overlapping matches whose ``group`` has ``least`` characters, with their
+    text if ``words``.  Rows where ``guard`` is false are known to have none.
 
     The pieces between matches and the matches themselves give the positions, in code points.
     """
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
     gaps = F.transform(F.split(text, pattern, -1), F.length)
+    fields = "start:int,ord:int,end:int,kind:string" + (",word:string" if words else "")
+
+    def placed(w):
+        ends = running(F.zip_with(F.slice(gaps, 1, F.size(w)), w, lambda g, x: g + F.length(x)))
+        seen = F.arrays_zip(ends.alias("end"), w.alias("w"), (F.transform(part, F.length) if group else F.transform(w, F.length)).alias("m"))
+        fine = F.filter(seen, lambda x: x["m"] >= least)
+        word = [lambda x: x["w"].alias("word")] if words else []
+        return F.transform(
+            fine,
+            lambda x: F.struct(
+                (x["end"] - F.length(x["w"])).alias("start"), F.lit(order).alias("ord"), x["end"].alias("end"), F.lit(kind).alias("kind"), *[f(x) for f in word]
+            ),
+        )
+
+    found = once(whole, placed)
+    return (found if guard is None else F.when(guard, found).otherwise(F.array())).cast(f"array<struct<{fields}>>")
+
+
+def covered(text: Column, pattern: str, group: int, least: int, guard: Column) -> Column:
+    """``text`` with the characters of accepted matches replaced by those that stand for them; the length stays."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    seen = F.arrays_zip(gaps.alias("gap"), F.transform(whole, F.length).alias("n"), F.transform(part, F.length).alias("m"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,ord:int,end:int,kind:string>>").alias("out"))
-
-    def step(acc, x):
-        lo = acc["at"] + x["gap"]
-        span = F.struct(lo.alias("start"), F.lit(order).alias("ord"), (lo + x["n"]).alias("end"), F.lit(kind).alias("kind"))
-        return F.struct((lo + F.coalesce(x["n"], F.lit(0))).alias("at"), F.when(x["m"] >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
-
-    return F.when(text.rlike(pattern), F.aggregate(seen, start, step, lambda a: a["out"])).otherwise(start["out"])
-
-
-def base_spans(text: Column) -> dict[str, Column]:
-    return {k: match_spans(text, DIRECT.get(k, p), g, least, k, i) for i, (k, p, g, least) in enumerate(BASE)}
+    hidden = F.transform(F.arrays_zip(whole.alias("w"), part.alias("p")), lambda x: F.when(F.length(x["p"]) >= least, F.translate(x["w"], PLAIN, COVERED)).otherwise(x["w"]))
+    joined = F.array_join(F.zip_with(F.split(text, pattern, -1), hidden, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return F.when(guard, joined).otherwise(text)
 
 
 def labelled_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -55,7 +109,7 @@ def labelled_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
     secret = []
     for kind, pattern, group, least in BASE:
         p = DIRECT.get(kind, pattern)
-        found = F.when(text.rlike(p), F.regexp_extract_all(text, F.lit(p), F.lit(group)))
+        found = F.when(may_hold(text, kind), F.regexp_extract_all(text, F.lit(p), F.lit(group)))
         secret.append(F.filter(F.coalesce(found, F.array().cast("array<string>")), lambda t, n=least: F.length(t) >= n))
     other = F.filter(
         F.regexp_extract_all(text, F.lit(LEARN), F.lit(0)), lambda t: ~t.rlike("|".join([DIRECT["access"], DIRECT["hex"], "(?i:password|passwd|secret|token|api_?key)"]))
@@ -98,15 +152,20 @@ def scan(docs: DataFrame, ratios: list[float], least: float = 6.9, id_col: str =
 
     ``markov`` has the tokens of 12 and more characters whose ratio is at least ``least`` (about 1000 to 1) and that base spans don't cover wholly.
     Null and empty texts have no spans; ids may be null or repeated, each row is reported; an empty table gives no row;
-    other columns are ignored.  Time grows with the square of the matches in one text.
+    other columns are ignored.
     """
+    limit = float(least)
     text = F.coalesce(F.col(text_col), F.lit(""))
     out = docs.select(F.col(id_col).alias("doc_id"), text.alias("_text"))
-    spans = base_spans(F.col("_text"))
-    out = out.select("doc_id", "_text", *[c.alias(k) for k, c in spans.items()], match_spans(F.col("_text"), JUDGE, 0, LEAST, "markov", len(BASE)).alias("_tokens"))
-    base = F.array_sort(F.concat("assign", "access", "hex"))
-    word = lambda t: F.substring(F.col("_text"), t["start"] + 1, t["end"] - t["start"])
-    reach = lambda t: F.aggregate(base, t["start"], lambda at, b: F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at))
-    clear = lambda t: reach(t) < t["end"]
-    markov = F.filter("_tokens", lambda t: clear(t) & (likelihood_ratio(word(t), ratios) >= least))
-    return out.select("doc_id", "assign", "access", "hex", F.when(F.size("_tokens") > 0, markov).otherwise(F.col("_tokens")).alias("markov"))
+    out = out.select("*", *[may_hold(F.col("_text"), kind).alias(f"_may_{kind}") for kind, *_ in BASE])
+    spans = {k: match_spans(F.col("_text"), DIRECT.get(k, p), g, n, k, i, F.col(f"_may_{k}")) for i, (k, p, g, n) in enumerate(BASE)}
+    # what base matches cover is marked in the text itself, so that a token shows whether it is covered wholly
+    free = F.when(F.col("_text").rlike(f"[{PRIVATE[0]}-{PRIVATE[-1]}]"), F.translate("_text", PRIVATE, OTHER)).otherwise(F.col("_text"))
+    out = out.select("doc_id", *[c.alias(k) for k, c in spans.items()], *[f"_may_{k}" for k in spans], free.alias("_marked"))
+    for kind, pattern, group, size in BASE:
+        out = out.withColumn("_marked", covered(F.col("_marked"), EITHER.get(kind, pattern), group, size, F.col(f"_may_{kind}") & (F.size(kind) > 0)))
+    out = out.withColumn("_tokens", match_spans(F.col("_marked"), EITHER["judge"], 0, LEAST, "markov", len(BASE), words=True))
+    plain = lambda t: t["word"].rlike(f"[^{PRIVATE[0]}-{PRIVATE[-1]}]")
+    markov = F.filter("_tokens", lambda t: plain(t) & (likelihood_ratio(F.translate(t["word"], COVERED, PLAIN), ratios) >= limit))
+    bare = F.transform(markov, lambda t: F.struct(t["start"].alias("start"), t["ord"].alias("ord"), t["end"].alias("end"), t["kind"].alias("kind")))
+    return out.select("doc_id", "assign", "access", "hex", bare.alias("markov"))

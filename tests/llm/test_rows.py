@@ -385,3 +385,36 @@ def test_long_pages_of_odd_tags_take_seconds(body):
     begin = time.time()
     main_text(body)
     assert time.time() - begin < 10
+
+
+def test_secrets_of_a_very_long_text(spark):
+    """5 MB with 100,000 tokens and 20,000 base matches, in one row: the time grows in proportion."""
+    import time
+
+    rng = random.Random(12)
+    parts = []
+    for i in range(100_000):
+        parts.append("".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=20)))
+        parts.append("password=" + "x" * 12 if i % 5 == 0 else "and some words here, ")
+    text = " ".join(parts)
+    assert len(text) > 4_000_000
+    df = spark.createDataFrame([(1, text), (2, " token: abcdefghijkl ")], "doc_id long, text string")
+    begin = time.time()
+    got = {r.doc_id: r for r in secrets.scan(df, [1.0] * secrets.SIZE**2).selectExpr("doc_id", "size(assign) AS n", "size(markov) AS m", "assign[0].start AS s", "assign[size(assign) - 1].end AS e").collect()}
+    assert time.time() - begin < 60
+    assert (got[1].n, got[1].m) == (20_000, 100_000) and got[1].e == text.rindex("password=") + 21
+    assert (got[2].n, got[2].s, got[2].e) == (1, 3, 22)
+
+
+def test_covered_tokens_are_those_of_brute_force(spark):
+    rng = random.Random(40)
+    bits = ["token=", "secret: ", "'", "AKIA", "abcdef0123456789", "ABCDEFGHIJKLMNOP", "-", " ", ".", "x" * 13, "", "é", "api_key = \"", "0123456789abcdef0"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(1, 9))) for _ in range(300)]
+    got = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), [1.0] * secrets.SIZE**2).collect()
+    for r in got:
+        text = texts[r.doc_id]
+        spans = brute_secrets(text)
+        assert sorted((s.start, s.ord, s.end, s.kind) for s in [*r.assign, *r.access, *r.hex]) == spans
+        held = {i for s in spans for i in range(s[0], s[2])}
+        want = [m.span() for m in re.finditer(secrets.JUDGE, text) if not held.issuperset(range(*m.span()))]
+        assert [(s.start, s.end) for s in r.markov] == want
