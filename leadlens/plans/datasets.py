@@ -11,7 +11,6 @@ use only exact integer / IEEE arithmetic so results agree bit for bit.
 * ``prospects``  (orders): deterministic dirt for the cleaning operators:
                   ``unknown`` levels, NaN and NULL numerics, the 999 sentinel.
 * ``model_scores`` (lineitem): four stand-in models x two stages, long form.
-* ``labelled_docs`` (documents joined to labels): target ``quality``.
 """
 
 from __future__ import annotations
@@ -186,21 +185,6 @@ FROM orders
 """
 
 
-# ---------------------------------------------------------------------------
-# labelled documents
-# ---------------------------------------------------------------------------
-def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    lab = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    return d.join(lab, "doc_id")
-
-
-LABELLED_DOCS_SQL = """
-SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
-FROM documents d JOIN labels l ON d.doc_id = l.doc_id
-"""
-
-
 # ---------------------------------------------------------------------------
 # bank-shaped customers (orders): the reference's column names and roles
 # ---------------------------------------------------------------------------

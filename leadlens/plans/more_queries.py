@@ -310,3 +310,82 @@ def q_write_report_csv(spark, sf):
     path = write_report(table, scratch_path(spark, "comparison"), "csv")
     schema = "model string, threshold double, tp long, fp long, fn long, tn long, net_profit double, place long"
     return spark.read.schema(schema).option("header", True).csv(path)
+
+
+# ---------------------------------------------------------------------------
+# Scoring with a fitted model, and the stream with conformance on
+# ---------------------------------------------------------------------------
+@register(
+    "batch_score_fitted",
+    f"WITH {cat.BANK} SELECT count(*) AS n, true AS in_range, true AS verdicts_fit, true AS highest_first FROM bank",
+)
+def q_batch_score_fitted(spark, sf):
+    """An uploaded table with other names and absent columns: conformed, scored by a fitted pipeline, ranked."""
+    from pyspark.sql import Window
+
+    from leadlens.operators.features import safe_name
+    from leadlens.operators.leads import batch_score
+    from leadlens.operators.schema import conform_schema
+    from leadlens.operators.train import fit
+
+    train, _ = mq._splits(spark, sf)
+    upload, _, missing = conform_schema(cat._messy(spark, sf))
+    if missing:
+        raise ValueError(f"missing columns: {missing}")
+    out = batch_score(upload.select(*[F.col(f"`{c}`").alias(safe_name(c)) for c in upload.columns]), 0.3, model=fit(train, "logistic_regression"))
+    p = F.col("probability")
+    fits = F.when(F.abs(p - 0.3) > 1e-4, (p >= 0.3) == (F.col("verdict") == "YES")).otherwise(F.lit(True))
+    placed = out.select("probability", "verdict", F.monotonically_increasing_id().alias("at"))
+    # the order of the sorted rows, checked within each part of it (ids grow with the parts)
+    part = Window.partitionBy(F.shiftright("at", 33)).orderBy("at")
+    falls = F.coalesce(F.lag("probability").over(part) >= p, F.lit(True))
+    checked = placed.withColumn("falls", falls)
+    return checked.agg(
+        F.count(F.lit(1)).alias("n"), F.every(p.between(0.0, 1.0)).alias("in_range"), F.every(fits).alias("verdicts_fit"), F.every("falls").alias("highest_first")
+    )
+
+
+@register(
+    "score_stream_conformed",
+    f"""WITH {cat.PROSPECTS}, c AS (SELECT prospect_id, CASE WHEN amount IS NULL OR isnan(amount) THEN 0 ELSE amount END AS amount, day_of_week FROM prospects),
+    p AS (SELECT prospect_id, least(amount / 1000000.0 + CASE day_of_week WHEN 'mon' THEN 0.25 ELSE 0.0 END, 1.0) AS p FROM c)
+    SELECT prospect_id, round(p, 4) AS probability, CASE WHEN p >= {sql_double(0.3)} THEN 'YES' ELSE 'NO' END AS verdict FROM p""",
+)
+def q_score_stream_conformed(spark, sf):
+    """Files with other names, gaps and NaN, scored as they arrive: names and numerics are conformed in the stream."""
+    from leadlens.session import scratch_path
+    from leadlens.streaming.scoring import run_to_completion, score_stream
+
+    source = scratch_path(spark, "uploads")
+    files = ds.prospects(spark, sf).select("prospect_id", F.col("amount").alias("AMOUNT"), F.col("day_of_week").alias("DayOfWeek"))
+    files.write.parquet(source)
+
+    def scorer(df):
+        monday = F.when(F.col("day_of_week") == "mon", 0.25).otherwise(0.0)
+        p = F.least(F.col("amount") / 1000000.0 + monday, F.lit(1.0))
+        return df.select(F.col("prospect_id").cast("long").alias("prospect_id"), p.alias("probability"))
+
+    sink = scratch_path(spark, "scored-uploads")
+    run_to_completion(score_stream(spark, source, files.schema, scorer, 0.3, sink, sanitise=True, keep=("prospect_id",)))
+    return spark.read.parquet(sink)
+
+
+# a score with nearly as many values as rows
+_CONTINUOUS = f"{cat.LEADS}, cont AS (SELECT y, net_price / 200000.0 AS score FROM leads)"
+
+
+def _continuous(spark, sf):
+    return ds.leads(spark, sf).select("y", (F.col("net_price") / 200000.0).alias("score"))
+
+
+@register("roc_auc_continuous", f"WITH {_CONTINUOUS}, {cat._rank_sql('cont')} SELECT roc_auc, pr_auc FROM r")
+def q_roc_auc_continuous(spark, sf):
+    return ev.compute_metrics(_continuous(spark, sf), "y", "score").select("roc_auc", "pr_auc")
+
+
+@register(
+    "find_optimal_threshold_continuous",
+    f"WITH {_CONTINUOUS}, {cat._sweep_sql(cat._grid_sql(200, 0.05, 0.95), 'cont')} SELECT threshold, {cat._profit_sql()} AS net_profit FROM sw ORDER BY net_profit DESC, threshold LIMIT 1",
+)
+def q_find_optimal_threshold_continuous(spark, sf):
+    return ev.find_optimal_threshold(_continuous(spark, sf), "y", "score")
