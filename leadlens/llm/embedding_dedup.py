@@ -1,9 +1,12 @@
 """Near-duplicate vectors by randomised-rotation binary codes (RaBitQ, Gao and Long 2024).
 
 A unit vector is rotated and coded by its signs; the stored factor, the inner product of the vector with its code's, makes the
-estimate of an inner product from a code unbiased, with an error of known spread.  Pairs whose estimate and bound reach the
-threshold are recomputed in double precision.  The pairs looked at are those whose signs under further rotations
-agree in one of many tables, as for every pair at the threshold with probability 0.9999.
+estimate of an inner product from a code unbiased, with an error of known spread.  The pairs looked at are those whose signs under further
+rotations agree in one of many tables, as for every pair at the threshold with probability 0.9999.
+
+Buckets first get codes, factors and a few bits of each rotated component alone: estimates are counts of common bits, and a member stays if the
+estimate and bound of one of its pairs reach the threshold.  Vectors follow to their buckets for members that stay, whose pairs are
+estimated again from the code and recomputed in double precision.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from leadlens.llm.common import components, tidied, written
 BLOCK = 1024
 #: Standard deviations of the estimate's error that the bound allows.
 EPSILON = 5.0
+#: Bits of a rotated component in the first comparison; what rounding to them can change is added to the bound.
+PLANES = 6
 
 
 def tables_for(n: int, threshold: float, miss: float = 1e-4) -> tuple[int, int]:
@@ -43,8 +48,10 @@ def rotations(dim: int, rows: int, seed: int):
 
 
 def _coded(distinct: DataFrame, dim: int, bits: int, tables: int, seed: int) -> DataFrame:
-    """(node, code, factor, keys) of each vector: signs and factor under the first rotation, bucket keys under the others."""
-    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("code", T.BinaryType()), T.StructField("factor", T.DoubleType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    """(node, code, factor, planes, low, step, error, keys) of each vector: signs and factor under the first rotation, its components rounded to
+    low + step * (PLANES bits, one plane after the other) with the norm of what that changes, and bucket keys under the other rotations."""
+    kinds = {"node": T.LongType(), "code": T.BinaryType(), "factor": T.DoubleType(), "planes": T.BinaryType(), "low": T.DoubleType(), "step": T.DoubleType(), "error": T.DoubleType()}
+    schema = T.StructType([*[T.StructField(n, k) for n, k in kinds.items()], T.StructField("keys", T.ArrayType(T.LongType()))])
 
     def run(batches):
         import numpy as np
@@ -62,11 +69,94 @@ def _coded(distinct: DataFrame, dim: int, bits: int, tables: int, seed: int) ->
                 factor = np.abs(y[:, :dim]).sum(axis=1) / math.sqrt(dim)
                 signs = (y[:, dim : dim + tables * bits] > 0).reshape(-1, tables, bits)
                 keys = signs @ place
-                yield pa.record_batch([part.column(0), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(factor), pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * tables, pa.int32()), pa.array(keys.ravel(), pa.int64()))], names=["node", "code", "factor", "keys"])
+                own = y[:, :dim]
+                low = own.min(axis=1)
+                step = np.maximum((own.max(axis=1) - low) / ((1 << PLANES) - 1), 1e-300)
+                few = np.rint((own - low[:, None]) / step[:, None]).astype(np.uint8)
+                error = np.linalg.norm(own - (low[:, None] + step[:, None] * few), axis=1)
+                planes = np.packbits((few[:, None, :] >> np.arange(PLANES, dtype=np.uint8)[None, :, None]) & 1, axis=2)
+                head = [part.column(0), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(factor), pa.array([c.tobytes() for c in planes], pa.binary())]
+                yield pa.record_batch([*head, pa.array(low), pa.array(step), pa.array(error), pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * tables, pa.int32()), pa.array(keys.ravel(), pa.int64()))], names=schema.names)
 
     return distinct.select("node", "vector").mapInArrow(tidied(run), schema)
 
 
+def _slack(factor, dim: int):
+    """The estimate's bound, ``EPSILON`` standard deviations."""
+    import numpy as np
+
+    return EPSILON * np.sqrt(np.maximum(1 - factor * factor, 0)) / factor / math.sqrt(max(dim - 1, 1))
+
+
+def _by_bucket(batches, width: int):
+    """Whole buckets (equal first ``width`` columns) as record batches; a bucket may go on in the next batch."""
+    import numpy as np
+    import pyarrow as pa
+
+    carry = None
+    for b in batches:
+        whole = pa.Table.from_batches([b] if carry is None else [carry, b]).combine_chunks()
+        if not whole.num_rows:
+            continue
+        whole = whole.to_batches()[0]
+        ids = np.stack([whole.column(k).to_numpy(zero_copy_only=False) for k in range(width)], axis=1)
+        last = np.flatnonzero((ids != ids[-1]).any(axis=1))
+        cut = int(last[-1]) + 1 if len(last) else 0
+        if cut:
+            yield whole.slice(0, cut)
+        carry = whole.slice(cut)
+    if carry is not None and carry.num_rows:
+        yield carry
+
+
+def _hopeful(rows: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """Of the members (t, key, i, j, side, node, ...) of buckets those that stay: one of their pairs may reach the threshold by its codes."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        size = -(-dim // 8)
+        words = -(-size // 8)
+
+        def bits(column, planes):
+            """Rows of 64-bit words, plane after plane."""
+            raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, planes, size)
+            out = np.zeros((len(raw), planes, 8 * words), np.uint8)
+            out[:, :, :size] = raw
+            return out.view(np.uint64).reshape(len(raw), planes, words)
+
+        for b in _by_bucket(batches, 4):
+            ids = np.stack([b.column(k).to_numpy(zero_copy_only=False) for k in range(4)], axis=1).astype(np.int64)
+            edge = np.concatenate([[0], np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1, [len(ids)]])
+            left = np.repeat(edge[1:], np.diff(edge)) - 1 - np.arange(len(ids))
+            side = np.where(ids[:, 2] == ids[:, 3], -1, b.column(4).to_numpy(zero_copy_only=False)).astype(np.int64)
+            code, planes = bits(b.column(6), 1)[:, 0], bits(b.column(8), PLANES)
+            factor, low, step, error = (b.column(c).to_numpy(zero_copy_only=False) for c in (7, 9, 10, 11))
+            ones = np.bitwise_count(code).sum(axis=1).astype(float)
+            weight = (1 << np.arange(PLANES)).astype(float)
+            total = low * dim + step * (np.bitwise_count(planes).sum(axis=2) @ weight)  # sum of the rounded components
+            slack = _slack(factor, dim)
+            stays = np.zeros(len(ids), bool)
+            for lag in range(1, int(left.max()) + 1 if len(left) else 1):
+                a = np.flatnonzero(left >= lag)
+                a = a[(side[a] != side[a + lag]) | (side[a] < 0)]
+                for lo in range(0, len(a), 200_000):
+                    x = a[lo : lo + 200_000]
+                    y = x + lag
+                    common = np.bitwise_count(code[x][:, None, :] & planes[y]).sum(axis=2) @ weight
+                    signed = 2 * (low[y] * ones[x] + step[y] * common) - total[y]
+                    near = signed / (math.sqrt(dim) * factor[x]) + slack[x] + error[y] / factor[x] >= threshold
+                    stays[x[near]] = True
+                    stays[y[near]] = True
+            yield b.filter(pa.array(stays)).select(["t", "key", "i", "j", "side", "node"])
+
+    order = ["t", "key", "i", "j"]
+    rows = rows.select(*order, "side", "node", "code", "factor", "planes", "low", "step", "error")
+    schema = T.StructType([rows.schema[c] for c in (*order, "side", "node")])
+    return rows.repartition(*order).sortWithinPartitions(*order, "node").mapInArrow(tidied(run), schema)
+
+
 def _compared(rows: DataFrame, dim: int, threshold: float, seed: int) -> DataFrame:
     """Buckets to (node, links, root): the copies linked to a vector in this bucket that no earlier table has met, and the smallest node
     that it reaches inside the bucket.  Pairs never leave the task."""
@@ -76,7 +166,6 @@ def _compared(rows: DataFrame, dim: int, threshold: float, seed: int) -> DataFra
         import pyarrow as pa
 
         turn = rotations(dim, dim, seed)
-        slack_of = lambda f: EPSILON * np.sqrt(np.maximum(1 - f * f, 0)) / f / math.sqrt(max(dim - 1, 1))
 
         def bucket(data):
             node, copies, side, own, unit, signs, factor, keys, left = data
@@ -89,7 +178,7 @@ def _compared(rows: DataFrame, dim: int, threshold: float, seed: int) -> DataFra
                     x = root[x]
                 return x
 
-            slack = slack_of(factor)
+            slack = _slack(factor, dim)
             turned = unit @ turn.T
 
             def decide(a, b):
@@ -137,20 +226,8 @@ def _compared(rows: DataFrame, dim: int, threshold: float, seed: int) -> DataFra
             node, links, root = run_of(batch)
             return pa.record_batch([pa.array(node, pa.int64()), pa.array(links, pa.int64()), pa.array(root, pa.int64())], names=["node", "links", "root"])
 
-        carry = None
-        for b in batches:  # a bucket may go on in the next batch
-            whole = pa.Table.from_batches([b] if carry is None else [carry, b]).combine_chunks()
-            if not whole.num_rows:
-                continue
-            whole = whole.to_batches()[0]
-            ids = np.stack([whole.column(k).to_numpy(zero_copy_only=False) for k in range(4)], axis=1)
-            last = np.flatnonzero((ids != ids[-1]).any(axis=1))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            if cut:
-                yield emit(whole.slice(0, cut))
-            carry = whole.slice(cut)
-        if carry is not None and carry.num_rows:
-            yield emit(carry)
+        for b in _by_bucket(batches, 4):
+            yield emit(b)
 
     order = ["t", "key", "i", "j"]
     rows = rows.select(*order, "side", "node", "copies", "vector", "code", "factor", "keys")
@@ -184,8 +261,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, seed: int = 7, id_
         met = met.withColumn("blocks", blocks).withColumn("side", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
         met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         met = met.select("t", "key", "node", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
-        payload = own.select("node", "copies", "vector").join(coded, "node")
-        found.append(_compared(met.join(payload, "node"), dim, threshold, seed))
+        stay = written(_hopeful(met.join(coded.drop("keys"), "node"), dim, threshold), "hopeful")
+        payload = own.select("node", "copies", "vector").join(coded.select("node", "code", "factor", "keys"), "node")
+        found.append(_compared(stay.join(payload, "node"), dim, threshold, seed))
     out = rows.select("vec_id", "node")
     if not found:
         return out.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))

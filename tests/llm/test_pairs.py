@@ -173,3 +173,21 @@ def test_near_vectors(spark, block, monkeypatch):
     got = sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in embedding_dedup.near_vectors(df).collect())
     assert got == want
     assert embedding_dedup.near_vectors(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("dim", [5, 64, 100])
+def test_members_without_a_near_one_leave_by_their_codes(spark, dim):
+    """No pair above the threshold loses a member, and most others go before any vector travels."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(dim)
+    base = rng.standard_normal((300, dim))
+    near = base[:20] + 0.02 * rng.standard_normal((20, dim))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate([*base, *near])]
+    df = spark.createDataFrame(rows, "node long, vector array<double>")
+    coded = embedding_dedup._coded(df, dim, 6, 1, 3)
+    met = coded.drop("keys").select(F.lit(0).alias("t"), F.lit(0).cast("long").alias("key"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "*")
+    stay = {r.node for r in embedding_dedup._hopeful(met, dim, 0.95).collect()}
+    assert stay >= {*range(20), *range(300, 320)}
+    assert dim < 64 or len(stay) < 320
+    assert embedding_dedup._hopeful(met.limit(0), dim, 0.95).count() == 0
