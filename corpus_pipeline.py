@@ -16,24 +16,32 @@ from leadlens.llm.common import table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the model (fitted on labelled rows of ``docs``) doesn't reject; a null text counts as empty, equal rows go or stay alike,
+    an empty table stays empty.  Other columns pass."""
     return toxicity.drop_toxic(docs, toxicity.fit_on(docs, table(spark, sf_dir, "labels")))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay, without the lines that match an earlier one; n_chars follows the text."""
+    """Documents stay, without the lines that match an earlier one; n_chars follows the text.  A null text stays null; rows equal in id and
+    text are one document; an empty table stays empty."""
     out = line_dedup.dedup_lines(docs).select(docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the row of smallest id (null ids last).  Null texts and those without words have one fingerprint, so that
+    one of them stays; an empty table stays empty."""
     return simhash.keep_one_of_each(docs, shingle=3, max_distance=3)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without a passage of the benchmark; null and empty texts stay, as do all with an empty benchmark; equal rows go or stay alike."""
     return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences; a null text is empty and still has its end id, repeated rows are packed each, an empty table
+    gives no piece."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), remember=200_000)
 
 
