@@ -16,8 +16,8 @@ from leadlens.llm.common import free_name, text_of, written
 
 #: Word counts are kept for so many groups of words (by hash); 8 bytes each reach the driver, one number each the tasks.
 GROUPS = 1 << 16
-#: Up to so many documents with lines to verify, their ids are broadcast (some 50 bytes each); beyond it they are joined by a shuffle.
-MOST_BROADCAST = 300_000
+#: Up to so many documents and lines to verify, their ids and numbers are broadcast (some 50 and 4 bytes each); beyond it they are joined by a shuffle.
+MOST_BROADCAST, MOST_NUMBERS = 300_000, 2_000_000
 SHIFT = 57
 
 
@@ -70,7 +70,8 @@ def _line_sets(docs: DataFrame, places: DataFrame, ranks: list[int], shingle: in
     """(p, t): the shingles of the lines at the places p."""
     wanted = places.groupBy(F.col("p.d").alias("wd"), F.col("p.h").alias("wh")).agg(F.collect_set("p.no").alias("nos"))
     wanted = written(wanted, "lines_to_verify")
-    if wanted.count() <= MOST_BROADCAST:
+    size = wanted.agg(F.count("*").alias("documents"), F.coalesce(F.sum(F.size("nos")), F.lit(0)).alias("numbers")).first()
+    if size["documents"] <= MOST_BROADCAST and size["numbers"] <= MOST_NUMBERS:
         wanted = F.broadcast(wanted)
     rows = docs.select(F.col(id_col).alias("d"), text_of(text_col).alias("t")).withColumn("h", F.xxhash64("t"))
     rows = rows.join(wanted, F.col("d").eqNullSafe(F.col("wd")) & (F.col("h") == F.col("wh")))
