@@ -8,6 +8,7 @@ under 4 characters, which have no budget, are searched word for word.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -77,6 +78,25 @@ def budget(length: int, rate: float) -> int:
     return int(rate * length)
 
 
+def _distinct(columns: list):
+    """Distinct rows of non-negative integers, sorted, as one column each; sorted as one number where the numbers fit in one."""
+    import numpy as np
+
+    sizes = [int(c.max()) + 1 for c in columns]
+    if math.prod(sizes) >= 1 << 62:
+        return np.unique(np.stack(columns), axis=1)
+    packed = columns[0].astype(np.int64)
+    for c, n in zip(columns[1:], sizes[1:]):
+        packed = packed * n + c
+    packed.sort()
+    packed = packed[np.append(True, packed[1:] != packed[:-1])]
+    out = []
+    for n in reversed(sizes[1:]):
+        packed, rest = np.divmod(packed, n)
+        out.append(rest)
+    return np.stack([packed, *reversed(out)])
+
+
 class Scanner:
     """Finds the passages (id, text) in texts: every region with at most ``rate`` edits a character, but of overlapping ones the best alone.
     Empty passages never match."""
@@ -179,7 +199,7 @@ class Part:
         at, piece = np.repeat(at, count), np.repeat(piece, count)
         bin_ = (at - starts[piece] - j + self.longest) // self.band[item]
         # distinct places of the passage in each (piece, passage, bin)
-        key = np.unique(np.stack([piece, item, bin_, j]), axis=1) if len(item) else np.empty((4, 0), np.int64)
+        key = _distinct([piece, item, bin_, j]) if len(item) else np.empty((4, 0), np.int64)
         if not key.shape[1]:
             return
         edge = np.concatenate([[0], np.flatnonzero((key[:3, 1:] != key[:3, :-1]).any(axis=0)) + 1, [key.shape[1]]])

@@ -418,3 +418,12 @@ def test_covered_tokens_are_those_of_brute_force(spark):
         held = {i for s in spans for i in range(s[0], s[2])}
         want = [m.span() for m in re.finditer(secrets.JUDGE, text) if not held.issuperset(range(*m.span()))]
         assert [(s.start, s.end) for s in r.markov] == want
+
+
+def test_distinct_rows_packed_or_not():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for top in ((3, 4, 5, 6), (3, 1 << 40, 5, 1 << 40)):
+        columns = [rng.integers(0, min(n, 7), 400) * (n // 7 or 1) for n in top]
+        assert (decontam._distinct(columns) == np.unique(np.stack(columns), axis=1)).all()
