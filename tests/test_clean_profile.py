@@ -124,7 +124,7 @@ def test_cardinality_rarest_level(spark, bank, bank_pdf):
 
 
 def test_conversion_by_ordered_keeps_missing_months(spark, bank):
-    rows = pr.conversion_by_ordered(bank, "month").collect()
+    rows = pr.conversion_by_ordered(bank.where("month <> 'jan'"), "month").collect()
     assert [r.ordinal for r in rows] == list(range(1, 13))
     assert rows[0].level == "jan" and rows[0].n is None
 
