@@ -130,4 +130,4 @@ def test_entry_has_them():
     import __spark_entry__ as entry
 
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
-    assert len([n for n in entry.queries() if re.match(r"op\d+_", n)]) == 10
+    assert len([n for n in entry.queries() if re.match(r"op\d+_", n)]) == 13
