@@ -211,9 +211,11 @@ _SPLIT_PROSPECTS = cat._split_sql("prospects", "prospect_id")
 )
 def q_clip_outliers_train(spark, sf):
     from leadlens.operators.clean import clip_outliers
+    from leadlens.session import materialize
 
     rows = ds.leads(spark, sf).select("lead_id", "y", *cat.LEAD_NUMS)
-    return clip_outliers(rows, cat.LEAD_NUMS, fit_on=take_split(stratified_split(rows, "lead_id", "y"), "train")).drop("y")
+    train = materialize(take_split(stratified_split(rows, "lead_id", "y"), "train").select(*cat.LEAD_NUMS))  # the quantiles take several passes
+    return clip_outliers(rows, cat.LEAD_NUMS, fit_on=train).drop("y")
 
 
 @register(
