@@ -198,3 +198,51 @@ def test_sorted_table_puts_missing_profits_last(spark):
     df = spark.createDataFrame([("b", 2.0), ("a", 2.0), ("c", None), ("d", 9.0)], "model string, net_profit double")
     assert [r.model for r in fl.rank_models(df).collect()] == ["d", "a", "b", "c"]
     assert ev.select_best_model(df).first().model == "d"
+
+
+def test_training_rows_are_cached_once_a_fold(spark, store, monkeypatch):
+    """However many jobs: their scores are those of a job alone, and nothing stays cached."""
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    calls, persist = [], Frame.persist
+
+    def noted(self, *args, **kw):
+        calls.append(self)
+        return persist(self, *args, **kw)
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    monkeypatch.setattr(Frame, "persist", noted)
+    jobs = {str(c): ("logistic_regression", {"C": c}) for c in (0.1, 1.0, 10.0)}
+    got = {(r.job, r.client_id): r.probability for r in fold_scores(store, jobs).collect()}
+    assert len(calls) == store.n_folds
+    alone = {(r.job, r.client_id): r.probability for r in fold_scores(store, {"1.0": jobs["1.0"]}).collect()}
+    assert {k: p for k, p in got.items() if k[0] == "1.0"} == pytest.approx(alone)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+    with pytest.raises(ValueError):
+        fold_scores(store, {"a": ("no such model", {})})
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+
+
+def test_a_split_that_many_passes_read_is_written_once(spark, monkeypatch):
+    from leadlens.operators import clean
+    from leadlens.operators import flow as fl
+    from leadlens.plans import catalog  # noqa: F401
+    from leadlens.plans.registry import QUERIES
+
+    seen = []
+
+    class Done(Exception):
+        pass
+
+    def caught(rows, *args, **kw):
+        seen.append(kw.get("fit_on", rows))
+        raise Done
+
+    monkeypatch.setattr(clean, "clip_outliers", caught)
+    monkeypatch.setattr(fl, "run_flow", caught)
+    for name in ("clip_outliers_train", "fitted_flow", "flow_scores"):
+        with pytest.raises(Done):
+            QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert len(seen) == 3
+    for df in seen:
+        assert "Window" not in df._jdf.queryExecution().toString()
