@@ -97,16 +97,19 @@ def calibrated(df: DataFrame, pools: DataFrame, x: str = "margin", by: Sequence[
     marks = pools.select(*by, F.col("lo").alias("_x"), F.lit(0).alias("_kind"), step.alias("_step"))
     rows = df.withColumns({"_x": F.when(~F.isnan(F.col(x).cast("double")), F.col(x).cast("double")), "_kind": F.lit(1), "_step": F.lit(None).cast(marks.schema["_step"].dataType)})
     both = range_number(rows.unionByName(marks, allowMissingColumns=True), "_x", cuts, "_range")
-    inside = Window.partitionBy(*by, "_range").orderBy("_x", "_kind")
-    upto, onward = inside.rowsBetween(Window.unboundedPreceding, 0), inside.rowsBetween(0, Window.unboundedFollowing)
+    # what follows is a running minimum from the other end: a frame that runs on to the last row is aggregated anew for every row
+    inside = Window.partitionBy(*by, "_range")
+    upto = inside.orderBy("_x", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    onward = inside.orderBy(F.desc("_x"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, 0)
     near = both.withColumns({"_at": F.max("_step").over(upto), "_next": F.min("_step").over(onward)})
     ends = both.where("_range IS NOT NULL").groupBy(*by, "_range").agg(F.max("_step").alias("_m"), F.min("_step").alias("_n"))
-    order = Window.partitionBy(*by).orderBy("_range")
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*by).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
     carry = ends.select(
         *[F.col(c).alias(f"_b_{c}") for c in by],
         F.col("_range").alias("_r"),
-        F.max("_m").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_cat"),
-        F.min("_n").over(order.rowsBetween(1, Window.unboundedFollowing)).alias("_cnext"),
+        F.max("_m").over(before).alias("_cat"),
+        F.min("_n").over(after).alias("_cnext"),
     )
     same = F.col("_range") == F.col("_r")
     for c in by:
