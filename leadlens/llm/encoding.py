@@ -7,8 +7,9 @@ import sys
 from array import array
 
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
-#: Letters whose class, case and composition are alike in all Unicode versions, and marks that stand alone after them.
-SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-įĲ-ɏ]+)([.,;:!?]*)")
+#: Letters whose class, case and composition are alike in all Unicode versions, and ASCII marks (without ', which begins contractions) that stand
+#: alone after them.
+SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-įĲ-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 #: A run of non-white characters with the blank before it, or white space (fixed values: Unicode's).
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
@@ -42,8 +43,8 @@ class PieceEncoder:
 
     Byte-level and word-end vocabularies split at white space before any merge, so the ids of a text are those of its
     words in a row: with the blank before them in a byte-level vocabulary, without white space in a word-end one.
-    Simple words go straight to the vocabulary's model, others through the whole library.  The memory is bounded and results don't depend on
-    it.  Any other kind of vocabulary encodes whole texts.  With ``added``, as the library does by default, the strings of added tokens in a text
+    Simple words go straight to the vocabulary's model, others through the whole library; a word with marks at its end is looked up without
+    them, so that a word's ids are computed once, whatever follows it.  The memory is bounded and results don't depend on it.  Any other kind of vocabulary encodes whole texts.  With ``added``, as the library does by default, the strings of added tokens in a text
     have these tokens' ids, and a text that holds one is encoded whole; without, special tokens' strings are ordinary text.
     """
 
@@ -80,18 +81,19 @@ class PieceEncoder:
         return self._pack(self._ids(text))
 
     def _word(self, blank: str, word: str) -> bytes:
-        if word.isascii() and word.isalpha():
-            stem, marks = word, ""
-        elif m := SIMPLE.fullmatch(word):
+        stem = word
+        if not (word.isascii() and word.isalpha()):
+            m = SIMPLE.fullmatch(word)
+            if m is None:
+                return self._whole(blank + word)
             stem, marks = m.groups()
-        else:
-            return self._whole(blank + word)
-        blank = blank if self.kind == "byte" else ""
+            if marks:
+                return (self.spaced if blank else self.bare)[stem] + self.pieces[marks]
         if self.kind == "word":
             stem = stem.lower()
-        spelt = (self.letters[32] if blank else "") + (stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.letters))
-        ids = self._pack([t.id for t in self.model.tokenize(spelt)])
-        return ids + self.pieces[marks] if marks else ids
+        letters = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.letters)
+        spelt = self.letters[32] + letters if blank and self.kind == "byte" else letters
+        return self._pack([t.id for t in self.model.tokenize(spelt)])
 
     def _text(self, text: str) -> bytes:
         if self.added is not None and self.added(text):

@@ -60,23 +60,23 @@ class VectorPacker:
         np = self.np
         n = np.array([i[2] for i in self.items], np.int64)
         quiet = np.array([i[3] for i in self.items], np.int64)
-        items, alive = list(self.items), np.ones(len(n), bool)
-        while alive.any() and (leave == 0 or int(alive.sum()) > leave):
-            waiting = int(n[alive].sum())
+        items = list(self.items)
+        while items and (leave == 0 or len(items) > leave):
+            # the waiting pieces alone, by their order
+            loss, alive, waiting = n - quiet, np.ones(len(n), bool), int(n.sum())
             cap = self.limit if waiting >= self.limit else 1 << (waiting.bit_length() - 1)
-            weight = np.array([n[alive].mean() / self.limit, 1 / self.max_segments, (n - quiet)[alive].mean() / self.max_loss])
-            room = np.array([cap, self.max_segments, self.max_loss], np.int64)
+            weight = (float(n.mean()) / self.limit, 1 / self.max_segments, float(loss.mean()) / self.max_loss)
+            room, segments, room_loss = cap, self.max_segments, self.max_loss
             offset, placed = 0, []
-            while room[0] > 0 and room[1] > 0:
-                loss = n - quiet
-                fits = alive & (n <= room[0]) & (loss <= room[2])
-                if fits.any():
-                    free = weight * room / np.array([self.limit, self.max_segments, self.max_loss])
-                    gain = free[0] * n / self.limit + free[1] / self.max_segments + free[2] * loss / self.max_loss
-                    k = int(np.where(fits, gain, -1.0).argmax())
+            while room > 0 and segments > 0:
+                fits = np.flatnonzero(alive & (n <= room) & (loss <= room_loss))
+                if len(fits):
+                    free = weight[0] * room / self.limit, weight[1] * segments / self.max_segments, weight[2] * room_loss / self.max_loss
+                    gain = free[0] * n[fits] / self.limit + free[1] / self.max_segments + free[2] * loss[fits] / self.max_loss
+                    k = int(fits[gain.argmax()])
                     take = int(n[k])
                 else:
-                    head = np.where(alive, np.minimum(np.minimum(n, room[0]), quiet + room[2]), 0)
+                    head = np.where(alive, np.minimum(np.minimum(n, room), quiet + room_loss), 0)
                     k = int(head.argmax())
                     take = int(head[k])
                     if take == 0:
@@ -85,17 +85,20 @@ class VectorPacker:
                 bears = take - min(take, still)
                 placed.append((key, start, take, bears, offset))
                 offset += take
-                room -= (take, 1, bears)
+                room, segments, room_loss = room - take, segments - 1, room_loss - bears
                 if take == size:
                     alive[k] = False
                 else:
                     items[k] = (key, start + take, size - take, max(0, still - take))
                     n[k], quiet[k] = size - take, max(0, still - take)
+                    loss[k] = n[k] - quiet[k]
             whole = offset if offset & (offset - 1) == 0 else self.limit
             for key, start, take, bears, at in placed:
                 yield key, start, take, bears, self.next, at, whole
             self.next += 1
-        self.items = [items[k] for k in np.flatnonzero(alive)]
+            left = np.flatnonzero(alive)
+            items, n, quiet = [items[k] for k in left], n[left], quiet[left]
+        self.items = items
 
 
 def pack_documents(

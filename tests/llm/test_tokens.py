@@ -41,6 +41,22 @@ def test_pieces_equal_whole_texts(path):
         assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids + [1], repr(text)
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_a_word_is_computed_once_whatever_marks_follow(path):
+    encoder, asked = PieceEncoder(path), []
+    model = encoder.model
+
+    class Counted:
+        def tokenize(self, word):
+            asked.append(word)
+            return model.tokenize(word)
+
+    encoder.model = Counted()
+    text = "so word, été. word### été%%% word!? word_ word"
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == library(path, text) + [1]
+    assert len(asked) == 3
+
+
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_added_tokens_as_the_library_does(path):
     tok = Tokenizer.from_file(path)
