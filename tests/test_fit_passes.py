@@ -64,6 +64,29 @@ def test_classifier_reads_kept_rows_and_finds_the_same_model(spark, rows, monkey
     prepared.unpersist()
 
 
+@pytest.mark.parametrize("n,most", [(300, 1_000_000), (300, 20)])
+def test_classifier_reads_no_spare_partitions(spark, rows, monkeypatch, n, most):
+    real, seen = tr.make_classifier, []
+
+    def spied(*args):
+        classifier = real(*args)
+        fit = classifier.fit
+        classifier.fit = lambda df, *more: seen.append((df.rdd.getNumPartitions(), df.count())) or fit(df, *more)
+        return classifier
+
+    monkeypatch.setattr(tr, "make_classifier", spied)
+    monkeypatch.setattr(tr, "FIT_ROWS", most)
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        model = tr.fit(rows, "random_forest", {"n_estimators": 3, "max_depth": 4})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    parts = max(tr.FIT_PARTS, spark.sparkContext.defaultParallelism, -(-n // most))
+    assert parts < 64 and seen == [(parts, n)]  # every row, in as many partitions as cores or as the rows need
+    assert model.stages[-1].getNumTrees == 3
+
+
 def test_held_margins_are_scored_once(spark, rows, monkeypatch):
     real, seen = iso.isotonic_pools, []
     monkeypatch.setattr(iso, "isotonic_pools", lambda df, *a, **k: seen.append(df.inputFiles()) or real(df, *a, **k))
